@@ -345,3 +345,206 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_flagship_counts(spark, sf_dir):
     return flagship(spark, sf_dir)
+
+
+# --- publish / reload / retire / ledger (write to the shared scratch folder) ---
+
+ROW_LIMIT = 10  # fixed value: rows staged per month by the optional limit
+
+
+def _load_root(spark: SparkSession, name: str) -> tuple[str, str]:
+    from monthwise.session import scratch_path
+
+    root = scratch_path(spark, name)
+    return f"{root}/target", f"{root}/ledger"
+
+
+def _load_all_orders(spark, sf_dir, name):
+    from monthwise.plans.load import load_months
+
+    target, ledger_root = _load_root(spark, name)
+    # the month of a row comes from its timestamp, so every split holds many
+    # months: rebalance by month before the partitioned write
+    load_months(spark, orders_trips(spark, sf_dir), target, ledger_root, contract=CONTRACT, rebalance=True)
+    return target, ledger_root
+
+
+def _reload(spark, sf_dir, target, ledger_root, month: str, empty: bool = False):
+    from monthwise.plans.load import load_months
+
+    m = cal.run_date(month)
+    frame = orders_trips(spark, sf_dir).where(F.col("date") == m)
+    if empty:
+        frame = frame.where(F.lit(False))
+    months = spark.range(1).select(m.alias("date"))
+    return load_months(spark, frame, target, ledger_root, months=months, contract=CONTRACT)
+
+
+@register("publish_month", ORDERS_TRIPS_SQL)
+def q_publish_month(spark, sf_dir):
+    from monthwise.plans.load import read_target
+
+    target, _ = _load_all_orders(spark, sf_dir, "publish")
+    return read_target(spark, target, CONTRACT)
+
+
+@register("reload_month", ORDERS_TRIPS_SQL)
+def q_reload_month(spark, sf_dir):
+    from monthwise.plans.load import read_target
+
+    target, ledger_root = _load_all_orders(spark, sf_dir, "reload")
+    _reload(spark, sf_dir, target, ledger_root, SLICE_MONTH)
+    _reload(spark, sf_dir, target, ledger_root, SLICE_MONTH)
+    return read_target(spark, target, CONTRACT)
+
+
+@register(
+    "retire_empty_month",
+    f"SELECT * FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t WHERE date <> DATE '{SLICE_MONTH}'",
+)
+def q_retire_empty_month(spark, sf_dir):
+    from monthwise.plans.load import read_target
+
+    target, ledger_root = _load_all_orders(spark, sf_dir, "retire")
+    _reload(spark, sf_dir, target, ledger_root, SLICE_MONTH, empty=True)
+    return read_target(spark, target, CONTRACT)
+
+
+@register(
+    "ledger_replace",
+    f"""
+SELECT CASE WHEN date = DATE '{SLICE_MONTH}' THEN CAST(0 AS BIGINT) ELSE count(*) END AS cnt, date
+FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t GROUP BY date
+""",
+)
+def q_ledger_replace(spark, sf_dir):
+    # full load, the slice month reloaded twice, then reloaded empty:
+    # still one ledger row per month, the emptied month with cnt = 0
+    target, ledger_root = _load_all_orders(spark, sf_dir, "ledger")
+    _reload(spark, sf_dir, target, ledger_root, SLICE_MONTH)
+    _reload(spark, sf_dir, target, ledger_root, SLICE_MONTH)
+    _reload(spark, sf_dir, target, ledger_root, SLICE_MONTH, empty=True)
+    return ledger.read_ledger(spark, ledger_root)
+
+
+@register(
+    "row_limit_load",
+    f"""
+SELECT date, LEAST(count(*), {ROW_LIMIT}) AS published_cnt, count(*) AS ledger_cnt
+FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t GROUP BY date
+""",
+)
+def q_row_limit_load(spark, sf_dir):
+    # which rows are staged is unspecified; how many per month is not
+    from monthwise.plans.load import load_months, read_target
+
+    target, ledger_root = _load_root(spark, "limit")
+    load_months(
+        spark, orders_trips(spark, sf_dir), target, ledger_root, contract=CONTRACT, row_limit=ROW_LIMIT, rebalance=True
+    )
+    published = checks.month_counts(read_target(spark, target, CONTRACT)).withColumnRenamed("cnt", "published_cnt")
+    lg = ledger.read_ledger(spark, ledger_root).withColumnRenamed("cnt", "ledger_cnt")
+    return published.join(lg, "date", "full_outer").select("date", "published_cnt", "ledger_cnt")
+
+
+# --- landing files: mixed schemas, incremental arrival --------------------
+
+SCHEMA_CHANGE_MONTH = "1998-01-01"
+
+
+def _orders_month_files_raw(spark, sf_dir):
+    """Orders as two generations of month files: before the change month
+    ``VendorID`` is bigint, ``passenger_count`` double, ``airport_fee`` double
+    and an extra column rides along; from it on ``VendorID`` is int,
+    ``passenger_count`` int, ``airport_fee`` bigint, ``store_and_fwd_flag`` is
+    gone."""
+    o = table(spark, sf_dir, "orders")
+    month = cal.month_start("o_orderdate")
+    old = o.where(month < cal.run_date(SCHEMA_CHANGE_MONTH)).select(
+        F.col("o_custkey").alias("VendorID"),
+        F.col("o_orderdate").alias("tpep_pickup_datetime"),
+        F.length("o_orderpriority").cast("double").alias("passenger_count"),
+        F.col("o_orderstatus").alias("store_and_fwd_flag"),
+        F.col("o_orderkey").alias("PULocationID"),
+        F.col("o_totalprice").alias("fare_amount"),
+        F.col("o_totalprice").alias("airport_fee"),
+        F.col("o_orderpriority").alias("priority_note"),
+        month.alias("date"),
+    )
+    new = o.where(month >= cal.run_date(SCHEMA_CHANGE_MONTH)).select(
+        F.col("o_custkey").cast("int").alias("VendorID"),
+        F.col("o_orderdate").alias("tpep_pickup_datetime"),
+        F.length("o_orderpriority").cast("int").alias("passenger_count"),
+        F.col("o_orderkey").alias("PULocationID"),
+        F.col("o_totalprice").alias("fare_amount"),
+        F.col("o_totalprice").cast("long").alias("airport_fee"),
+        month.alias("date"),
+    )
+    return old, new
+
+
+_MIXED_SQL = f"""
+SELECT CAST(o_custkey AS BIGINT) AS vendor_id,
+       CAST(o_orderdate AS TIMESTAMP) AS tpep_pickup_datetime,
+       CAST(NULL AS TIMESTAMP) AS tpep_dropoff_datetime,
+       CAST(length(o_orderpriority) AS DOUBLE) AS passenger_count,
+       CAST(NULL AS DOUBLE) AS trip_distance,
+       CAST(NULL AS DOUBLE) AS ratecode_id,
+       CASE WHEN date_trunc('month', o_orderdate) < DATE '{SCHEMA_CHANGE_MONTH}' THEN o_orderstatus END AS store_and_fwd_flag,
+       CAST(o_orderkey AS BIGINT) AS pu_location_id,
+       CAST(NULL AS BIGINT) AS do_location_id,
+       CAST(NULL AS BIGINT) AS payment_type,
+       CAST(o_totalprice AS DOUBLE) AS fare_amount,
+       CAST(NULL AS DOUBLE) AS extra,
+       CAST(NULL AS DOUBLE) AS mta_tax,
+       CAST(NULL AS DOUBLE) AS tip_amount,
+       CAST(NULL AS DOUBLE) AS tolls_amount,
+       CAST(NULL AS DOUBLE) AS improvement_surcharge,
+       CAST(NULL AS DOUBLE) AS total_amount,
+       CAST(NULL AS DOUBLE) AS congestion_surcharge,
+       TRY_CAST(trunc(o_totalprice) AS INTEGER) AS airport_fee,
+       CAST(date_trunc('month', o_orderdate) AS DATE) AS date
+FROM orders
+"""
+
+
+@register("mixed_schema_scan", _MIXED_SQL)
+def q_mixed_schema_scan(spark, sf_dir):
+    from monthwise.session import scratch_path
+    from monthwise.sources.landing import list_files, scan_months, write_month_files
+
+    landing = scratch_path(spark, "landing")
+    old, new = _orders_month_files_raw(spark, sf_dir)
+    write_month_files(spark, old, landing)
+    write_month_files(spark, new, landing)
+    paths = [r["path"] for r in list_files(spark, landing).select("path").collect()]
+    return scan_months(spark, paths, CONTRACT)
+
+
+@register("incremental_load", _MIXED_SQL)
+def q_incremental_load(spark, sf_dir):
+    from monthwise.plans.load import read_target
+    from monthwise.session import scratch_path
+    from monthwise.streaming.incremental import IncrementalLoad
+
+    root = scratch_path(spark, "incremental")
+    job = IncrementalLoad(
+        landing=f"{root}/landing",
+        target_root=f"{root}/target",
+        ledger_root=f"{root}/ledger",
+        checkpoint=f"{root}/checkpoint",
+        contract=CONTRACT,
+    )
+    old, new = _orders_month_files_raw(spark, sf_dir)
+    write_month_files(spark, old, job.landing)
+    job.run_available(spark)  # first arrival: the old generation
+    write_month_files(spark, new, job.landing)
+    job.run_available(spark)  # second arrival: only the new files load
+    job.run_available(spark)  # nothing new: no batch
+    return read_target(spark, job.target_root, CONTRACT)
+
+
+def write_month_files(spark, df, landing):
+    from monthwise.sources.landing import write_month_files as _w
+
+    return _w(spark, df, landing)

@@ -128,3 +128,48 @@ def scan_months(
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+def write_month_files(
+    spark: SparkSession,
+    df: DataFrame,
+    landing_dir: str,
+    month_col: str = "date",
+    prefix: str = LANDING_PREFIX,
+) -> list[str]:
+    """Write ``df`` as landing files, one ``<prefix>YYYY_MM.parquet`` per month.
+
+    One shuffle by month name so each month is written by one task into one
+    file; the files are then renamed into the landing folder (metadata only).
+    ``month_col`` is not written: month files carry their month in the name.
+    """
+    import uuid
+
+    from monthwise.functions.calendar import landing_file_name
+    from monthwise.sources import fs
+
+    root = landing_dir.rstrip("/")
+    staging = f"{root}/_staging-{uuid.uuid4().hex[:8]}"
+    name = landing_file_name(F.col(month_col), prefix, suffix="")
+    (
+        df.withColumn("_name", name)
+        .drop(month_col)
+        .repartition("_name")
+        .write.mode("errorifexists")
+        .partitionBy("_name")
+        .parquet(staging)
+    )
+    written = []
+    for d in sorted(fs.list_dir(spark, staging)):
+        if not d.startswith("_name="):
+            continue
+        month_name = d[len("_name="):]
+        parts = sorted(f for f in fs.list_dir(spark, f"{staging}/{d}") if f.endswith(".parquet"))
+        for i, part in enumerate(parts):
+            suffix = "" if len(parts) == 1 else f"-{i:05d}"
+            dst = f"{root}/{month_name}{suffix}.parquet"
+            fs.delete(spark, dst)
+            fs.rename(spark, f"{staging}/{d}/{part}", dst)
+            written.append(dst)
+    fs.delete(spark, staging)
+    return written
