@@ -548,3 +548,123 @@ def write_month_files(spark, df, landing):
     from monthwise.sources.landing import write_month_files as _w
 
     return _w(spark, df, landing)
+
+
+# --- file names for an ingest manifest --------------------------------------
+
+_URL_PATH_SQL = r"regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1)"
+_URL_NAME_SQL = f"""
+CASE WHEN length(trim(split_part(string_split({_URL_PATH_SQL}, '/')[-1], ';', 1), ' ' || chr(10) || chr(9) || '.')) > 0
+     THEN split_part(string_split({_URL_PATH_SQL}, '/')[-1], ';', 1) END"""
+
+
+@register(
+    "url_file_name",
+    f"""
+SELECT page_id, url, {_URL_NAME_SQL} AS url_name,
+       coalesce(nullif({_URL_NAME_SQL}, ''), 'download.wget') AS file_name
+FROM pages
+""",
+)
+def q_url_file_name(spark, sf_dir):
+    from monthwise.functions import filenames as fn
+
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    name = fn.url_file_name("url")
+    return p.select("page_id", "url", name.alias("url_name"), fn.pick_file_name(url_name=name).alias("file_name"))
+
+
+def _doc_headers(spark, sf_dir):
+    """Response header text per document, built from its source and id; the
+    language picks one of several Content-Disposition shapes."""
+    d = table(spark, sf_dir, "documents")
+    doc = F.col("doc_id").cast("string")
+    disp = (
+        F.when(F.col("lang") == "en", F.concat(F.lit('attachment; filename="'), F.col("source"), F.lit("/"), doc, F.lit('.txt"')))
+        .when(F.col("lang") == "de", F.concat(F.lit("INLINE;filename="), F.col("source"), F.lit(".txt")))
+        .when(F.col("lang") == "fr", F.concat(F.lit("form-data; filename="), doc, F.lit(".txt")))
+        .otherwise(F.concat(F.lit("attachment; filename=a.txt; filename="), doc, F.lit(".txt")))
+    )
+    text = F.concat(F.lit("Content-Type: text/plain\nContent-Disposition: "), disp, F.lit("\nX-Source: "), F.col("source"))
+    return d.select("doc_id", text.alias("headers"))
+
+
+_HEADERS_SQL = """
+SELECT doc_id,
+       'Content-Type: text/plain' || chr(10) || 'Content-Disposition: ' ||
+       CASE lang WHEN 'en' THEN 'attachment; filename="' || source || '/' || CAST(doc_id AS VARCHAR) || '.txt"'
+                 WHEN 'de' THEN 'INLINE;filename=' || source || '.txt'
+                 WHEN 'fr' THEN 'form-data; filename=' || CAST(doc_id AS VARCHAR) || '.txt'
+                 ELSE 'attachment; filename=a.txt; filename=' || CAST(doc_id AS VARCHAR) || '.txt' END
+       || chr(10) || 'X-Source: ' || source AS headers
+FROM documents
+"""
+
+
+@register(
+    "header_file_name",
+    f"""
+WITH h AS ({_HEADERS_SQL}),
+v AS (SELECT doc_id, headers,
+             nullif(regexp_extract(headers, '(?m)^Content-Disposition:([^\\r\\n]*)', 1), '') AS disp FROM h),
+p AS (SELECT *, string_split(disp, ';') AS parts FROM v),
+f AS (SELECT *, list_filter(parts[2:], lambda x: starts_with(regexp_replace(x, '^\\s+|\\s+$', '', 'g'), 'filename=')) AS fparts
+      FROM p),
+n AS (SELECT *, regexp_extract(trim(split_part(fparts[1], '=', 2), ' ' || chr(9) || '"'), '[^/]*$') AS nm FROM f)
+SELECT doc_id, headers,
+       CASE WHEN len(parts) > 1
+             AND lower(regexp_replace(parts[1], '^\\s+|\\s+$', '', 'g')) IN ('inline', 'attachment')
+             AND len(fparts) = 1 AND nm <> '' THEN nm END AS header_name,
+       coalesce(CASE WHEN len(parts) > 1
+             AND lower(regexp_replace(parts[1], '^\\s+|\\s+$', '', 'g')) IN ('inline', 'attachment')
+             AND len(fparts) = 1 AND nm <> '' THEN nm END, 'download.wget') AS file_name
+FROM n
+""",
+)
+def q_header_file_name(spark, sf_dir):
+    from monthwise.functions import filenames as fn
+
+    h = _doc_headers(spark, sf_dir)
+    name = fn.header_file_name("headers")
+    return h.select("doc_id", "headers", name.alias("header_name"), fn.pick_file_name(header_name=name).alias("file_name"))
+
+
+@register(
+    "quoted_path",
+    f"""
+SELECT page_id, {_URL_PATH_SQL} AS path,
+       array_to_string(list_transform(string_split({_URL_PATH_SQL}, '/'), lambda s: url_encode(s)), '/') AS quoted_path
+FROM pages
+""",
+)
+def q_quoted_path(spark, sf_dir):
+    from monthwise.functions import filenames as fn
+
+    p = table(spark, sf_dir, "pages").select("page_id", fn.url_path("url").alias("path"))
+    return p.select("page_id", "path", fn.quote_path("path").alias("quoted_path"))
+
+
+@register(
+    "numbered_names",
+    f"""
+WITH n AS (SELECT page_id, coalesce(nullif({_URL_NAME_SQL}, ''), 'download.wget') AS name FROM pages),
+s AS (SELECT *, CASE WHEN instr(name, '.') > 0 THEN regexp_extract(name, '^(.*)\\.[^.]*$', 1) ELSE name END AS stem,
+             CASE WHEN instr(name, '.') > 0 THEN regexp_extract(name, '\\.([^.]*)$', 1) END AS ext,
+             row_number() OVER (PARTITION BY name ORDER BY page_id) AS occ FROM n),
+b AS (SELECT regexp_extract(stem, '^(.*) \\(([0-9]+)\\)$', 1) AS bstem,
+             max(CAST(regexp_extract(stem, '^(.*) \\(([0-9]+)\\)$', 2) AS BIGINT)) AS base
+      FROM s WHERE regexp_extract(stem, '^(.*) \\(([0-9]+)\\)$', 2) <> '' GROUP BY 1),
+c AS (SELECT s.*, row_number() OVER (PARTITION BY stem ORDER BY page_id) AS k FROM s WHERE occ > 1)
+SELECT page_id, name, name AS final_name FROM s WHERE occ = 1
+UNION ALL
+SELECT c.page_id, c.name,
+       c.stem || ' (' || CAST(coalesce(b.base, 0) + c.k AS VARCHAR) || ')' || coalesce('.' || c.ext, '') AS final_name
+FROM c LEFT JOIN b ON b.bstem = c.stem
+""",
+)
+def q_numbered_names(spark, sf_dir):
+    from monthwise.functions import filenames as fn
+
+    p = table(spark, sf_dir, "pages")
+    names = p.select("page_id", fn.pick_file_name(url_name=fn.url_file_name("url")).alias("name"))
+    return fn.number_taken_names(names, "name", ["page_id"]).select("page_id", "name", "final_name")
