@@ -668,3 +668,85 @@ def q_numbered_names(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     names = p.select("page_id", fn.pick_file_name(url_name=fn.url_file_name("url")).alias("name"))
     return fn.number_taken_names(names, "name", ["page_id"]).select("page_id", "name", "final_name")
+
+
+# --- JDBC sink (in-process Derby: the only database a local test may use) ----
+
+
+def _derby(spark, name):
+    import uuid
+
+    from monthwise.sources.jdbc import derby_memory
+
+    return derby_memory(f"{name}_{uuid.uuid4().hex[:8]}")
+
+
+@register(
+    "jdbc_replace_append",
+    f"""
+SELECT date, count(*) AS cnt FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t GROUP BY date
+UNION ALL
+SELECT date, count(*) AS cnt FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t GROUP BY date
+""",
+)
+def q_jdbc_replace_append(spark, sf_dir):
+    # the count ledger over JDBC: replace, then append the same counts again
+    # (an append is not idempotent -- that is what the replace form is for)
+    from monthwise.sources import jdbc
+
+    db = _derby(spark, "ledger")
+    counts = checks.month_counts(orders_trips(spark, sf_dir)).select("date", "cnt")
+    jdbc.replace_table(counts, db, "ledger_cnt", num_partitions=4)
+    jdbc.append_table(counts, db, "ledger_cnt", num_partitions=4)
+    return jdbc.read_table(spark, db, "ledger_cnt").select(
+        F.col("date").cast("date").alias("date"), F.col("cnt").cast("long").alias("cnt")
+    )
+
+
+@register("jdbc_stage_roundtrip", ORDERS_TRIPS_SQL)
+def q_jdbc_stage_roundtrip(spark, sf_dir):
+    # a month stage table written twice with replace holds the rows once;
+    # truncate keeps the table definition, parallel inserts by partition
+    from monthwise.sources import jdbc
+
+    db = _derby(spark, "stage")
+    trips = orders_trips(spark, sf_dir)
+    jdbc.replace_table(trips, db, "stage_trips", num_partitions=8)
+    jdbc.replace_table(trips, db, "stage_trips", truncate=True, num_partitions=8)
+    back = jdbc.read_table(spark, db, "stage_trips")
+    return back.select(*[F.col(c).cast(t).alias(c) for c, t in ((f.name, f.dataType) for f in CONTRACT.schema.fields)])
+
+
+# --- catalog form: external table, zero-copy attach, detach ----------------
+
+
+@register(
+    "catalog_attach_detach",
+    f"""
+SELECT date, count(*) AS cnt FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t
+WHERE date <> DATE '{SLICE_MONTH}' GROUP BY 1 ORDER BY 1
+""",
+)
+def q_catalog_attach_detach(spark, sf_dir):
+    import datetime as dt
+    import uuid
+
+    from monthwise.plans import catalog
+    from monthwise.plans.load import partition_path, publish_months
+    from monthwise.session import scratch_path
+    from monthwise.sources import fs
+
+    root = scratch_path(spark, "catalog")
+    db = f"mw_{uuid.uuid4().hex[:8]}"
+    target, _ = catalog.init_tables(spark, root, db=db, stage_db=f"{db}_stage", contract=CONTRACT)
+    # every month staged in its own folder, then attached by location
+    staged = f"{root}/staged"
+    publish_months(orders_trips(spark, sf_dir), staged, rebalance=True)
+    months = {
+        dt.date.fromisoformat(d.split("=", 1)[1]): partition_path(staged, dt.date.fromisoformat(d.split("=", 1)[1]))
+        for d in fs.list_dir(spark, staged)
+        if d.startswith("date=")
+    }
+    catalog.attach_months(spark, target, months)
+    catalog.detach_months(spark, target, [dt.date.fromisoformat(SLICE_MONTH)])
+    return catalog.month_counts_sql(spark, target)
