@@ -139,7 +139,7 @@ def number_taken_names(
         names = names.unionByName(existing.select(F.col(existing_name).alias("_n")))
     numbered = names.select(F.regexp_extract(name_stem("_n"), r"^(.*) \(([0-9]+)\)$", 1).alias("_stem"),
                             F.regexp_extract(name_stem("_n"), r"^(.*) \(([0-9]+)\)$", 2).alias("_idx"))
-    base = numbered.where(F.col("_idx") != "").groupBy("_stem").agg(F.max(F.col("_idx").cast("long")).alias("_base"))
+    base = numbered.where(F.col("_idx") != "").groupBy("_stem").agg(F.max(F.col("_idx").try_cast("long")).alias("_base"))
 
     kept = marked.where(~F.col("_taken")).withColumn(out, F.col(name)).drop("_taken")
     clash = marked.where(F.col("_taken")).withColumn("_stem", name_stem(name)).withColumn("_ext", name_ext(name))
