@@ -1,45 +1,72 @@
-"""The count ledger: one row ``(cnt, date)`` per loaded month.
+"""The count ledger: the row count of every loaded month.
 
-Stored as a small Parquet table partitioned by ``date``; replacing a
-month's row is a dynamic partition overwrite, so writing the same month
-twice leaves one row (safe to repeat).
+Stored append-only: each run adds one small file of ``(cnt, date,
+loaded_at, run_id)`` rows, and the ledger *view* is the latest entry per
+month.  "Replace the count of a month" is therefore an append -- no delete,
+no overwrite of a folder that others read, nothing half-done after a crash;
+repeating a run appends an identical newer entry and the view is unchanged.
+The log holds one row per month per run, tiny next to the data.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from monthwise.contract import LEDGER_SCHEMA
 from monthwise.sources import fs
 
+LOG_SCHEMA = T.StructType(
+    [
+        T.StructField("cnt", T.LongType(), True),
+        T.StructField("date", T.DateType(), True),
+        T.StructField("loaded_at", T.TimestampNTZType(), True),
+        T.StructField("run_id", T.StringType(), True),
+    ]
+)
+
 
 def ledger_rows(counts: DataFrame, key: str = "date") -> DataFrame:
     """``cnt bigint, date date`` from a ``key, cnt`` frame."""
     return counts.select(F.col("cnt").cast("long").alias("cnt"), F.col(key).cast("date").alias("date"))
 
 
-def ledger_replace(counts: DataFrame, ledger_root: str, key: str = "date") -> None:
-    """Replace the ledger rows of every month in ``counts`` (others stay).
-
-    Dynamic overwrite is set as a *write option*; the session conf is not
-    touched.  ``coalesce(1)``: the ledger holds one tiny row per month.
-    """
+def ledger_replace(counts: DataFrame, ledger_root: str, key: str = "date", run_id: str | None = None) -> str:
+    """Record the counts of every month in ``counts``; older entries of those
+    months are superseded, other months keep theirs.  Returns the run id."""
+    # run ids sort by creation time, so equal timestamps still order runs
+    run_id = run_id or f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = ledger_rows(counts, key).where(F.col("date").isNotNull())
-    (
-        rows.coalesce(1)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(ledger_root)
-    )
+    entry = rows.select("cnt", "date", F.lit(now).cast("timestamp_ntz").alias("loaded_at"), F.lit(run_id).alias("run_id"))
+    entry.coalesce(1).write.mode("append").parquet(ledger_root)
+    return run_id
 
 
-def read_ledger(spark: SparkSession, ledger_root: str) -> DataFrame:
-    """The ledger (empty frame when nothing has been written yet)."""
+def read_ledger_log(spark: SparkSession, ledger_root: str) -> DataFrame:
     if not fs.exists(spark, ledger_root):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_root).select("cnt", "date")
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).parquet(ledger_root)
+
+
+def read_ledger(spark: SparkSession, ledger_root: str) -> DataFrame:
+    """One row ``(cnt, date)`` per month: its latest entry.
+
+    Grouped ``max_by`` with partial aggregation: one small row per month per
+    task crosses the shuffle.
+    """
+    log = read_ledger_log(spark, ledger_root)
+    latest = F.max_by("cnt", F.struct("loaded_at", "run_id"))
+    return log.groupBy("date").agg(latest.alias("cnt")).select(F.col("cnt").cast("long"), "date")
+
+
+def empty_ledger(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
 def reconcile(table_counts: DataFrame, ledger: DataFrame, key: str = "date") -> DataFrame:

@@ -15,7 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthwise.contract import LEDGER_SCHEMA, TRIP_CONTRACT, Contract
+from monthwise.contract import TRIP_CONTRACT, Contract
 
 
 def _q(name: str) -> str:
@@ -47,9 +47,18 @@ def create_target(spark: SparkSession, table: str, location: str, contract: Cont
 
 
 def create_ledger(spark: SparkSession, table: str, location: str) -> None:
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LEDGER_SCHEMA.fields)
+    """The ledger log table (append-only; latest entry per month wins)."""
+    from monthwise.operators.ledger import LOG_SCHEMA
+
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LOG_SCHEMA.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_q(table)} ({cols}) USING parquet LOCATION {_lit(location)}")
+
+
+def ledger_view(spark: SparkSession, ledger_table: str, view: str) -> None:
+    """A temp view with one ``(cnt, date)`` row per month (latest entry)."""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_q(table)} ({cols}) USING parquet PARTITIONED BY (`date`) LOCATION {_lit(location)}"
+        f"CREATE OR REPLACE TEMP VIEW {_q(view)} AS SELECT max_by(cnt, struct(loaded_at, run_id)) AS cnt, date "
+        f"FROM {_q(ledger_table)} GROUP BY date"
     )
 
 
