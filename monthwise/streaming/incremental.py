@@ -68,7 +68,9 @@ class IncrementalLoad:
         picks = newest_file_per_month(with_month(batch, "path", self.prefix)).select("date", "path").collect()
         if not picks:
             return
-        units = [MonthSource(r["path"], r["date"]) for r in picks]
+        # the month is in each file name: one scan per schema group reads it
+        # per file from _metadata, instead of one scan per file
+        units = [MonthSource(r["path"], None) for r in picks]
         frame = scan_months(spark, units, self.contract, self.prefix)
         load_months(
             spark,
