@@ -511,14 +511,14 @@ FROM orders
 @register("mixed_schema_scan", _MIXED_SQL)
 def q_mixed_schema_scan(spark, sf_dir):
     from monthwise.session import scratch_path
-    from monthwise.sources.landing import list_files, scan_months, write_month_files
+    from monthwise.sources.landing import list_files, month_units, scan_months, write_month_files
 
     landing = scratch_path(spark, "landing")
     old, new = _orders_month_files_raw(spark, sf_dir)
     write_month_files(spark, old, landing)
     write_month_files(spark, new, landing)
-    paths = [r["path"] for r in list_files(spark, landing).select("path").collect()]
-    return scan_months(spark, paths, CONTRACT)
+    units = [r["unit"] for r in month_units(list_files(spark, landing, recursive=True)).select("unit").collect()]
+    return scan_months(spark, units, CONTRACT)
 
 
 @register("incremental_load", _MIXED_SQL)

@@ -11,13 +11,11 @@ unioned by name.  The number of groups is the number of schema versions
 
 from __future__ import annotations
 
-import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from monthwise.contract import TRIP_CONTRACT, Contract
 from monthwise.functions.calendar import LANDING_PREFIX, month_from_file_name
@@ -78,16 +76,55 @@ class MonthSource:
     month: object  # datetime.date, or None to take it from the file name
 
 
-def _footer_signature(spark: SparkSession, path: str) -> str:
-    # one footer read for the unit (Spark infers from a single file when
-    # mergeSchema is off); metadata only
+def _spark_signature(spark: SparkSession, path: str) -> str:
+    # Spark infers from a single footer when mergeSchema is off
     return spark.read.parquet(path).schema.json()
 
 
+def _arrow_signature(path: str) -> str | None:
+    """Column names and types from one Parquet footer of a file or folder,
+    read with pyarrow (metadata only).  None when pyarrow cannot open the
+    file system of ``path``; the caller falls back to Spark."""
+    try:
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        if path.startswith("file:"):
+            fsys, p = pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
+        elif "://" in path:
+            fsys, p = pafs.FileSystem.from_uri(path)
+        else:
+            fsys, p = pafs.LocalFileSystem(), path
+        info = fsys.get_file_info(p)
+        if info.type == pafs.FileType.Directory:
+            files = sorted(
+                i.path
+                for i in fsys.get_file_info(pafs.FileSelector(p, recursive=True))
+                if i.is_file and i.path.endswith(".parquet")
+                and not any(part.startswith(("_", ".")) for part in i.path[len(p):].split("/"))
+            )
+            if not files:
+                return None
+            p = files[0]
+        with fsys.open_input_file(p) as f:
+            schema = pq.read_schema(f)
+        return repr([(fld.name, str(fld.type)) for fld in schema])
+    except Exception:  # noqa: BLE001 - any failure: let Spark read the footer
+        return None
+
+
 def group_by_schema(spark: SparkSession, paths: list[str], threads: int = 16) -> dict[str, list[str]]:
-    """Paths grouped by their Parquet schema; footers read in parallel."""
+    """Paths grouped by their Parquet schema (one footer per path).
+
+    Footers are read in parallel threads on the driver -- metadata only,
+    one per month unit (file or folder).
+    """
+    def sig(p: str) -> str:
+        a = _arrow_signature(p)
+        return ("arrow:" + a) if a is not None else ("spark:" + _spark_signature(spark, p))
+
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths) or 1))) as pool:
-        sigs = list(pool.map(lambda p: _footer_signature(spark, p), paths))
+        sigs = list(pool.map(sig, paths))
     groups: dict[str, list[str]] = {}
     for p, s in zip(paths, sigs):
         groups.setdefault(s, []).append(p)
@@ -111,14 +148,14 @@ def scan_months(
         raise ValueError("no month files to scan")
     by_path = {u.path: u for u in units}
     frames = []
-    for sig, paths in group_by_schema(spark, list(by_path)).items():
+    for _, paths in group_by_schema(spark, list(by_path)).items():
         if all(by_path[p].month is None for p in paths):
             # one scan for the whole group; month parsed per file
             raw = spark.read.parquet(*paths)
             month = month_from_file_name(F.col("_metadata.file_path"), prefix)
             frames.append(conform(raw.withColumn(contract.partition_key, month), contract))
             continue
-        schema = T.StructType.fromJson(json.loads(sig))
+        schema = spark.read.parquet(paths[0]).schema  # one footer for the group
         for p in paths:
             raw = spark.read.schema(schema).parquet(p)
             m = by_path[p].month
@@ -136,34 +173,44 @@ def write_month_files(
     landing_dir: str,
     month_col: str = "date",
     prefix: str = LANDING_PREFIX,
+    layout: str = "folder",
 ) -> list[str]:
-    """Write ``df`` as landing files, one ``<prefix>YYYY_MM.parquet`` per month.
-
-    One shuffle by month name so each month is written by one task into one
-    file; the files are then renamed into the landing folder (metadata only).
-    ``month_col`` is not written: month files carry their month in the name.
+    """Write ``df`` as landing data named by month; ``month_col`` is not
+    written (month files carry their month in the name).
+
+    ``layout="folder"``: one folder ``<prefix>YYYY_MM/`` of part files per
+    month.  A ``REBALANCE`` by month lets AQE split a hot month over several
+    tasks and files, so no month is written by a single task.
+    ``layout="file"``: one file ``<prefix>YYYY_MM.parquet`` per month (the
+    classic landing form); each month is written by one task, so use it for
+    months that fit one file.
+
+    Spark writes ``_name=<month name>/`` folders into a hidden staging folder;
+    they are then renamed into place (metadata only).
     """
     import uuid
 
     from monthwise.functions.calendar import landing_file_name
     from monthwise.sources import fs
 
+    if layout not in ("folder", "file"):
+        raise ValueError("layout must be 'folder' or 'file'")
     root = landing_dir.rstrip("/")
     staging = f"{root}/_staging-{uuid.uuid4().hex[:8]}"
-    name = landing_file_name(F.col(month_col), prefix, suffix="")
-    (
-        df.withColumn("_name", name)
-        .drop(month_col)
-        .repartition("_name")
-        .write.mode("errorifexists")
-        .partitionBy("_name")
-        .parquet(staging)
-    )
+    named = df.withColumn("_name", landing_file_name(F.col(month_col), prefix, suffix="")).drop(month_col)
+    named = named.hint("rebalance", "_name") if layout == "folder" else named.repartition("_name")
+    named.write.mode("errorifexists").partitionBy("_name").parquet(staging)
     written = []
     for d in sorted(fs.list_dir(spark, staging)):
         if not d.startswith("_name="):
             continue
         month_name = d[len("_name="):]
+        if layout == "folder":
+            dst = f"{root}/{month_name}"
+            fs.delete(spark, dst)
+            fs.rename(spark, f"{staging}/{d}", dst)
+            written.append(dst)
+            continue
         parts = sorted(f for f in fs.list_dir(spark, f"{staging}/{d}") if f.endswith(".parquet"))
         for i, part in enumerate(parts):
             suffix = "" if len(parts) == 1 else f"-{i:05d}"
@@ -173,3 +220,21 @@ def write_month_files(
             written.append(dst)
     fs.delete(spark, staging)
     return written
+
+
+def month_unit(path, prefix: str = LANDING_PREFIX) -> Column:
+    """The file or folder that names the month of ``path``: for
+    ``.../<prefix>2020_01.parquet`` the file, for
+    ``.../<prefix>2020_01/part-0.parquet`` the folder.  Empty if none."""
+    pat = r"^(.*?" + prefix.replace(".", "\\.") + r"[0-9]{4}[_-][0-9]{2}[^/]*)"
+    return F.regexp_extract(path if isinstance(path, Column) else F.col(path), pat, 1)
+
+
+def month_units(listing: DataFrame, path_col: str = "path", prefix: str = LANDING_PREFIX) -> DataFrame:
+    """Newest unit per month from a file listing: ``date, unit, modificationTime, n_files``.
+
+    A month re-delivered as a new file or folder replaces the old one; files
+    added to a month folder make the folder the month's unit again.
+    """
+    units = with_month(listing, path_col, prefix).withColumn("unit", month_unit(F.col(path_col), prefix))
+    return newest_file_per_month(units.where(F.col("unit") != ""), path_col="unit")

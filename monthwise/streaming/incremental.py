@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from monthwise.contract import TRIP_CONTRACT, Contract
 from monthwise.functions.calendar import LANDING_PREFIX
 from monthwise.plans.load import load_months
-from monthwise.sources.landing import MonthSource, newest_file_per_month, scan_months, with_month
+from monthwise.sources.landing import MonthSource, month_units, scan_months
 
 LISTING_SCHEMA = T.StructType(
     [
@@ -65,12 +65,12 @@ class IncrementalLoad:
 
     def load_batch(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        picks = newest_file_per_month(with_month(batch, "path", self.prefix)).select("date", "path").collect()
+        # newest file-or-folder per month among the new files; the month is in
+        # its name, so one scan per schema group reads it from _metadata
+        picks = month_units(batch, "path", self.prefix).select("date", "unit").collect()
         if not picks:
             return
-        # the month is in each file name: one scan per schema group reads it
-        # per file from _metadata, instead of one scan per file
-        units = [MonthSource(r["path"], None) for r in picks]
+        units = [MonthSource(r["unit"], None) for r in picks]
         frame = scan_months(spark, units, self.contract, self.prefix)
         load_months(
             spark,
