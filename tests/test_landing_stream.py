@@ -36,8 +36,8 @@ def test_int_and_double_files_scan_together(spark, scratch):
     land = scratch("mixed")
     a = spark.createDataFrame([(1, 2, dt.date(2020, 1, 1))], "VendorID int, passenger_count int, date date")
     b = spark.createDataFrame([(3, 4.5, dt.date(2020, 2, 1))], "VendorID long, passenger_count double, date date")
-    write_month_files(spark, a, land)
-    write_month_files(spark, b, land)
+    write_month_files(spark, a, land, layout="file")
+    write_month_files(spark, b, land, layout="file")
     assert sorted(f for f in os.listdir(local_path(land)) if not f.startswith(".")) == ["yellow_tripdata_2020_01.parquet", "yellow_tripdata_2020_02.parquet"]
     paths = [r.path for r in list_files(spark, land).collect()]
     out = scan_months(spark, paths, C)
@@ -48,6 +48,22 @@ def test_int_and_double_files_scan_together(spark, scratch):
     assert out2.first().date == dt.date(2001, 1, 1)
 
 
+def test_month_folders_as_units(spark, scratch):
+    from monthwise.sources.landing import month_units
+
+    land = scratch("folders")
+    a = spark.range(3000).select((F.col("id") % 7).alias("VendorID"), F.lit(dt.date(2020, 1, 1)).alias("date"))
+    b = spark.createDataFrame([(3.5, dt.date(2020, 2, 1))], "VendorID double, date date")
+    write_month_files(spark, a, land)
+    write_month_files(spark, b, land)
+    units = month_units(list_files(spark, land, recursive=True)).collect()
+    assert sorted(r.date for r in units) == [dt.date(2020, 1, 1), dt.date(2020, 2, 1)]
+    assert all(r.unit.rstrip("/").split("/")[-1].startswith("yellow_tripdata_2020_0") for r in units)
+    out = scan_months(spark, [r.unit for r in units], C)
+    assert out.count() == 3001
+    assert out.where(F.col("date") == F.lit(dt.date(2020, 2, 1))).first().vendor_id == 3
+
+
 def test_newest_file_wins(spark):
     listing = spark.createDataFrame(
         [("a/yellow_tripdata_2020_01.parquet", dt.datetime(2020, 2, 1), 1),
