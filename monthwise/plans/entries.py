@@ -274,7 +274,12 @@ def q_load_decision(spark, sf_dir):
     f"SELECT * FROM orders ORDER BY o_orderkey LIMIT {SAMPLE_ROWS}",
 )
 def q_sample_head(spark, sf_dir):
-    return sample.sample_head(table(spark, sf_dir, "orders"), ["o_orderkey"], SAMPLE_ROWS)
+    # the fixture maker: first rows by key, written as one Parquet file
+    from monthwise.session import scratch_path
+
+    out = scratch_path(spark, "sample")
+    sample.write_sample(sample.sample_head(table(spark, sf_dir, "orders"), ["o_orderkey"], SAMPLE_ROWS), out)
+    return spark.read.parquet(out)
 
 
 @register(
@@ -750,3 +755,16 @@ def q_catalog_attach_detach(spark, sf_dir):
     catalog.attach_months(spark, target, months)
     catalog.detach_months(spark, target, [dt.date.fromisoformat(SLICE_MONTH)])
     return catalog.month_counts_sql(spark, target)
+
+
+@register(
+    "target_month_slice",
+    f"SELECT * FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t WHERE date = DATE '{SLICE_MONTH}'",
+)
+def q_target_month_slice(spark, sf_dir):
+    # one month of the published table: the equality on the partition key is
+    # a PartitionFilter, only that month's folder is listed and read
+    from monthwise.plans.load import read_target
+
+    target, _ = _load_all_orders(spark, sf_dir, "slice")
+    return read_target(spark, target, CONTRACT).where(F.col("date") == cal.run_date(SLICE_MONTH))

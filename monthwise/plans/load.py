@@ -3,8 +3,8 @@
 ``load_months`` = conform (already done by the scan) -> gates -> decide ->
 publish / retire -> ledger.  It is safe to repeat: publishing a month is a
 dynamic partition overwrite of exactly that month, retiring deletes exactly
-that month's folder, and the ledger row of a month is replaced, never
-appended.
+that month's folder, and the ledger gets a newer entry for the month that
+supersedes the old one (latest entry wins).
 
 Cost model (what runs over the data):
 
@@ -16,7 +16,9 @@ Cost model (what runs over the data):
    and swaps them in at job commit (``partitionOverwriteMode=dynamic`` as a
    write option, never as a session setting).
 
-Only the per-month decision rows (one per month) reach the driver.
+The gate totals and the decision are one job whose result is one row per
+month (bounded by the calendar, not by the data); only that reaches the
+driver.
 """
 
 from __future__ import annotations
@@ -25,17 +27,12 @@ import datetime as dt
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monthwise.contract import TRIP_CONTRACT, Contract
-from monthwise.operators.checks import (
-    GateError,
-    decision_frame,
-    gate_summary,
-    month_gates,
-    require_schema,
-)
+from monthwise.operators.checks import GateError, month_gates, require_schema
 from monthwise.operators.ledger import ledger_replace
 from monthwise.sources import fs
 
@@ -128,6 +125,7 @@ def load_months(
     row_limit: int | None = None,
     rebalance: bool = False,
     sort_within: Sequence[str] = (),
+    persist: bool = False,
 ) -> LoadReport:
     """Load a conformed frame of many months; safe to repeat.
 
@@ -138,25 +136,49 @@ def load_months(
     """
     key = contract.partition_key
     require_schema(df, contract)
-
-    gates = month_gates(df, key, not_null).persist()
+    if persist:
+        # worth it only when the frame is expensive to recompute (a JDBC or
+        # remote source): the gate pass and the write then read it once
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if months is None:
-            months_df = gates.where(F.col(key).isNotNull()).select(key)
-        elif isinstance(months, DataFrame):
-            months_df = months.select(F.col(key).cast("date").alias(key))
-        else:
-            months_df = spark.createDataFrame([(m,) for m in months], f"{key} date")
-
-        summary = gate_summary(gates, months_df, key).first()
-        failures = {k: v for k, v in summary.asDict().items() if k != "rows_in_range" and v}
-        if failures:
-            raise GateError(f"gates failed, nothing published: {failures}")
-
-        decisions = decision_frame(months_df, gates.select(key, "cnt"), key).orderBy(key).collect()
+        return _load(spark, df, target_root, ledger_root, months, key, not_null, row_limit, rebalance, sort_within)
     finally:
-        gates.unpersist()
-
+        if persist:
+            df.unpersist()
+
+
+def _month_frame(spark: SparkSession, months, key: str) -> DataFrame | None:
+    if months is None:
+        return None
+    if isinstance(months, DataFrame):
+        return months.select(F.col(key).cast("date").alias(key)).distinct()
+    return spark.createDataFrame([(m,) for m in sorted(set(months))], f"{key} date")
+
+
+def _load(spark, df, target_root, ledger_root, months, key, not_null, row_limit, rebalance, sort_within) -> LoadReport:
+    # one job: per-month gate totals joined to the requested months; one row
+    # per month (requested or present) reaches the driver
+    gates = month_gates(df, key, not_null)
+    null_cols = [c for c in gates.columns if c.startswith("null_")]
+    months_df = _month_frame(spark, months, key)
+    if months_df is None:
+        flagged = gates.withColumn("_req", F.col(key).isNotNull())
+    else:
+        flagged = months_df.withColumn("_req", F.lit(True)).join(gates, key, "full_outer")
+    per_month = flagged.collect()
+
+    requested = [r for r in per_month if r["_req"]]
+    failures = {"out_of_range": sum(r["cnt"] or 0 for r in per_month if not r["_req"])}
+    for c in null_cols:
+        failures[c] = sum(r[c] or 0 for r in requested)
+    failures = {k: v for k, v in failures.items() if v}
+    if failures:
+        raise GateError(f"gates failed, nothing published: {failures}")
+
+    decisions = [
+        Row(**{key: r[key], "cnt": int(r["cnt"] or 0), "action": "attach" if (r["cnt"] or 0) > 0 else "drop"})
+        for r in sorted(requested, key=lambda r: r[key])
+    ]
     attach = [r[key] for r in decisions if r["action"] == "attach"]
     drop = [r[key] for r in decisions if r["action"] == "drop"]
 

@@ -45,3 +45,27 @@ def test_catalog_attach_detach_keeps_files(spark, scratch):
     assert os.path.isdir(local_path(months[dt.date(2020, 1, 1)]))  # external: files stay
     catalog.attach_months(spark, target, {dt.date(2020, 1, 1): months[dt.date(2020, 1, 1)]})
     assert spark.table(target).count() == 2
+
+
+def test_create_like_copies_columns(spark, scratch):
+    root = scratch("like")
+    name = f"l{uuid.uuid4().hex[:6]}"
+    target, _ = catalog.init_tables(spark, root, db=name, stage_db=f"{name}_s", contract=C)
+    stage = f"{name}_s.yellow_tripdata_2020_01"
+    catalog.create_like(spark, stage, target, f"{root}/stage")
+    assert [(f.name, f.dataType) for f in spark.table(stage).schema] == [(f.name, f.dataType) for f in spark.table(target).schema]
+    assert spark.table(stage).count() == 0
+
+
+def test_path_detach_and_attach(spark, scratch):
+    from monthwise.functions.conform import conform
+    from monthwise.plans.load import attach_month, detach_month, read_target
+
+    root = scratch("pd")
+    df = spark.createDataFrame([(1, dt.date(2020, 1, 1)), (2, dt.date(2020, 2, 1))], "VendorID long, date date")
+    publish_months(conform(df, C), f"{root}/t")
+    assert detach_month(spark, f"{root}/t", dt.date(2020, 1, 1), f"{root}/detached")
+    assert [r.vendor_id for r in read_target(spark, f"{root}/t", C).collect()] == [2]
+    assert attach_month(spark, f"{root}/detached", dt.date(2020, 1, 1), f"{root}/t")
+    assert sorted(r.vendor_id for r in read_target(spark, f"{root}/t", C).collect()) == [1, 2]
+    assert not detach_month(spark, f"{root}/t", dt.date(2019, 1, 1), f"{root}/detached")

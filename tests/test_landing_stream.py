@@ -94,3 +94,18 @@ def test_incremental_each_file_once_and_rearrival_replaces(spark, scratch):
     job.run_available(spark)
     got = sorted((r.vendor_id, r.date) for r in read_target(spark, job.target_root, C).collect())
     assert got == [(5, dt.date(2020, 2, 1)), (9, dt.date(2020, 1, 1))]
+
+
+def test_stream_archives_loaded_files(spark, scratch):
+    root = scratch("arch")
+    job = IncrementalLoad(f"{root}/landing", f"{root}/target", f"{root}/ledger", f"{root}/ckpt", contract=C,
+                          clean_source="archive", archive_dir=f"{root}/archive", max_files_per_trigger=1)
+    for m in (1, 2, 3):
+        df = spark.createDataFrame([(m, dt.date(2020, m, 1))], "VendorID long, date date")
+        write_month_files(spark, df, job.landing, layout="file")
+    job.run_available(spark)
+    got = sorted(r.vendor_id for r in read_target(spark, job.target_root, C).collect())
+    assert got == [1, 2, 3]
+    # files of batches before the last one have been moved to the archive
+    archived = [f for _, _, fs_ in os.walk(local_path(f"{root}/archive")) for f in fs_ if f.endswith(".parquet")]
+    assert len(archived) >= 1
