@@ -130,3 +130,11 @@ def test_decision_and_reconcile(spark):
     st = {r.date: r.status for r in reconcile(table, ledger).collect()}
     assert st == {dt.date(2020, 1, 1): "match", dt.date(2020, 2, 1): "count_mismatch",
                   dt.date(2020, 3, 1): "missing_in_table"}
+
+
+def test_persist_option_gives_same_result(spark, scratch):
+    root = scratch("persist")
+    rep = load_months(spark, trips(spark), f"{root}/t", f"{root}/l", contract=C, rebalance=True, persist=True)
+    assert len(rep.published) == trips(spark).select("date").distinct().count()
+    assert rows(read_target(spark, f"{root}/t", C)) == rows(trips(spark))
+    assert not trips(spark).is_cached
