@@ -50,6 +50,26 @@ def month_bounds(month) -> tuple[Column, Column]:
     return m, next_day(m)
 
 
+def month_slice(df: DataFrame, month, key: str = "date", time_col: str | None = None) -> DataFrame:
+    """Rows of one month: ``key = month``.
+
+    On a table partitioned by ``key`` this is a ``PartitionFilters`` entry and
+    only that month's folder is listed and read.  On a raw frame whose month
+    is derived from a timestamp (``key = trunc(time_col, 'month')``), pass
+    ``time_col``: the same rows are also bounded by the half-open time range
+    ``[month, month + 1 month)``.  Catalyst cannot invert ``trunc``, but the
+    plain range on the source column reaches the Parquet scan as
+    ``PushedFilters``, so row groups of other months are skipped.
+    """
+    m = _c(month)
+    cond = F.col(key) == m
+    if time_col is not None:
+        t = df.schema[time_col].dataType
+        lo, hi = m.cast(t), F.add_months(m, 1).cast(t)
+        cond = cond & (F.col(time_col) >= lo) & (F.col(time_col) < hi)
+    return df.where(cond)
+
+
 def month_gates(df: DataFrame, key: str = "date", not_null: Iterable[str] = ()) -> DataFrame:
     """One aggregate pass: per month the row count and, for each column in
     ``not_null``, how many rows are null there.

@@ -123,7 +123,9 @@ def q_stage_count(spark, sf_dir):
     f"SELECT * FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t WHERE date = DATE '{SLICE_MONTH}'",
 )
 def q_month_slice(spark, sf_dir):
-    return orders_trips(spark, sf_dir).where(F.col("date") == cal.run_date(SLICE_MONTH))
+    # the month is derived from the pickup time here, so the slice also
+    # bounds that time and the scan skips row groups of other months
+    return checks.month_slice(orders_trips(spark, sf_dir), cal.run_date(SLICE_MONTH), time_col="tpep_pickup_datetime")
 
 
 # --- calendar -------------------------------------------------------------
@@ -381,7 +383,7 @@ def _reload(spark, sf_dir, target, ledger_root, month: str, empty: bool = False)
     from monthwise.plans.load import load_months
 
     m = cal.run_date(month)
-    frame = orders_trips(spark, sf_dir).where(F.col("date") == m)
+    frame = checks.month_slice(orders_trips(spark, sf_dir), m, time_col="tpep_pickup_datetime")
     if empty:
         frame = frame.where(F.lit(False))
     months = spark.range(1).select(m.alias("date"))

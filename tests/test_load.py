@@ -138,3 +138,16 @@ def test_persist_option_gives_same_result(spark, scratch):
     assert len(rep.published) == trips(spark).select("date").distinct().count()
     assert rows(read_target(spark, f"{root}/t", C)) == rows(trips(spark))
     assert not trips(spark).is_cached
+
+
+def test_month_slice_time_range_same_rows_and_pushed(spark):
+    from monthwise.operators.checks import month_slice
+
+    t = trips(spark)
+    plain = t.where(F.col("date") == F.lit(M))
+    sliced = month_slice(t, F.lit(M), time_col="tpep_pickup_datetime")
+    assert rows(sliced) == rows(plain) and len(rows(plain)) > 0
+    plan = sliced._sc._jvm.PythonSQLUtils.explainString(sliced._jdf.queryExecution(), "simple")
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+    # without a time column it is the plain equality
+    assert rows(month_slice(t, F.lit(M))) == rows(plain)
