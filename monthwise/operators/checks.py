@@ -84,6 +84,18 @@ def month_gates(df: DataFrame, key: str = "date", not_null: Iterable[str] = ())
     return df.groupBy(key).agg(*aggs)
 
 
+def present_months(df: DataFrame, key: str = "date") -> DataFrame:
+    """The set of months that have rows: one row per month.
+
+    A partial aggregate runs before the shuffle, so each task sends at most
+    one row per month.  Use it as the build side of an EXISTS (semi) join
+    instead of the raw rows: a semi join against the rows themselves would
+    shuffle every row by month, and a month holding a third of the data
+    would land in one task.
+    """
+    return df.select(key).where(F.col(key).isNotNull()).distinct()
+
+
 def month_counts(df: DataFrame, key: str = "date") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("cnt"))
 

@@ -193,7 +193,7 @@ WHERE EXISTS (SELECT 1 FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t WHERE t.date =
 """,
 )
 def q_published_months(spark, sf_dir):
-    published = orders_trips(spark, sf_dir).select("date")
+    published = checks.present_months(orders_trips(spark, sf_dir))
     return _lineitem_calendar(spark, sf_dir).join(published, "date", "left_semi")
 
 
