@@ -151,3 +151,29 @@ def test_month_slice_time_range_same_rows_and_pushed(spark):
     assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
     # without a time column it is the plain equality
     assert rows(month_slice(t, F.lit(M))) == rows(plain)
+
+
+def test_hot_month_is_split_over_tasks_on_publish(spark, scratch):
+    # one month holds over a third of all rows; the rebalanced publish must
+    # not write it from one task (AQE splits the rebalance partition)
+    t = trips(spark)
+    root = scratch("hot")
+    # staged as several files so the scan has several splits (map tasks):
+    # AQE splits a partition along map outputs
+    t.withColumn("date", F.when(F.col("pu_location_id") % 3 == 0, F.lit(M)).otherwise(F.col("date"))).repartition(
+        8
+    ).write.parquet(f"{root}/in")
+    hot = spark.read.schema(t.schema).parquet(f"{root}/in")
+    n_hot = hot.where(F.col("date") == F.lit(M)).count()
+    assert n_hot * 3 > t.count()
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "4k")
+    try:
+        load_months(spark, hot, f"{root}/t", f"{root}/l", contract=C, rebalance=True)
+    finally:
+        spark.conf.set(key, prev)
+    assert len(month_files(f"{root}/t", M)) > 1
+    got = read_target(spark, f"{root}/t", C)
+    assert got.where(F.col("date") == F.lit(M)).count() == n_hot
+    assert rows(got) == rows(hot)
