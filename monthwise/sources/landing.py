@@ -131,6 +131,30 @@ def group_by_schema(spark: SparkSession, paths: list[str], threads: int = 16) ->
     return groups
 
 
+UNIT_DEPTH = 3  # folders between a month unit and its deepest data file
+
+
+def _unit_key(spark: SparkSession, path: str) -> str:
+    """``path`` in the form ``_metadata.file_path`` uses: qualified, URI-encoded."""
+    from monthwise.sources import fs
+
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(fs.qualify(spark, path))
+    return str(jpath.toUri().toString()).rstrip("/")
+
+
+def _given_month(file_path: Column, given: dict) -> Column:
+    """The month given for the unit holding ``file_path``: a lookup of the
+    file and of its nearest parent folders in a literal map.  The map has one
+    entry per month unit (bounded by the calendar, not by the file count), so
+    the plan stays one scan however many months are given."""
+    lookup = F.create_map(*[x for k, m in sorted(given.items()) for x in (F.lit(k), F.lit(m))])
+    parts = F.split(file_path, "/")
+    levels = [file_path] + [
+        F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - k, F.lit(0))), "/") for k in range(1, UNIT_DEPTH + 1)
+    ]
+    return F.coalesce(*[F.try_element_at(lookup, lvl) for lvl in levels])
+
+
 def scan_months(
     spark: SparkSession,
     sources: list[MonthSource] | list[str],
@@ -142,6 +166,7 @@ def scan_months(
     ``date`` is the month of each unit: given explicitly, or parsed from the
     file name through the hidden ``_metadata.file_path`` column, so the
     partition key is a per-file constant and never read from the data.
+    There is one scan per schema group, whether months are named or given.
     """
     units = [s if isinstance(s, MonthSource) else MonthSource(s, None) for s in sources]
     if not units:
@@ -149,18 +174,13 @@ def scan_months(
     by_path = {u.path: u for u in units}
     frames = []
     for _, paths in group_by_schema(spark, list(by_path)).items():
-        if all(by_path[p].month is None for p in paths):
-            # one scan for the whole group; month parsed per file
-            raw = spark.read.parquet(*paths)
-            month = month_from_file_name(F.col("_metadata.file_path"), prefix)
-            frames.append(conform(raw.withColumn(contract.partition_key, month), contract))
-            continue
-        schema = spark.read.parquet(paths[0]).schema  # one footer for the group
-        for p in paths:
-            raw = spark.read.schema(schema).parquet(p)
-            m = by_path[p].month
-            month = F.lit(m) if m is not None else month_from_file_name(F.col("_metadata.file_path"), prefix)
-            frames.append(conform(raw.withColumn(contract.partition_key, month), contract))
+        raw = spark.read.parquet(*paths)  # one scan for the whole group
+        file_path = F.col("_metadata.file_path")
+        month = month_from_file_name(file_path, prefix)
+        given = {_unit_key(spark, p): by_path[p].month for p in paths if by_path[p].month is not None}
+        if given:
+            month = F.coalesce(_given_month(file_path, given), month)
+        frames.append(conform(raw.withColumn(contract.partition_key, month), contract))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

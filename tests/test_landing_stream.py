@@ -109,3 +109,23 @@ def test_stream_archives_loaded_files(spark, scratch):
     # files of batches before the last one have been moved to the archive
     archived = [f for _, _, fs_ in os.walk(local_path(f"{root}/archive")) for f in fs_ if f.endswith(".parquet")]
     assert len(archived) >= 1
+
+
+def test_given_months_one_scan_per_schema(spark, scratch):
+    # month folders of one schema, some with a given month and one named
+    # only by its file name: one scan, each row gets its unit's month
+    land = scratch("given")
+    df = spark.range(600).select(
+        (F.col("id") % 5).alias("VendorID"),
+        F.add_months(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 6).cast("int")).alias("date"),
+    )
+    units = sorted(write_month_files(spark, df, land))
+    assert len(units) == 6
+    given = {u: dt.date(1990 + i, 1, 1) for i, u in enumerate(units[:4])}
+    sources = [MonthSource(u, given.get(u)) for u in units]
+    out = scan_months(spark, sources, C)
+    plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan
+    got = {r.date: r.n for r in out.groupBy("date").agg(F.count(F.lit(1)).alias("n")).collect()}
+    want = {given.get(u, dt.date(2020, 5 if u.endswith("05") else 6, 1)): 100 for u in units}
+    assert got == want
