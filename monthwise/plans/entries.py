@@ -398,6 +398,34 @@ def q_publish_month(spark, sf_dir):
     return read_target(spark, target, CONTRACT)
 
 
+HOT_STATUS = "F"  # orders of this status (a third of all rows) all fall in one month
+
+
+def _hot_month_trips(spark, sf_dir):
+    """Orders as trips, with every order of one status moved into the slice
+    month: that month holds a third of all rows."""
+    t = orders_trips(spark, sf_dir)
+    hot = F.when(F.col("store_and_fwd_flag") == HOT_STATUS, cal.run_date(SLICE_MONTH)).otherwise(F.col("date"))
+    return t.withColumn("date", hot)
+
+
+@register(
+    "hot_month_publish",
+    f"""
+SELECT * REPLACE (CASE WHEN store_and_fwd_flag = '{HOT_STATUS}' THEN DATE '{SLICE_MONTH}' ELSE date END AS date)
+FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t
+""",
+)
+def q_hot_month_publish(spark, sf_dir):
+    # publish under skew: the rebalance by month lets AQE split the hot
+    # month over many write tasks instead of one
+    from monthwise.plans.load import load_months, read_target
+
+    target, ledger_root = _load_root(spark, "hot")
+    load_months(spark, _hot_month_trips(spark, sf_dir), target, ledger_root, contract=CONTRACT, rebalance=True)
+    return read_target(spark, target, CONTRACT)
+
+
 @register("reload_month", ORDERS_TRIPS_SQL)
 def q_reload_month(spark, sf_dir):
     from monthwise.plans.load import read_target
