@@ -65,6 +65,42 @@ def read_ledger(spark: SparkSession, ledger_root: str) -> DataFrame:
     return log.groupBy("date").agg(latest.alias("cnt")).select(F.col("cnt").cast("long"), "date")
 
 
+def compact_ledger(spark: SparkSession, ledger_root: str) -> int:
+    """Rewrite the log as its latest entry per month, in one file.
+
+    Each run appends a small file, so the log keeps growing in file count.
+    Compaction keeps each month's latest entry *with* its ``loaded_at`` and
+    ``run_id``, so a compacted entry equals the entry it came from:
+
+    1. list the log's current files;
+    2. write the latest entries of exactly those files to a hidden staging
+       folder, then rename that file into the log;
+    3. delete the listed files.
+
+    Between 2 and 3 a reader sees every latest entry twice, identical, and
+    the view (``max_by`` per month) is unchanged; a crash there leaves only
+    such harmless duplicates, removed by the next compaction.  Runs that
+    append while it works add new files, which are not listed and so not
+    deleted.  Returns the number of files removed.
+    """
+    files = [f for f in fs.list_dir(spark, ledger_root) if f.endswith(".parquet")]
+    if len(files) <= 1:
+        return 0
+    root = ledger_root.rstrip("/")
+    log = spark.read.schema(LOG_SCHEMA).parquet(*[f"{root}/{f}" for f in files])
+    newest = F.max_by(F.struct("cnt", "loaded_at", "run_id"), F.struct("loaded_at", "run_id"))
+    latest = log.groupBy("date").agg(newest.alias("_e")).select("_e.cnt", "date", "_e.loaded_at", "_e.run_id")
+    staging = f"{root}/_compact-{uuid.uuid4().hex[:8]}"
+    latest.coalesce(1).write.mode("errorifexists").parquet(staging)
+    for part in fs.list_dir(spark, staging):
+        if part.endswith(".parquet"):
+            fs.rename(spark, f"{staging}/{part}", f"{root}/compact-{time.time_ns():020d}-{part}")
+    fs.delete(spark, staging)
+    for f in files:
+        fs.delete(spark, f"{root}/{f}", recursive=False)
+    return len(files)
+
+
 def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER_SCHEMA)
 

@@ -456,12 +456,14 @@ FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t GROUP BY date
 """,
 )
 def q_ledger_replace(spark, sf_dir):
-    # full load, the slice month reloaded twice, then reloaded empty:
-    # still one ledger row per month, the emptied month with cnt = 0
+    # full load, the slice month reloaded twice, then reloaded empty, then
+    # the log compacted: still one ledger row per month, the emptied month
+    # with cnt = 0
     target, ledger_root = _load_all_orders(spark, sf_dir, "ledger")
     _reload(spark, sf_dir, target, ledger_root, SLICE_MONTH)
     _reload(spark, sf_dir, target, ledger_root, SLICE_MONTH)
     _reload(spark, sf_dir, target, ledger_root, SLICE_MONTH, empty=True)
+    ledger.compact_ledger(spark, ledger_root)
     return ledger.read_ledger(spark, ledger_root)
 
 

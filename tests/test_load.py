@@ -177,3 +177,23 @@ def test_hot_month_is_split_over_tasks_on_publish(spark, scratch):
     got = read_target(spark, f"{root}/t", C)
     assert got.where(F.col("date") == F.lit(M)).count() == n_hot
     assert rows(got) == rows(hot)
+
+
+def test_ledger_compaction_keeps_the_view(spark, scratch):
+    from monthwise.operators.ledger import compact_ledger, ledger_replace, read_ledger_log
+    from monthwise.sources import fs
+
+    root = scratch("ledger")
+    m2 = dt.date(1998, 8, 1)
+    for cnt in (5, 6, 7):
+        ledger_replace(spark.createDataFrame([(cnt, M), (cnt * 10, m2)], "cnt bigint, date date"), root)
+    ledger_replace(spark.createDataFrame([(0, M)], "cnt bigint, date date"), root)
+    before = rows(read_ledger(spark, root))
+    assert before == [(0, M), (70, m2)]
+    assert compact_ledger(spark, root) == 4
+    assert [f for f in fs.list_dir(spark, root) if f.endswith(".parquet")] and rows(read_ledger(spark, root)) == before
+    assert read_ledger_log(spark, root).count() == 2
+    # a later run still supersedes the compacted entries
+    ledger_replace(spark.createDataFrame([(9, m2)], "cnt bigint, date date"), root)
+    assert rows(read_ledger(spark, root)) == [(0, M), (9, m2)]
+    assert compact_ledger(spark, root) == 2 and rows(read_ledger(spark, root)) == [(0, M), (9, m2)]
