@@ -118,3 +118,70 @@ def attached_months(spark: SparkSession, table: str, key: str = "date") -> DataF
 def month_counts_sql(spark: SparkSession, table: str) -> DataFrame:
     """Rows per month of the table, as the operator would ask it in SQL."""
     return spark.sql(f"SELECT date, count(*) AS cnt FROM {_q(table)} GROUP BY 1 ORDER BY 1")
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {_q(table)}").where(F.col("col_name") == "Location").collect()
+    return rows[0]["data_type"]
+
+
+def partition_location(spark: SparkSession, table: str, month: dt.date, key: str = "date") -> str:
+    spec = f"PARTITION ({_q(key)} = {_lit(month.isoformat())})"
+    rows = spark.sql(f"DESCRIBE FORMATTED {_q(table)} {spec}").where(F.col("col_name") == "Location").collect()
+    return rows[0]["data_type"]  # the partition's own location comes first
+
+
+def load_months_to_table(
+    spark: SparkSession,
+    df: DataFrame,
+    table: str,
+    ledger_table: str,
+    months=None,
+    contract: Contract = TRIP_CONTRACT,
+    **load_options,
+):
+    """``load_months`` into a catalog table; every month is swapped in by
+    one metadata update.
+
+    The gated load writes the months of this run to a fresh folder under the
+    table (``<location>/_runs/<run>/date=...``; hidden, so neither reads nor
+    ``RECOVER PARTITIONS`` see it).  Then, per month, the catalog swaps
+    ``ALTER TABLE ... PARTITION ... SET LOCATION`` -- readers see the old
+    month or the new one, never none, unlike a detach followed by an attach
+    -- or adds the partition, and drops the months this run found empty.
+    Superseded folders are deleted after the swap, and only when they lie
+    under the table's location (a month attached from elsewhere is left
+    alone).  Safe to repeat: a rerun stages again and swaps again.
+    """
+    import uuid
+
+    from monthwise.plans.load import load_months, partition_path
+    from monthwise.sources import fs
+
+    key = contract.partition_key
+    loc = table_location(spark, table).rstrip("/")
+    run_root = f"{loc}/_runs/{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    report = load_months(spark, df, run_root, table_location(spark, ledger_table), months, contract, **load_options)
+
+    attached = {r[key] for r in attached_months(spark, table, key).collect()}
+    stale = []
+    new = {}
+    for m in report.published:
+        if m in attached:
+            stale.append(partition_location(spark, table, m, key))
+            spark.sql(
+                f"ALTER TABLE {_q(table)} PARTITION ({_q(key)} = {_lit(m.isoformat())}) "
+                f"SET LOCATION {_lit(partition_path(run_root, m, key))}"
+            )
+        else:
+            new[m] = partition_path(run_root, m, key)
+    attach_months(spark, table, new, key)
+    empty = [r[key] for r in report.decisions if r["action"] == "drop" and r[key] in attached]
+    stale += [partition_location(spark, table, m, key) for m in empty]
+    detach_months(spark, table, empty, key)
+    for old in stale:
+        if old.rstrip("/").startswith(loc + "/"):
+            fs.delete(spark, old)
+    spark.catalog.refreshTable(table)
+    spark.catalog.refreshTable(ledger_table)
+    return report

@@ -792,6 +792,38 @@ def q_catalog_attach_detach(spark, sf_dir):
     return catalog.month_counts_sql(spark, target)
 
 
+@register(
+    "table_reload_month",
+    f"""
+SELECT date, count(*) AS cnt FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t
+WHERE date <> DATE '{SLICE_MONTH}' OR store_and_fwd_flag = '{HOT_STATUS}'
+GROUP BY 1 ORDER BY 1
+""",
+)
+def q_table_reload_month(spark, sf_dir):
+    # every month loaded into a catalog table, then the slice month
+    # re-delivered with only its fulfilled orders: the catalog swaps that
+    # month's location in one update and the old folder is removed
+    import uuid
+
+    from monthwise.plans import catalog
+    from monthwise.session import scratch_path
+
+    root = scratch_path(spark, "table")
+    db = f"mw_{uuid.uuid4().hex[:8]}"
+    target, ledger_table = catalog.init_tables(spark, root, db=db, stage_db=f"{db}_stage", contract=CONTRACT)
+    trips = orders_trips(spark, sf_dir)
+    catalog.load_months_to_table(spark, trips, target, ledger_table, contract=CONTRACT, rebalance=True)
+    m = cal.run_date(SLICE_MONTH)
+    redelivered = checks.month_slice(trips, m, time_col="tpep_pickup_datetime").where(
+        F.col("store_and_fwd_flag") == HOT_STATUS
+    )
+    catalog.load_months_to_table(
+        spark, redelivered, target, ledger_table, months=spark.range(1).select(m.alias("date")), contract=CONTRACT
+    )
+    return catalog.month_counts_sql(spark, target)
+
+
 @register(
     "target_month_slice",
     f"SELECT * FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t WHERE date = DATE '{SLICE_MONTH}'",

@@ -69,3 +69,48 @@ def test_path_detach_and_attach(spark, scratch):
     assert attach_month(spark, f"{root}/detached", dt.date(2020, 1, 1), f"{root}/t")
     assert sorted(r.vendor_id for r in read_target(spark, f"{root}/t", C).collect()) == [1, 2]
     assert not detach_month(spark, f"{root}/t", dt.date(2019, 1, 1), f"{root}/detached")
+
+
+def test_load_months_to_table_swaps_months(spark, scratch):
+    from monthwise.functions.conform import conform
+    from monthwise.plans.views import orders_trips_raw
+
+    from .conftest import SF_SMALL
+
+    C = TRIP_CONTRACT.with_timestamp_ntz()
+    M = dt.date(1998, 7, 1)
+    root = scratch("table")
+    db = f"t_{uuid.uuid4().hex[:8]}"
+    t, ledger = catalog.init_tables(spark, root, db=db, stage_db=f"{db}_s", contract=C)
+    trips = conform(orders_trips_raw(spark, SF_SMALL), C)
+
+    def counts():
+        return {r.date: r.cnt for r in catalog.month_counts_sql(spark, t).collect()}
+
+    want = {r.date: r.cnt for r in trips.groupBy("date").agg(F.count(F.lit(1)).alias("cnt")).collect()}
+    catalog.load_months_to_table(spark, trips, t, ledger, contract=C, rebalance=True)
+    assert counts() == want
+    old = local_path(catalog.partition_location(spark, t, M))
+    assert os.path.isdir(old)
+
+    # reload one month with fewer rows: swapped in, old folder gone, others kept
+    other = dt.date(1998, 6, 1)
+    other_loc = catalog.partition_location(spark, t, other)
+    part = trips.where((F.col("date") == F.lit(M)) & (F.col("store_and_fwd_flag") == "F"))
+    catalog.load_months_to_table(spark, part, t, ledger, months=[M], contract=C)
+    n = part.count()
+    assert 0 < n < want[M] and counts() == {**want, M: n}
+    assert not os.path.exists(old) and catalog.partition_location(spark, t, other) == other_loc
+
+    # empty reload: the month leaves the table, the ledger says 0
+    catalog.load_months_to_table(spark, part.where(F.lit(False)), t, ledger, months=[M], contract=C)
+    assert M not in counts() and len(counts()) == len(want) - 1
+    catalog.ledger_view(spark, ledger, f"{db}_lv")
+    assert spark.table(f"{db}_lv").where(F.col("date") == F.lit(M)).first().cnt == 0
+
+    # a month attached from outside the table is replaced but not deleted
+    outside = f"{scratch('outside')}/date={M.isoformat()}"
+    publish_months(part, outside.rsplit("/", 1)[0])
+    catalog.attach_months(spark, t, {M: outside})
+    catalog.load_months_to_table(spark, part, t, ledger, months=[M], contract=C)
+    assert os.path.isdir(local_path(outside)) and counts()[M] == n
