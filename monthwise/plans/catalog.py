@@ -185,3 +185,24 @@ def load_months_to_table(
     spark.catalog.refreshTable(table)
     spark.catalog.refreshTable(ledger_table)
     return report
+
+
+def vacuum_runs(spark: SparkSession, table: str, key: str = "date") -> list[str]:
+    """Delete run folders of ``load_months_to_table`` that no partition
+    points into any more (left by a load that failed before its swap).
+
+    Metadata only: one catalog call per attached month, one listing of the
+    runs folder.  Run it when no load of the table is in flight.
+    """
+    from monthwise.sources import fs
+
+    runs = f"{table_location(spark, table).rstrip('/')}/_runs"
+    used = {
+        partition_location(spark, table, r[key], key).rstrip("/").rsplit("/", 1)[0].rsplit("/", 1)[-1]
+        for r in attached_months(spark, table, key).collect()
+    }
+    removed = []
+    for run in fs.list_dir(spark, runs):
+        if run not in used and fs.delete(spark, f"{runs}/{run}"):
+            removed.append(run)
+    return removed

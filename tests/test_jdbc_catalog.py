@@ -114,3 +114,10 @@ def test_load_months_to_table_swaps_months(spark, scratch):
     catalog.attach_months(spark, t, {M: outside})
     catalog.load_months_to_table(spark, part, t, ledger, months=[M], contract=C)
     assert os.path.isdir(local_path(outside)) and counts()[M] == n
+
+    # run folders no partition points into are vacuumed; the rest stay
+    runs = os.path.join(local_path(catalog.table_location(spark, t)), "_runs")
+    os.makedirs(os.path.join(runs, "crashed-run", f"date={M.isoformat()}"))
+    assert "crashed-run" in catalog.vacuum_runs(spark, t)
+    assert counts()[M] == n and counts() == {**want, M: n}
+    assert all(os.listdir(os.path.join(runs, r)) for r in os.listdir(runs))
