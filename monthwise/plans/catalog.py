@@ -161,7 +161,9 @@ def load_months_to_table(
     key = contract.partition_key
     loc = table_location(spark, table).rstrip("/")
     run_root = f"{loc}/_runs/{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    report = load_months(spark, df, run_root, table_location(spark, ledger_table), months, contract, **load_options)
+    report = load_months(
+        spark, df, run_root, table_location(spark, ledger_table), months, contract, fresh_target=True, **load_options
+    )
 
     attached = {r[key] for r in attached_months(spark, table, key).collect()}
     stale = []

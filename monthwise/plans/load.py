@@ -63,9 +63,14 @@ def publish_months(
     key: str = "date",
     rebalance: bool = False,
     sort_within: Sequence[str] = (),
+    fresh: bool = False,
 ) -> None:
     """Replace every month present in ``df`` under ``target_root``.
 
+    ``fresh=True``: ``target_root`` does not exist yet (a new run folder), so
+    a plain write is enough -- dynamic overwrite would stage every month
+    folder and rename it at commit, which on an object store is a copy.
+
     ``rebalance=False`` (default) writes without a shuffle: right when rows
     of a month come from that month's files, as from ``scan_months``.  Use
     ``rebalance=True`` when every input split holds rows of many months
@@ -77,6 +82,9 @@ def publish_months(
     out = df.hint("rebalance", key) if rebalance else df
     if sort_within:
         out = out.sortWithinPartitions(key, *sort_within)
+    if fresh:
+        out.write.mode("errorifexists").partitionBy(key).parquet(target_root)
+        return
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -126,6 +134,7 @@ def load_months(
     rebalance: bool = False,
     sort_within: Sequence[str] = (),
     persist: bool = False,
+    fresh_target: bool = False,
 ) -> LoadReport:
     """Load a conformed frame of many months; safe to repeat.
 
@@ -133,6 +142,7 @@ def load_months(
     without rows is retired (its old data removed) and gets ``cnt = 0`` in
     the ledger.  Rows of a month that was not requested fail the range gate.
     ``None``: the months present in ``df``.
+    ``fresh_target``: ``target_root`` is a new folder (see ``publish_months``).
     """
     key = contract.partition_key
     require_schema(df, contract)
@@ -141,7 +151,9 @@ def load_months(
         # remote source): the gate pass and the write then read it once
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _load(spark, df, target_root, ledger_root, months, key, not_null, row_limit, rebalance, sort_within)
+        return _load(
+            spark, df, target_root, ledger_root, months, key, not_null, row_limit, rebalance, sort_within, fresh_target
+        )
     finally:
         if persist:
             df.unpersist()
@@ -155,7 +167,9 @@ def _month_frame(spark: SparkSession, months, key: str) -> DataFrame | None:
     return spark.createDataFrame([(m,) for m in sorted(set(months))], f"{key} date")
 
 
-def _load(spark, df, target_root, ledger_root, months, key, not_null, row_limit, rebalance, sort_within) -> LoadReport:
+def _load(
+    spark, df, target_root, ledger_root, months, key, not_null, row_limit, rebalance, sort_within, fresh=False
+) -> LoadReport:
     # one job: per-month gate totals joined to the requested months; one row
     # per month (requested or present) reaches the driver
     gates = month_gates(df, key, not_null)
@@ -184,7 +198,7 @@ def _load(spark, df, target_root, ledger_root, months, key, not_null, row_limit,
 
     if attach:
         rows = df if row_limit is None else limit_per_month(df, row_limit, key)
-        publish_months(rows, target_root, key, rebalance=rebalance, sort_within=sort_within)
+        publish_months(rows, target_root, key, rebalance=rebalance, sort_within=sort_within, fresh=fresh)
     retired = retire_months(spark, target_root, drop, key)
 
     # the ledger always records the full count, also for an empty month
