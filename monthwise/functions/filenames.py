@@ -21,6 +21,12 @@ URL_NAME_STRIP = " \n\t."  # a name made only of these is no name
 QUOTE_CHARS_STRIP = ' \t"'  # stripped around a header file name
 # scheme (letter first), optional //authority, then the path up to ? or #
 URL_PATH_PATTERN = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
+URL_SCHEME_PATTERN = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
+# schemes whose last path segment carries ``;params`` (Python's
+# urllib.parse.uses_params; "" is a URL without a scheme); for any other
+# scheme the ``;...`` is part of the name
+PARAM_SCHEMES = ("", "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp", "rtsps", "rtspu", "sip",
+                 "sips", "mms", "sftp", "tel")
 
 
 def _c(x) -> Column:
@@ -36,11 +42,17 @@ def url_path(url) -> Column:
     return F.regexp_extract(_c(url), URL_PATH_PATTERN, 1)
 
 
+def url_scheme(url) -> Column:
+    """Lower-case scheme of a URL; empty when it has none."""
+    return F.lower(F.regexp_extract(_c(url), URL_SCHEME_PATTERN, 1))
+
+
 def url_file_name(url) -> Column:
-    """Last path segment of a URL, ``;params`` cut, no percent decoding.
-    Null when empty or made only of blanks and dots."""
+    """Last path segment of a URL, no percent decoding; ``;params`` cut
+    for the schemes that have them.  Null when empty or made only of blanks
+    and dots."""
     last = F.substring_index(url_path(url), "/", -1)
-    name = F.substring_index(last, ";", 1)
+    name = F.when(url_scheme(url).isin(*PARAM_SCHEMES), F.substring_index(last, ";", 1)).otherwise(last)
     return F.when(F.length(F.btrim(name, F.lit(URL_NAME_STRIP))) > 0, name)
 
 

@@ -593,9 +593,20 @@ def write_month_files(spark, df, landing):
 # --- file names for an ingest manifest --------------------------------------
 
 _URL_PATH_SQL = r"regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1)"
+def _url_schemes_sql() -> str:
+    from monthwise.functions.filenames import PARAM_SCHEMES
+
+    return ", ".join(f"'{x}'" for x in PARAM_SCHEMES)
+
+
+_URL_SCHEMES_SQL = _url_schemes_sql()
+_URL_LAST_SQL = f"""
+(CASE WHEN lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) IN ({_URL_SCHEMES_SQL})
+      THEN split_part(string_split({_URL_PATH_SQL}, '/')[-1], ';', 1)
+      ELSE string_split({_URL_PATH_SQL}, '/')[-1] END)"""
 _URL_NAME_SQL = f"""
-CASE WHEN length(trim(split_part(string_split({_URL_PATH_SQL}, '/')[-1], ';', 1), ' ' || chr(10) || chr(9) || '.')) > 0
-     THEN split_part(string_split({_URL_PATH_SQL}, '/')[-1], ';', 1) END"""
+CASE WHEN length(trim({_URL_LAST_SQL}, ' ' || chr(10) || chr(9) || '.')) > 0
+     THEN {_URL_LAST_SQL} END"""
 
 
 @register(
