@@ -57,8 +57,10 @@ def url_file_name(url) -> Column:
 
 
 def header_value(headers, name: str = "Content-Disposition") -> Column:
-    """Value of one header line ``Name: value`` in header text (exact name)."""
-    v = F.regexp_extract(_c(headers), r"(?m)^" + name + r":([^\r\n]*)", 1)
+    """Value of one header line ``Name: value`` in header text (exact name).
+    With several such lines the last one counts, as in a dict built from
+    the lines."""
+    v = F.regexp_extract(_c(headers), r"(?ms)\A.*^" + name + r":([^\r\n]*)", 1)
     return F.when(v != "", v)
 
 

@@ -657,7 +657,7 @@ FROM documents
     f"""
 WITH h AS ({_HEADERS_SQL}),
 v AS (SELECT doc_id, headers,
-             nullif(regexp_extract(headers, '(?m)^Content-Disposition:([^\\r\\n]*)', 1), '') AS disp FROM h),
+             nullif(regexp_extract(headers, '(?ms)\\A.*^Content-Disposition:([^\\r\\n]*)', 1), '') AS disp FROM h),
 p AS (SELECT *, string_split(disp, ';') AS parts FROM v),
 f AS (SELECT *, list_filter(parts[2:], lambda x: starts_with(regexp_replace(x, '^\\s+|\\s+$', '', 'g'), 'filename=')) AS fparts
       FROM p),

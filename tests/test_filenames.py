@@ -78,3 +78,12 @@ def test_numbered_names_unique_for_hot_name(spark):
     assert out.select("final_name").distinct().count() == n
     got = {r.k: r.final_name for r in out.where(F.col("k") < 3).collect()}
     assert got == {0: "download.wget", 1: "download (1).wget", 2: "download (2).wget"}
+
+
+def test_last_disposition_line_wins(spark):
+    from monthwise.functions.filenames import header_file_name
+
+    text = ("Content-Disposition: attachment; filename=first.csv\n"
+            "X: y\nContent-Disposition: attachment; filename=\"d/last.csv\"\nZ: 1")
+    df = spark.createDataFrame([(text,), ("X: y",)], "h string")
+    assert [r[0] for r in df.select(header_file_name("h")).collect()] == ["last.csv", None]
