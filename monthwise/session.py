@@ -22,6 +22,10 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # local mode only: listing many month folders as a distributed job buys
+    # nothing when every task runs in this one JVM (a cluster session keeps
+    # Spark's default and lists in parallel)
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "4096",
 }
 
 
