@@ -19,10 +19,16 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import os
 import sys
 
 from pyspark.sql import SparkSession
 
+if __package__ in (None, ""):
+    # run as a script (spark-submit monthwise/jobs.py): put the package root
+    # on the path; executors need nothing, every operator runs in the JVM
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from monthwise.contract import TRIP_CONTRACT
 from monthwise.functions.calendar import LANDING_PREFIX, calendar
 from monthwise.operators.checks import month_counts
