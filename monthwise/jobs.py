@@ -192,7 +192,10 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     if spark is None:
-        spark = SparkSession.builder.appName(f"monthwise-{args.command}").getOrCreate()
+        # no web UI: stage and task times come from the event log
+        spark = (
+            SparkSession.builder.appName(f"monthwise-{args.command}").config("spark.ui.enabled", "false").getOrCreate()
+        )
     args.run(spark, args)
 
 
