@@ -138,32 +138,66 @@ def load_months_to_table(
     ledger_table: str,
     months=None,
     contract: Contract = TRIP_CONTRACT,
-    **load_options,
+    not_null=("date",),
+    rebalance: bool = False,
+    sort_within=(),
+    row_limit: int | None = None,
 ):
-    """``load_months`` into a catalog table; every month is swapped in by
-    one metadata update.
-
-    The gated load writes the months of this run to a fresh folder under the
-    table (``<location>/_runs/<run>/date=...``; hidden, so neither reads nor
-    ``RECOVER PARTITIONS`` see it).  Then, per month, the catalog swaps
-    ``ALTER TABLE ... PARTITION ... SET LOCATION`` -- readers see the old
-    month or the new one, never none, unlike a detach followed by an attach
-    -- or adds the partition, and drops the months this run found empty.
-    Superseded folders are deleted after the swap, and only when they lie
-    under the table's location (a month attached from elsewhere is left
-    alone).  Safe to repeat: a rerun stages again and swaps again.
+    """Load a conformed frame of many months into a catalog table; each
+    month is swapped in by one metadata update.  Safe to repeat.
+
+    Write first, gate what was written, then swap:
+
+    1. the rows go to a fresh run folder under the table
+       (``<location>/_runs/<run>/date=...``; hidden, so neither readers nor
+       ``RECOVER PARTITIONS`` see it) -- the only pass over the source;
+    2. the gates (``month_gates`` + ``decide``) run over that folder, reading
+       only the checked columns, with the month from the folder names.  They
+       check exactly the rows that will be published, even if the source
+       changes meanwhile.  On a failure the run folder is deleted and the
+       table is unchanged;
+    3. per month the catalog swaps ``ALTER TABLE ... PARTITION ... SET
+       LOCATION`` -- readers see the old month or the new one, never none,
+       unlike a detach followed by an attach -- or adds the partition, and
+       drops the requested months that have no rows;
+    4. the ledger records the counts; superseded folders are deleted, but
+       only when they lie under the table's location (a month attached from
+       elsewhere is left alone).
+
+    ``row_limit`` publishes at most N rows per month while the ledger keeps
+    the full count; that needs the counts of the source, so with it the gates
+    run over the source before the write (``load_months``).
     """
     import uuid
 
-    from monthwise.plans.load import load_months, partition_path
+    from monthwise.operators.checks import GateError, month_gates, require_schema
+    from monthwise.plans.load import LoadReport, decide, load_months, partition_path, publish_months, record_counts
     from monthwise.sources import fs
 
     key = contract.partition_key
     loc = table_location(spark, table).rstrip("/")
     run_root = f"{loc}/_runs/{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    report = load_months(
-        spark, df, run_root, table_location(spark, ledger_table), months, contract, fresh_target=True, **load_options
-    )
+    ledger_root = table_location(spark, ledger_table)
+
+    if row_limit is not None:
+        report = load_months(
+            spark, df, run_root, ledger_root, months, contract, not_null=not_null, row_limit=row_limit,
+            rebalance=rebalance, sort_within=sort_within, fresh_target=True,
+        )
+        decisions = report.decisions
+    else:
+        require_schema(df, contract)
+        publish_months(df, run_root, key, rebalance=rebalance, sort_within=sort_within, fresh=True)
+        if fs.exists(spark, run_root):
+            written = spark.read.schema(contract.schema).parquet(run_root)
+        else:  # no rows at all
+            written = spark.createDataFrame([], contract.schema)
+        try:
+            decisions = decide(spark, month_gates(written, key, not_null), months, key)
+        except GateError:
+            fs.delete(spark, run_root)
+            raise
+        report = LoadReport(decisions=decisions, published=[r[key] for r in decisions if r["action"] == "attach"])
 
     attached = {r[key] for r in attached_months(spark, table, key).collect()}
     stale = []
@@ -178,14 +212,17 @@ def load_months_to_table(
         else:
             new[m] = partition_path(run_root, m, key)
     attach_months(spark, table, new, key)
-    empty = [r[key] for r in report.decisions if r["action"] == "drop" and r[key] in attached]
+    empty = [r[key] for r in decisions if r["action"] == "drop" and r[key] in attached]
     stale += [partition_location(spark, table, m, key) for m in empty]
     detach_months(spark, table, empty, key)
+    if row_limit is None:
+        record_counts(spark, decisions, ledger_root, key)
     for old in stale:
         if old.rstrip("/").startswith(loc + "/"):
             fs.delete(spark, old)
     spark.catalog.refreshTable(table)
     spark.catalog.refreshTable(ledger_table)
+    report.retired = empty
     return report
 
 

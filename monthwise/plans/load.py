@@ -167,12 +167,15 @@ def _month_frame(spark: SparkSession, months, key: str) -> DataFrame | None:
     return spark.createDataFrame([(m,) for m in sorted(set(months))], f"{key} date")
 
 
-def _load(
-    spark, df, target_root, ledger_root, months, key, not_null, row_limit, rebalance, sort_within, fresh=False
-) -> LoadReport:
-    # one job: per-month gate totals joined to the requested months; one row
-    # per month (requested or present) reaches the driver
-    gates = month_gates(df, key, not_null)
+def decide(spark: SparkSession, gates: DataFrame, months, key: str = "date") -> list[Row]:
+    """Check ``month_gates`` totals against the requested months and decide
+    per month: ``attach`` when it has rows, ``drop`` when it has none.
+
+    One job: the per-month gate rows joined to the requested months; one row
+    per month (requested or present) reaches the driver.  Raises
+    ``GateError`` when rows fall outside the requested months or a required
+    column is null.
+    """
     null_cols = [c for c in gates.columns if c.startswith("null_")]
     months_df = _month_frame(spark, months, key)
     if months_df is None:
@@ -188,11 +191,23 @@ def _load(
     failures = {k: v for k, v in failures.items() if v}
     if failures:
         raise GateError(f"gates failed, nothing published: {failures}")
-
-    decisions = [
+    return [
         Row(**{key: r[key], "cnt": int(r["cnt"] or 0), "action": "attach" if (r["cnt"] or 0) > 0 else "drop"})
         for r in sorted(requested, key=lambda r: r[key])
     ]
+
+
+def record_counts(spark: SparkSession, decisions: list[Row], ledger_root: str, key: str = "date") -> None:
+    """The ledger always records the full count, also for an empty month."""
+    ledger_replace(
+        spark.createDataFrame([(r["cnt"], r[key]) for r in decisions], "cnt bigint, date date"), ledger_root, "date"
+    )
+
+
+def _load(
+    spark, df, target_root, ledger_root, months, key, not_null, row_limit, rebalance, sort_within, fresh=False
+) -> LoadReport:
+    decisions = decide(spark, month_gates(df, key, not_null), months, key)
     attach = [r[key] for r in decisions if r["action"] == "attach"]
     drop = [r[key] for r in decisions if r["action"] == "drop"]
 
@@ -200,13 +215,7 @@ def _load(
         rows = df if row_limit is None else limit_per_month(df, row_limit, key)
         publish_months(rows, target_root, key, rebalance=rebalance, sort_within=sort_within, fresh=fresh)
     retired = retire_months(spark, target_root, drop, key)
-
-    # the ledger always records the full count, also for an empty month
-    ledger_replace(
-        spark.createDataFrame([(r["cnt"], r[key]) for r in decisions], "cnt bigint, date date"),
-        ledger_root,
-        "date",
-    )
+    record_counts(spark, decisions, ledger_root, key)
     return LoadReport(decisions=decisions, published=attach, retired=retired)
 
 

@@ -121,3 +121,38 @@ def test_load_months_to_table_swaps_months(spark, scratch):
     assert "crashed-run" in catalog.vacuum_runs(spark, t)
     assert counts()[M] == n and counts() == {**want, M: n}
     assert all(os.listdir(os.path.join(runs, r)) for r in os.listdir(runs))
+
+
+def test_table_load_gates_what_it_wrote(spark, scratch):
+    import pytest
+
+    from monthwise.functions.conform import conform
+    from monthwise.operators.checks import GateError
+    from monthwise.plans.views import orders_trips_raw
+
+    from .conftest import SF_SMALL
+
+    C = TRIP_CONTRACT.with_timestamp_ntz()
+    M = dt.date(1998, 7, 1)
+    root = scratch("table-gates")
+    db = f"g_{uuid.uuid4().hex[:8]}"
+    t, ledger = catalog.init_tables(spark, root, db=db, stage_db=f"{db}_s", contract=C)
+    trips = conform(orders_trips_raw(spark, SF_SMALL), C)
+    catalog.load_months_to_table(spark, trips.where(F.col("date") == F.lit(M)), t, ledger, contract=C)
+    before = catalog.month_counts_sql(spark, t).collect()
+    runs = os.path.join(local_path(catalog.table_location(spark, t)), "_runs")
+    n_runs = len(os.listdir(runs))
+
+    # rows of months that were not requested: nothing swapped, run folder gone
+    with pytest.raises(GateError):
+        catalog.load_months_to_table(spark, trips, t, ledger, months=[M], contract=C)
+    assert catalog.month_counts_sql(spark, t).collect() == before
+    assert len(os.listdir(runs)) == n_runs
+
+    # row limit: at most 10 rows per month published, the ledger has the full count
+    catalog.load_months_to_table(spark, trips, t, ledger, contract=C, row_limit=10, rebalance=True)
+    full = {r.date: r.cnt for r in trips.groupBy("date").agg(F.count(F.lit(1)).alias("cnt")).collect()}
+    got = {r.date: r.cnt for r in catalog.month_counts_sql(spark, t).collect()}
+    assert got == {m: min(c, 10) for m, c in full.items()}
+    catalog.ledger_view(spark, ledger, f"{db}_lv")
+    assert {r.date: r.cnt for r in spark.table(f"{db}_lv").collect()} == full
