@@ -115,9 +115,12 @@ def cmd_reconcile(spark, args) -> None:
 
 
 def cmd_stream(spark, args) -> None:
+    if not args.table and not (args.target and args.ledger):
+        raise SystemExit("stream needs --target and --ledger, or --table and --ledger-table")
     job = IncrementalLoad(
         landing=args.landing, target_root=args.target, ledger_root=args.ledger, checkpoint=args.checkpoint,
         contract=_contract(args), prefix=args.prefix, rebalance=args.rebalance,
+        table=args.table, ledger_table=args.ledger_table,
     )
     if args.every:
         job.start(spark, args.every).awaitTermination()
@@ -177,7 +180,11 @@ def parser() -> argparse.ArgumentParser:
     sp.set_defaults(run=cmd_reconcile)
 
     sp = sub.add_parser("stream")
-    common(sp, landing=True, target=True, ledger=True)
+    common(sp, landing=True)
+    sp.add_argument("--target", default=None, help="path form: root folder of the target")
+    sp.add_argument("--ledger", default=None, help="path form: folder of the ledger log")
+    sp.add_argument("--table", default=None, help="catalog form: the target table")
+    sp.add_argument("--ledger-table", default=None, help="catalog form: the ledger table")
     sp.add_argument("--checkpoint", required=True)
     sp.add_argument("--every", default=None, help="keep running with this trigger interval, e.g. '1 hour'")
     sp.add_argument("--rebalance", action="store_true")

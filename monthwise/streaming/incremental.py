@@ -36,9 +36,13 @@ LISTING_SCHEMA = T.StructType(
 
 @dataclass
 class IncrementalLoad:
+    """``target_root`` / ``ledger_root``: the path form.  With ``table`` and
+    ``ledger_table`` set, each batch loads into that catalog table instead
+    (``load_months_to_table``: write, gate what was written, swap)."""
+
     landing: str
-    target_root: str
-    ledger_root: str
+    target_root: str | None
+    ledger_root: str | None
     checkpoint: str
     contract: Contract = TRIP_CONTRACT
     prefix: str = LANDING_PREFIX
@@ -47,6 +51,8 @@ class IncrementalLoad:
     clean_source: str | None = None  # "archive" | "delete" | None
     archive_dir: str | None = None
     rebalance: bool = False
+    table: str | None = None
+    ledger_table: str | None = None
 
     def listing_stream(self, spark: SparkSession) -> DataFrame:
         r = (
@@ -72,12 +78,21 @@ class IncrementalLoad:
             return
         units = [MonthSource(r["unit"], None) for r in picks]
         frame = scan_months(spark, units, self.contract, self.prefix)
+        months = [r["date"] for r in picks]
+        if self.table is not None:
+            from monthwise.plans.catalog import load_months_to_table
+
+            load_months_to_table(
+                spark, frame, self.table, self.ledger_table, months=months, contract=self.contract,
+                rebalance=self.rebalance,
+            )
+            return
         load_months(
             spark,
             frame,
             self.target_root,
             self.ledger_root,
-            months=[r["date"] for r in picks],
+            months=months,
             contract=self.contract,
             rebalance=self.rebalance,
         )

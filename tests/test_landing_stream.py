@@ -129,3 +129,24 @@ def test_given_months_one_scan_per_schema(spark, scratch):
     got = {r.date: r.n for r in out.groupBy("date").agg(F.count(F.lit(1)).alias("n")).collect()}
     want = {given.get(u, dt.date(2020, 5 if u.endswith("05") else 6, 1)): 100 for u in units}
     assert got == want
+
+
+def test_stream_into_catalog_table(spark, scratch):
+    import uuid
+
+    from monthwise.plans import catalog
+
+    root = scratch("inc-table")
+    db = f"s_{uuid.uuid4().hex[:8]}"
+    t, ledger = catalog.init_tables(spark, f"{root}/wh", db=db, stage_db=f"{db}_s", contract=C)
+    job = IncrementalLoad(f"{root}/landing", None, None, f"{root}/ckpt", contract=C, table=t, ledger_table=ledger)
+    jan = spark.createDataFrame([(1, dt.date(2020, 1, 1)), (2, dt.date(2020, 1, 1))], "VendorID long, date date")
+    write_month_files(spark, jan, job.landing)
+    job.run_available(spark)
+    time.sleep(1.1)
+    write_month_files(spark, spark.createDataFrame([(9, dt.date(2020, 1, 1))], "VendorID long, date date"),
+                      job.landing + "/later")
+    write_month_files(spark, spark.createDataFrame([(5, dt.date(2020, 2, 1))], "VendorID long, date date"), job.landing)
+    job.run_available(spark)
+    got = sorted((r.vendor_id, r.date) for r in spark.table(t).collect())
+    assert got == [(5, dt.date(2020, 2, 1)), (9, dt.date(2020, 1, 1))]
