@@ -54,12 +54,19 @@ def create_ledger(spark: SparkSession, table: str, location: str) -> None:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_q(table)} ({cols}) USING parquet LOCATION {_lit(location)}")
 
 
+LATEST_PER_MONTH_SQL = "SELECT max_by(cnt, struct(loaded_at, run_id)) AS cnt, date FROM {log} GROUP BY date"
+
+
+def create_ledger_view(spark: SparkSession, view: str, log_table: str) -> None:
+    """A persistent view ``(cnt, date)`` with one row per month, the latest
+    entry of the log: the shape of the reference's count table, so
+    ``SELECT * FROM <view>`` answers as there."""
+    spark.sql(f"CREATE VIEW IF NOT EXISTS {_q(view)} AS " + LATEST_PER_MONTH_SQL.format(log=_q(log_table)))
+
+
 def ledger_view(spark: SparkSession, ledger_table: str, view: str) -> None:
     """A temp view with one ``(cnt, date)`` row per month (latest entry)."""
-    spark.sql(
-        f"CREATE OR REPLACE TEMP VIEW {_q(view)} AS SELECT max_by(cnt, struct(loaded_at, run_id)) AS cnt, date "
-        f"FROM {_q(ledger_table)} GROUP BY date"
-    )
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW {_q(view)} AS " + LATEST_PER_MONTH_SQL.format(log=_q(ledger_table)))
 
 
 def create_like(spark: SparkSession, table: str, like: str, location: str | None = None) -> None:
@@ -77,13 +84,17 @@ def init_tables(
     stage_db: str = "stage",
     contract: Contract = TRIP_CONTRACT,
 ) -> tuple[str, str]:
-    """One-time set-up: both databases, the target and the ledger."""
+    """One-time set-up: both databases, the target, the ledger log
+    ``<ledger_table>_log`` and the view ``<ledger_table>`` over it (one row
+    per month).  Returns the target and the log table (loads append to the
+    log)."""
     create_database(spark, stage_db)
     create_database(spark, db)
-    target, ledger = f"{db}.{table}", f"{db}.{ledger_table}"
+    target, log = f"{db}.{table}", f"{db}.{ledger_table}_log"
     create_target(spark, target, f"{root.rstrip('/')}/{table}", contract)
-    create_ledger(spark, ledger, f"{root.rstrip('/')}/{ledger_table}")
-    return target, ledger
+    create_ledger(spark, log, f"{root.rstrip('/')}/{ledger_table}")
+    create_ledger_view(spark, f"{db}.{ledger_table}", log)
+    return target, log
 
 
 def attach_months(spark: SparkSession, table: str, months: dict[dt.date, str], key: str = "date") -> None:

@@ -107,6 +107,9 @@ def test_load_months_to_table_swaps_months(spark, scratch):
     assert M not in counts() and len(counts()) == len(want) - 1
     catalog.ledger_view(spark, ledger, f"{db}_lv")
     assert spark.table(f"{db}_lv").where(F.col("date") == F.lit(M)).first().cnt == 0
+    # the reference's ad-hoc query on the count table: one row per month
+    counts_view = spark.sql(f"SELECT * FROM {db}.ny_yellow_cnt").collect()
+    assert len(counts_view) == len(want) and {r.date: r.cnt for r in counts_view} == {**want, M: 0}
 
     # a month attached from outside the table is replaced but not deleted
     outside = f"{scratch('outside')}/date={M.isoformat()}"
