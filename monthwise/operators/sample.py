@@ -29,6 +29,20 @@ def sample_head(df: DataFrame, keys: Sequence[str], n: int = DEFAULT_SAMPLE_ROWS
     return df.orderBy(*_order(keys)).limit(n)
 
 
+def file_head(spark, paths: Sequence[str] | str, n: int = DEFAULT_SAMPLE_ROWS) -> DataFrame:
+    """The first ``n`` rows of Parquet files in file order -- the head of a
+    file, as a fixture maker takes it -- with no key needed.
+
+    The order is the hidden ``_metadata.file_path`` and ``_metadata.row_index``
+    (the row's position in its file), so the plan is the same bounded
+    ``TakeOrderedAndProject`` as ``sample_head``: each task keeps its own
+    first ``n``.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    df = spark.read.parquet(*paths)
+    return df.orderBy(F.col("_metadata.file_path"), F.col("_metadata.row_index")).limit(n)
+
+
 def sample_per_month(
     df: DataFrame, keys: Sequence[str], n: int = DEFAULT_SAMPLE_ROWS, month: str = "date", rank_col: str = "rn"
 ) -> DataFrame:

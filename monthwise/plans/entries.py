@@ -287,6 +287,18 @@ def q_sample_head(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@register("file_head", f"SELECT * FROM lineitem LIMIT {SAMPLE_ROWS}")
+def q_file_head(spark, sf_dir):
+    # the fixture maker as the reference runs it: the first rows of a file in
+    # file order (lineitem has no unique key to order by), written as one file
+    from monthwise.compat import minimize_parquet
+    from monthwise.session import scratch_path, table_path
+
+    out = scratch_path(spark, "file-head")
+    minimize_parquet(spark, table_path(sf_dir, "lineitem"), out, SAMPLE_ROWS)
+    return spark.read.parquet(out)
+
+
 @register(
     "sample_per_month",
     f"""
