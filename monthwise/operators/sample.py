@@ -43,6 +43,36 @@ def file_head(spark, paths: Sequence[str] | str, n: int = DEFAULT_SAMPLE_ROWS) -
     return df.orderBy(F.col("_metadata.file_path"), F.col("_metadata.row_index")).limit(n)
 
 
+def file_head_per_month(spark, units: Sequence[str], n: int = DEFAULT_SAMPLE_ROWS, contract=None, prefix=None):
+    """The first ``n`` rows of every month unit (file or folder) in file
+    order, conformed: the file-order head taken per month, as a fixture
+    maker run over each month file.
+
+    One scan per schema group.  ``row_number()`` per month ordered by
+    ``_metadata.file_path, _metadata.row_index`` with ``<= n`` plans a partial
+    ``WindowGroupLimit`` before the shuffle, so every task sends at most
+    ``n`` rows per month, whatever the month's size.
+    """
+    from monthwise.contract import TRIP_CONTRACT
+    from monthwise.functions.calendar import LANDING_PREFIX, month_from_file_name
+    from monthwise.functions.conform import conform
+    from monthwise.sources.landing import group_by_schema
+
+    contract = contract or TRIP_CONTRACT
+    prefix = prefix or LANDING_PREFIX
+    key = contract.partition_key
+    frames = []
+    for paths in group_by_schema(spark, list(units)).values():
+        raw = spark.read.parquet(*paths).withColumn("_month", month_from_file_name(F.col("_metadata.file_path"), prefix))
+        w = Window.partitionBy("_month").orderBy(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        head = raw.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+        frames.append(conform(head.withColumn(key, F.col("_month")), contract))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def sample_per_month(
     df: DataFrame, keys: Sequence[str], n: int = DEFAULT_SAMPLE_ROWS, month: str = "date", rank_col: str = "rn"
 ) -> DataFrame:

@@ -150,3 +150,24 @@ def test_stream_into_catalog_table(spark, scratch):
     job.run_available(spark)
     got = sorted((r.vendor_id, r.date) for r in spark.table(t).collect())
     assert got == [(5, dt.date(2020, 2, 1)), (9, dt.date(2020, 1, 1))]
+
+
+def test_file_head_per_month_is_each_files_first_rows(spark, scratch):
+    import pyarrow.parquet as pq
+
+    from monthwise.operators.sample import file_head_per_month
+    from monthwise.plans.views import orders_trips_raw
+
+    from .conftest import SF_SMALL
+
+    land = scratch("heads")
+    units = write_month_files(spark, orders_trips_raw(spark, SF_SMALL), land, layout="file")
+    got = file_head_per_month(spark, units, 3, C)
+    want = []
+    for u in units:
+        t = pq.read_table(local_path(u)).slice(0, 3)
+        month = dt.date(int(u[-15:-11]), int(u[-10:-8]), 1)
+        want += [(k, month) for k in t.column("PULocationID").to_pylist()]
+    assert sorted((r.pu_location_id, r.date) for r in got.collect()) == sorted(want)
+    plan = got._sc._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
+    assert "WindowGroupLimit" in plan and "Partial" in plan
