@@ -11,6 +11,7 @@ month-sized results reach the driver.
   backlog         months due since a start month that the ledger lacks
   reconcile       compare the target's counts per month with the ledger
   stream          load every newly arrived landing file once
+  stage-jdbc      each month to a JDBC stage table, counts to a JDBC count table
   compact-ledger  rewrite the ledger log as its latest entries
 """
 
@@ -64,20 +65,26 @@ def _emit(rows) -> None:
         print(json.dumps({k: (v.isoformat() if hasattr(v, "isoformat") else v) for k, v in d.items()}))
 
 
-def landing_frame(spark: SparkSession, landing: str, months, contract, prefix: str = LANDING_PREFIX):
-    """The conformed rows of the requested months (all months found when
-    ``months`` is None) and the months they stand for.  A requested month
-    without a landing file is an error, not an empty month."""
+def landing_units(spark: SparkSession, landing: str, months, prefix: str = LANDING_PREFIX) -> list:
+    """``(date, unit)`` of the requested months (all months found when
+    ``months`` is None), one row per month.  A requested month without a
+    landing file is an error, not an empty month."""
     units = month_units(list_files(spark, landing, recursive=True), "path", prefix)
     if months is not None:
         wanted = spark.createDataFrame([(m,) for m in months], "date date")
         units = units.join(wanted, "date", "left_semi")
-    picks = units.select("date", "unit").collect()  # one row per month
+    picks = sorted(units.select("date", "unit").collect())  # one row per month
     missing = sorted(set(months or []) - {r["date"] for r in picks})
     if missing:
         raise SystemExit(f"no landing file for months: {', '.join(m.isoformat() for m in missing)}")
     if not picks:
         raise SystemExit(f"no month files under {landing}")
+    return picks
+
+
+def landing_frame(spark: SparkSession, landing: str, months, contract, prefix: str = LANDING_PREFIX):
+    """The conformed rows of the requested months and the months they stand for."""
+    picks = landing_units(spark, landing, months, prefix)
     frame = scan_months(spark, [r["unit"] for r in picks], contract, prefix)
     return frame, [r["date"] for r in picks]
 
@@ -103,6 +110,38 @@ def cmd_load(spark, args) -> None:
     _emit(report.decisions)
 
 
+def cmd_stage_jdbc(spark, args) -> None:
+    """Each month to its own JDBC stage table, its full count appended to a
+    JDBC count table: the reference's load job, one month unit per write.
+
+    Per month: one gate job over that month's unit only (counts, null
+    ``date``), then the stage write (replace; ``--truncate`` keeps the table
+    definition; ``--row-limit`` stages at most N rows).  The counts of all
+    months are appended in one write at the end.  A JDBC append is not
+    idempotent: a rerun appends the counts again (use the Parquet ledger
+    for replace semantics).
+    """
+    from monthwise.operators.checks import month_gates
+    from monthwise.plans.load import decide
+    from monthwise.sources.jdbc import JdbcTarget, append_table, replace_table
+
+    contract = _contract(args)
+    key = contract.partition_key
+    db = JdbcTarget(url=args.url, user=args.user, password=args.password, driver=args.driver)
+    counts = []
+    for r in landing_units(spark, args.landing, _months(args), args.prefix):
+        month = r["date"]
+        frame = scan_months(spark, [r["unit"]], contract, args.prefix)
+        [d] = decide(spark, month_gates(frame, key, (key,)), [month], key)
+        rows = frame if args.row_limit is None else frame.limit(args.row_limit)
+        table = args.stage_table.format(month)
+        replace_table(rows, db, table, truncate=args.truncate, num_partitions=args.num_partitions)
+        counts.append((d["cnt"], month))
+        _emit([{"date": month, "cnt": d["cnt"], "stage_table": table}])
+    if args.ledger_table:
+        append_table(spark.createDataFrame(counts, "cnt bigint, date date"), db, args.ledger_table)
+
+
 def cmd_backlog(spark, args) -> None:
     end = _month(args.end) if args.end else (dt.date.today().replace(day=1) - dt.timedelta(days=1)).replace(day=1)
     due = calendar(spark, _month(args.start), end).join(read_ledger(spark, args.ledger), "date", "left_anti")
@@ -169,6 +208,22 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--rebalance", action="store_true", help="shuffle by month before the write")
         sp.set_defaults(run=cmd_load)
 
+    sp = sub.add_parser("stage-jdbc")
+    common(sp, landing=True)
+    g = sp.add_mutually_exclusive_group()
+    g.add_argument("--run-date", help="one month, e.g. 2020-02-01")
+    g.add_argument("--months", help="comma-separated months")
+    sp.add_argument("--url", required=True, help="JDBC URL; the driver jar must be on spark.jars")
+    sp.add_argument("--user", default=None)
+    sp.add_argument("--password", default=None)
+    sp.add_argument("--driver", default=None, help="JDBC driver class")
+    sp.add_argument("--stage-table", default="stage.yellow_tripdata_{:%Y_%m}", help="name pattern of a month's table")
+    sp.add_argument("--ledger-table", default=None, help="JDBC count table (cnt, date) to append to")
+    sp.add_argument("--row-limit", type=int, default=None)
+    sp.add_argument("--truncate", action="store_true", help="replace rows but keep the table definition")
+    sp.add_argument("--num-partitions", type=int, default=None, help="at most this many connections")
+    sp.set_defaults(run=cmd_stage_jdbc)
+
     sp = sub.add_parser("backlog")
     common(sp, ledger=True)
     sp.add_argument("--start", default="2010-01-01")

@@ -53,3 +53,23 @@ def test_init_and_load_table(spark, scratch, capsys):
     assert [r["date"] for r in out] == ["1998-06-01", "1998-07-01"]
     got = {r.date for r in spark.sql(f"SELECT DISTINCT date FROM {t['target']}").collect()}
     assert got == {dt.date(1998, 6, 1), dt.date(1998, 7, 1)}
+
+
+def test_stage_jdbc_writes_month_tables_and_counts(spark, scratch, capsys):
+    from monthwise.sources.jdbc import derby_memory, read_table
+
+    root = scratch("jobs-jdbc")
+    land = f"{root}/landing"
+    raw = orders_trips_raw(spark, SF_SMALL)
+    write_month_files(spark, raw, land)
+    db = derby_memory(f"stage_{uuid.uuid4().hex[:8]}")
+    out = run(spark, capsys, "stage-jdbc", "--landing", land, "--url", db.url, "--driver", db.driver, "--ntz",
+              "--months", "1998-06,1998-07", "--ledger-table", "taxi.ny_yellow_cnt", "--row-limit", "10")
+    want = {r.date: r.n for r in raw.groupBy("date").count().withColumnRenamed("count", "n").collect()}
+    m6, m7 = dt.date(1998, 6, 1), dt.date(1998, 7, 1)
+    assert [(r["date"], r["cnt"], r["stage_table"]) for r in out] == [
+        ("1998-06-01", want[m6], "stage.yellow_tripdata_1998_06"), ("1998-07-01", want[m7], "stage.yellow_tripdata_1998_07")
+    ]
+    assert read_table(spark, db, "stage.yellow_tripdata_1998_07").count() == 10
+    ledger = {r["date"]: r["cnt"] for r in read_table(spark, db, "taxi.ny_yellow_cnt").collect()}
+    assert ledger == {m6: want[m6], m7: want[m7]}
