@@ -142,15 +142,29 @@ def cmd_stage_jdbc(spark, args) -> None:
         append_table(spark.createDataFrame(counts, "cnt bigint, date date"), db, args.ledger_table)
 
 
+def _ledger(spark, args):
+    """The ledger view from ``--ledger`` (a folder) or ``--ledger-table`` (the log table)."""
+    if getattr(args, "ledger_table", None):
+        return read_ledger(spark, catalog.table_location(spark, args.ledger_table))
+    if not args.ledger:
+        raise SystemExit("give --ledger or --ledger-table")
+    return read_ledger(spark, args.ledger)
+
+
 def cmd_backlog(spark, args) -> None:
     end = _month(args.end) if args.end else (dt.date.today().replace(day=1) - dt.timedelta(days=1)).replace(day=1)
-    due = calendar(spark, _month(args.start), end).join(read_ledger(spark, args.ledger), "date", "left_anti")
+    due = calendar(spark, _month(args.start), end).join(_ledger(spark, args), "date", "left_anti")
     _emit(due.orderBy("date").collect())
 
 
 def cmd_reconcile(spark, args) -> None:
-    counts = month_counts(read_target(spark, args.target, _contract(args)))
-    _emit(reconcile(counts, read_ledger(spark, args.ledger)).orderBy("date").collect())
+    if args.table:
+        counts = catalog.month_counts_sql(spark, args.table)
+    elif args.target:
+        counts = month_counts(read_target(spark, args.target, _contract(args)))
+    else:
+        raise SystemExit("give --target or --table")
+    _emit(reconcile(counts, _ledger(spark, args)).orderBy("date").collect())
 
 
 def cmd_stream(spark, args) -> None:
@@ -225,13 +239,19 @@ def parser() -> argparse.ArgumentParser:
     sp.set_defaults(run=cmd_stage_jdbc)
 
     sp = sub.add_parser("backlog")
-    common(sp, ledger=True)
+    common(sp)
+    sp.add_argument("--ledger", default=None, help="path form: folder of the ledger log")
+    sp.add_argument("--ledger-table", default=None, help="catalog form: the ledger log table")
     sp.add_argument("--start", default="2010-01-01")
     sp.add_argument("--end", default=None, help="last month due (default: the previous month)")
     sp.set_defaults(run=cmd_backlog)
 
     sp = sub.add_parser("reconcile")
-    common(sp, target=True, ledger=True)
+    common(sp)
+    sp.add_argument("--target", default=None, help="path form: root folder of the target")
+    sp.add_argument("--ledger", default=None, help="path form: folder of the ledger log")
+    sp.add_argument("--table", default=None, help="catalog form: the target table")
+    sp.add_argument("--ledger-table", default=None, help="catalog form: the ledger log table")
     sp.set_defaults(run=cmd_reconcile)
 
     sp = sub.add_parser("stream")

@@ -53,6 +53,10 @@ def test_init_and_load_table(spark, scratch, capsys):
     assert [r["date"] for r in out] == ["1998-06-01", "1998-07-01"]
     got = {r.date for r in spark.sql(f"SELECT DISTINCT date FROM {t['target']}").collect()}
     assert got == {dt.date(1998, 6, 1), dt.date(1998, 7, 1)}
+    rec = run(spark, capsys, "reconcile", "--table", t["target"], "--ledger-table", t["ledger"])
+    assert [(r["date"], r["status"]) for r in rec] == [("1998-06-01", "match"), ("1998-07-01", "match")]
+    due = run(spark, capsys, "backlog", "--ledger-table", t["ledger"], "--start", "1998-05-01", "--end", "1998-08-01")
+    assert [r["date"] for r in due] == ["1998-05-01", "1998-08-01"]
 
 
 def test_stage_jdbc_writes_month_tables_and_counts(spark, scratch, capsys):
