@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     # nothing when every task runs in this one JVM (a cluster session keeps
     # Spark's default and lists in parallel)
     "spark.sql.sources.parallelPartitionDiscovery.threshold": "4096",
+    # remove checkpoint files once their frame is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
