@@ -24,7 +24,8 @@ def test_every_oracle_key_is_a_query():
 @pytest.mark.parametrize(
     "key",
     ["conform_trips", "monthly_counts", "load_backlog", "reconcile_counts", "sample_per_month", "newest_file",
-     "url_file_name", "header_file_name", "numbered_names", "quoted_path", "retire_empty_month", "ledger_replace"],
+     "url_file_name", "header_file_name", "numbered_names", "quoted_path", "retire_empty_month", "ledger_replace",
+     "file_head", "hot_month_publish", "table_reload_month", "conform_missing"],
 )
 def test_oracle_agrees(spark, key):
     con = duckdb.connect()
