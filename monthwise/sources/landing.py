@@ -131,30 +131,6 @@ def group_by_schema(spark: SparkSession, paths: list[str], threads: int = 16) ->
     return groups
 
 
-UNIT_DEPTH = 3  # folders between a month unit and its deepest data file
-
-
-def _unit_key(spark: SparkSession, path: str) -> str:
-    """``path`` in the form ``_metadata.file_path`` uses: qualified, URI-encoded."""
-    from monthwise.sources import fs
-
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(fs.qualify(spark, path))
-    return str(jpath.toUri().toString()).rstrip("/")
-
-
-def _given_month(file_path: Column, given: dict) -> Column:
-    """The month given for the unit holding ``file_path``: a lookup of the
-    file and of its nearest parent folders in a literal map.  The map has one
-    entry per month unit (bounded by the calendar, not by the file count), so
-    the plan stays one scan however many months are given."""
-    lookup = F.create_map(*[x for k, m in sorted(given.items()) for x in (F.lit(k), F.lit(m))])
-    parts = F.split(file_path, "/")
-    levels = [file_path] + [
-        F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - k, F.lit(0))), "/") for k in range(1, UNIT_DEPTH + 1)
-    ]
-    return F.coalesce(*[F.try_element_at(lookup, lvl) for lvl in levels])
-
-
 def scan_months(
     spark: SparkSession,
     sources: list[MonthSource] | list[str],
@@ -163,24 +139,42 @@ def scan_months(
 ) -> DataFrame:
     """Read many month files of differing schemas as one conformed frame.
 
-    ``date`` is the month of each unit: given explicitly, or parsed from the
-    file name through the hidden ``_metadata.file_path`` column, so the
-    partition key is a per-file constant and never read from the data.
-    There is one scan per schema group, whether months are named or given.
+    ``date`` is the month of each unit, a per-file constant never read from
+    the data:
+
+    * named units (``MonthSource.month`` None): one scan per schema group; the
+      month is parsed from the hidden ``_metadata.file_path`` with substring
+      arithmetic (``month_from_file_name``);
+    * given months: one scan per month with the month as a literal, so no
+      per-row work at all.  (A per-row lookup of the file in a literal map
+      would compare against every key -- Spark searches literal maps
+      linearly.)  The scans are built in parallel threads, so their file
+      listings overlap on the driver.
     """
     units = [s if isinstance(s, MonthSource) else MonthSource(s, None) for s in sources]
     if not units:
         raise ValueError("no month files to scan")
     by_path = {u.path: u for u in units}
+    key = contract.partition_key
     frames = []
     for _, paths in group_by_schema(spark, list(by_path)).items():
-        raw = spark.read.parquet(*paths)  # one scan for the whole group
-        file_path = F.col("_metadata.file_path")
-        month = month_from_file_name(file_path, prefix)
-        given = {_unit_key(spark, p): by_path[p].month for p in paths if by_path[p].month is not None}
+        named = [p for p in paths if by_path[p].month is None]
+        if named:
+            raw = spark.read.parquet(*named)
+            frames.append(conform(raw.withColumn(key, month_from_file_name(F.col("_metadata.file_path"), prefix)), contract))
+        given: dict = {}
+        for p in paths:
+            if by_path[p].month is not None:
+                given.setdefault(by_path[p].month, []).append(p)
         if given:
-            month = F.coalesce(_given_month(file_path, given), month)
-        frames.append(conform(raw.withColumn(contract.partition_key, month), contract))
+            schema = spark.read.parquet(paths[0]).schema  # one footer for the group
+
+            def month_scan(item):
+                month, ps = item
+                return conform(spark.read.schema(schema).parquet(*ps).withColumn(key, F.lit(month)), contract)
+
+            with ThreadPoolExecutor(max_workers=min(16, len(given))) as pool:
+                frames += list(pool.map(month_scan, sorted(given.items())))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

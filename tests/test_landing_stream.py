@@ -27,9 +27,12 @@ C = TRIP_CONTRACT.with_timestamp_ntz()
 def test_month_from_name(spark):
     df = spark.createDataFrame(
         [("/l/yellow_tripdata_2020_02.parquet",), ("/l/yellow_tripdata_2019-12.parquet",), ("/l/other.parquet",),
-         ("/l/yellow_tripdata_2020_13.parquet",)], "p string")
+         ("/l/yellow_tripdata_2020_13.parquet",), ("/yellow_tripdata_raw/yellow_tripdata_2021_03.parquet",),
+         ("/l/yellow_tripdata_2021_04/part-0.parquet",), ("/l/yellow_tripdata_2021_05/yellow_tripdata_old.parquet",),
+         ("/l/yellow_tripdata_2o21_06.parquet",), ("/l/yellow_tripdata_2021_6.parquet",)], "p string")
     got = [r[0] for r in df.select(month_from_file_name("p")).collect()]
-    assert got == [dt.date(2020, 2, 1), dt.date(2019, 12, 1), None, None]
+    assert got == [dt.date(2020, 2, 1), dt.date(2019, 12, 1), None, None, dt.date(2021, 3, 1), dt.date(2021, 4, 1),
+                   dt.date(2021, 5, 1), None, None]
 
 
 def test_int_and_double_files_scan_together(spark, scratch):
@@ -111,9 +114,9 @@ def test_stream_archives_loaded_files(spark, scratch):
     assert len(archived) >= 1
 
 
-def test_given_months_one_scan_per_schema(spark, scratch):
-    # month folders of one schema, some with a given month and one named
-    # only by its file name: one scan, each row gets its unit's month
+def test_given_months_and_named_units(spark, scratch):
+    # month folders of one schema, some with a given month, the others named
+    # by their folder name: each row gets its unit's month
     land = scratch("given")
     df = spark.range(600).select(
         (F.col("id") % 5).alias("VendorID"),
@@ -125,7 +128,8 @@ def test_given_months_one_scan_per_schema(spark, scratch):
     sources = [MonthSource(u, given.get(u)) for u in units]
     out = scan_months(spark, sources, C)
     plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
-    assert plan.count("FileScan parquet") == 1 and "Union" not in plan
+    # the named units share one scan; each given month is a scan with a literal month
+    assert plan.count("FileScan parquet") == 1 + len(given)
     got = {r.date: r.n for r in out.groupBy("date").agg(F.count(F.lit(1)).alias("n")).collect()}
     want = {given.get(u, dt.date(2020, 5 if u.endswith("05") else 6, 1)): 100 for u in units}
     assert got == want
