@@ -175,10 +175,12 @@ def scan_months(
 
             with ThreadPoolExecutor(max_workers=min(16, len(given))) as pool:
                 frames += list(pool.map(month_scan, sorted(given.items())))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    # a balanced tree of unions: each union is analysed eagerly, so a chain
+    # would re-analyse the growing plan once per frame
+    while len(frames) > 1:
+        frames = [frames[k].unionByName(frames[k + 1]) if k + 1 < len(frames) else frames[k]
+                  for k in range(0, len(frames), 2)]
+    return frames[0]
 
 
 def write_month_files(
