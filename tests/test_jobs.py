@@ -77,3 +77,21 @@ def test_stage_jdbc_writes_month_tables_and_counts(spark, scratch, capsys):
     assert read_table(spark, db, "stage.yellow_tripdata_1998_07").count() == 10
     ledger = {r["date"]: r["cnt"] for r in read_table(spark, db, "taxi.ny_yellow_cnt").collect()}
     assert ledger == {m6: want[m6], m7: want[m7]}
+
+
+def test_stream_catches_up_once(spark, scratch, capsys):
+    from monthwise.contract import TRIP_CONTRACT
+    from monthwise.plans.load import read_target
+
+    root = scratch("jobs-stream")
+    land = f"{root}/landing"
+    raw = orders_trips_raw(spark, SF_SMALL)
+    write_month_files(spark, raw, land)
+    args = ["stream", "--landing", land, "--target", f"{root}/t", "--ledger", f"{root}/l", "--checkpoint", f"{root}/c",
+            "--ntz"]
+    assert run(spark, capsys, *args) == [{"status": "caught_up"}]
+    assert read_target(spark, f"{root}/t", TRIP_CONTRACT.with_timestamp_ntz()).count() == raw.count()
+    run(spark, capsys, *args)  # nothing new: the target stays as it is
+    assert read_target(spark, f"{root}/t", TRIP_CONTRACT.with_timestamp_ntz()).count() == raw.count()
+    with pytest.raises(SystemExit):
+        run(spark, capsys, "stream", "--landing", land, "--checkpoint", f"{root}/c2")
