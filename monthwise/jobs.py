@@ -121,6 +121,8 @@ def cmd_stage_jdbc(spark, args) -> None:
     idempotent: a rerun appends the counts again (use the Parquet ledger
     for replace semantics).
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from monthwise.operators.checks import month_gates
     from monthwise.plans.load import decide
     from monthwise.sources.jdbc import JdbcTarget, append_table, replace_table
@@ -128,16 +130,23 @@ def cmd_stage_jdbc(spark, args) -> None:
     contract = _contract(args)
     key = contract.partition_key
     db = JdbcTarget(url=args.url, user=args.user, password=args.password, driver=args.driver)
-    counts = []
-    for r in landing_units(spark, args.landing, _months(args), args.prefix):
+
+    def stage(r):
         month = r["date"]
         frame = scan_months(spark, [r["unit"]], contract, args.prefix)
         [d] = decide(spark, month_gates(frame, key, (key,)), [month], key)
         rows = frame if args.row_limit is None else frame.limit(args.row_limit)
         table = args.stage_table.format(month)
         replace_table(rows, db, table, truncate=args.truncate, num_partitions=args.num_partitions)
-        counts.append((d["cnt"], month))
-        _emit([{"date": month, "cnt": d["cnt"], "stage_table": table}])
+        return {"date": month, "cnt": d["cnt"], "stage_table": table}
+
+    # months are independent (one table each): --parallel runs that many
+    # month jobs at once from driver threads
+    picks = landing_units(spark, args.landing, _months(args), args.prefix)
+    with ThreadPoolExecutor(max_workers=max(1, args.parallel)) as pool:
+        done = list(pool.map(stage, picks))
+    _emit(done)
+    counts = [(r["cnt"], r["date"]) for r in done]
     if args.ledger_table:
         append_table(spark.createDataFrame(counts, "cnt bigint, date date"), db, args.ledger_table)
 
@@ -236,6 +245,7 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--row-limit", type=int, default=None)
     sp.add_argument("--truncate", action="store_true", help="replace rows but keep the table definition")
     sp.add_argument("--num-partitions", type=int, default=None, help="at most this many connections")
+    sp.add_argument("--parallel", type=int, default=1, help="months staged at once")
     sp.set_defaults(run=cmd_stage_jdbc)
 
     sp = sub.add_parser("backlog")

@@ -68,7 +68,8 @@ def test_stage_jdbc_writes_month_tables_and_counts(spark, scratch, capsys):
     write_month_files(spark, raw, land)
     db = derby_memory(f"stage_{uuid.uuid4().hex[:8]}")
     out = run(spark, capsys, "stage-jdbc", "--landing", land, "--url", db.url, "--driver", db.driver, "--ntz",
-              "--months", "1998-06,1998-07", "--ledger-table", "taxi.ny_yellow_cnt", "--row-limit", "10")
+              "--months", "1998-06,1998-07", "--ledger-table", "taxi.ny_yellow_cnt", "--row-limit", "10",
+              "--parallel", "2")
     want = {r.date: r.n for r in raw.groupBy("date").count().withColumnRenamed("count", "n").collect()}
     m6, m7 = dt.date(1998, 6, 1), dt.date(1998, 7, 1)
     assert [(r["date"], r["cnt"], r["stage_table"]) for r in out] == [
