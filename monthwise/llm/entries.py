@@ -3,12 +3,29 @@
 from __future__ import annotations
 
 from monthwise.llm.bpe import op3_bpe
+from monthwise.llm.decontaminate import op4_decontaminate
+from monthwise.llm.langid import op1_langid
+from monthwise.llm.licenses import op10_licenses
+from monthwise.llm.line_dedup import op7_line_dedup
+from monthwise.llm.secrets_scan import op9_secrets
+from monthwise.llm.simhash import op5_simhash
 from monthwise.llm.token_files import op2_token_files
+from monthwise.llm.topk import ORACLE_OP8, op8_topk
+from monthwise.llm.toxicity import op6_toxicity
 
 QUERIES = {
+    "op1_langid": op1_langid,
     "op2_token_files": op2_token_files,
     "op3_bpe": op3_bpe,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_simhash": op5_simhash,
+    "op6_toxicity": op6_toxicity,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_topk": op8_topk,
+    "op9_secrets": op9_secrets,
+    "op10_licenses": op10_licenses,
 }
 
-#: Where DuckDB can express the operator.
-ORACLE: dict[str, str] = {}
+#: Where DuckDB can express the operator; the others are held against
+#: brute-force versions in tests/llm.
+ORACLE: dict[str, str] = {"op8_topk": ORACLE_OP8}
