@@ -28,6 +28,7 @@ import json
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,7 @@ from monthwise.llm.common import read_table, shuffle_count
 from monthwise.session import scratch_path
 
 BLOCK_IDS = 65_536
-TABLE_LIMIT = 400_000
+TABLE_LIMIT = 800_000
 
 BLOCKS = "part int, first long, doc_ids array<long>, n_tokens array<long>, words binary, word_start array<long>"
 
@@ -69,31 +70,34 @@ class WordEncoder:
         self._pieces = regex.compile(pattern.replace(r"\s", SPACE))
         self._alphabet = byte_alphabet()
         self._words: dict[str, bytes] = {}
-        self._piece_ids: dict[str, bytes] = {}
         self.table_limit = table_limit
 
     def _piece(self, piece: str) -> bytes:
-        got = self._piece_ids.get(piece)
+        """Ids of a normalised piece.  As a word it would give the same, so
+        one table serves both."""
+        got = self._words.get(piece)
         if got is None:
-            mapped = piece if piece.isascii() and piece.isalpha() else "".join(self._alphabet[b] for b in piece.encode())
-            got = np.array([t.id for t in self._model.tokenize(mapped)], dtype="<u4").tobytes()
-            if len(self._piece_ids) >= self.table_limit:
-                self._piece_ids.clear()
-            if len(piece) <= 64:
-                self._piece_ids[piece] = got
+            mapped = piece if piece.isascii() and piece.isprintable() else "".join([self._alphabet[b] for b in piece.encode()])
+            got = array("I", [t.id for t in self._model.tokenize(mapped)]).tobytes()
+            self._keep(piece, got)
         return got
 
+    def _keep(self, word: str, ids: bytes) -> None:
+        if len(self._words) >= self.table_limit:
+            self._words.clear()
+        if len(word) <= 64:
+            self._words[word] = ids
+
     def _word(self, word: str) -> bytes:
         plain = word if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ")
         plain = plain.lower()
         if plain.isascii() and plain.isalpha():
             got = self._piece(plain)
+        elif plain.isascii() and plain[:-1].isalpha() and plain[-1] in ".,":
+            got = self._piece(plain[:-1]) + self._piece(plain[-1])
         else:
             got = b"".join([self._piece(p) for p in self._pieces.findall(plain)])
-        if len(self._words) >= self.table_limit:
-            self._words.clear()
-        if len(word) <= 64:
-            self._words[word] = got
+        self._keep(word, got)
         return got
 
     def _plain(self, text: str) -> bytes:
