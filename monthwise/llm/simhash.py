@@ -6,24 +6,23 @@ each; a bit is set if it is set in over half the hashes.  No word:
 fingerprint zero.
 
 Candidates.  A fingerprint is cut in segments A and B of 23 bits and C of 18
-bits (two halves of 9).  The perfect binary Golay code [23,12,7] decodes any
-23-bit word to one codeword.  The fuzzy keys of a word are the codewords of
-the word and of its 23 one-bit changes: one or six.  Words at most 2 bits
-apart share a key, as a word halfway between is within one bit of both.  Up
-to ``MAX_BITS`` = 3 errors, spread as (a, b, c), always meet in a table:
+bits.  The perfect binary Golay code [23,12,7] decodes any 23-bit word to
+one codeword.  The fuzzy keys of a word are the codewords of the word and of
+its 23 one-bit changes: one or six.  Words at most 2 bits apart share a key,
+as a word halfway between is within one bit of both.  By pigeonhole, up to
+``MAX_BITS`` = 3 errors, spread as (a, b, c), always meet in a table:
 
-    c <= 1, a <= 2, b <= 2   key(A), key(B), one half of C exact   (33 bits)
-    c >= 2, so b = 0         key(A), B exact                       (35 bits)
-    c >= 2, so a = 0         A exact, key(B)                       (35 bits)
-    a = 3                    B and C exact                         (41 bits)
-    b = 3                    A and C exact                         (41 bits)
+    b = 0, a <= 2    key(A), B exact                            (35 bits)
+    a = 0, b <= 2    A exact, key(B)                            (35 bits)
+    c = 0, a <= 2    key(A), C exact, with any b                (30 bits)
+    a = 3            B and C exact                              (41 bits)
+    a = b = c = 1    a half of each segment exact, in 8 ways (31-33 bits)
 
-(c >= 2 leaves one error for A and B, so one of them is exact.)  Candidates
-are then compared bit by bit.
+(Two errors in one segment leave one, so another segment is exact.)
+Candidates are then compared bit by bit.
 
 Groups.  Only distinct fingerprints are hashed, so exact copies cost one
-row.  Buckets that have the same members (by count, ends and an XOR of
-hashes) are looked at once.  Within a bucket no pairs are emitted: a
+row.  Buckets that have the same members (by count, smallest, and XORs) are looked at once.  Within a bucket no pairs are emitted: a
 breadth-first search over the members emits a spanning forest of the links,
 which keeps every connection.  A bucket of over ``CHUNK`` fingerprints is
 dealt out as pairs of chunks, so no task holds more than two chunks.
@@ -39,7 +38,7 @@ Other columns are ignored, and passed through by ``keep_one``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate, combinations
+from itertools import accumulate, combinations, product
 
 import numpy as np
 import pyarrow as pa
@@ -153,21 +152,15 @@ def bucket_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     every = np.arange(len(fps))
     row_a, key_a = golay.fuzzy_keys(a)
     row_b, key_b = golay.fuzzy_keys(b)
-    # all (key of A, key of B) of a row
-    n_b = np.bincount(row_b, minlength=len(fps))
-    first_b = np.cumsum(n_b) - n_b
-    times = n_b[row_a]
-    row_ab = np.repeat(row_a, times)
-    nth = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-    key_ab = np.repeat(key_a, times) << 12 | key_b[first_b[row_ab] + nth]
     parts = [
-        (row_ab, key_ab << 9 | (c[row_ab] & 511), 0),
-        (row_ab, key_ab << 9 | (c[row_ab] >> 9), 1),
-        (row_a, key_a << 23 | b[row_a], 2),
-        (row_b, key_b << 23 | a[row_b], 3),
-        (every, b << 18 | c, 4),
-        (every, a << 18 | c, 5),
+        (every, b << 18 | c, 0),
+        (row_b, a[row_b] << 12 | key_b, 1),
+        (row_a, b[row_a] << 12 | key_a, 2),
+        (row_a, c[row_a] << 12 | key_a, 3),
     ]
+    halves = [(x & (1 << low) - 1, x >> low) for x, low in ((a, 11), (b, 11), (c, 9))]
+    for table, (i, j, k) in enumerate(product((0, 1), repeat=3), len(parts)):
+        parts.append((every, halves[0][i] << 21 | halves[1][j] << 9 | halves[2][k], table))
     return np.concatenate([r for r, _, _ in parts]), np.concatenate([k | t << 56 for _, k, t in parts])
 
 
@@ -212,14 +205,14 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     entries = bucket_entries(distinct)
     buckets = (
         entries.groupBy("_key")
-        .agg(F.count(F.lit(1)).alias("_m"), F.min("_fp").alias("_lo"), F.max("_fp").alias("_hi"), F.bit_xor(F.xxhash64("_fp")).alias("_x"))
+        .agg(F.count(F.lit(1)).alias("_m"), F.min("_fp").alias("_lo"), F.bit_xor("_fp").alias("_xor"), F.bit_xor(F.xxhash64("_fp")).alias("_x"))
         .where("_m > 1")
-        .groupBy("_m", "_lo", "_hi", "_x")  # buckets of the same members: once
+        .groupBy("_m", "_lo", "_xor", "_x")  # buckets of the same members: once
         .agg(F.min("_key").alias("_key"))
     )
     buckets = staged(buckets, "simhash/buckets")
-    pairs = buckets.where("_m = 2").where(F.bit_count(F.col("_lo").bitwiseXOR(F.col("_hi"))) <= max_bits)
-    pairs = pairs.select(F.col("_lo").alias("_u"), F.col("_hi").alias("_v"))
+    pairs = buckets.where("_m = 2").where(F.bit_count("_xor") <= max_bits)
+    pairs = pairs.select(F.col("_lo").alias("_u"), F.col("_lo").bitwiseXOR(F.col("_xor")).alias("_v"))
 
     chunks = F.ceil(F.col("_m") / CHUNK).cast("int")
     own = F.pmod(F.xxhash64("_fp", F.lit("chunk")), F.col("_s")).cast("int")

@@ -9,17 +9,18 @@ compresses each window twice: with the ordinary dictionary, and with the
 toxic one laid over the ordinary one (so that ordinary prose costs the same
 in both).  The distance of a window is how many bytes shorter the second is.
 The share and number of windows above several distances go into a logistic
-function whose weights, the calibrated thresholds, are fitted on rows that
-the dictionaries of the fit did not see (two-fold cross-fitting); the final
-dictionaries are trained on both halves.
+function.  Its weights and threshold are calibrated on rows that the
+dictionaries did not see: of two members, each has dictionaries of one half
+of the sample and is calibrated on the other half, and a score is the mean
+of both (as log-odds).
 
 The training sample is bounded by ``POSITIVE`` and ``NEGATIVE`` labelled
 rows (chosen by hash over all labelled rows) and ``PIECE_CHARS`` characters
 from a hash-chosen place of each; every text is scored whole.
 
-Cases.  Null and empty texts have no window and get the score of a text
-without distances, below 0.5.  Without rows of either label every score is
-0.  Conflicting labels of one doc_id count as toxic.  A null doc_id or label
+Cases.  A text without a distant window, such as a null or empty one, scores
+below 0.5.  Without rows of both labels in both halves
+every score is 0.  Conflicting labels of one doc_id count as toxic.  A null doc_id or label
 is not learned from.  Rows are independent: repeated rows get equal scores.
 Other columns are ignored or, in the pipeline, passed through.
 """
@@ -45,10 +46,10 @@ NEGATIVE = 3000
 PIECE_CHARS = 8000
 WINDOW = 4
 WORD_BYTES = 48
-LEVEL = 3
-ORDINARY_BYTES = 16_384
+LEVEL = 4
+ORDINARY_BYTES = 65_536
 TOXIC_BYTES = 2_048
-MIN_RATIO = 15.0
+MIN_RATIO = 25.0
 MIN_LOG_ODDS = 2.0
 MAX_DISTANCE = 12
 MIN_DISTANCE = -3
@@ -65,8 +66,10 @@ def windows(blob: np.ndarray, doc_start: np.ndarray, width: int) -> tuple[np.nda
     space = (blob == 32) | ((blob >= 9) & (blob <= 13))
     start = np.flatnonzero(space[:-1] & ~space[1:]) + 1
     end = np.flatnonzero(~space[:-1] & space[1:]) + 1
+    if not len(start):
+        return start, end, start
     pieces = np.maximum(1, -(-(end - start) // WORD_BYTES))  # a very long word is several
-    if len(pieces) and pieces.max() > 1:
+    if pieces.max() > 1:
         nth = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         start, stop = np.repeat(start, pieces) + nth * WORD_BYTES, np.repeat(end, pieces)
         end = np.minimum(start + WORD_BYTES, stop)
@@ -85,7 +88,7 @@ def _train(samples: list[bytes], size: int) -> bytes:
         return zstandard.train_dictionary(size, samples).as_bytes()
     except zstandard.ZstdError:
         often = [s for s, _ in Counter(samples).most_common()]
-        return b"".join(often)[:size][::1] or b" "
+        return b"".join(often)[:size] or b" "
 
 
 class Dictionaries:
@@ -160,41 +163,54 @@ def _stands_out(a: int, b: int, n1: int, n0: int) -> bool:
 def features(hist: np.ndarray) -> np.ndarray:
     n = hist.sum(axis=1, keepdims=True)
     tail = np.cumsum(hist[:, ::-1], axis=1)[:, ::-1][:, [s - MIN_DISTANCE for s in STEPS]]
-    return np.concatenate([np.log1p(tail), np.log1p(100 * tail / np.maximum(n, 1)), np.log1p(n) / 5], axis=1)
+    length = np.minimum(np.log1p(n), 7) / 5
+    return np.concatenate([np.log1p(tail), np.log1p(100 * tail / np.maximum(n, 1)), length], axis=1)
 
 
 class CompressionDistance:
-    """The fitted classifier: dictionaries and calibrated weights."""
+    """The fitted classifier: two members, each with dictionaries of one half
+    of the rows and weights fitted on the other half."""
 
     def __init__(self, texts: list[str], toxic: list[bool]):
-        self.dictionaries = None
-        if not any(toxic) or all(toxic):
-            return
-        half = [i % 2 == 0 for i in range(len(texts))]
-        rows, labels = [], []
-        for side in (True, False):
-            seen = [i for i, h in enumerate(half) if h == side]
-            held = [i for i, h in enumerate(half) if h != side]
-            part = Dictionaries([texts[i] for i in seen], [toxic[i] for i in seen])
-            rows.append(features(part.histograms([texts[i] for i in held])))
-            labels += [toxic[i] for i in held]
-        x, y = np.concatenate(rows), np.array(labels, dtype=float)
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-        x = np.c_[(x - self.mean) / self.scale, np.ones(len(x))]
-        w = np.zeros(x.shape[1])
-        for _ in range(40):  # ridge logistic regression by Newton's method
-            p = 1 / (1 + np.exp(-x @ w))
-            w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(len(w)), x.T @ (p - y) + w)
-        self.weights = w
-        self.dictionaries = Dictionaries(texts, toxic)
+        self.members = []
+        for side in (0, 1):
+            seen, held = range(side, len(texts), 2), range(1 - side, len(texts), 2)
+            y = np.array([toxic[i] for i in held], dtype=float)
+            labels = [toxic[i] for i in seen]
+            if not any(labels) or all(labels) or y.min(initial=1) == y.max(initial=0):
+                continue
+            part = Dictionaries([texts[i] for i in seen], labels)
+            x = features(part.histograms([texts[i] for i in held]))
+            mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+            z = np.c_[(x - mean) / scale, np.ones(len(x))]
+            w = np.zeros(z.shape[1])
+            for _ in range(40):  # ridge logistic regression by Newton's method
+                p = 1 / (1 + np.exp(-z @ w))
+                w -= np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.eye(len(w)), z.T @ (p - y) + w)
+            w[-1] -= _best_threshold(z @ w, y)
+            self.members.append((part, mean, scale, w))
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        if self.dictionaries is None:
-            return np.zeros(len(texts))
-        hist = self.dictionaries.histograms(texts)
-        x = np.c_[(features(hist) - self.mean) / self.scale, np.ones(len(texts))]
-        score = 1 / (1 + np.exp(-np.clip(x @ self.weights, -60, 60)))
-        return np.where(hist.sum(axis=1) > 0, score, np.minimum(score, 0.49))
+        """Sigmoid of the members' mean log-odds."""
+        total, distant = np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
+        for part, mean, scale, w in self.members:
+            x = features(part.histograms(texts))
+            total += np.clip(np.c_[(x - mean) / scale, np.ones(len(texts))] @ w, -60, 60) / len(self.members)
+            distant |= x[:, 0] > 0
+        if not self.members:
+            return total
+        score = 1 / (1 + np.exp(-total))
+        return np.where(distant, score, np.minimum(score, 0.49))  # no distant window: not toxic
+
+
+def _best_threshold(log_odds: np.ndarray, y: np.ndarray) -> float:
+    """The log-odds from which on calling a row toxic gives the largest F1."""
+    order = np.argsort(-log_odds, kind="stable")
+    hit = np.cumsum(y[order])
+    f1 = 2 * hit / (np.arange(1, len(y) + 1) + y.sum())
+    at = int(f1.argmax())
+    below = log_odds[order[at + 1]] if at + 1 < len(y) else log_odds[order[at]] - 1
+    return float(log_odds[order[at]] + below) / 2
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, *, positive: int = POSITIVE, negative: int = NEGATIVE) -> CompressionDistance:
@@ -228,13 +244,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, *, positive: int = PO
     return CompressionDistance([t for t, _ in ordered], [y for _, y in ordered])
 
 
-def score(docs: DataFrame, model: CompressionDistance, *, text: str = "text", keep: dict[str, Column] | None = None) -> DataFrame:
-    """``keep`` columns (default: all of ``docs``), ``score`` and ``predicted``."""
-    keep = keep if keep is not None else {c: F.col(f"`{c}`") for c in docs.columns}
+def score(docs: DataFrame, model: CompressionDistance, keep: dict[str, Column], *, text: str = "text") -> DataFrame:
+    """``keep`` columns, ``score`` and ``predicted`` of every row."""
     picked = docs.select(*[c.alias(n) for n, c in keep.items()], F.col(text).alias("_scored_text"))
     n = len(keep)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema[:n])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # some 20 KB
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # some 300 KB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -248,6 +263,13 @@ def score(docs: DataFrame, model: CompressionDistance, *, text: str = "text", ke
     return picked.mapInArrow(run, f"{fields}, score double, predicted int")
 
 
+def drop_toxic(docs: DataFrame, model: CompressionDistance) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, all columns as they are."""
+    names = {f"c{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}  # none clashes with the score's
+    kept = score(docs, model, names).where("predicted = 0")
+    return kept.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
+
+
 def fit_on_tables(spark: SparkSession, sf_dir: str) -> CompressionDistance:
     return fit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 5) != 0)
 
@@ -256,4 +278,4 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted; learns from fold mod 5 <> 0."""
     docs = read_table(spark, sf_dir, "documents")
     held = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
-    return score(docs, fit_on_tables(spark, sf_dir), keep={"doc_id": F.col("doc_id"), "held_out": held})
+    return score(docs, fit_on_tables(spark, sf_dir), {"doc_id": F.col("doc_id"), "held_out": held})
