@@ -87,6 +87,17 @@ def header_file_name(headers) -> Column:
     return disposition_file_name(header_value(headers))
 
 
+def header_map_file_name(headers, name: str = "Content-Disposition") -> Column:
+    """File name from a map of header names to values (exact name)."""
+    return disposition_file_name(F.try_element_at(_c(headers), F.lit(name)))
+
+
+def header_list_file_name(headers, name: str = "Content-Disposition") -> Column:
+    """File name from a list of header lines ``Name: value``, as of the text
+    made of those lines."""
+    return header_file_name(F.array_join(_c(headers), "\n"))
+
+
 def pick_file_name(out=None, header_name=None, url_name=None, default: str = DEFAULT_FILE_NAME) -> Column:
     """Precedence: explicit name, header name, URL name, default.  Empty
     strings count as missing."""
@@ -129,7 +140,7 @@ def number_taken_names(
     in ``existing``.  ``k`` counts up per stem, any extension, starting after
     the largest ``stem (k)`` index already present (in ``existing`` or
     anywhere in ``df``), so a new name never equals an old one.  A name
-    without a dot gets the suffix at the end.
+    without a dot gets the suffix at the end.  A null name stays null.
 
     Skew-safe: first occurrences come from a grouped ``min`` (partial
     aggregation), and the numbering inside a stem is ``split_row_number``,
@@ -138,14 +149,16 @@ def number_taken_names(
     order = list(order)
     first_key = F.struct(*[F.col(o) for o in order])
     firsts = df.groupBy(name).agg(F.min(first_key).alias("_first"))
-    marked = df.join(firsts, name, "left").withColumn("_dup", F.struct(*[F.col(o) for o in order]) != F.col("_first"))
+    marked = df.join(firsts, name, "left").withColumn(
+        "_dup", F.col(name).isNotNull() & ~F.struct(*[F.col(o) for o in order]).eqNullSafe(F.col("_first"))
+    )
     if existing is not None:
         ex = existing.select(F.col(existing_name).alias(name)).distinct().withColumn("_ex", F.lit(True))
         marked = marked.join(ex, name, "left")
         taken = F.col("_dup") | F.coalesce(F.col("_ex"), F.lit(False))
     else:
         taken = F.col("_dup")
-    marked = marked.withColumn("_taken", taken).drop("_first", "_dup", "_ex")
+    marked = marked.withColumn("_taken", F.coalesce(taken, F.lit(False))).drop("_first", "_dup", "_ex")
 
     # largest index already used on each stem
     names = df.select(F.col(name).alias("_n"))

@@ -13,6 +13,7 @@ month-sized results reach the driver.
   stream          load every newly arrived landing file once
   stage-jdbc      each month to a JDBC stage table, counts to a JDBC count table
   compact-ledger  rewrite the ledger log as its latest entries
+  vacuum          delete month folders that a catalog table no longer points to
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import os
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 if __package__ in (None, ""):
     # run as a script (spark-submit monthwise/jobs.py): put the package root
@@ -36,7 +38,7 @@ from monthwise.operators.checks import month_counts
 from monthwise.operators.ledger import compact_ledger, read_ledger, reconcile
 from monthwise.plans import catalog
 from monthwise.plans.load import load_months, read_target
-from monthwise.sources.landing import list_files, month_units, scan_months
+from monthwise.sources.landing import list_files, month_units, scan_months, unnamed_files
 from monthwise.streaming.incremental import IncrementalLoad
 
 
@@ -66,14 +68,20 @@ def _emit(rows) -> None:
 
 
 def landing_units(spark: SparkSession, landing: str, months, prefix: str = LANDING_PREFIX) -> list:
-    """``(date, unit)`` of the requested months (all months found when
-    ``months`` is None), one row per month.  A requested month without a
-    landing file is an error, not an empty month."""
-    units = month_units(list_files(spark, landing, recursive=True), "path", prefix)
+    """``(date, unit, paths, delivered_at)`` of the requested months (all
+    months found when ``months`` is None), one row per month.  A requested
+    month without a landing file is an error, not an empty month; so is a
+    landing file that names no month."""
+    listing = list_files(spark, landing, recursive=True)
+    odd = [r["path"] for r in unnamed_files(listing, "path", prefix).select("path").limit(10).collect()]
+    if odd:
+        raise SystemExit(f"landing files that name no month: {', '.join(odd)}")
+    units = month_units(listing, "path", prefix)
     if months is not None:
         wanted = spark.createDataFrame([(m,) for m in months], "date date")
         units = units.join(wanted, "date", "left_semi")
-    picks = sorted(units.select("date", "unit").collect())  # one row per month
+    delivered = F.col("modificationTime").cast("timestamp_ntz").alias("delivered_at")
+    picks = sorted(units.select("date", "unit", "paths", delivered).collect())  # one row per month
     missing = sorted(set(months or []) - {r["date"] for r in picks})
     if missing:
         raise SystemExit(f"no landing file for months: {', '.join(m.isoformat() for m in missing)}")
@@ -83,10 +91,11 @@ def landing_units(spark: SparkSession, landing: str, months, prefix: str = LANDI
 
 
 def landing_frame(spark: SparkSession, landing: str, months, contract, prefix: str = LANDING_PREFIX):
-    """The conformed rows of the requested months and the months they stand for."""
+    """The conformed rows of the requested months, and the delivery time of
+    each month they stand for."""
     picks = landing_units(spark, landing, months, prefix)
-    frame = scan_months(spark, [r["unit"] for r in picks], contract, prefix)
-    return frame, [r["date"] for r in picks]
+    frame = scan_months(spark, [p for r in picks for p in r["paths"]], contract, prefix)
+    return frame, {r["date"]: r["delivered_at"] for r in picks}
 
 
 def cmd_init(spark, args) -> None:
@@ -99,8 +108,9 @@ def cmd_init(spark, args) -> None:
 
 def cmd_load(spark, args) -> None:
     contract = _contract(args)
-    frame, months = landing_frame(spark, args.landing, _months(args), contract, args.prefix)
-    opts = {"row_limit": args.row_limit, "rebalance": args.rebalance}
+    frame, delivered = landing_frame(spark, args.landing, _months(args), contract, args.prefix)
+    months = list(delivered)
+    opts = {"row_limit": args.row_limit, "rebalance": args.rebalance, "delivered": delivered}
     if args.command == "load-table":
         report = catalog.load_months_to_table(
             spark, frame, args.table, args.ledger_table, months=months, contract=contract, **opts
@@ -111,21 +121,21 @@ def cmd_load(spark, args) -> None:
 
 
 def cmd_stage_jdbc(spark, args) -> None:
-    """Each month to its own JDBC stage table, its full count appended to a
+    """Each month to its own JDBC stage table, its full count recorded in a
     JDBC count table: the reference's load job, one month unit per write.
 
     Per month: one gate job over that month's unit only (counts, null
     ``date``), then the stage write (replace; ``--truncate`` keeps the table
-    definition; ``--row-limit`` stages at most N rows).  The counts of all
-    months are appended in one write at the end.  A JDBC append is not
-    idempotent: a rerun appends the counts again (use the Parquet ledger
-    for replace semantics).
+    definition; ``--row-limit`` stages at most N rows).  At the end the counts
+    of the months replace those months' rows of the count table
+    (``jdbc.replace_rows``: delete and insert in one transaction), so a rerun
+    leaves one row per month.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     from monthwise.operators.checks import month_gates
     from monthwise.plans.load import decide
-    from monthwise.sources.jdbc import JdbcTarget, append_table, replace_table
+    from monthwise.sources.jdbc import JdbcTarget, replace_rows, replace_table
 
     contract = _contract(args)
     key = contract.partition_key
@@ -133,7 +143,7 @@ def cmd_stage_jdbc(spark, args) -> None:
 
     def stage(r):
         month = r["date"]
-        frame = scan_months(spark, [r["unit"]], contract, args.prefix)
+        frame = scan_months(spark, r["paths"], contract, args.prefix)
         [d] = decide(spark, month_gates(frame, key, (key,)), [month], key)
         rows = frame if args.row_limit is None else frame.limit(args.row_limit)
         table = args.stage_table.format(month)
@@ -146,9 +156,8 @@ def cmd_stage_jdbc(spark, args) -> None:
     with ThreadPoolExecutor(max_workers=max(1, args.parallel)) as pool:
         done = list(pool.map(stage, picks))
     _emit(done)
-    counts = [(r["cnt"], r["date"]) for r in done]
     if args.ledger_table:
-        append_table(spark.createDataFrame(counts, "cnt bigint, date date"), db, args.ledger_table)
+        replace_rows(spark, db, args.ledger_table, "date", ["cnt", "date"], [(r["cnt"], r["date"]) for r in done])
 
 
 def _ledger(spark, args):
@@ -182,7 +191,8 @@ def cmd_stream(spark, args) -> None:
     job = IncrementalLoad(
         landing=args.landing, target_root=args.target, ledger_root=args.ledger, checkpoint=args.checkpoint,
         contract=_contract(args), prefix=args.prefix, rebalance=args.rebalance,
-        table=args.table, ledger_table=args.ledger_table,
+        table=args.table, ledger_table=args.ledger_table, max_files_per_trigger=args.max_files_per_trigger,
+        clean_source=args.clean_source, archive_dir=args.archive_dir, unnamed=args.unnamed, unnamed_root=args.unnamed_root,
     )
     if args.every:
         job.start(spark, args.every).awaitTermination()
@@ -191,6 +201,11 @@ def cmd_stream(spark, args) -> None:
         _emit([{"status": "caught_up"}])
 
 
+def cmd_vacuum(spark, args) -> None:
+    keep = dt.timedelta(hours=args.keep_hours)
+    _emit({"removed": r} for r in catalog.vacuum_runs(spark, args.table, keep=keep))
+
+
 def cmd_compact(spark, args) -> None:
     _emit([{"files_removed": compact_ledger(spark, args.ledger)}])
 
@@ -241,7 +256,7 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--password", default=None)
     sp.add_argument("--driver", default=None, help="JDBC driver class")
     sp.add_argument("--stage-table", default="stage.yellow_tripdata_{:%Y_%m}", help="name pattern of a month's table")
-    sp.add_argument("--ledger-table", default=None, help="JDBC count table (cnt, date) to append to")
+    sp.add_argument("--ledger-table", default=None, help="JDBC count table (cnt, date); a month's row is replaced")
     sp.add_argument("--row-limit", type=int, default=None)
     sp.add_argument("--truncate", action="store_true", help="replace rows but keep the table definition")
     sp.add_argument("--num-partitions", type=int, default=None, help="at most this many connections")
@@ -273,8 +288,19 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--checkpoint", required=True)
     sp.add_argument("--every", default=None, help="keep running with this trigger interval, e.g. '1 hour'")
     sp.add_argument("--rebalance", action="store_true")
+    sp.add_argument("--max-files-per-trigger", type=int, default=None)
+    sp.add_argument("--clean-source", choices=("archive", "delete"), default=None, help="after the load; one-file deliveries only")
+    sp.add_argument("--archive-dir", default=None)
+    sp.add_argument("--unnamed", choices=("fail", "report"), default="fail", help="files that name no month")
+    sp.add_argument("--unnamed-root", default=None, help="folder of that report")
     sp.set_defaults(run=cmd_stream)
 
+    sp = sub.add_parser("vacuum")
+    common(sp)
+    sp.add_argument("--table", required=True)
+    sp.add_argument("--keep-hours", type=float, default=24, help="leave folders of runs younger than this")
+    sp.set_defaults(run=cmd_vacuum)
+
     sp = sub.add_parser("compact-ledger")
     common(sp, ledger=True)
     sp.set_defaults(run=cmd_compact)
@@ -288,6 +314,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         spark = (
             SparkSession.builder.appName(f"monthwise-{args.command}").config("spark.ui.enabled", "false").getOrCreate()
         )
+    if not args.ntz:
+        # the contract's timestamps are times of day without a zone, kept as
+        # instants: any other session zone would move or skip some of them
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     args.run(spark, args)
 
 

@@ -24,9 +24,11 @@ from monthwise.sources import fs
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("cnt", T.LongType(), True),
-        T.StructField("date", T.DateType(), True),
+        T.StructField("date", T.DateType(), False),
         T.StructField("loaded_at", T.TimestampNTZType(), True),
         T.StructField("run_id", T.StringType(), True),
+        # modification time of the delivery that was loaded (null: not known)
+        T.StructField("delivered_at", T.TimestampNTZType(), True),
     ]
 )
 
@@ -37,13 +39,21 @@ def ledger_rows(counts: DataFrame, key: str = "date") -> DataFrame:
 
 
 def ledger_replace(counts: DataFrame, ledger_root: str, key: str = "date", run_id: str | None = None) -> str:
-    """Record the counts of every month in ``counts``; older entries of those
-    months are superseded, other months keep theirs.  Returns the run id."""
+    """Record the counts of every month in ``counts`` (``key``, ``cnt`` and, if
+    known, ``delivered_at``); older entries of those months are superseded,
+    other months keep theirs.  Returns the run id."""
     # run ids sort by creation time, so equal timestamps still order runs
     run_id = run_id or f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rows = ledger_rows(counts, key).where(F.col("date").isNotNull())
-    entry = rows.select("cnt", "date", F.lit(now).cast("timestamp_ntz").alias("loaded_at"), F.lit(run_id).alias("run_id"))
+    delivered = F.col("delivered_at") if "delivered_at" in counts.columns else F.lit(None)
+    rows = counts.where(F.col(key).isNotNull())
+    entry = rows.select(
+        F.col("cnt").cast("long").alias("cnt"),
+        F.col(key).cast("date").alias("date"),
+        F.lit(now).cast("timestamp_ntz").alias("loaded_at"),
+        F.lit(run_id).alias("run_id"),
+        delivered.cast("timestamp_ntz").alias("delivered_at"),
+    )
     entry.coalesce(1).write.mode("append").parquet(ledger_root)
     return run_id
 
@@ -65,6 +75,13 @@ def read_ledger(spark: SparkSession, ledger_root: str) -> DataFrame:
     return log.groupBy("date").agg(latest.alias("cnt")).select(F.col("cnt").cast("long"), "date")
 
 
+def last_delivery(spark: SparkSession, ledger_root: str) -> DataFrame:
+    """``date, delivered_at``: the delivery time of each month's latest entry."""
+    log = read_ledger_log(spark, ledger_root)
+    latest = F.max_by("delivered_at", F.struct("loaded_at", "run_id"))
+    return log.groupBy("date").agg(latest.alias("delivered_at"))
+
+
 def compact_ledger(spark: SparkSession, ledger_root: str) -> int:
     """Rewrite the log as its latest entry per month, in one file.
 
@@ -88,12 +105,14 @@ def compact_ledger(spark: SparkSession, ledger_root: str) -> int:
         return 0
     root = ledger_root.rstrip("/")
     log = spark.read.schema(LOG_SCHEMA).parquet(*[f"{root}/{f}" for f in files])
-    newest = F.max_by(F.struct("cnt", "loaded_at", "run_id"), F.struct("loaded_at", "run_id"))
-    latest = log.groupBy("date").agg(newest.alias("_e")).select("_e.cnt", "date", "_e.loaded_at", "_e.run_id")
+    newest = F.max_by(F.struct("cnt", "loaded_at", "run_id", "delivered_at"), F.struct("loaded_at", "run_id"))
+    latest = log.groupBy("date").agg(newest.alias("_e"))
+    latest = latest.select("_e.cnt", "date", "_e.loaded_at", "_e.run_id", "_e.delivered_at")
     staging = f"{root}/_compact-{uuid.uuid4().hex[:8]}"
     latest.coalesce(1).write.mode("errorifexists").parquet(staging)
     for part in fs.list_dir(spark, staging):
         if part.endswith(".parquet"):
+            # raises unless the new file is seen in the log: nothing is deleted then
             fs.rename(spark, f"{staging}/{part}", f"{root}/compact-{time.time_ns():020d}-{part}")
     fs.delete(spark, staging)
     for f in files:
@@ -101,10 +120,6 @@ def compact_ledger(spark: SparkSession, ledger_root: str) -> int:
     return len(files)
 
 
-def empty_ledger(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], LEDGER_SCHEMA)
-
-
 def reconcile(table_counts: DataFrame, ledger: DataFrame, key: str = "date") -> DataFrame:
     """Compare per-month counts of the table with the ledger (O-34).
 

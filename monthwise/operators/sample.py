@@ -5,10 +5,13 @@ key the sample is deterministic.  Both forms are bounded per task:
 
 * ``sample_head`` plans as ``TakeOrderedAndProject``: each task keeps its own
   top N, the driver merges ``tasks x N`` rows.
-* ``sample_per_month`` filters ``row_number() <= N``; Catalyst inserts a
-  partial ``WindowGroupLimit`` *before* the shuffle, so every task ships at
-  most N rows per month -- a month holding a third of all rows never lands
-  whole in one task.
+* ``first_per_month`` filters ``row_number() <= N``.  Up to
+  ``GROUP_LIMIT_ROWS`` rows Catalyst inserts a partial ``WindowGroupLimit``
+  *before* the shuffle, so every task ships at most N rows per month.  Spark
+  does so up to that N only, so a larger N is numbered by
+  ``split_row_number``, which cuts a hot month into ranges.  Either way a
+  month holding a third of all rows never lands whole in one task, and the
+  rows are the same.
 """
 
 from __future__ import annotations
@@ -18,13 +21,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from monthwise.operators.sequence import split_row_number
+
 DEFAULT_SAMPLE_ROWS = 100  # fixed value: sampler default
+GROUP_LIMIT_ROWS = 1000  # spark.sql.optimizer.windowGroupLimitThreshold's default
 
 
 def _order(keys: Sequence[str]):
     return [F.col(k).asc_nulls_first() for k in keys]
 
 
+def first_per_month(
+    df: DataFrame, keys: Sequence[str], n: int, month: str | Sequence[str] = "date", rank_col: str = "rn"
+) -> DataFrame:
+    """The first ``n`` rows of each month by ``keys``, with their rank.
+    ``n`` must be at least 1."""
+    if n < 1:
+        raise ValueError(f"a row limit must be at least 1, not {n}")
+    if n <= GROUP_LIMIT_ROWS:
+        w = Window.partitionBy(month).orderBy(*_order(keys))
+        return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
+    return split_row_number(df, [month], keys, out=rank_col).where(F.col(rank_col) <= n)
+
+
 def sample_head(df: DataFrame, keys: Sequence[str], n: int = DEFAULT_SAMPLE_ROWS) -> DataFrame:
     return df.orderBy(*_order(keys)).limit(n)
 
@@ -48,10 +67,8 @@ def file_head_per_month(spark, units: Sequence[str], n: int = DEFAULT_SAMPLE_ROW
     order, conformed: the file-order head taken per month, as a fixture
     maker run over each month file.
 
-    One scan per schema group.  ``row_number()`` per month ordered by
-    ``_metadata.file_path, _metadata.row_index`` with ``<= n`` plans a partial
-    ``WindowGroupLimit`` before the shuffle, so every task sends at most
-    ``n`` rows per month, whatever the month's size.
+    One scan per schema group, ``first_per_month`` by
+    ``_metadata.file_path, _metadata.row_index``.
     """
     from monthwise.contract import TRIP_CONTRACT
     from monthwise.functions.calendar import LANDING_PREFIX, month_from_file_name
@@ -63,9 +80,13 @@ def file_head_per_month(spark, units: Sequence[str], n: int = DEFAULT_SAMPLE_ROW
     key = contract.partition_key
     frames = []
     for paths in group_by_schema(spark, list(units)).values():
-        raw = spark.read.parquet(*paths).withColumn("_month", month_from_file_name(F.col("_metadata.file_path"), prefix))
-        w = Window.partitionBy("_month").orderBy(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-        head = raw.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+        raw = spark.read.parquet(*paths).select(
+            "*",
+            month_from_file_name(F.col("_metadata.file_path"), prefix).alias("_month"),
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.row_index").alias("_row"),
+        )
+        head = first_per_month(raw, ["_file", "_row"], n, "_month", "_rn")
         frames.append(conform(head.withColumn(key, F.col("_month")), contract))
     out = frames[0]
     for f in frames[1:]:
@@ -76,8 +97,7 @@ def file_head_per_month(spark, units: Sequence[str], n: int = DEFAULT_SAMPLE_ROW
 def sample_per_month(
     df: DataFrame, keys: Sequence[str], n: int = DEFAULT_SAMPLE_ROWS, month: str = "date", rank_col: str = "rn"
 ) -> DataFrame:
-    w = Window.partitionBy(month).orderBy(*_order(keys))
-    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
+    return first_per_month(df, keys, n, month, rank_col)
 
 
 def write_sample(df: DataFrame, out: str, partition_by: str | None = None) -> None:

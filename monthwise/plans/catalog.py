@@ -41,7 +41,7 @@ def create_database(spark: SparkSession, db: str) -> None:
 def create_target(spark: SparkSession, table: str, location: str, contract: Contract = TRIP_CONTRACT) -> None:
     """External Parquet table from the contract, partitioned by its key."""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_q(table)} ({contract.ddl_columns(not_null_key=False)}) "
+        f"CREATE TABLE IF NOT EXISTS {_q(table)} ({contract.ddl_columns(not_null_key=True)}) "
         f"USING parquet PARTITIONED BY ({_q(contract.partition_key)}) LOCATION {_lit(location)}"
     )
 
@@ -50,7 +50,7 @@ def create_ledger(spark: SparkSession, table: str, location: str) -> None:
     """The ledger log table (append-only; latest entry per month wins)."""
     from monthwise.operators.ledger import LOG_SCHEMA
 
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LOG_SCHEMA.fields)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in LOG_SCHEMA.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_q(table)} ({cols}) USING parquet LOCATION {_lit(location)}")
 
 
@@ -153,69 +153,46 @@ def load_months_to_table(
     rebalance: bool = False,
     sort_within=(),
     row_limit: int | None = None,
+    delivered: dict[dt.date, dt.datetime] | None = None,
 ):
     """Load a conformed frame of many months into a catalog table; each
     month is swapped in by one metadata update.  Safe to repeat.
 
-    Write first, gate what was written, then swap:
+    Write first, gate what was written, then swap, then record:
 
     1. the rows go to a fresh run folder under the table
        (``<location>/_runs/<run>/date=...``; hidden, so neither readers nor
        ``RECOVER PARTITIONS`` see it) -- the only pass over the source;
-    2. the gates (``month_gates`` + ``decide``) run over that folder, reading
-       only the checked columns, with the month from the folder names.  They
-       check exactly the rows that will be published, even if the source
-       changes meanwhile.  On a failure the run folder is deleted and the
-       table is unchanged;
+    2. the gates run over that folder (``write_run``).  On a failure the run
+       folder is deleted and the table is unchanged;
     3. per month the catalog swaps ``ALTER TABLE ... PARTITION ... SET
        LOCATION`` -- readers see the old month or the new one, never none,
        unlike a detach followed by an attach -- or adds the partition, and
        drops the requested months that have no rows;
-    4. the ledger records the counts; superseded folders are deleted, but
-       only when they lie under the table's location (a month attached from
-       elsewhere is left alone).
+    4. the ledger records the counts, so it never names a month that is not
+       in the table.  Superseded folders stay for scans that already run;
+       ``vacuum_runs`` deletes them later.
 
-    ``row_limit`` publishes at most N rows per month while the ledger keeps
-    the full count; that needs the counts of the source, so with it the gates
-    run over the source before the write (``load_months``).
+    ``row_limit`` publishes at most N rows (1 or more) per month while the
+    ledger keeps the full count; that needs the counts of the source, so with
+    it the gates run over the source before the write.
     """
-    import uuid
-
-    from monthwise.operators.checks import GateError, month_gates, require_schema
-    from monthwise.plans.load import LoadReport, decide, load_months, partition_path, publish_months, record_counts
-    from monthwise.sources import fs
+    from monthwise.operators.checks import require_schema
+    from monthwise.plans.load import LoadReport, partition_path, record_counts, run_folder, write_run
 
     key = contract.partition_key
     loc = table_location(spark, table).rstrip("/")
-    run_root = f"{loc}/_runs/{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    ledger_root = table_location(spark, ledger_table)
-
-    if row_limit is not None:
-        report = load_months(
-            spark, df, run_root, ledger_root, months, contract, not_null=not_null, row_limit=row_limit,
-            rebalance=rebalance, sort_within=sort_within, fresh_target=True,
-        )
-        decisions = report.decisions
-    else:
-        require_schema(df, contract)
-        publish_months(df, run_root, key, rebalance=rebalance, sort_within=sort_within, fresh=True)
-        if fs.exists(spark, run_root):
-            written = spark.read.schema(contract.schema).parquet(run_root)
-        else:  # no rows at all
-            written = spark.createDataFrame([], contract.schema)
-        try:
-            decisions = decide(spark, month_gates(written, key, not_null), months, key)
-        except GateError:
-            fs.delete(spark, run_root)
-            raise
-        report = LoadReport(decisions=decisions, published=[r[key] for r in decisions if r["action"] == "attach"])
+    run_root = run_folder(loc)
+    require_schema(df, contract)
+    if row_limit is not None and row_limit < 1:
+        raise ValueError(f"a row limit must be at least 1, not {row_limit}")
+    decisions = write_run(spark, df, run_root, months, contract, not_null, rebalance, sort_within, row_limit)
+    report = LoadReport(decisions=decisions, published=[r[key] for r in decisions if r["action"] == "attach"])
 
     attached = {r[key] for r in attached_months(spark, table, key).collect()}
-    stale = []
     new = {}
     for m in report.published:
         if m in attached:
-            stale.append(partition_location(spark, table, m, key))
             spark.sql(
                 f"ALTER TABLE {_q(table)} PARTITION ({_q(key)} = {_lit(m.isoformat())}) "
                 f"SET LOCATION {_lit(partition_path(run_root, m, key))}"
@@ -223,36 +200,41 @@ def load_months_to_table(
         else:
             new[m] = partition_path(run_root, m, key)
     attach_months(spark, table, new, key)
-    empty = [r[key] for r in decisions if r["action"] == "drop" and r[key] in attached]
-    stale += [partition_location(spark, table, m, key) for m in empty]
-    detach_months(spark, table, empty, key)
-    if row_limit is None:
-        record_counts(spark, decisions, ledger_root, key)
-    for old in stale:
-        if old.rstrip("/").startswith(loc + "/"):
-            fs.delete(spark, old)
+    report.retired = [r[key] for r in decisions if r["action"] == "drop" and r[key] in attached]
+    detach_months(spark, table, report.retired, key)
+    record_counts(spark, decisions, table_location(spark, ledger_table), key, delivered)
     spark.catalog.refreshTable(table)
     spark.catalog.refreshTable(ledger_table)
-    report.retired = empty
     return report
 
 
-def vacuum_runs(spark: SparkSession, table: str, key: str = "date") -> list[str]:
-    """Delete run folders of ``load_months_to_table`` that no partition
-    points into any more (left by a load that failed before its swap).
+def vacuum_runs(spark: SparkSession, table: str, key: str = "date", keep: dt.timedelta = dt.timedelta(days=1)) -> list[str]:
+    """Delete month folders of ``load_months_to_table`` that no partition
+    points to any more (superseded, retired, or of a load that failed before
+    its swap), of runs that are older than ``keep``; a scan that started
+    earlier than that may still read them.  Folders outside the table's runs
+    are left alone.  Returns the deleted folders, relative to the runs.
 
     Metadata only: one catalog call per attached month, one listing of the
-    runs folder.  Run it when no load of the table is in flight.
+    runs folder and of each old run.
     """
     from monthwise.sources import fs
 
     runs = f"{table_location(spark, table).rstrip('/')}/_runs"
-    used = {
-        partition_location(spark, table, r[key], key).rstrip("/").rsplit("/", 1)[0].rsplit("/", 1)[-1]
-        for r in attached_months(spark, table, key).collect()
-    }
+    path = lambda p: p.split(":", 1)[-1].rstrip("/").replace("//", "/")
+    used = {path(partition_location(spark, table, r[key], key)) for r in attached_months(spark, table, key).collect()}
+    limit = f"{dt.datetime.now(dt.timezone.utc) - keep:%Y%m%dT%H%M%S}"
     removed = []
     for run in fs.list_dir(spark, runs):
-        if run not in used and fs.delete(spark, f"{runs}/{run}"):
+        if run.split("-")[0] > limit:
+            continue
+        months = [d for d in fs.list_dir(spark, f"{runs}/{run}") if d.startswith(f"{key}=")]
+        unused = [d for d in months if path(f"{runs}/{run}/{d}") not in used]
+        if len(unused) == len(months):
+            fs.delete(spark, f"{runs}/{run}")
             removed.append(run)
+            continue
+        for d in unused:
+            fs.delete(spark, f"{runs}/{run}/{d}")
+            removed.append(f"{run}/{d}")
     return removed

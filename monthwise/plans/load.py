@@ -8,13 +8,19 @@ supersedes the old one (latest entry wins).
 
 Cost model (what runs over the data):
 
-1. the gate aggregate -- one scan that reads only the partition key and the
-   not-null columns (Catalyst prunes the rest), partial aggregation per
-   month, a one-row-per-month shuffle;
-2. the publish write -- one scan of everything, no shuffle by default.  Files
-   of one month land in that month's folder; Spark stages the new folders
-   and swaps them in at job commit (``partitionOverwriteMode=dynamic`` as a
-   write option, never as a session setting).
+1. the write -- the only scan of the source, no shuffle and no sort by
+   default (``publish_months``), into a hidden run folder;
+2. the gate aggregate over what was written -- reads only the not-null
+   columns (the month comes from folder names), partial aggregation per
+   month, a one-row-per-month shuffle.  It checks exactly the rows that will
+   be published, even if the source changes meanwhile;
+3. two renames per month: the old folder aside, the new one in (on an object
+   store a rename is a copy: use the catalog form there, which swaps
+   locations).  Between the two the month is absent for a moment; a failed
+   rename puts the old folder back.
+
+With ``row_limit`` the full counts are needed too, so the gates then run over
+the source, and the write reads it a second time.
 
 The gate totals and the decision are one job whose result is one row per
 month (bounded by the calendar, not by the data); only that reaches the
@@ -24,18 +30,24 @@ driver.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise.contract import TRIP_CONTRACT, Contract
-from monthwise.operators.checks import GateError, month_gates, require_schema
+from monthwise.operators.checks import GateError, gate_summary, month_gates, require_schema
 from monthwise.operators.ledger import ledger_replace
+from monthwise.operators.sample import first_per_month
 from monthwise.sources import fs
 
+#: Month files that a write task may hold open before it sorts instead.
+OPEN_MONTHS = 4
+
 
 @dataclass
 class LoadReport:
@@ -52,9 +64,24 @@ def partition_path(root: str, month: dt.date, key: str = "date") -> str:
 
 
 def limit_per_month(df: DataFrame, n: int, key: str = "date") -> DataFrame:
-    """At most ``n`` arbitrary rows per month (the optional stage limit)."""
-    w = Window.partitionBy(key).orderBy(F.lit(1))
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    """At most ``n`` (1 or more) arbitrary rows per month (the optional stage
+    limit); the order is a hash of the row, so that a hot month can be cut."""
+    numbered = df.withColumn("_h", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    return first_per_month(numbered, ["_h"], n, key, "_rn").drop("_rn", "_h")
+
+
+@contextmanager
+def _open_writers(spark: SparkSession, n: int):
+    """Let a write task keep ``n`` month files open.  Without it Spark sorts
+    every row by month before a partitioned write; beyond ``n`` months in one
+    task it still does, for that task."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def publish_months(
@@ -82,15 +109,14 @@ def publish_months(
     out = df.hint("rebalance", key) if rebalance else df
     if sort_within:
         out = out.sortWithinPartitions(key, *sort_within)
-    if fresh:
-        out.write.mode("errorifexists").partitionBy(key).parquet(target_root)
-        return
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(key)
-        .parquet(target_root)
+    writer = out.write.partitionBy(key)
+    writer = (
+        writer.mode("errorifexists") if fresh else writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     )
+    # a split of month files holds rows of one month, or of two or three where
+    # small files share it
+    with _open_writers(df.sparkSession, 0 if rebalance or sort_within else OPEN_MONTHS):
+        writer.parquet(target_root)
 
 
 def retire_months(spark: SparkSession, target_root: str, months: Iterable[dt.date], key: str = "date") -> list[dt.date]:
@@ -107,9 +133,8 @@ def detach_month(spark: SparkSession, target_root: str, month: dt.date, detached
     src = partition_path(target_root, month, key)
     if not fs.exists(spark, src):
         return False
-    dst = partition_path(detached_root, month, key)
-    fs.delete(spark, dst)
-    return fs.rename(spark, src, dst)
+    fs.replace(spark, src, partition_path(detached_root, month, key))
+    return True
 
 
 def attach_month(spark: SparkSession, detached_root: str, month: dt.date, target_root: str, key: str = "date") -> bool:
@@ -117,9 +142,8 @@ def attach_month(spark: SparkSession, detached_root: str, month: dt.date, target
     src = partition_path(detached_root, month, key)
     if not fs.exists(spark, src):
         return False
-    dst = partition_path(target_root, month, key)
-    fs.delete(spark, dst)
-    return fs.rename(spark, src, dst)
+    fs.replace(spark, src, partition_path(target_root, month, key))
+    return True
 
 
 def load_months(
@@ -134,7 +158,7 @@ def load_months(
     rebalance: bool = False,
     sort_within: Sequence[str] = (),
     persist: bool = False,
-    fresh_target: bool = False,
+    delivered: dict[dt.date, dt.datetime] | None = None,
 ) -> LoadReport:
     """Load a conformed frame of many months; safe to repeat.
 
@@ -142,17 +166,21 @@ def load_months(
     without rows is retired (its old data removed) and gets ``cnt = 0`` in
     the ledger.  Rows of a month that was not requested fail the range gate.
     ``None``: the months present in ``df``.
-    ``fresh_target``: ``target_root`` is a new folder (see ``publish_months``).
+    ``delivered``: the delivery time of each month, for the ledger.
+    ``row_limit``: publish at most that many rows (1 or more) per month; the
+    ledger keeps the full count.
     """
     key = contract.partition_key
     require_schema(df, contract)
+    if row_limit is not None and row_limit < 1:
+        raise ValueError(f"a row limit must be at least 1, not {row_limit}")
     if persist:
         # worth it only when the frame is expensive to recompute (a JDBC or
         # remote source): the gate pass and the write then read it once
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _load(
-            spark, df, target_root, ledger_root, months, key, not_null, row_limit, rebalance, sort_within, fresh_target
+            spark, df, target_root, ledger_root, months, contract, not_null, row_limit, rebalance, sort_within, delivered
         )
     finally:
         if persist:
@@ -171,57 +199,78 @@ def decide(spark: SparkSession, gates: DataFrame, months, key: str = "date") ->
     """Check ``month_gates`` totals against the requested months and decide
     per month: ``attach`` when it has rows, ``drop`` when it has none.
 
-    One job: the per-month gate rows joined to the requested months; one row
-    per month (requested or present) reaches the driver.  Raises
+    One row of failure totals, then one row per requested month (or, without
+    a request, per month present) reaches the driver.  Raises
     ``GateError`` when rows fall outside the requested months or a required
     column is null.
     """
-    null_cols = [c for c in gates.columns if c.startswith("null_")]
     months_df = _month_frame(spark, months, key)
-    if months_df is None:
-        flagged = gates.withColumn("_req", F.col(key).isNotNull())
-    else:
-        flagged = months_df.withColumn("_req", F.lit(True)).join(gates, key, "full_outer")
-    per_month = flagged.collect()
-
-    requested = [r for r in per_month if r["_req"]]
-    failures = {"out_of_range": sum(r["cnt"] or 0 for r in per_month if not r["_req"])}
-    for c in null_cols:
-        failures[c] = sum(r[c] or 0 for r in requested)
-    failures = {k: v for k, v in failures.items() if v}
-    if failures:
-        raise GateError(f"gates failed, nothing published: {failures}")
+    # one row of totals first: a broken key makes as many groups as it has
+    # values, and only the months asked for may reach the driver
+    gates = gates.persist()  # a row a month: both looks share one scan
+    try:
+        totals = gate_summary(gates, months_df, key).first()
+        failures = {k: v for k, v in totals.asDict().items() if v and k != "rows_in_range"}
+        if failures:
+            raise GateError(f"gates failed, nothing published: {failures}")
+        requested = (gates if months_df is None else months_df.join(gates, key, "left")).collect()
+    finally:
+        gates.unpersist()
     return [
         Row(**{key: r[key], "cnt": int(r["cnt"] or 0), "action": "attach" if (r["cnt"] or 0) > 0 else "drop"})
         for r in sorted(requested, key=lambda r: r[key])
     ]
 
 
-def record_counts(spark: SparkSession, decisions: list[Row], ledger_root: str, key: str = "date") -> None:
+def record_counts(
+    spark: SparkSession, decisions: list[Row], ledger_root: str, key: str = "date", delivered: dict | None = None
+) -> None:
     """The ledger always records the full count, also for an empty month."""
-    ledger_replace(
-        spark.createDataFrame([(r["cnt"], r[key]) for r in decisions], "cnt bigint, date date"), ledger_root, "date"
-    )
+    rows = [(r["cnt"], r[key], (delivered or {}).get(r[key])) for r in decisions]
+    counts = spark.createDataFrame(rows, "cnt bigint, date date, delivered_at timestamp_ntz")
+    ledger_replace(counts, ledger_root, "date")
+
+
+def write_run(spark, df, run_root, months, contract, not_null=("date",), rebalance=False, sort_within=(), row_limit=None) -> list[Row]:
+    """Write ``df`` to the new folder ``run_root`` by month and check it;
+    decisions per month.  On a gate failure the folder is deleted."""
+    key = contract.partition_key
+    if row_limit is not None:
+        # the counts are those of the source, so the gates run over it first
+        decisions = decide(spark, month_gates(df, key, not_null), months, key)
+        publish_months(limit_per_month(df, row_limit, key), run_root, key, rebalance, sort_within, fresh=True)
+        return decisions
+    publish_months(df, run_root, key, rebalance, sort_within, fresh=True)
+    try:
+        return decide(spark, month_gates(read_target(spark, run_root, contract), key, not_null), months, key)
+    except GateError:
+        fs.delete(spark, run_root)
+        raise
+
+
+def run_folder(root: str) -> str:
+    """A new hidden folder for one run; readers of ``root`` do not see it."""
+    return f"{root.rstrip('/')}/_runs/{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
 
 def _load(
-    spark, df, target_root, ledger_root, months, key, not_null, row_limit, rebalance, sort_within, fresh=False
+    spark, df, target_root, ledger_root, months, contract, not_null, row_limit, rebalance, sort_within, delivered
 ) -> LoadReport:
-    decisions = decide(spark, month_gates(df, key, not_null), months, key)
+    key, run_root = contract.partition_key, run_folder(target_root)
+    decisions = write_run(spark, df, run_root, months, contract, not_null, rebalance, sort_within, row_limit)
     attach = [r[key] for r in decisions if r["action"] == "attach"]
     drop = [r[key] for r in decisions if r["action"] == "drop"]
-
-    if attach:
-        rows = df if row_limit is None else limit_per_month(df, row_limit, key)
-        publish_months(rows, target_root, key, rebalance=rebalance, sort_within=sort_within, fresh=fresh)
+    for m in attach:
+        fs.replace(spark, partition_path(run_root, m, key), partition_path(target_root, m, key))
+    fs.delete(spark, run_root)
     retired = retire_months(spark, target_root, drop, key)
-    record_counts(spark, decisions, ledger_root, key)
+    record_counts(spark, decisions, ledger_root, key, delivered)
     return LoadReport(decisions=decisions, published=attach, retired=retired)
 
 
 def read_target(spark: SparkSession, target_root: str, contract: Contract = TRIP_CONTRACT) -> DataFrame:
     """The published table, columns in contract order (empty if absent)."""
-    if not fs.exists(spark, target_root):
-        return spark.createDataFrame([], contract.schema)
+    if not any(not n.startswith(("_", ".")) for n in fs.list_dir(spark, target_root)):
+        return spark.createDataFrame([], contract.schema)  # absent, or no month in it
     df = spark.read.schema(contract.schema).parquet(target_root)
     return df.select(*contract.names)

@@ -8,6 +8,7 @@ folder).  Only when it is unset -- a local test run -- do we create one.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -55,10 +56,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared scratch root: the session's ``spark.checkpoint.dir``; when the
-    session has none (local tests), a fresh folder is created and set."""
+    """Shared scratch root: the session's ``spark.checkpoint.dir``.  A session
+    without one that runs in this one JVM (local tests) gets a fresh folder.
+    On a cluster a folder of the driver's machine would be no use to
+    executors, so there the setting is required."""
     d = checkpoint_dir(spark)
     if not d:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master is {master})")
         d = tempfile.mkdtemp(prefix="monthwise-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         return spark.sparkContext.getCheckpointDir() or d

@@ -6,6 +6,8 @@ Only metadata moves through here (exists / delete / list a folder); no data.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -28,13 +30,55 @@ def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     return bool(fs.delete(p, recursive))
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename a file or folder; raises if the file system did not do it
+    (Hadoop reports some failures as a false return value only)."""
     fs, p = _fs_and_path(spark, src)
     _, q = _fs_and_path(spark, dst)
     parent = q.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
-    return bool(fs.rename(p, q))
+    if not _renamed(fs, p, q):
+        raise OSError(f"rename failed: {src} -> {dst}")
+
+
+def _renamed(fs, p, q) -> bool:
+    return bool(fs.rename(p, q)) and bool(fs.exists(q))
+
+
+def replace(spark: SparkSession, src: str, dst: str) -> None:
+    """Put ``src`` in the place of ``dst``: the old one is renamed aside, the
+    new one renamed in, and only then the old one deleted.  If the second
+    rename fails, the old one is put back, so ``dst`` is never lost."""
+    if not exists(spark, dst):
+        rename(spark, src, dst)
+        return
+    parent, name = dst.rstrip("/").rsplit("/", 1)
+    aside = f"{parent}/_old-{uuid.uuid4().hex[:8]}-{name}"
+    rename(spark, dst, aside)
+    try:
+        rename(spark, src, dst)
+    except Exception:
+        rename(spark, aside, dst)
+        raise
+    delete(spark, aside)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_and_path(spark, path)
+    return bool(fs.getFileStatus(p).isDirectory())
+
+
+def walk(spark: SparkSession, path: str) -> list[str]:
+    """Files below ``path``, folders whose names start with ``_`` or ``.`` left out."""
+    fs, p = _fs_and_path(spark, path)
+    out = []
+    for status in fs.listStatus(p):
+        child = status.getPath()
+        if child.getName().startswith(("_", ".")):
+            continue
+        out += walk(spark, str(child)) if status.isDirectory() else [str(child)]
+    return out
 
 
 def list_dir(spark: SparkSession, path: str) -> list[str]:
@@ -44,8 +88,3 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
         return []
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
-
-def qualify(spark: SparkSession, path: str) -> str:
-    """Fully qualified URI of ``path`` (adds the default scheme)."""
-    fs, p = _fs_and_path(spark, path)
-    return str(fs.makeQualified(p).toString())

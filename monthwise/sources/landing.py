@@ -49,42 +49,37 @@ def newest_file_per_month(
 ) -> DataFrame:
     """Latest arrival wins: one row per month with the newest file.
 
-    ``max_by`` over a struct (time, path) breaks ties on equal times by path,
-    so the pick is deterministic.  Partial aggregation keeps one candidate per
-    month per task before the shuffle, so a month with many files is no hot
-    spot.
+    Ties on equal times go to the larger path, so the pick is deterministic.
+    Partial aggregation keeps one candidate per month per task before the
+    shuffle, so a month with many files is no hot spot.  Rows without a month
+    are one group of their own, dropped after the aggregate: a filter before
+    it would be pushed below the projection and work out the month twice.
     """
-    best = F.max(F.struct(F.col(time_col).alias("t"), F.col(path_col).alias("p")))
+    time, path = F.col(time_col), F.col(path_col)
     return (
-        listing.where(F.col(month_col).isNotNull())
-        .groupBy(month_col)
-        .agg(best.alias("_b"), F.count(F.lit(1)).alias("n_files"))
-        .select(
-            F.col(month_col),
-            F.col("_b.p").alias(path_col),
-            F.col("_b.t").alias(time_col),
-            F.col("n_files"),
-        )
+        listing.groupBy(month_col)
+        .agg(F.max_by(path, F.struct(time, path)).alias("_p"), F.max(time).alias("_t"), F.count(F.lit(1)).alias("n_files"))
+        .where(F.col(month_col).isNotNull())
+        .select(F.col(month_col), F.col("_p").alias(path_col), F.col("_t").alias(time_col), F.col("n_files"))
     )
 
 
 @dataclass(frozen=True)
 class MonthSource:
-    """One month unit: a file or folder of one schema and its month."""
+    """A file or folder of month rows, and its month."""
 
     path: str
     month: object  # datetime.date, or None to take it from the file name
 
 
 def _spark_signature(spark: SparkSession, path: str) -> str:
-    # Spark infers from a single footer when mergeSchema is off
     return spark.read.parquet(path).schema.json()
 
 
 def _arrow_signature(path: str) -> str | None:
-    """Column names and types from one Parquet footer of a file or folder,
-    read with pyarrow (metadata only).  None when pyarrow cannot open the
-    file system of ``path``; the caller falls back to Spark."""
+    """Column names and types of one Parquet file's footer, read with pyarrow
+    (metadata only).  None when pyarrow cannot open the file system of
+    ``path``; the caller falls back to Spark."""
     try:
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
@@ -95,17 +90,6 @@ def _arrow_signature(path: str) -> str | None:
             fsys, p = pafs.FileSystem.from_uri(path)
         else:
             fsys, p = pafs.LocalFileSystem(), path
-        info = fsys.get_file_info(p)
-        if info.type == pafs.FileType.Directory:
-            files = sorted(
-                i.path
-                for i in fsys.get_file_info(pafs.FileSelector(p, recursive=True))
-                if i.is_file and i.path.endswith(".parquet")
-                and not any(part.startswith(("_", ".")) for part in i.path[len(p):].split("/"))
-            )
-            if not files:
-                return None
-            p = files[0]
         with fsys.open_input_file(p) as f:
             schema = pq.read_schema(f)
         return repr([(fld.name, str(fld.type)) for fld in schema])
@@ -113,20 +97,32 @@ def _arrow_signature(path: str) -> str | None:
         return None
 
 
-def group_by_schema(spark: SparkSession, paths: list[str], threads: int = 16) -> dict[str, list[str]]:
-    """Paths grouped by their Parquet schema (one footer per path).
+def parquet_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files of a file or folder (hidden names left out)."""
+    from monthwise.sources import fs
+
+    if not fs.is_folder(spark, path):
+        return [path]
+    return sorted(f for f in fs.walk(spark, path) if f.endswith(".parquet"))
+
+
+def group_by_schema(spark: SparkSession, paths: list[str], threads: int = 32, expand: bool = True) -> dict[str, list[str]]:
+    """Files grouped by their Parquet schema; a folder among ``paths`` counts
+    as its files.
 
-    Footers are read in parallel threads on the driver -- metadata only,
-    one per month unit (file or folder).
+    Every file's own footer is read, as files of one folder may differ and a
+    scan takes one schema for all its files.  Footers are read in parallel
+    threads on the driver: metadata only, a few KB a file.
     """
     def sig(p: str) -> str:
         a = _arrow_signature(p)
         return ("arrow:" + a) if a is not None else ("spark:" + _spark_signature(spark, p))
 
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths) or 1))) as pool:
-        sigs = list(pool.map(sig, paths))
+        files = [f for found in pool.map(lambda p: parquet_files(spark, p), paths) for f in found] if expand else paths
+        sigs = list(pool.map(sig, files))
     groups: dict[str, list[str]] = {}
-    for p, s in zip(paths, sigs):
+    for p, s in zip(files, sigs):
         groups.setdefault(s, []).append(p)
     return groups
 
@@ -154,18 +150,22 @@ def scan_months(
     units = [s if isinstance(s, MonthSource) else MonthSource(s, None) for s in sources]
     if not units:
         raise ValueError("no month files to scan")
-    by_path = {u.path: u for u in units}
     key = contract.partition_key
+    with ThreadPoolExecutor(max_workers=min(32, len(units))) as pool:
+        found = list(pool.map(lambda u: parquet_files(spark, u.path), units))
+    month_of = {f: u.month for u, files in zip(units, found) for f in files}
+    if not month_of:
+        return spark.createDataFrame([], contract.schema)
     frames = []
-    for _, paths in group_by_schema(spark, list(by_path)).items():
-        named = [p for p in paths if by_path[p].month is None]
+    for paths in group_by_schema(spark, list(month_of), expand=False).values():
+        named = [p for p in paths if month_of[p] is None]
         if named:
             raw = spark.read.parquet(*named)
             frames.append(conform(raw.withColumn(key, month_from_file_name(F.col("_metadata.file_path"), prefix)), contract))
         given: dict = {}
         for p in paths:
-            if by_path[p].month is not None:
-                given.setdefault(by_path[p].month, []).append(p)
+            if month_of[p] is not None:
+                given.setdefault(month_of[p], []).append(p)
         if given:
             schema = spark.read.parquet(paths[0]).schema  # one footer for the group
 
@@ -223,34 +223,55 @@ def write_month_files(
         month_name = d[len("_name="):]
         if layout == "folder":
             dst = f"{root}/{month_name}"
-            fs.delete(spark, dst)
-            fs.rename(spark, f"{staging}/{d}", dst)
+            fs.replace(spark, f"{staging}/{d}", dst)
             written.append(dst)
             continue
         parts = sorted(f for f in fs.list_dir(spark, f"{staging}/{d}") if f.endswith(".parquet"))
         for i, part in enumerate(parts):
             suffix = "" if len(parts) == 1 else f"-{i:05d}"
             dst = f"{root}/{month_name}{suffix}.parquet"
-            fs.delete(spark, dst)
-            fs.rename(spark, f"{staging}/{d}/{part}", dst)
+            fs.replace(spark, f"{staging}/{d}/{part}", dst)
             written.append(dst)
     fs.delete(spark, staging)
     return written
 
 
 def month_unit(path, prefix: str = LANDING_PREFIX) -> Column:
-    """The file or folder that names the month of ``path``: for
-    ``.../<prefix>2020_01.parquet`` the file, for
-    ``.../<prefix>2020_01/part-0.parquet`` the folder.  Empty if none."""
-    pat = r"^(.*?" + prefix.replace(".", "\\.") + r"[0-9]{4}[_-][0-9]{2}[^/]*)"
-    return F.regexp_extract(path if isinstance(path, Column) else F.col(path), pat, 1)
+    """The delivery that ``path`` belongs to: up to the last part of the path
+    that names a month.  For ``.../<prefix>2020_01/part-0.parquet`` that is
+    the folder, for ``.../<prefix>2020_01.parquet`` the file, and for parts
+    ``.../<prefix>2020_01-00000.parquet`` their common name.  Empty if none."""
+    p = path if isinstance(path, Column) else F.col(path)
+    named = F.regexp_extract(p, "^(.*" + prefix.replace(".", "\\.") + "[0-9]{4}[_-](?:0[1-9]|1[0-2])[^/]*)", 1)
+    return F.regexp_replace(named, r"-[0-9]{5}\.parquet$", "")
 
 
-def month_units(listing: DataFrame, path_col: str = "path", prefix: str = LANDING_PREFIX) -> DataFrame:
-    """Newest unit per month from a file listing: ``date, unit, modificationTime, n_files``.
+def unnamed_files(listing: DataFrame, path_col: str = "path", prefix: str = LANDING_PREFIX) -> DataFrame:
+    """The files of a listing whose name gives no valid month."""
+    return listing.where(month_unit(F.col(path_col), prefix) == "")
+
 
-    A month re-delivered as a new file or folder replaces the old one; files
-    added to a month folder make the folder the month's unit again.
+def month_units(listing: DataFrame, path_col: str = "path", prefix: str = LANDING_PREFIX) -> DataFrame:
+    """Newest delivery per month from a file listing: ``date, unit,
+    modificationTime, n_files, paths``.
+
+    A delivery is all its parts (``paths``), and as new as its newest file; a
+    month delivered again under another name replaces the old one, files
+    added to a delivery belong to it.  One row per month; ``paths`` is as
+    long as the month has files.  Files that name no month are in
+    ``unnamed_files``.
     """
-    units = with_month(listing, path_col, prefix).withColumn("unit", month_unit(F.col(path_col), prefix))
-    return newest_file_per_month(units.where(F.col("unit") != ""), path_col="unit")
+    unit = month_unit(F.col(path_col), prefix)
+    deliveries = (
+        listing.withColumn("unit", unit)
+        .groupBy("unit")
+        .agg(
+            F.max("modificationTime").alias("modificationTime"),
+            F.count(F.lit(1)).alias("n_files"),
+            F.sort_array(F.collect_list(path_col)).alias("paths"),
+        )
+        .where(F.col("unit") != "")
+        .withColumn("date", month_from_file_name(F.col("unit"), prefix))
+    )
+    newest = F.max_by(F.struct("unit", "modificationTime", "n_files", "paths"), F.struct("modificationTime", "unit"))
+    return deliveries.groupBy("date").agg(newest.alias("_d")).select("date", "_d.*")

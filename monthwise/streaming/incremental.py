@@ -3,8 +3,13 @@
 The stream is over the *file listing* of the landing folder (``binaryFile``
 without ``content``), not over the Parquet rows: month files differ in
 schema, and a Parquet stream needs one fixed schema.  Each micro-batch is a
-set of new paths; ``foreachBatch`` resolves the newest file per month in the
-batch and runs ``load_months`` for those months.  ``load_months`` is safe to
+set of new paths, which tell the months that have changed.  ``foreachBatch``
+lists those months' deliveries in full (a part may have come in an earlier
+batch), takes the newest of each month and runs ``load_months``.  A delivery
+older than the one that the ledger says was loaded is left out, so an old
+file that comes late does not undo a newer one.  A new file that names no
+month fails the batch (or is reported, see ``unnamed``), so it is never
+marked as seen in silence.  ``load_months`` is safe to
 repeat, so a batch replayed after a crash has the same effect as once: the
 checkpoint gives at-least-once delivery, idempotence makes it exactly-once.
 
@@ -17,12 +22,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthwise.contract import TRIP_CONTRACT, Contract
-from monthwise.functions.calendar import LANDING_PREFIX
+from monthwise.functions.calendar import LANDING_PREFIX, month_from_file_name
+from monthwise.operators.ledger import last_delivery
 from monthwise.plans.load import load_months
-from monthwise.sources.landing import MonthSource, month_units, scan_months
+from monthwise.sources.landing import list_files, month_unit, month_units, scan_months, unnamed_files
 
 LISTING_SCHEMA = T.StructType(
     [
@@ -34,6 +41,9 @@ LISTING_SCHEMA = T.StructType(
 )
 
 
+NEVER = "36500d"
+
+
 @dataclass
 class IncrementalLoad:
     """``target_root`` / ``ledger_root``: the path form.  With ``table`` and
@@ -48,7 +58,11 @@ class IncrementalLoad:
     prefix: str = LANDING_PREFIX
     glob: str = "*.parquet"
     max_files_per_trigger: int | None = None
-    clean_source: str | None = None  # "archive" | "delete" | None
+    # "archive" | "delete" | None.  Only for deliveries of one file: a part
+    # that is gone could not be loaded again with a part that comes later.
+    clean_source: str | None = None
+    unnamed: str = "fail"  # or "report": to the rows of unnamed_root
+    unnamed_root: str | None = None
     archive_dir: str | None = None
     rebalance: bool = False
     table: str | None = None
@@ -60,6 +74,8 @@ class IncrementalLoad:
             .schema(LISTING_SCHEMA)
             .option("pathGlobFilter", self.glob)
             .option("recursiveFileLookup", "true")
+            # by default a file 7 days older than the newest one seen is ignored for ever
+            .option("maxFileAge", NEVER)
         )
         if self.max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", str(self.max_files_per_trigger))
@@ -71,31 +87,51 @@ class IncrementalLoad:
 
     def load_batch(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        # newest file-or-folder per month among the new files; the month is in
-        # its name, so one scan per schema group reads it from _metadata
-        picks = month_units(batch, "path", self.prefix).select("date", "unit").collect()
+        self._check_names(batch, epoch_id)
+        changed = batch.select(month_unit(F.col("path"), self.prefix).alias("unit")).where("unit <> ''")
+        changed = changed.select(month_from_file_name(F.col("unit"), self.prefix).alias("date")).distinct()
+        # all parts of the months' deliveries, with those of earlier batches
+        listing = list_files(spark, self.landing, self.glob, recursive=True)
+        newest = month_units(listing, "path", self.prefix).join(changed, "date", "left_semi")
+        seen = last_delivery(spark, self._ledger_root(spark)).withColumnRenamed("delivered_at", "_seen")
+        delivered = F.col("modificationTime").cast("timestamp_ntz")
+        newest = newest.join(seen, "date", "left").where(F.col("_seen").isNull() | (F.col("_seen") <= delivered))
+        picks = newest.select("date", "unit", "paths", delivered.alias("delivered_at")).collect()  # a row a month
         if not picks:
             return
-        units = [MonthSource(r["unit"], None) for r in picks]
-        frame = scan_months(spark, units, self.contract, self.prefix)
-        months = [r["date"] for r in picks]
+        if self.clean_source and (parts := [r["unit"] for r in picks if r["paths"] != [r["unit"]]]):
+            raise ValueError(f"clean_source needs deliveries of one file; these have parts: {sorted(parts)[:10]}")
+        frame = scan_months(spark, [p for r in picks for p in r["paths"]], self.contract, self.prefix)
+        options = {
+            "months": [r["date"] for r in picks],
+            "contract": self.contract,
+            "rebalance": self.rebalance,
+            "delivered": {r["date"]: r["delivered_at"] for r in picks},
+        }
         if self.table is not None:
             from monthwise.plans.catalog import load_months_to_table
 
-            load_months_to_table(
-                spark, frame, self.table, self.ledger_table, months=months, contract=self.contract,
-                rebalance=self.rebalance,
-            )
+            load_months_to_table(spark, frame, self.table, self.ledger_table, **options)
+        else:
+            load_months(spark, frame, self.target_root, self.ledger_root, **options)
+
+    def _ledger_root(self, spark: SparkSession) -> str:
+        if self.table is None:
+            return self.ledger_root
+        from monthwise.plans.catalog import table_location
+
+        return table_location(spark, self.ledger_table)
+
+    def _check_names(self, batch: DataFrame, epoch_id: int) -> None:
+        odd = unnamed_files(batch, "path", self.prefix)
+        if self.unnamed == "report":
+            if self.unnamed_root is None:
+                raise ValueError("unnamed='report' needs unnamed_root")
+            # one folder a batch, so a replayed batch reports its files once
+            odd.write.mode("overwrite").parquet(f"{self.unnamed_root.rstrip('/')}/batch={epoch_id}")
             return
-        load_months(
-            spark,
-            frame,
-            self.target_root,
-            self.ledger_root,
-            months=months,
-            contract=self.contract,
-            rebalance=self.rebalance,
-        )
+        if names := [r["path"] for r in odd.select("path").limit(10).collect()]:
+            raise ValueError(f"landing files that name no month: {names}")
 
     def run_available(self, spark: SparkSession) -> None:
         """Process every file not yet seen, then stop."""

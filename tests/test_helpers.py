@@ -1,5 +1,5 @@
-"""Small public helpers: gate summary, landing path, schema match, empty
-ledger, partition recovery of the catalog table."""
+"""Small public helpers: gate summary, landing path, schema match,
+partition recovery of the catalog table."""
 
 import datetime as dt
 import uuid
@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from monthwise.contract import TRIP_CONTRACT, schemas_match
 from monthwise.functions.calendar import landing_path
 from monthwise.operators.checks import gate_summary, month_gates
-from monthwise.operators.ledger import empty_ledger
 
 
 def test_gate_summary_counts_out_of_range_and_nulls(spark):
@@ -39,11 +38,6 @@ def test_schemas_match_ignores_nullability(spark):
     assert not schemas_match(a, TRIP_CONTRACT.with_timestamp_ntz().schema)
 
 
-def test_empty_ledger(spark):
-    e = empty_ledger(spark)
-    assert e.count() == 0 and e.columns == ["cnt", "date"]
-
-
 def test_recover_months_registers_folders(spark, scratch):
     from monthwise.plans import catalog
     from monthwise.plans.load import publish_months

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 import uuid
 
 from pyspark.sql import functions as F
@@ -93,14 +94,19 @@ def test_load_months_to_table_swaps_months(spark, scratch):
     old = local_path(catalog.partition_location(spark, t, M))
     assert os.path.isdir(old)
 
-    # reload one month with fewer rows: swapped in, old folder gone, others kept
+    # reload one month with fewer rows: swapped in, others kept; the old folder
+    # stays for running scans and goes with a later vacuum
     other = dt.date(1998, 6, 1)
     other_loc = catalog.partition_location(spark, t, other)
     part = trips.where((F.col("date") == F.lit(M)) & (F.col("store_and_fwd_flag") == "F"))
     catalog.load_months_to_table(spark, part, t, ledger, months=[M], contract=C)
     n = part.count()
     assert 0 < n < want[M] and counts() == {**want, M: n}
-    assert not os.path.exists(old) and catalog.partition_location(spark, t, other) == other_loc
+    assert os.path.isdir(old) and catalog.partition_location(spark, t, other) == other_loc
+    assert catalog.vacuum_runs(spark, t) == [] and os.path.isdir(old)
+    time.sleep(1.1)
+    assert catalog.vacuum_runs(spark, t, keep=dt.timedelta(0)) and not os.path.exists(old)
+    assert counts() == {**want, M: n}
 
     # empty reload: the month leaves the table, the ledger says 0
     catalog.load_months_to_table(spark, part.where(F.lit(False)), t, ledger, months=[M], contract=C)
@@ -120,8 +126,8 @@ def test_load_months_to_table_swaps_months(spark, scratch):
 
     # run folders no partition points into are vacuumed; the rest stay
     runs = os.path.join(local_path(catalog.table_location(spark, t)), "_runs")
-    os.makedirs(os.path.join(runs, "crashed-run", f"date={M.isoformat()}"))
-    assert "crashed-run" in catalog.vacuum_runs(spark, t)
+    os.makedirs(os.path.join(runs, "20200101T000000-crashed", f"date={M.isoformat()}"))
+    assert "20200101T000000-crashed" in catalog.vacuum_runs(spark, t)
     assert counts()[M] == n and counts() == {**want, M: n}
     assert all(os.listdir(os.path.join(runs, r)) for r in os.listdir(runs))
 
