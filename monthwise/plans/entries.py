@@ -67,29 +67,9 @@ def q_conform_trips(spark, sf_dir):
     return lineitem_trips(spark, sf_dir)
 
 
+_SQL_TYPES = {"bigint": "BIGINT", "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER"}
 _NULL_ROW_SQL = ",\n       ".join(
-    f"CAST(NULL AS {t}) AS {n}"
-    for n, t in [
-        ("vendor_id", "BIGINT"),
-        ("tpep_pickup_datetime", "TIMESTAMP"),
-        ("tpep_dropoff_datetime", "TIMESTAMP"),
-        ("passenger_count", "DOUBLE"),
-        ("trip_distance", "DOUBLE"),
-        ("ratecode_id", "DOUBLE"),
-        ("store_and_fwd_flag", "VARCHAR"),
-        ("pu_location_id", "BIGINT"),
-        ("do_location_id", "BIGINT"),
-        ("payment_type", "BIGINT"),
-        ("fare_amount", "DOUBLE"),
-        ("extra", "DOUBLE"),
-        ("mta_tax", "DOUBLE"),
-        ("tip_amount", "DOUBLE"),
-        ("tolls_amount", "DOUBLE"),
-        ("improvement_surcharge", "DOUBLE"),
-        ("total_amount", "DOUBLE"),
-        ("congestion_surcharge", "DOUBLE"),
-        ("airport_fee", "INTEGER"),
-    ]
+    f"CAST(NULL AS {_SQL_TYPES[f.dataType.simpleString()]}) AS {f.name}" for f in CONTRACT.schema.fields if f.name != "date"
 )
 
 
@@ -102,6 +82,48 @@ def q_conform_missing(spark, sf_dir):
     return conform(raw, CONTRACT)
 
 
+_BAD = "o_orderkey % 7"
+
+
+@register(
+    "conform_bad_values",
+    f"""
+SELECT CASE WHEN {_BAD} = 0 THEN NULL ELSE o_custkey END AS vendor_id,
+       CASE WHEN {_BAD} <> 1 THEN CAST(o_orderdate AS TIMESTAMP) END AS tpep_pickup_datetime,
+       CAST(NULL AS TIMESTAMP) AS tpep_dropoff_datetime,
+       CASE WHEN {_BAD} <> 2 THEN CAST(length(o_orderpriority) AS DOUBLE) END AS passenger_count,
+       CAST(NULL AS DOUBLE) AS trip_distance, CAST(NULL AS DOUBLE) AS ratecode_id,
+       CASE WHEN {_BAD} = 3 THEN NULL ELSE o_orderstatus END AS store_and_fwd_flag,
+       CASE WHEN {_BAD} <> 4 THEN o_orderkey END AS pu_location_id,
+       CAST(NULL AS BIGINT) AS do_location_id, CAST(NULL AS BIGINT) AS payment_type, CAST(NULL AS DOUBLE) AS fare_amount,
+       CAST(NULL AS DOUBLE) AS extra, CAST(NULL AS DOUBLE) AS mta_tax, CAST(NULL AS DOUBLE) AS tip_amount,
+       CAST(NULL AS DOUBLE) AS tolls_amount, CAST(NULL AS DOUBLE) AS improvement_surcharge,
+       CAST(NULL AS DOUBLE) AS total_amount, CAST(NULL AS DOUBLE) AS congestion_surcharge,
+       CASE WHEN {_BAD} <> 5 THEN CAST(o_orderkey % 1000 AS INTEGER) END AS airport_fee,
+       DATE '{TEST_RUN_DATE}' AS date
+FROM orders
+""",
+)
+def q_conform_bad_values(spark, sf_dir):
+    # one kind of value per remainder fails its cast (text where a number or
+    # a time is due, a long that no int holds) and becomes null
+    o = table(spark, sf_dir, "orders")
+
+    def bad(r, value, good):
+        return F.when(F.expr(_BAD) == r, F.lit(value)).otherwise(good.cast("string"))
+
+    raw = o.select(
+        bad(0, "n/a", F.col("o_custkey")).alias("VendorID"),
+        bad(1, "not a time", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("tpep_pickup_datetime"),
+        bad(2, "many", F.length("o_orderpriority")).alias("passenger_count"),
+        F.when(F.expr(_BAD) != 3, F.col("o_orderstatus")).alias("store_and_fwd_flag"),
+        bad(4, "", F.col("o_orderkey")).alias("PULocationID"),
+        F.when(F.expr(_BAD) == 5, F.lit(3_000_000_000)).otherwise(F.col("o_orderkey") % 1000).alias("airport_fee"),
+        cal.run_date(TEST_RUN_DATE).alias("date"),
+    )
+    return conform(raw, CONTRACT)
+
+
 # --- counts ---------------------------------------------------------------
 
 
@@ -137,11 +159,10 @@ _ORDERS_CALENDAR_SQL = """
    FROM orders))
 """
 
-_LINEITEM_CALENDAR_SQL = """
-(SELECT CAST(g AS DATE) AS date FROM (
-   SELECT unnest(generate_series(date_trunc('month', min(l_shipdate)),
-                                 date_trunc('month', max(l_shipdate)), INTERVAL 1 MONTH)) AS g
-   FROM lineitem))
+# The months the feed is due for, as a schedule has them.
+FEED_START, FEED_END = "1992-01-01", "1998-12-01"
+_FEED_CALENDAR_SQL = f"""
+(SELECT CAST(unnest(generate_series(DATE '{FEED_START}', DATE '{FEED_END}', INTERVAL 1 MONTH)) AS DATE) AS date)
 """
 
 
@@ -167,42 +188,44 @@ def q_month_paths(spark, sf_dir):
     )
 
 
-def _lineitem_calendar(spark, sf_dir):
-    return cal.calendar_from(table(spark, sf_dir, "lineitem"), "l_shipdate")
+def _feed_calendar(spark):
+    return cal.calendar(spark, FEED_START, FEED_END)
 
 
 @register(
     "load_backlog",
     f"""
-SELECT c.date FROM {_LINEITEM_CALENDAR_SQL} c
-WHERE NOT EXISTS (SELECT 1 FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t WHERE t.date = c.date)
+SELECT c.date FROM {_FEED_CALENDAR_SQL} c
+WHERE NOT EXISTS (SELECT 1 FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t WHERE t.date = c.date AND month(t.date) % 3 <> 0)
 """,
 )
 def q_load_backlog(spark, sf_dir):
-    # ledger of what was loaded: the orders months; calendar: the span the
-    # feed covers (lineitem ship months); backlog: due but not loaded
-    loaded = ledger.ledger_rows(checks.month_counts(orders_trips(spark, sf_dir)))
-    return _lineitem_calendar(spark, sf_dir).join(loaded, "date", "left_anti")
+    # ledger of what was loaded: the orders months but every third; calendar:
+    # the months the feed is due for; backlog: due but not loaded
+    loaded = ledger.ledger_rows(checks.month_counts(orders_trips(spark, sf_dir))).where("month(date) % 3 <> 0")
+    return _feed_calendar(spark).join(loaded, "date", "left_anti")
 
 
 @register(
     "published_months",
     f"""
-SELECT c.date FROM {_LINEITEM_CALENDAR_SQL} c
+SELECT c.date FROM {_FEED_CALENDAR_SQL} c
 WHERE EXISTS (SELECT 1 FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t WHERE t.date = c.date)
 """,
 )
 def q_published_months(spark, sf_dir):
     published = checks.present_months(orders_trips(spark, sf_dir))
-    return _lineitem_calendar(spark, sf_dir).join(published, "date", "left_semi")
+    return _feed_calendar(spark).join(published, "date", "left_semi")
 
 
 @register(
     "reconcile_counts",
     f"""
 WITH t AS (SELECT date, count(*) AS table_cnt FROM {_sql_conformed(ORDERS_TRIPS_SQL)} x GROUP BY 1),
-     l AS (SELECT date, CAST(sum(cnt) AS BIGINT) AS ledger_cnt
-           FROM (SELECT date, count(*) AS cnt FROM {_sql_conformed(LINEITEM_TRIPS_SQL)} y GROUP BY 1) z GROUP BY 1)
+     s AS (SELECT date, count(*) AS cnt FROM {_sql_conformed(LINEITEM_TRIPS_SQL)} y GROUP BY 1),
+     l AS (SELECT date, CAST(table_cnt + CASE WHEN month(date) % 4 = 1 THEN 1 ELSE 0 END AS BIGINT) AS ledger_cnt
+           FROM t WHERE month(date) % 4 <> 0
+           UNION ALL SELECT date, CAST(cnt AS BIGINT) FROM s WHERE date NOT IN (SELECT date FROM t))
 SELECT coalesce(t.date, l.date) AS date, t.table_cnt, l.ledger_cnt,
        CASE WHEN l.ledger_cnt IS NULL THEN 'missing_in_ledger'
             WHEN t.table_cnt IS NULL THEN 'missing_in_table'
@@ -212,14 +235,43 @@ FROM t FULL OUTER JOIN l ON t.date = l.date
 """,
 )
 def q_reconcile_counts(spark, sf_dir):
+    # a ledger that lacks every fourth month, is off by one in others, and
+    # has months (of the last shipments) that the table lacks
     table_counts = checks.month_counts(orders_trips(spark, sf_dir))
-    ledger_rows = ledger.ledger_rows(checks.month_counts(lineitem_trips(spark, sf_dir)))
-    return ledger.reconcile(table_counts, ledger_rows)
+    off = F.when(F.month("date") % 4 == 1, 1).otherwise(0)
+    own = table_counts.where("month(date) % 4 <> 0").select("date", (F.col("cnt") + off).alias("cnt"))
+    extra = checks.month_counts(lineitem_trips(spark, sf_dir)).join(table_counts, "date", "left_anti")
+    return ledger.reconcile(table_counts, ledger.ledger_rows(own.unionByName(extra)))
 
 
 # --- gates ----------------------------------------------------------------
 
 NOT_NULL_KEYS = ("date", "vendor_id", "do_location_id")
+# planted errors: some rows without a month, some without a vendor
+_GAPS_SQL = f"""
+(SELECT t.* REPLACE (CASE WHEN pu_location_id % 97 = 0 THEN NULL ELSE date END AS date,
+                     CASE WHEN pu_location_id % 89 = 0 THEN NULL ELSE vendor_id END AS vendor_id)
+ FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t)
+"""
+
+
+def _trips_with_gaps(spark, sf_dir):
+    t = orders_trips(spark, sf_dir)
+    return t.withColumn("date", F.when(F.col("pu_location_id") % 97 != 0, F.col("date"))).withColumn(
+        "vendor_id", F.when(F.col("pu_location_id") % 89 != 0, F.col("vendor_id"))
+    )
+
+
+@register(
+    "null_rows",
+    f"""
+SELECT pu_location_id, vendor_id, date, CASE WHEN date IS NULL THEN 'date' ELSE 'vendor_id' END AS violation
+FROM {_GAPS_SQL} t WHERE date IS NULL OR vendor_id IS NULL
+""",
+)
+def q_null_rows(spark, sf_dir):
+    rows = checks.null_violations(_trips_with_gaps(spark, sf_dir), ["date", "vendor_id"])
+    return rows.select("pu_location_id", "vendor_id", "date", "violation")
 
 
 @register(
@@ -229,32 +281,32 @@ SELECT date, count(*) AS cnt,
        CAST(count(*) FILTER (WHERE date IS NULL) AS BIGINT) AS null_date,
        CAST(count(*) FILTER (WHERE vendor_id IS NULL) AS BIGINT) AS null_vendor_id,
        CAST(count(*) FILTER (WHERE do_location_id IS NULL) AS BIGINT) AS null_do_location_id
-FROM {_sql_conformed(LINEITEM_TRIPS_SQL)} t GROUP BY 1
+FROM {_GAPS_SQL} t GROUP BY 1
 """,
 )
 def q_null_key_violations(spark, sf_dir):
-    return checks.month_gates(lineitem_trips(spark, sf_dir), "date", NOT_NULL_KEYS)
+    return checks.month_gates(_trips_with_gaps(spark, sf_dir), "date", NOT_NULL_KEYS)
 
 
 @register(
     "range_violations",
     f"""
-WITH t AS {_sql_conformed(ORDERS_TRIPS_SQL)},
-     run AS (SELECT max(date) AS lo FROM t)
-SELECT t.pu_location_id, t.tpep_pickup_datetime, t.date
-FROM t, run
-WHERE NOT coalesce(t.date >= run.lo AND t.date < CAST(run.lo + INTERVAL 1 DAY AS DATE), false)
+WITH t AS (SELECT pu_location_id, tpep_pickup_datetime,
+                  CASE WHEN pu_location_id % 97 = 0 THEN CAST(date + INTERVAL 1 MONTH AS DATE)
+                       WHEN pu_location_id % 89 = 0 THEN NULL ELSE date END AS date
+           FROM {_sql_conformed(ORDERS_TRIPS_SQL)} x WHERE date = DATE '{SLICE_MONTH}')
+SELECT * FROM t WHERE NOT coalesce(date >= DATE '{SLICE_MONTH}' AND date < DATE '{SLICE_MONTH}' + INTERVAL 1 DAY, false)
 """,
 )
 def q_range_violations(spark, sf_dir):
-    # the run month is the latest month of the feed; every row of another
-    # month breaks the attach bounds [month, month + 1 day)
-    trips = orders_trips(spark, sf_dir)
-    run_month = trips.agg(F.max("date")).scalar()  # uncorrelated scalar subquery
-    lo, hi = checks.month_bounds(run_month)
-    return trips.where(~checks.in_range(F.col("date"), lo, hi)).select(
-        "pu_location_id", "tpep_pickup_datetime", "date"
-    )
+    # the run month's rows, some with another month or none: those break the
+    # attach bounds [month, month + 1 day) of the run
+    run = cal.run_date(SLICE_MONTH)
+    rows = checks.month_slice(orders_trips(spark, sf_dir), run, time_col="tpep_pickup_datetime")
+    key = F.col("pu_location_id")
+    wrong = F.when(key % 97 == 0, F.add_months("date", 1)).when(key % 89 != 0, F.col("date"))
+    staged = rows.select("pu_location_id", "tpep_pickup_datetime", wrong.alias("date"))
+    return checks.range_violations(staged, *checks.month_bounds(run))
 
 
 @register(
@@ -263,12 +315,12 @@ def q_range_violations(spark, sf_dir):
 WITH c AS (SELECT count(*) AS cnt, date FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t GROUP BY date)
 SELECT m.date, CAST(coalesce(c.cnt, 0) AS BIGINT) AS cnt,
        CASE WHEN coalesce(c.cnt, 0) > 0 THEN 'attach' ELSE 'drop' END AS action
-FROM {_LINEITEM_CALENDAR_SQL} m LEFT JOIN c ON m.date = c.date
+FROM {_FEED_CALENDAR_SQL} m LEFT JOIN c ON m.date = c.date
 """,
 )
 def q_load_decision(spark, sf_dir):
     counts = checks.month_counts(orders_trips(spark, sf_dir))
-    return checks.decision_frame(_lineitem_calendar(spark, sf_dir), counts)
+    return checks.decision_frame(_feed_calendar(spark), counts)
 
 
 # --- samples --------------------------------------------------------------
@@ -510,9 +562,13 @@ def _orders_month_files_raw(spark, sf_dir):
     and an extra column rides along; from it on ``VendorID`` is int,
     ``passenger_count`` int, ``airport_fee`` bigint, ``store_and_fwd_flag`` is
     gone."""
+    return _orders_generations(spark, sf_dir, cal.month_start("o_orderdate") < cal.run_date(SCHEMA_CHANGE_MONTH))
+
+
+def _orders_generations(spark, sf_dir, is_old):
     o = table(spark, sf_dir, "orders")
     month = cal.month_start("o_orderdate")
-    old = o.where(month < cal.run_date(SCHEMA_CHANGE_MONTH)).select(
+    old = o.where(is_old).select(
         F.col("o_custkey").alias("VendorID"),
         F.col("o_orderdate").alias("tpep_pickup_datetime"),
         F.length("o_orderpriority").cast("double").alias("passenger_count"),
@@ -523,7 +579,7 @@ def _orders_month_files_raw(spark, sf_dir):
         F.col("o_orderpriority").alias("priority_note"),
         month.alias("date"),
     )
-    new = o.where(month >= cal.run_date(SCHEMA_CHANGE_MONTH)).select(
+    new = o.where(~is_old).select(
         F.col("o_custkey").cast("int").alias("VendorID"),
         F.col("o_orderdate").alias("tpep_pickup_datetime"),
         F.length("o_orderpriority").cast("int").alias("passenger_count"),
@@ -563,30 +619,21 @@ FROM orders
 @register("mixed_schema_scan", _MIXED_SQL)
 def q_mixed_schema_scan(spark, sf_dir):
     from monthwise.session import scratch_path
-    from monthwise.sources.landing import list_files, month_units, scan_months, write_month_files
+    from monthwise.sources.landing import write_month_files
 
     landing = scratch_path(spark, "landing")
     old, new = _orders_month_files_raw(spark, sf_dir)
     write_month_files(spark, old, landing)
     write_month_files(spark, new, landing)
-    units = [r["unit"] for r in month_units(list_files(spark, landing, recursive=True)).select("unit").collect()]
-    return scan_months(spark, units, CONTRACT)
+    return _months_of(spark, sf_dir)(landing)
 
 
 @register("incremental_load", _MIXED_SQL)
 def q_incremental_load(spark, sf_dir):
     from monthwise.plans.load import read_target
-    from monthwise.session import scratch_path
-    from monthwise.streaming.incremental import IncrementalLoad
+    from monthwise.sources.landing import write_month_files
 
-    root = scratch_path(spark, "incremental")
-    job = IncrementalLoad(
-        landing=f"{root}/landing",
-        target_root=f"{root}/target",
-        ledger_root=f"{root}/ledger",
-        checkpoint=f"{root}/checkpoint",
-        contract=CONTRACT,
-    )
+    job = _stream(spark, "incremental")
     old, new = _orders_month_files_raw(spark, sf_dir)
     write_month_files(spark, old, job.landing)
     job.run_available(spark)  # first arrival: the old generation
@@ -596,10 +643,126 @@ def q_incremental_load(spark, sf_dir):
     return read_target(spark, job.target_root, CONTRACT)
 
 
-def write_month_files(spark, df, landing):
-    from monthwise.sources.landing import write_month_files as _w
+def _months_of(spark, sf_dir):
+    from monthwise.sources.landing import list_files, month_units, scan_months
 
-    return _w(spark, df, landing)
+    def back(landing):
+        units = month_units(list_files(spark, landing, recursive=True)).select("paths").collect()
+        return scan_months(spark, [p for r in units for p in r["paths"]], CONTRACT)
+
+    return back
+
+
+PART_ROWS = 150  # rows per part file of a month that comes in parts
+
+
+@register("split_month_files", ORDERS_TRIPS_SQL)
+def q_split_month_files(spark, sf_dir):
+    # months delivered as several part files: every part is read
+    from monthwise.session import scratch_path
+    from monthwise.sources.landing import write_month_files
+
+    landing = scratch_path(spark, "split")
+    write_month_files(spark, orders_trips_raw(spark, sf_dir), landing, layout="file", max_records=PART_ROWS)
+    return _months_of(spark, sf_dir)(landing)
+
+
+_PARITY_SQL = _MIXED_SQL.replace(
+    f"date_trunc('month', o_orderdate) < DATE '{SCHEMA_CHANGE_MONTH}'", "o_orderkey % 2 = 0"
+)
+
+
+@register("mixed_folder_scan", _PARITY_SQL)
+def q_mixed_folder_scan(spark, sf_dir):
+    # month folders that hold files of both generations: each file is read by
+    # its own schema, so no value turns null
+    from monthwise.session import scratch_path
+    from monthwise.sources import fs
+    from monthwise.sources.landing import write_month_files
+
+    root = scratch_path(spark, "mixed-folder")
+    old, new = _orders_generations(spark, sf_dir, F.col("o_orderkey") % 2 == 0)
+    write_month_files(spark, old, f"{root}/a")
+    for folder in write_month_files(spark, new, f"{root}/b"):
+        into = f"{root}/a/{folder.rsplit('/', 1)[-1]}"
+        for part in fs.list_dir(spark, folder):
+            if part.endswith(".parquet"):
+                fs.rename(spark, f"{folder}/{part}", f"{into}/{part}")
+    return _months_of(spark, sf_dir)(f"{root}/a")
+
+
+def _stream(spark, name, **options):
+    from monthwise.session import scratch_path
+    from monthwise.streaming.incremental import IncrementalLoad
+
+    root = scratch_path(spark, name)
+    return IncrementalLoad(
+        landing=f"{root}/landing", target_root=f"{root}/target", ledger_root=f"{root}/ledger",
+        checkpoint=f"{root}/checkpoint", contract=CONTRACT, **options,
+    )
+
+
+DAY_MS = 86_400_000
+
+
+@register("late_month_load", _MIXED_SQL)
+def q_late_month_load(spark, sf_dir):
+    # the new generation comes first; the old one follows with file times
+    # months older, as a copy that preserves times has them: it loads too
+    import time
+
+    from monthwise.plans.load import read_target
+    from monthwise.sources import fs
+    from monthwise.sources.landing import write_month_files
+
+    job = _stream(spark, "late")
+    old, new = _orders_month_files_raw(spark, sf_dir)
+    write_month_files(spark, new, job.landing, layout="file")
+    job.run_available(spark)
+    for f in write_month_files(spark, old, job.landing, layout="file"):
+        fs.set_modified(spark, f, int(time.time() * 1000) - 90 * DAY_MS)
+    job.run_available(spark)
+    return read_target(spark, job.target_root, CONTRACT)
+
+
+@register("archived_load", _MIXED_SQL)
+def q_archived_load(spark, sf_dir):
+    # loaded files are moved away by the stream; what they held stays loaded
+    from monthwise.plans.load import read_target
+    from monthwise.sources.landing import write_month_files
+
+    job = _stream(spark, "archived", clean_source="archive")
+    job.archive_dir = job.landing.replace("/landing", "/archive")
+    old, new = _orders_month_files_raw(spark, sf_dir)
+    write_month_files(spark, old, job.landing, layout="file")
+    job.run_available(spark)
+    write_month_files(spark, new, job.landing, layout="file")
+    job.run_available(spark)
+    return read_target(spark, job.target_root, CONTRACT)
+
+
+@register("persisted_load", f"SELECT date, count(*) AS cnt FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t GROUP BY date")
+def q_persisted_load(spark, sf_dir):
+    # the frame kept for the count and the write; the ledger has the counts
+    from monthwise.plans.load import load_months
+
+    target, ledger_root = _load_root(spark, "persisted")
+    load_months(spark, orders_trips(spark, sf_dir), target, ledger_root, contract=CONTRACT, rebalance=True, persist=True)
+    return ledger.read_ledger(spark, ledger_root).select("date", "cnt")
+
+
+@register("ledger_compact", f"SELECT count(*) + 1 AS cnt, date FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t GROUP BY date")
+def q_ledger_compact(spark, sf_dir):
+    # three entries per month, then the log compacted: the last one is left
+    from monthwise.session import scratch_path
+
+    root = scratch_path(spark, "compact")
+    counts = checks.month_counts(orders_trips(spark, sf_dir))
+    for off in (5, 3, 1):
+        ledger.ledger_replace(counts.select("date", (F.col("cnt") + off).alias("cnt")), root)
+    ledger.compact_ledger(spark, root)
+    log = ledger.read_ledger_log(spark, root)  # one entry per month is left
+    return log.select("cnt", "date")
 
 
 # --- file names for an ingest manifest --------------------------------------
@@ -733,6 +896,60 @@ def q_numbered_names(spark, sf_dir):
     return fn.number_taken_names(names, "name", ["page_id"]).select("page_id", "name", "final_name")
 
 
+@register(
+    "numbered_names_existing",
+    f"""
+WITH u AS (SELECT page_id, coalesce(nullif({_URL_NAME_SQL}, ''), 'download.wget') AS name FROM pages),
+n AS (SELECT page_id, CASE WHEN page_id % 53 = 0 THEN NULL ELSE name END AS name FROM u WHERE page_id % 11 <> 0),
+e AS (SELECT DISTINCT name FROM u WHERE page_id % 11 = 0
+      UNION SELECT DISTINCT regexp_replace(name, '^([^.]*)', '\\1 (3)') FROM u WHERE page_id % 11 = 0),
+s AS (SELECT *, CASE WHEN instr(name, '.') > 0 THEN regexp_extract(name, '^(.*)\\.[^.]*$', 1) ELSE name END AS stem,
+             CASE WHEN instr(name, '.') > 0 THEN regexp_extract(name, '\\.([^.]*)$', 1) END AS ext,
+             name IS NOT NULL AND (row_number() OVER (PARTITION BY name ORDER BY page_id) > 1
+                                   OR name IN (SELECT name FROM e)) AS taken FROM n),
+a AS (SELECT CASE WHEN instr(name, '.') > 0 THEN regexp_extract(name, '^(.*)\\.[^.]*$', 1) ELSE name END AS stem
+      FROM (SELECT name FROM n UNION ALL SELECT name FROM e) z WHERE name IS NOT NULL),
+b AS (SELECT regexp_extract(stem, '^(.*) \\(([0-9]+)\\)$', 1) AS bstem,
+             max(CAST(regexp_extract(stem, '^(.*) \\(([0-9]+)\\)$', 2) AS BIGINT)) AS base
+      FROM a WHERE regexp_extract(stem, '^(.*) \\(([0-9]+)\\)$', 2) <> '' GROUP BY 1),
+c AS (SELECT s.*, row_number() OVER (PARTITION BY stem ORDER BY page_id) AS k FROM s WHERE taken)
+SELECT page_id, name, name AS final_name FROM s WHERE NOT taken
+UNION ALL
+SELECT c.page_id, c.name,
+       c.stem || ' (' || CAST(coalesce(b.base, 0) + c.k AS VARCHAR) || ')' || coalesce('.' || c.ext, '') AS final_name
+FROM c LEFT JOIN b ON b.bstem = c.stem
+""",
+)
+def q_numbered_names_existing(spark, sf_dir):
+    # some names are null and stay so; others are taken by names that exist
+    # already, also with an index
+    from monthwise.functions import filenames as fn
+
+    p = table(spark, sf_dir, "pages")
+    names = p.select("page_id", fn.pick_file_name(url_name=fn.url_file_name("url")).alias("name"))
+    there = names.where("page_id % 11 = 0").select("name")
+    existing = there.union(there.select(F.regexp_replace("name", "^([^.]*)", "$1 (3)")))
+    new = names.where("page_id % 11 <> 0").withColumn("name", F.when(F.col("page_id") % 53 != 0, F.col("name")))
+    return fn.number_taken_names(new, "name", ["page_id"], existing=existing).select("page_id", "name", "final_name")
+
+
+@register(
+    "header_forms",
+    """
+SELECT doc_id, CAST(doc_id AS VARCHAR) || '.txt' AS from_map, source || '.txt' AS from_list FROM documents
+""",
+)
+def q_header_forms(spark, sf_dir):
+    # headers as a map, and as a list of lines
+    from monthwise.functions import filenames as fn
+
+    d = table(spark, sf_dir, "documents")
+    doc = F.col("doc_id").cast("string")
+    as_map = F.create_map(F.lit("Content-Type"), F.lit("text/plain"), F.lit("Content-Disposition"), F.concat(F.lit("attachment; filename="), doc, F.lit(".txt")))
+    as_list = F.array(F.lit("X-A: b"), F.concat(F.lit('Content-Disposition: inline; filename="'), F.col("source"), F.lit('.txt"')))
+    return d.select("doc_id", fn.header_map_file_name(as_map).alias("from_map"), fn.header_list_file_name(as_list).alias("from_list"))
+
+
 # --- JDBC sink (in-process Derby: the only database a local test may use) ----
 
 
@@ -766,6 +983,20 @@ def q_jdbc_replace_append(spark, sf_dir):
     )
 
 
+@register("jdbc_ledger_replace", f"SELECT date, count(*) AS cnt FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t GROUP BY date")
+def q_jdbc_ledger_replace(spark, sf_dir):
+    # the count table of a JDBC target, recorded by two runs: one row per month
+    from monthwise.sources import jdbc
+
+    db = _derby(spark, "counts")
+    counts = [(r["cnt"], r["date"]) for r in checks.month_counts(orders_trips(spark, sf_dir)).collect()]  # a row a month
+    jdbc.replace_rows(spark, db, "ny_yellow_cnt", "date", ["cnt", "date"], [(c + 7, d) for c, d in counts])
+    jdbc.replace_rows(spark, db, "ny_yellow_cnt", "date", ["cnt", "date"], counts)
+    return jdbc.read_table(spark, db, "ny_yellow_cnt").select(
+        F.col("date").cast("date").alias("date"), F.col("cnt").cast("long").alias("cnt")
+    )
+
+
 @register("jdbc_stage_roundtrip", ORDERS_TRIPS_SQL)
 def q_jdbc_stage_roundtrip(spark, sf_dir):
     # a month stage table written twice with replace holds the rows once;
@@ -776,7 +1007,11 @@ def q_jdbc_stage_roundtrip(spark, sf_dir):
     trips = orders_trips(spark, sf_dir)
     jdbc.replace_table(trips, db, "stage_trips", num_partitions=8)
     jdbc.replace_table(trips, db, "stage_trips", truncate=True, num_partitions=8)
-    back = jdbc.read_table(spark, db, "stage_trips")
+    ends = table(spark, sf_dir, "orders").agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi")).first()
+    back = jdbc.read_table(
+        spark, db, "stage_trips", partition_column="pu_location_id", lower=ends["lo"] or 0, upper=(ends["hi"] or 0) + 1,
+        num_partitions=8,
+    )
     return back.select(*[F.col(c).cast(t).alias(c) for c, t in ((f.name, f.dataType) for f in CONTRACT.schema.fields)])
 
 
@@ -815,6 +1050,43 @@ def q_catalog_attach_detach(spark, sf_dir):
     return catalog.month_counts_sql(spark, target)
 
 
+@register(
+    "catalog_listing",
+    f"""
+SELECT 'ny_yellow' AS table_name, count(*) AS cnt, count(DISTINCT date) AS months FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t
+UNION ALL
+SELECT 'yellow_tripdata_1998_07', count(*), count(DISTINCT date) FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t
+WHERE date = DATE '{SLICE_MONTH}'
+""",
+)
+def q_catalog_listing(spark, sf_dir):
+    # databases and tables as the catalog lists them; the stage table is made
+    # LIKE the target and filled with one month
+    import uuid
+
+    from monthwise.plans import catalog
+    from monthwise.session import scratch_path
+
+    root, db = scratch_path(spark, "listing"), f"mw_{uuid.uuid4().hex[:8]}"
+    target, _ = catalog.init_tables(spark, root, db=db, stage_db=f"{db}_stage", contract=CONTRACT)
+    trips = orders_trips(spark, sf_dir)
+    catalog.load_months_to_table(spark, trips, target, f"{db}.ny_yellow_cnt_log", contract=CONTRACT, rebalance=True)
+    stage = f"{db}_stage.yellow_tripdata_1998_07"
+    catalog.create_like(spark, stage, target, f"{root}/stage")
+    month = checks.month_slice(trips, cal.run_date(SLICE_MONTH), time_col="tpep_pickup_datetime")
+    month.write.insertInto(stage)
+    found = [t for d in (db, f"{db}_stage") if catalog.database_exists(spark, d) for t in _tables(spark, d)]
+    counts = [
+        spark.table(t).agg(F.lit(t.split(".")[1]).alias("table_name"), F.count(F.lit(1)).alias("cnt"), F.count_distinct("date").alias("months"))
+        for t in found if "_cnt" not in t and catalog.table_exists(spark, t)
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+def _tables(spark, db):
+    return sorted(f"{db}.{t.name}" for t in spark.catalog.listTables(db) if not t.isTemporary)
+
+
 @register(
     "table_reload_month",
     f"""

@@ -81,6 +81,12 @@ def walk(spark: SparkSession, path: str) -> list[str]:
     return out
 
 
+def set_modified(spark: SparkSession, path: str, millis: int) -> None:
+    """Set a file's modification time, as a copy that preserves times does."""
+    fs, p = _fs_and_path(spark, path)
+    fs.setTimes(p, millis, -1)
+
+
 def list_dir(spark: SparkSession, path: str) -> list[str]:
     """Names directly under ``path`` (files and folders); empty if absent."""
     fs, p = _fs_and_path(spark, path)

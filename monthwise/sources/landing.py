@@ -190,6 +190,7 @@ def write_month_files(
     month_col: str = "date",
     prefix: str = LANDING_PREFIX,
     layout: str = "folder",
+    max_records: int | None = None,
 ) -> list[str]:
     """Write ``df`` as landing data named by month; ``month_col`` is not
     written (month files carry their month in the name).
@@ -199,7 +200,8 @@ def write_month_files(
     tasks and files, so no month is written by a single task.
     ``layout="file"``: one file ``<prefix>YYYY_MM.parquet`` per month (the
     classic landing form); each month is written by one task, so use it for
-    months that fit one file.
+    months that fit one file.  ``max_records`` caps the rows of a file, which
+    makes a month several parts (``<prefix>YYYY_MM-00000.parquet``, ...).
 
     Spark writes ``_name=<month name>/`` folders into a hidden staging folder;
     they are then renamed into place (metadata only).
@@ -215,7 +217,10 @@ def write_month_files(
     staging = f"{root}/_staging-{uuid.uuid4().hex[:8]}"
     named = df.withColumn("_name", landing_file_name(F.col(month_col), prefix, suffix="")).drop(month_col)
     named = named.hint("rebalance", "_name") if layout == "folder" else named.repartition("_name")
-    named.write.mode("errorifexists").partitionBy("_name").parquet(staging)
+    writer = named.write.mode("errorifexists").partitionBy("_name")
+    if max_records is not None:
+        writer = writer.option("maxRecordsPerFile", str(max_records))
+    writer.parquet(staging)
     written = []
     for d in sorted(fs.list_dir(spark, staging)):
         if not d.startswith("_name="):
