@@ -25,6 +25,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def neutral(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns named c0, c1, ..., so that none clashes with a
+    name used inside an operator, and the new name of each."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
+def named_back(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns of ``neutral`` under their own names, others dropped."""
+    return df.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, mod ``modulus`` (null id: null, so no fold)."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(modulus))

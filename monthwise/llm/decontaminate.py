@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import read_table, staged
+from monthwise.llm.common import named_back, neutral, read_table, staged
 
 WINDOW = 8
 MIN_WORDS = 4
@@ -160,8 +160,10 @@ def find_leaks(
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that hold no leak of the benchmark."""
     leaks = find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("_leak_id"), F.col("_th").alias("_leak_hash")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_leak_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_leak_hash"))
-    return docs.join(leaks, same, "left_anti")
+    rows, names = neutral(docs)
+    hashed = F.xxhash64(F.coalesce(F.col(names["text"]), F.lit("")))
+    same = F.col(names["doc_id"]).eqNullSafe(F.col("_leak_id")) & (hashed == F.col("_leak_hash"))
+    return named_back(rows.join(leaks, same, "left_anti"), names)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import read_table, shuffle_count, staged
+from monthwise.llm.common import neutral, read_table, shuffle_count, staged
 
 MIN_CHARS = 30
 
@@ -151,17 +151,19 @@ def deletions(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 def dedup_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS, count: str | None = None) -> DataFrame:
     """``docs`` with later copies of repeated line runs deleted from
     ``text`` (and the number of deleted lines in column ``count``)."""
-    gone = deletions(docs, min_chars)
+    gone = deletions(docs.select("doc_id", "text"), min_chars)
     gone = gone.select(F.col("_id").alias("_gone_id"), F.col("_th").alias("_gone_hash"), F.col("gone").alias("_gone"))
-    same = docs["doc_id"].eqNullSafe(F.col("_gone_id")) & (F.xxhash64(docs["text"]) == F.col("_gone_hash"))
-    joined = docs.join(gone, same, "left")
-    lines = joined.withColumn("_lines", F.split("text", "\n")).withColumn(
+    rows, names = neutral(docs)
+    text = names["text"]
+    same = F.col(names["doc_id"]).eqNullSafe(F.col("_gone_id")) & (F.xxhash64(text) == F.col("_gone_hash"))
+    joined = rows.join(gone, same, "left")
+    lines = joined.withColumn("_lines", F.split(text, "\n")).withColumn(
         "_kept", F.expr("transform(array_except(sequence(0, size(_lines) - 1), _gone), k -> get(_lines, k))")
     )
     rewritten = F.when(F.exists("_kept", lambda x: F.trim(x) != ""), F.array_join("_kept", "\n")).otherwise(F.lit(""))
     columns = [
-        F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rewritten).alias("text") if c == "text" else F.col(f"`{c}`")
-        for c in docs.columns
+        (F.when(F.col("_gone").isNull(), F.col(n)).otherwise(rewritten) if n == text else F.col(n)).alias(c)
+        for c, n in names.items()
     ]
     if count:
         columns.append(F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias(count))

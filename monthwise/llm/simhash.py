@@ -22,9 +22,10 @@ as a word halfway between is within one bit of both.  By pigeonhole, up to
 Candidates are then compared bit by bit.
 
 Groups.  Only distinct fingerprints are hashed, so exact copies cost one
-row.  Buckets that have the same members (by count, smallest, and XORs) are looked at once.  Within a bucket no pairs are emitted: a
-breadth-first search over the members emits a spanning forest of the links,
-which keeps every connection.  A bucket of over ``CHUNK`` fingerprints is
+row.  Buckets that have the same members (by count, smallest, and XORs) are
+looked at once.  Within a bucket no pairs are emitted: a breadth-first search
+over the members emits a spanning forest of the links, which keeps every
+connection.  A bucket of over ``CHUNK`` fingerprints is
 dealt out as pairs of chunks, so no task holds more than two chunks.
 Components come from repeated contraction of the edges to neighbours of
 least random priority; nothing is collected.
@@ -46,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import read_table, record_batch, staged
+from monthwise.llm.common import named_back, neutral, read_table, record_batch, staged
 
 SHINGLE = 3
 SEED = 42
@@ -311,12 +312,14 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int =
 def keep_one(docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the
     row of the smallest doc_id stays, one of them if several have it."""
-    columns = docs.columns
-    rows = docs.withColumn("_uid", F.monotonically_increasing_id())
-    rows = staged(with_fingerprint(rows, keep=[*columns, "_uid"], shingle=shingle), "simhash/rows")
+    rows, names = neutral(docs)
+    rows = rows.withColumn("_uid", F.monotonically_increasing_id())
+    keep = [*names.values(), "_uid"]
+    rows = staged(with_fingerprint(rows, text=names["text"], keep=keep, shingle=shingle), "simhash/rows")
+    ids = rows.select(F.col(names["doc_id"]).alias("doc_id"), "_uid", "_fp")
     first = lambda c: F.min(c or F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_uid"))
-    kept = components(rows.select("doc_id", "_uid", "_fp"), first, max_bits).select(F.col("_pick._uid").alias("_uid")).distinct()
-    return rows.join(kept, "_uid", "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    kept = components(ids, first, max_bits).select(F.col("_pick._uid").alias("_uid")).distinct()
+    return named_back(rows.join(kept, "_uid", "left_semi"), names)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

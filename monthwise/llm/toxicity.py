@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import char_batches, fold, read_table, record_batch
+from monthwise.llm.common import char_batches, fold, named_back, neutral, read_table, record_batch
 
 POSITIVE = 1500
 NEGATIVE = 3000
@@ -265,9 +265,9 @@ def score(docs: DataFrame, model: CompressionDistance, keep: dict[str, Column],
 
 def drop_toxic(docs: DataFrame, model: CompressionDistance) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, all columns as they are."""
-    names = {f"c{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}  # none clashes with the score's
-    kept = score(docs, model, names).where("predicted = 0")
-    return kept.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
+    rows, names = neutral(docs)
+    kept = score(rows, model, {n: F.col(n) for n in names.values()}, text=names["text"]).where("predicted = 0")
+    return named_back(kept, names)
 
 
 def fit_on_tables(spark: SparkSession, sf_dir: str) -> CompressionDistance:

@@ -104,9 +104,7 @@ def test_chain_of_links_and_large_bucket(spark, monkeypatch):
 
 def test_keep_one(spark):
     rows = [*near_corpus(), (0, near_corpus()[0][1]), (None, near_corpus()[0][1]), (None, "a lonely text of its own here")]
-    docs = documents(spark, rows, "_uid _fp uid")
-    # the clash is with a name used inside: the operator's own column wins and is dropped, so give others
-    docs = docs.drop("_uid", "_fp")
+    docs = documents(spark, rows, "_uid _fp c1 _pick")
     kept = simhash.keep_one(docs)
     want = set(link_components({d: fingerprint(t) for d, t in rows if d is not None}).values())
     assert kept.columns == docs.columns
@@ -128,7 +126,7 @@ def test_line_dedup_equals_brute_force(spark, seed, min_chars):
         rows.append((i, "\n".join(lines)))
     block = "\n".join(rng.choice(LINES) + str(k) for k in range(25))
     rows += [(50, block), (51, "head\n" + block + "\ntail"), (52, block), (53, None), (54, "")]
-    docs = documents(spark, rows, "len a b r0 _gone_ _kept_")
+    docs = documents(spark, rows, "len a b r0 _gone _gone_id _lines c0")
     out = line_dedup.dedup_lines(docs, min_chars=min_chars)
     assert out.columns == docs.columns
     assert {r.doc_id: r.text for r in out.collect()} == dedup_lines(rows, min_chars)
@@ -180,7 +178,7 @@ def test_leaks_exact_reparameterised_and_inconsistent(spark):
         got = {(r.doc_id, r.item_id): r.reparameterised for r in leaks(spark, rows, **option).collect()}
         assert got == {(1, 1): False, (2, 1): True, (4, 2): False, (8, 2): False, (9, 5): False, (None, 2): False}
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    docs = documents(spark, rows, "h width item_id j")
+    docs = documents(spark, rows, "h width item_id j _leak_id _leak_hash c4")
     kept = decontaminate.drop_leaks(docs, bench)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [3, 5, 6, 7]
     assert decontaminate.drop_leaks(docs.limit(0), bench).count() == 0
