@@ -143,7 +143,9 @@ def deletions(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(_id, _th, gone): the line numbers to delete, of documents with any."""
     stretches = staged(repeated_stretches(repeated_places(docs), min_chars), "lines/stretches")
     place = F.struct("_id", "_th", "pos")
-    first = stretches.groupBy("len", "a", "b").agg(F.min(place).alias("first"))
+    # written, so that the join below has plain shuffles on both sides and a
+    # stretch that stands in a third of all places can be split
+    first = staged(stretches.groupBy("len", "a", "b").agg(F.min(place).alias("first")), "lines/first")
     later = stretches.join(first, ["len", "a", "b"]).where(~F.col("first").eqNullSafe(place))
     return later.groupBy(*_DOC).agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("gone"))
 
