@@ -232,3 +232,26 @@ def test_jobs_use_utc(spark, scratch):
         assert back == "02:30"
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_month_is_not_null_in_the_tables(spark, scratch):
+    import uuid
+
+    db = f"n_{uuid.uuid4().hex[:8]}"
+    for t in catalog.init_tables(spark, scratch("ddl"), db=db, stage_db=f"{db}_s", contract=C):
+        assert "date DATE NOT NULL" in spark.sql(f"SHOW CREATE TABLE {t}").first()[0]
+
+
+def test_no_sort_before_the_month_write(spark, scratch):
+    """With a few open month files Spark plans no local sort of every row."""
+    import uuid
+
+    db = f"w_{uuid.uuid4().hex[:8]}"
+    t, _ = catalog.init_tables(spark, scratch("sort"), db=db, stage_db=f"{db}_s", contract=C)
+    conformed(spark, (1, JAN)).createOrReplaceTempView("to_write")
+    plan = lambda: spark.sql(f"EXPLAIN INSERT INTO {t} SELECT * FROM to_write").first()[0]
+    assert "Sort" in plan()
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    with load_module._open_writers(spark, load_module.OPEN_MONTHS):
+        assert "Sort" not in plan()
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
