@@ -25,7 +25,9 @@ def test_every_oracle_key_is_a_query():
     "key",
     ["conform_trips", "monthly_counts", "load_backlog", "reconcile_counts", "sample_per_month", "newest_file",
      "url_file_name", "header_file_name", "numbered_names", "quoted_path", "retire_empty_month", "ledger_replace",
-     "file_head", "hot_month_publish", "table_reload_month", "conform_missing"],
+     "file_head", "hot_month_publish", "table_reload_month", "conform_missing", "conform_bad_values", "null_rows",
+     "null_key_violations", "range_violations", "numbered_names_existing", "header_forms", "ledger_compact",
+     "split_month_files", "mixed_folder_scan", "jdbc_ledger_replace", "catalog_listing"],
 )
 def test_oracle_agrees(spark, key):
     con = duckdb.connect()
