@@ -48,23 +48,20 @@ UNITS = (
 )
 #: Decimal point or comma inside a number, kept as a letter so that the number is one word.
 _POINT = "ᵈ"
+#: Placeholders: characters of the private use area, which no text's words hold.
+NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
 
 
 def template_words(text: Column, values: bool = False) -> Column:
-    """Template words of ``text``.  Placeholders are 0p (name), 0n (number),
-    0u (unit); with ``values`` each is followed by what it stands for, so
-    that both forms have the same places."""
-    value = "$0" if values else ""
-    unit = "$2" if values else ""
+    """Template words of ``text``.  A placeholder is one private character;
+    with ``values`` it is followed by what it stands for, so that both forms
+    have the same places."""
+    value, unit = ("$0", "$2") if values else ("", "")
     t = F.regexp_replace(text, r"[.,](?<=[0-9].)(?=[0-9])", _POINT)
-    t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{L}\p{M},;] .)\p{Ll}+", f" 0p{value}")
-    t = F.lower(t)
-    # after names, so that a placeholder's own 0 is not read as a number: only digits that
-    # start a run and are not followed by the mark
-    t = F.regexp_replace(t, rf"(?!0p)[0-9](?<![0-9{_POINT}].)[0-9{_POINT}]*", f" 0n{value} ")
-    t = F.regexp_replace(t, rf"(0n[0-9{_POINT}]*) +({UNITS})(?![\p{{L}}\p{{N}}])", f"$1 0u{unit}")
-    words = F.split(t, r"[^\p{L}\p{M}\p{N}]+")
-    return F.filter(words, lambda w: w != "")
+    t = F.lower(F.regexp_replace(t, r"\p{Lu}(?<=[\p{L}\p{M},;] .)\p{Ll}+", f" {NAME}{value}"))
+    t = F.regexp_replace(t, f"[0-9][0-9{_POINT}]*", f" {NUMBER}{value} ")
+    t = F.regexp_replace(t, rf"({NUMBER}[0-9{_POINT}]*) +({UNITS})(?![\p{{L}}\p{{N}}])", f"$1 {UNIT}{unit}")
+    return F.filter(F.split(t, rf"[^\p{{L}}\p{{M}}\p{{N}}{NAME}{NUMBER}{UNIT}]+"), lambda w: w != "")
 
 
 def _windows(words: str, width: str) -> str:
@@ -132,7 +129,7 @@ def find_leaks(
             "_slots",
             F.expr(
                 "array_distinct(filter(transform(_iw, (w, j) -> struct(w as a, get(_dw, cast(j + shift as int)) as b)), "
-                "s -> s.a rlike '^0[pnu]' and s.b is not null and left(s.a, 2) = left(s.b, 2)))"
+                f"s -> left(s.a, 1) in ('{NAME}', '{NUMBER}', '{UNIT}') and s.b is not null and left(s.a, 1) = left(s.b, 1)))"
             ),
         )
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from monthwise.llm import oracles
 from monthwise.llm.bpe import op3_bpe
 from monthwise.llm.decontaminate import op4_decontaminate
 from monthwise.llm.langid import op1_langid
@@ -10,7 +11,7 @@ from monthwise.llm.line_dedup import op7_line_dedup
 from monthwise.llm.secrets_scan import op9_secrets
 from monthwise.llm.simhash import op5_simhash
 from monthwise.llm.token_files import op2_token_files
-from monthwise.llm.topk import ORACLE_OP8, op8_topk
+from monthwise.llm.topk import op8_topk
 from monthwise.llm.toxicity import op6_toxicity
 
 QUERIES = {
@@ -26,6 +27,13 @@ QUERIES = {
     "op10_licenses": op10_licenses,
 }
 
-#: Where DuckDB can express the operator; the others are held against
-#: brute-force versions in tests/llm.
-ORACLE: dict[str, str] = {"op8_topk": ORACLE_OP8}
+#: Where DuckDB can express the operator; the others (trained models, XXH64
+#: fingerprints, tokenizers) are held against brute-force versions, the
+#: libraries and held-out rows in tests/llm.
+ORACLE: dict[str, str] = {
+    "op4_decontaminate": oracles.DECONTAMINATE,
+    "op7_line_dedup": oracles.LINE_DEDUP,
+    "op8_topk": oracles.TOP_K,
+    "op9_secrets": oracles.SECRETS,
+    "op10_licenses": oracles.LICENSES,
+}

@@ -245,24 +245,3 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, *, vec_id: str = "vec_id
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best other vectors of every vec_id divisible by 100."""
     return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
-
-
-ORACLE_OP8 = """
-WITH v AS (
-    SELECT vec_id, row_number() OVER () AS uid,
-           list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
-    FROM embeddings
-    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-),
-s AS (
-    SELECT q.vec_id AS query_id, q.uid AS q, v.vec_id AS vec_id,
-           CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(v.e AS DOUBLE[])) AS BIGINT) AS score
-    FROM v AS q JOIN v ON q.uid <> v.uid
-    WHERE q.vec_id % 100 = 0
-),
-r AS (
-    SELECT query_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
-)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
-"""
