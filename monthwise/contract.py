@@ -105,10 +105,6 @@ def schema_signature(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
 
-def schemas_match(a: T.StructType, b: T.StructType) -> bool:
-    return schema_signature(a) == schema_signature(b)
-
-
 def schema_diff(actual: T.StructType, expected: T.StructType) -> list[str]:
     """Readable differences (name/type/order) between two schemas."""
     out = []

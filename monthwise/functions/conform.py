@@ -66,19 +66,3 @@ def conform(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> DataFrame:
     the fraction and out-of-range values become null.
     """
     return df.select(*[_spec_column(df, s) for s in contract.columns])
-
-
-def conform_expressions(columns: list[str], contract: Contract = TRIP_CONTRACT) -> list[str]:
-    """The same projection as SQL text for a frame with ``columns``.
-
-    Useful to write the conform step inside ``spark.sql`` / a view.
-    """
-    out = []
-    for s in contract.columns:
-        if s.required:
-            out.append(f"{_quoted(s.source)} AS {_quoted(s.target)}")
-        elif s.source in columns:
-            out.append(f"try_cast({_quoted(s.source)} AS {s.dtype.simpleString()}) AS {_quoted(s.target)}")
-        else:
-            out.append(f"CAST(NULL AS {s.dtype.simpleString()}) AS {_quoted(s.target)}")
-    return out

@@ -171,6 +171,7 @@ _FEED_CALENDAR_SQL = f"""
     f"""
 SELECT date,
        'yellow_tripdata_' || strftime(date, '%Y_%m') || '.parquet' AS landing_file,
+       '/landing/yellow_tripdata_' || strftime(date, '%Y_%m') || '.parquet' AS landing_path,
        'stage.yellow_tripdata_' || strftime(date, '%Y_%m') AS stage_table,
        '{REMOTE_BASE}yellow_tripdata_' || strftime(date, '%Y-%m') || '.parquet' AS remote_url,
        CAST(date + INTERVAL 1 DAY AS DATE) AS attach_until
@@ -182,6 +183,7 @@ def q_month_paths(spark, sf_dir):
     return months.select(
         "date",
         cal.landing_file_name("date").alias("landing_file"),
+        cal.landing_path("date", "/landing").alias("landing_path"),
         cal.stage_table_name("date").alias("stage_table"),
         cal.remote_url("date", REMOTE_BASE).alias("remote_url"),
         cal.next_day("date").alias("attach_until"),
@@ -1061,10 +1063,11 @@ WHERE date = DATE '{SLICE_MONTH}'
 )
 def q_catalog_listing(spark, sf_dir):
     # databases and tables as the catalog lists them; the stage table is made
-    # LIKE the target and filled with one month
+    # LIKE the target, and one month's folder under it is registered
     import uuid
 
     from monthwise.plans import catalog
+    from monthwise.plans.load import publish_months
     from monthwise.session import scratch_path
 
     root, db = scratch_path(spark, "listing"), f"mw_{uuid.uuid4().hex[:8]}"
@@ -1074,7 +1077,8 @@ def q_catalog_listing(spark, sf_dir):
     stage = f"{db}_stage.yellow_tripdata_1998_07"
     catalog.create_like(spark, stage, target, f"{root}/stage")
     month = checks.month_slice(trips, cal.run_date(SLICE_MONTH), time_col="tpep_pickup_datetime")
-    month.write.insertInto(stage)
+    publish_months(month, f"{root}/stage")
+    catalog.recover_months(spark, stage)
     found = [t for d in (db, f"{db}_stage") if catalog.database_exists(spark, d) for t in _tables(spark, d)]
     counts = [
         spark.table(t).agg(F.lit(t.split(".")[1]).alias("table_name"), F.count(F.lit(1)).alias("cnt"), F.count_distinct("date").alias("months"))

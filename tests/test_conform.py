@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthwise.contract import TRIP_CONTRACT, schema_signature
-from monthwise.functions.conform import AmbiguousColumnError, column_or_null, conform, conform_expressions
+from monthwise.functions.conform import AmbiguousColumnError, column_or_null, conform
 from monthwise.plans.views import lineitem_trips_raw
 
 from .conftest import SF_SMALL
@@ -126,15 +126,6 @@ def test_fee_fraction_is_cut(spark):
     assert [r.airport_fee for r in conform(df).collect()] == [2, -2]
 
 
-def test_sql_form_matches_dataframe_form(spark):
-    raw = lineitem_trips_raw(spark, SF_SMALL)
-    raw.createOrReplaceTempView("raw_trips")
-    via_sql = spark.sql("SELECT " + ", ".join(conform_expressions(raw.columns)) + " FROM raw_trips")
-    via_df = conform(raw)
-    assert via_sql.schema == via_df.schema
-    assert via_sql.exceptAll(via_df).count() == 0
-
-
 def test_conform_plan_is_one_projection_and_count_reads_no_columns(spark):
     out = conform(lineitem_trips_raw(spark, SF_SMALL))
     plan = out.groupBy().count()._jdf.queryExecution().executedPlan().toString()

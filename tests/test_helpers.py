@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from monthwise.contract import TRIP_CONTRACT, schemas_match
+from monthwise.contract import TRIP_CONTRACT, schema_diff
 from monthwise.functions.calendar import landing_path
 from monthwise.operators.checks import gate_summary, month_gates
 
@@ -29,13 +29,13 @@ def test_landing_path(spark):
     assert df.select(landing_path("m", "/land/")).first()[0] == "/land/yellow_tripdata_2020_03.parquet"
 
 
-def test_schemas_match_ignores_nullability(spark):
+def test_schema_diff_ignores_nullability(spark):
     a = TRIP_CONTRACT.schema
     b = spark.createDataFrame([], TRIP_CONTRACT.schema).select(
         *[F.col(c) for c in TRIP_CONTRACT.names[:-1]], F.lit(dt.date(2020, 1, 1)).alias("date")
     ).schema
-    assert schemas_match(a, b)
-    assert not schemas_match(a, TRIP_CONTRACT.with_timestamp_ntz().schema)
+    assert not schema_diff(a, b)
+    assert schema_diff(a, TRIP_CONTRACT.with_timestamp_ntz().schema)
 
 
 def test_recover_months_registers_folders(spark, scratch):
