@@ -36,7 +36,7 @@ from monthwise.llm.common import named_back, neutral, read_table, staged
 
 WINDOW = 8
 MIN_WORDS = 4
-COVERAGE = 0.5
+COVERAGE = 0.25
 BROADCAST_WINDOWS = 500_000
 #: Words that are units when they follow a number.
 UNITS = (
