@@ -11,9 +11,10 @@ at least ``MIN_WORDS``, is one window of its own length).  Matches on one
 diagonal (document place minus item place) are one alignment.  It is a
 candidate if it covers ``COVERAGE`` of the item's windows.
 
-Slots.  Along an alignment each placeholder of the item meets a value of the
-document.  They are consistent if every item value always meets the same
-document value (5 may become 7, but everywhere).  Consistent candidates are
+Slots.  Along an alignment each placeholder of the item's matched windows
+meets a value of the document; what stands outside them is not compared.  They
+are consistent if every item value always meets the same document value (5 may
+become 7, but everywhere).  Consistent candidates are
 leaks; one whose values differ from the item's is a re-parameterised copy.
 
 Plan.  The item windows are broadcast if there are at most
@@ -107,8 +108,9 @@ def find_leaks(
     rows = worded.select("doc_id", "_th", F.explode(hashes).alias("m")).select("doc_id", "_th", "m.width", "m.i", "m.h")
     hits = rows.join(F.broadcast(items) if small else items, ["h", "width"])
     aligned = (
-        hits.groupBy("doc_id", "_th", "item_id", "item_hash", "n_windows", (F.col("i") - F.col("j")).alias("shift"))
-        .agg(F.countDistinct("j").alias("hit"))
+        hits.groupBy("doc_id", "_th", "item_id", "item_hash", "width", "n_windows", (F.col("i") - F.col("j")).alias("shift"))
+        .agg(F.collect_set("j").alias("js"))  # at most n_windows
+        .withColumn("hit", F.size("js"))
         .where(F.col("hit") >= coverage * F.col("n_windows"))
     )
     aligned = staged(aligned, "decontaminate/aligned")
@@ -128,7 +130,8 @@ def find_leaks(
         .withColumn(
             "_slots",
             F.expr(
-                "array_distinct(filter(transform(_iw, (w, j) -> struct(w as a, get(_dw, cast(j + shift as int)) as b)), "
+                "array_distinct(filter(transform(array_distinct(flatten(transform(js, j -> sequence(j, j + width - 1)))), "
+                "p -> struct(get(_iw, p) as a, get(_dw, cast(p + shift as int)) as b)), "
                 f"s -> left(s.a, 1) in ('{NAME}', '{NUMBER}', '{UNIT}') and s.b is not null and left(s.a, 1) = left(s.b, 1)))"
             ),
         )

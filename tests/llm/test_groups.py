@@ -185,6 +185,22 @@ def test_leaks_exact_reparameterised_and_inconsistent(spark):
     assert decontaminate.drop_leaks(docs, bench.limit(0)).count() == len(rows)
 
 
+def test_leak_slots_are_those_of_matched_windows(spark):
+    """What follows an excerpt, or an inserted word, takes no part in the slots."""
+    q, words = ITEMS[0][1], ITEMS[0][1].split()
+    rows = [
+        (1, "so " + " ".join(words[:16]) + " we met Smith before 9 hours of Berlin Paris to Munich at 60 or 7 of Rome and Oslo"),
+        (2, "so " + q.replace("how far apart are", "how far apart really are")),
+        (3, "so " + q.replace("are Berlin", "are Munich")),
+    ]
+    got = {(r.doc_id, r.item_id): r.reparameterised for r in leaks(spark, rows).collect()}
+    assert got == {(1, 1): False, (2, 1): False}
+    names = "the letter of Anna Smith went by ship from there to the house of Anna Smith in the old town"
+    bench = spark.createDataFrame([(1, names)], "item_id long, text string")
+    docs = documents(spark, [(1, names.replace("went by", "then went by"))])
+    assert [r.reparameterised for r in decontaminate.find_leaks(docs, bench).collect()] == [False]
+
+
 def test_template_forms_have_equal_places(spark):
     texts = ["Pay 1,000.50 dollars to Anna Smith, not 3 km2 or 0pt.", "X 5kg 7 hours 12:30 Über Öl geht es", "", "!!", "10p 0 0n 007"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
