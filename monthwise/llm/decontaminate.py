@@ -8,14 +8,18 @@ then have equal templates.
 Search.  Every window of ``WINDOW`` template words of every whole document
 is hash-joined with the windows of the benchmark (an item of fewer words, of
 at least ``MIN_WORDS``, is one window of its own length).  Matches on one
-diagonal (document place minus item place) are one alignment.  It is a
-candidate if it covers ``COVERAGE`` of the item's windows.
+diagonal (document place minus item place) are one alignment.  Inserted and
+deleted words move a copy to other diagonals, so the distinct item windows of
+the alignments within ``REACH`` diagonals are counted together.  They are a
+candidate if they cover ``COVERAGE`` of the item's windows, or ``ENOUGH``
+windows of an item of any length.
 
 Slots.  Along an alignment each placeholder of the item's matched windows
 meets a value of the document; what stands outside them is not compared.  They
 are consistent if every item value always meets the same document value (5 may
-become 7, but everywhere).  Consistent candidates are
-leaks; one whose values differ from the item's is a re-parameterised copy.
+become 7, but everywhere).  An inconsistent alignment is left out of the
+count.  Candidates that still hold are leaks; one with an alignment whose
+values differ from the item's is a re-parameterised copy.
 
 Plan.  The item windows are broadcast if there are at most
 ``BROADCAST_WINDOWS`` (counted first); beyond that Spark shuffles both
@@ -30,7 +34,7 @@ no leak.  Other columns are ignored, and passed through by ``drop_leaks``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monthwise.llm.common import named_back, neutral, read_table, staged
@@ -38,6 +42,10 @@ from monthwise.llm.common import named_back, neutral, read_table, staged
 WINDOW = 8
 MIN_WORDS = 4
 COVERAGE = 0.25
+#: Diagonals that count together from the first on: about so many words are inserted or deleted in a copy.
+REACH = 16
+#: Matched windows that make a leak whatever the item's length (31 words on end).
+ENOUGH = 24
 BROADCAST_WINDOWS = 500_000
 #: Words that are units when they follow a number.
 UNITS = (
@@ -84,6 +92,12 @@ def item_windows(benchmark: DataFrame, *, item_id: str = "item_id", text: str =
     )
 
 
+def _near(low: int, high: int) -> Column:
+    """The distinct item windows on the diagonals from ``low`` to ``high`` around a row's."""
+    around = Window.partitionBy("doc_id", "_th", "item_id", "item_hash").orderBy("shift").rangeBetween(low, high)
+    return F.array_distinct(F.flatten(F.collect_list("js").over(around)))
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -91,6 +105,8 @@ def find_leaks(
     text: str = "text",
     window: int = WINDOW,
     coverage: float = COVERAGE,
+    reach: int = REACH,
+    enough: int = ENOUGH,
     broadcast_windows: int = BROADCAST_WINDOWS,
 ) -> DataFrame:
     """One row per (document, item) leak: doc_id, _th (hash of the text),
@@ -110,9 +126,10 @@ def find_leaks(
     aligned = (
         hits.groupBy("doc_id", "_th", "item_id", "item_hash", "width", "n_windows", (F.col("i") - F.col("j")).alias("shift"))
         .agg(F.collect_set("j").alias("js"))  # at most n_windows
-        .withColumn("hit", F.size("js"))
-        .where(F.col("hit") >= coverage * F.col("n_windows"))
     )
+    # every alignment that can have a part in a candidate
+    need = F.least(coverage * F.col("n_windows"), F.lit(float(enough)))
+    aligned = aligned.withColumn("near", F.size(_near(-reach, reach))).where(F.col("near") >= need).drop("near")
     aligned = staged(aligned, "decontaminate/aligned")
 
     # values, for the documents of candidates
@@ -137,12 +154,24 @@ def find_leaks(
         )
     )
     consistent = both.where(F.size("_slots") == F.expr("size(array_distinct(transform(_slots, s -> s.a)))"))
-    best = F.max_by(
-        F.struct("hit", "n_windows", "shift", F.size("_slots").alias("n_slots"), F.exists("_slots", lambda s: s["a"] != s["b"]).alias("changed")),
-        F.struct("hit", -F.col("shift")),
+    # candidates again, of consistent alignments; the first diagonal of the most windows is reported
+    held = consistent.select(
+        "doc_id", "_th", "item_id", "item_hash", "n_windows", "shift", "js", "_slots", F.exists("_slots", lambda s: s["a"] != s["b"]).alias("_changed")
     )
+    around = Window.partitionBy("doc_id", "_th", "item_id", "item_hash").orderBy("shift").rangeBetween(0, reach)
+    held = held.select(
+        "doc_id",
+        "_th",
+        "item_id",
+        "n_windows",
+        "shift",
+        F.size(_near(0, reach)).alias("hit"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("_slots").over(around)))).alias("n_slots"),
+        F.max("_changed").over(around).alias("changed"),
+    ).where(F.col("hit") >= need)
+    best = F.max_by(F.struct("hit", "n_windows", "shift", "n_slots", "changed"), F.struct("hit", -F.col("shift")))
     return (
-        consistent.groupBy("doc_id", "_th", "item_id")
+        held.groupBy("doc_id", "_th", "item_id")
         .agg(best.alias("x"))
         .select(
             "doc_id",

@@ -201,6 +201,23 @@ def test_leak_slots_are_those_of_matched_windows(spark):
     assert [r.reparameterised for r in decontaminate.find_leaks(docs, bench).collect()] == [False]
 
 
+def test_leaks_over_diagonals_and_excerpts_of_long_items(spark):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)]
+    bench = spark.createDataFrame([(1, " ".join(words[:60])), (2, " ".join(words[100:400]))], "item_id long, text string")
+    spread = [x for i, w in enumerate(words[:60]) for x in ((w, "inserted") if i % 11 == 10 else (w,))]
+    gone = [w for i, w in enumerate(words[:60]) if i % 11 != 10]
+    far = [x for i, w in enumerate(words[:60]) for x in ((w, *["inserted"] * 40) if i % 11 == 10 else (w,))]
+    rows = [
+        (1, "a b c " + " ".join(spread)),
+        (2, " ".join(gone)),
+        (3, "a b c " + " ".join(words[200:260]) + " d e f"),
+        (4, "a b c " + " ".join(words[200:220]) + " d e f"),  # 13 windows
+        (5, " ".join(far)),  # parts of 4 windows, far from each other
+    ]
+    got = {(r.doc_id, r.item_id): r.n_windows for r in decontaminate.find_leaks(documents(spark, rows), bench).collect()}
+    assert got == {(1, 1): 20, (2, 1): 15, (3, 2): 53}
+
+
 def test_template_forms_have_equal_places(spark):
     texts = ["Pay 1,000.50 dollars to Anna Smith, not 3 km2 or 0pt.", "X 5kg 7 hours 12:30 Über Öl geht es", "", "!!", "10p 0 0n 007"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
