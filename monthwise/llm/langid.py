@@ -165,31 +165,34 @@ class CrossParser:
 def sample_pieces(
     labelled: DataFrame, *, lang: str = "lang", text: str = "text", pieces: int = PIECES, piece_chars: int = PIECE_CHARS
 ) -> dict[str, list[str]]:
-    """The bounded sample: about ``pieces`` distinct documents per language,
-    those with the smallest text hashes, and one piece of each.  One pass
-    counts the rows per language, one keeps the rows under the hash bound."""
+    """The bounded sample: ``pieces`` distinct documents per language (all, if
+    it has fewer), chosen by text hash, and one piece of each.  One pass counts
+    the distinct texts per language, one keeps the rows under the hash bound
+    that follows; a language that it leaves short is drawn again, wider."""
     rows = labelled.select(F.col(lang).alias("_l"), F.col(text).alias("_t")).where("_l is not null and _t rlike '\\\\p{L}'")
-    counts = {r["_l"]: r["n"] for r in rows.groupBy("_l").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return {}
-    h = F.shiftrightunsigned(F.xxhash64("_t", F.lit("sample")), 33)
-    bound = F.lit(0)
-    for language, n in counts.items():
-        bound = F.when(F.col("_l") == language, F.lit(int(min(1.0, 2 * pieces / n) * (1 << 31)))).otherwise(bound)
+    rows = rows.withColumn("_h", F.xxhash64("_t", F.lit("sample")))
+    counts = {r["_l"]: r["n"] for r in rows.select("_l", "_h").distinct().groupBy("_l").agg(F.count(F.lit(1)).alias("n")).collect()}
     start = F.pmod(F.xxhash64("_t", F.lit("place")), F.greatest(F.lit(1), F.length("_t") - piece_chars + 1)) + 1
-    chosen = (
-        rows.withColumn("_h", h)
-        .where(F.col("_h") <= bound)
-        .select("_l", F.xxhash64("_t", F.lit("sample")).alias("_h"), F.expr("_t").substr(start.cast("int"), F.lit(piece_chars)).alias("_p"))
-        .groupBy("_l", "_h")  # copies of one text count once
-        .agg(F.min("_p").alias("_p"))
-        .collect()
-    )
-    out: dict[str, list[str]] = {language: [] for language in counts}
-    for r in sorted(chosen, key=lambda r: (r["_l"], r["_h"])):
-        if len(out[r["_l"]]) < pieces:
-            out[r["_l"]].append(r["_p"])
-    return {language: p for language, p in out.items() if p}
+    out: dict[str, list[str]] = {}
+    left, wide = counts, 2
+    while left:
+        bound = F.lit(-1)
+        for language, n in left.items():
+            bound = F.when(F.col("_l") == language, F.lit(int(min(1.0, wide * pieces / n) * (1 << 31)))).otherwise(bound)
+        chosen = (
+            rows.where(F.shiftrightunsigned("_h", 33) <= bound)
+            .select("_l", "_h", F.expr("_t").substr(start.cast("int"), F.lit(piece_chars)).alias("_p"))
+            .groupBy("_l", "_h")  # copies of one text count once
+            .agg(F.min("_p").alias("_p"))
+            .collect()
+        )
+        drawn: dict[str, list[str]] = {language: [] for language in left}
+        for r in sorted(chosen, key=lambda r: (r["_l"], r["_h"])):
+            drawn[r["_l"]].append(r["_p"])
+        enough = {language: p[:pieces] for language, p in drawn.items() if len(p) >= min(pieces, left[language]) or wide * pieces >= left[language]}
+        out |= enough
+        left, wide = {language: n for language, n in left.items() if language not in enough}, wide * 4
+    return {language: out[language] for language in counts if out[language]}
 
 
 def identify(

@@ -65,6 +65,14 @@ def test_sample_counts_copies_once(spark):
     assert sorted(got["en"]) == ["another one", "same text here"] and got["de"] == ["ein satz"]
 
 
+def test_sample_is_whole_beside_many_copies(spark):
+    rows = [(i, f"hot text {'abcdefghij'[i % 10]}", "en", "s", 1) for i in range(8000)] + [(1, "ein satz", "de", "s", 1)]
+    rows += [(i, "one hot text", "fr", "s", 1) for i in range(4000)] + [(i, f"rare text number {i}", "fr", "s", 1) for i in range(60)]
+    got = langid.sample_pieces(documents(spark, rows), pieces=12)
+    assert {k: len(v) for k, v in got.items()} == {"en": 10, "de": 1, "fr": 12}
+    assert len(set(got["en"])) == 10 and len(set(got["fr"])) == 12
+
+
 def toxic_corpus(n=240):
     rng = random.Random(3)
     words = ["".join(rng.choice(["an", "re", "to", "li", "es", "mo"]) for _ in range(rng.randint(1, 3))) for _ in range(400)]
