@@ -10,6 +10,7 @@ from monthwise.llm.licenses import op10_licenses
 from monthwise.llm.line_dedup import op7_line_dedup
 from monthwise.llm.secrets_scan import op9_secrets
 from monthwise.llm.simhash import op5_simhash
+from monthwise.llm.spelling import op11_spelling
 from monthwise.llm.token_files import op2_token_files
 from monthwise.llm.topk import op8_topk
 from monthwise.llm.toxicity import op6_toxicity
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_secrets": op9_secrets,
     "op10_licenses": op10_licenses,
+    "op11_spelling": op11_spelling,
 }
 
 #: Where DuckDB can express the operator; the others (trained models, XXH64
