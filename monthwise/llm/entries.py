@@ -8,6 +8,7 @@ from monthwise.llm.decontaminate import op4_decontaminate
 from monthwise.llm.langid import op1_langid
 from monthwise.llm.licenses import op10_licenses
 from monthwise.llm.line_dedup import op7_line_dedup
+from monthwise.llm.mixing import op12_mixing
 from monthwise.llm.secrets_scan import op9_secrets
 from monthwise.llm.simhash import op5_simhash
 from monthwise.llm.spelling import op11_spelling
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_licenses": op10_licenses,
     "op11_spelling": op11_spelling,
+    "op12_mixing": op12_mixing,
 }
 
 #: Where DuckDB can express the operator; the others (trained models, XXH64
