@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from monthwise.llm import oracles
 from monthwise.llm.bpe import op3_bpe
+from monthwise.llm.collocations import op13_collocations
 from monthwise.llm.decontaminate import op4_decontaminate
 from monthwise.llm.langid import op1_langid
 from monthwise.llm.licenses import op10_licenses
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_licenses": op10_licenses,
     "op11_spelling": op11_spelling,
     "op12_mixing": op12_mixing,
+    "op13_collocations": op13_collocations,
 }
 
 #: Where DuckDB can express the operator; the others (trained models, XXH64
@@ -40,4 +42,5 @@ ORACLE: dict[str, str] = {
     "op8_topk": oracles.TOP_K,
     "op9_secrets": oracles.SECRETS,
     "op10_licenses": oracles.LICENSES,
+    "op13_collocations": oracles.COLLOCATIONS,
 }

@@ -236,3 +236,48 @@ r AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+def _score(a: str, left: str, right: str) -> str:
+    return f"CAST((1000000::HUGEINT * {a} * {a}) // ({left}::HUGEINT * {right}) AS BIGINT)"
+
+
+COLLOCATIONS = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+),
+ws AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM ws),
+grams AS (SELECT lang, w[i] AS x, CASE WHEN i + 1 <= len(w) THEN w[i + 1] END AS y, CASE WHEN i + 2 <= len(w) THEN w[i + 2] END AS z FROM places),
+f1 AS (SELECT lang, x, CAST(count(*) AS BIGINT) AS f FROM grams GROUP BY ALL),
+f2 AS (SELECT lang, x, y, CAST(count(*) AS BIGINT) AS f FROM grams WHERE y IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, x, y, z, CAST(count(*) AS BIGINT) AS f FROM grams WHERE z IS NOT NULL GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+c3 AS (SELECT * FROM f3 WHERE f >= 10),
+longer AS (SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM c3 UNION ALL SELECT lang, y, z, f FROM c3) GROUP BY ALL),
+two AS (
+    SELECT p.lang, p.x || ' ' || p.y AS phrase, p.f AS a, a.f AS l, b.f AS r, {_score('p.f', 'a.f', 'b.f')} AS score
+    FROM f2 p JOIN f1 a ON a.lang = p.lang AND a.x = p.x JOIN f1 b ON b.lang = p.lang AND b.x = p.y
+    LEFT JOIN longer m ON m.lang = p.lang AND m.x = p.x AND m.y = p.y
+    WHERE p.f >= 10 AND (m.f IS NULL OR 100 * m.f < 50 * p.f)
+),
+cuts AS (
+    SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z AS phrase, t.f AS a, 1 AS k, a.f AS l, yz.f AS r
+    FROM c3 t JOIN f1 a ON a.lang = t.lang AND a.x = t.x JOIN f2 yz ON yz.lang = t.lang AND yz.x = t.y AND yz.y = t.z
+    UNION ALL
+    SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 2, xy.f, c.f
+    FROM c3 t JOIN f2 xy ON xy.lang = t.lang AND xy.x = t.x AND xy.y = t.y JOIN f1 c ON c.lang = t.lang AND c.x = t.z
+),
+three AS (
+    SELECT lang, phrase, a, l, r, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS first
+        FROM (SELECT *, {_score('a', 'l', 'r')} AS score FROM cuts)
+    ) WHERE first = 1
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM (SELECT * FROM two UNION ALL SELECT * FROM three)
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
