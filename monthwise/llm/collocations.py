@@ -217,7 +217,7 @@ def _triples(batches: Iterator[pa.RecordBatch], table) -> Iterator[pa.RecordBatc
     bits = table.value
 
     def can_be(a, b):
-        s = slots(a, b)
+        s = slots(a, b, 64 * len(bits))
         return (bits[s >> 6] >> (s & 63).astype(np.uint64)) & np.uint64(1) > 0
 
     for symbols, fm in _indexes(batches):
@@ -225,25 +225,26 @@ def _triples(batches: Iterator[pa.RecordBatch], table) -> Iterator[pa.RecordBatc
         yield from _emitted(symbols, phrase, count)
 
 
-def slots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def slots(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
     """A bit of the table for each pair of word ids."""
     h = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64)
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((h ^ (h >> np.uint64(29))) % np.uint64(SLOTS)).astype(np.int64)
+    return ((h ^ (h >> np.uint64(29))) % np.uint64(size)).astype(np.int64)
 
 
-def _slot_masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slot_masks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        s = np.unique(slots(batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        s = np.unique(slots(batch.column(0).to_numpy(), batch.column(1).to_numpy(), size))
         mask = (np.uint64(1) << (s & 63).astype(np.uint64)).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(s >> 6, pa.int64()), pa.array(mask, pa.int64())], names=["at", "mask"])
 
 
 def bit_table(pairs: DataFrame) -> np.ndarray:
     """The slots of all pairs: ``SLOTS / 64`` words, whatever the number of pairs."""
-    masks = pairs.select("g1", "g2").mapInArrow(_slot_masks, "at long, mask long")
+    size = SLOTS
+    masks = pairs.select("g1", "g2").mapInArrow(lambda it: _slot_masks(it, size), "at long, mask long")
     found = masks.groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
-    bits = np.zeros(SLOTS // 64, np.uint64)
+    bits = np.zeros(size // 64, np.uint64)
     bits[found.column("at").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
     return bits
 
