@@ -68,7 +68,7 @@ def _emit(rows) -> None:
 
 
 def landing_units(spark: SparkSession, landing: str, months, prefix: str = LANDING_PREFIX) -> list:
-    """``(date, unit, paths, delivered_at)`` of the requested months (all
+    """``(date, unit, scans, delivered_at)`` of the requested months (all
     months found when ``months`` is None), one row per month.  A requested
     month without a landing file is an error, not an empty month; so is a
     landing file that names no month."""
@@ -81,7 +81,7 @@ def landing_units(spark: SparkSession, landing: str, months, prefix: str = LANDI
         wanted = spark.createDataFrame([(m,) for m in months], "date date")
         units = units.join(wanted, "date", "left_semi")
     delivered = F.col("modificationTime").cast("timestamp_ntz").alias("delivered_at")
-    picks = sorted(units.select("date", "unit", "paths", delivered).collect())  # one row per month
+    picks = sorted(units.select("date", "unit", "scans", delivered).collect())  # one row per month
     missing = sorted(set(months or []) - {r["date"] for r in picks})
     if missing:
         raise SystemExit(f"no landing file for months: {', '.join(m.isoformat() for m in missing)}")
@@ -94,7 +94,7 @@ def landing_frame(spark: SparkSession, landing: str, months, contract, prefix: s
     """The conformed rows of the requested months, and the delivery time of
     each month they stand for."""
     picks = landing_units(spark, landing, months, prefix)
-    frame = scan_months(spark, [p for r in picks for p in r["paths"]], contract, prefix)
+    frame = scan_months(spark, [p for r in picks for p in r["scans"]], contract, prefix)
     return frame, {r["date"]: r["delivered_at"] for r in picks}
 
 
@@ -143,7 +143,7 @@ def cmd_stage_jdbc(spark, args) -> None:
 
     def stage(r):
         month = r["date"]
-        frame = scan_months(spark, r["paths"], contract, args.prefix)
+        frame = scan_months(spark, r["scans"], contract, args.prefix)
         [d] = decide(spark, month_gates(frame, key, (key,)), [month], key)
         rows = frame if args.row_limit is None else frame.limit(args.row_limit)
         table = args.stage_table.format(month)

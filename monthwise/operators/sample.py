@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthwise.operators.sequence import split_row_number
+from monthwise.sources.footers import footers, parquet_reader, read_heads
+from monthwise.sources.landing import union_all
 
 DEFAULT_SAMPLE_ROWS = 100  # fixed value: sampler default
 GROUP_LIMIT_ROWS = 1000  # spark.sql.optimizer.windowGroupLimitThreshold's default
@@ -49,17 +51,38 @@ def sample_head(df: DataFrame, keys: Sequence[str], n: int = DEFAULT_SAMPLE_ROWS
 
 
 def file_head(spark, paths: Sequence[str] | str, n: int = DEFAULT_SAMPLE_ROWS) -> DataFrame:
-    """The first ``n`` rows of Parquet files in file order -- the head of a
-    file, as a fixture maker takes it -- with no key needed.
+    """The first ``n`` rows of Parquet files of one schema in file order (by
+    path, then row) -- the head of a file, as a fixture maker takes it -- with
+    no key needed.
 
-    The order is the hidden ``_metadata.file_path`` and ``_metadata.row_index``
-    (the row's position in its file), so the plan is the same bounded
-    ``TakeOrderedAndProject`` as ``sample_head``: each task keeps its own
-    first ``n``.
+    Nothing is sorted or scanned whole: the first files' footers tell how many
+    rows each row group holds, more footers are read only while those hold too
+    few, and then only the leading row groups that hold ``n`` rows are read.
     """
+    if n < 1:
+        raise ValueError(f"a row limit must be at least 1, not {n}")
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.parquet(*paths)
-    return df.orderBy(F.col("_metadata.file_path"), F.col("_metadata.row_index")).limit(n)
+    files = parquet_reader(spark).format("binaryFile").load(paths).select("path")
+    looked = 16
+    while True:
+        first = footers(files.orderBy("path").limit(looked))
+        rows = sorted(first.select("path", "n_rows", "row_groups").collect())  # `looked` rows at most
+        held = sum(r["n_rows"] or 0 for r in rows)
+        if held >= n or len(rows) < looked or any(r["n_rows"] is None for r in rows):
+            break
+        looked *= 4
+    if any(r["n_rows"] is None for r in rows):  # a file system that only Spark opens
+        df = spark.read.parquet(*paths)
+        return df.orderBy(F.col("_metadata.file_path"), F.col("_metadata.row_index")).limit(n)
+    heads, left = [], n
+    for r in rows:
+        if left and r["n_rows"]:
+            heads.append((r["path"], min(left, r["n_rows"]), r["row_groups"]))
+            left -= heads[-1][1]
+    schema = parquet_reader(spark).parquet(*paths[:1]).schema
+    chosen = spark.createDataFrame(heads, "path string, wanted long, row_groups array<long>")
+    out = read_heads(spark, chosen, schema, "_file", "_row")
+    return out.orderBy("_file", "_row").limit(n).drop("_file", "_row")
 
 
 def file_head_per_month(spark, units: Sequence[str], n: int = DEFAULT_SAMPLE_ROWS, contract=None, prefix=None):
@@ -67,31 +90,34 @@ def file_head_per_month(spark, units: Sequence[str], n: int = DEFAULT_SAMPLE_ROW
     order, conformed: the file-order head taken per month, as a fixture
     maker run over each month file.
 
-    One scan per schema group, ``first_per_month`` by
-    ``_metadata.file_path, _metadata.row_index``.
+    Footers give the rows of every file; a running sum per month over its
+    files (a footer row each) tells which files, and how many rows of each,
+    are the month's first ``n``.  One read of leading row groups per schema.
     """
     from monthwise.contract import TRIP_CONTRACT
     from monthwise.functions.calendar import LANDING_PREFIX, month_from_file_name
     from monthwise.functions.conform import conform
-    from monthwise.sources.landing import group_by_schema
 
+    if n < 1:
+        raise ValueError(f"a row limit must be at least 1, not {n}")
     contract = contract or TRIP_CONTRACT
     prefix = prefix or LANDING_PREFIX
     key = contract.partition_key
+    files = parquet_reader(spark).format("binaryFile").load(list(units)).select("path")
+    read = footers(files.withColumn("_month", month_from_file_name(F.col("path"), prefix)))
+    before = Window.partitionBy("_month").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.lit(n) - F.coalesce(F.sum("n_rows").over(before), F.lit(0))
+    chosen = read.withColumn("wanted", F.least(left, F.col("n_rows"))).where("wanted > 0 OR n_rows IS NULL").persist()
+    kinds = chosen.groupBy("signature").agg(F.min("path").alias("path")).collect()  # a row per schema version
     frames = []
-    for paths in group_by_schema(spark, list(units)).values():
-        raw = spark.read.parquet(*paths).select(
-            "*",
-            month_from_file_name(F.col("_metadata.file_path"), prefix).alias("_month"),
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.row_index").alias("_row"),
-        )
-        head = first_per_month(raw, ["_file", "_row"], n, "_month", "_rn")
-        frames.append(conform(head.withColumn(key, F.col("_month")), contract))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    for signature, path in kinds:
+        if signature is None:
+            raise OSError(f"pyarrow does not open the file system of {path}")
+        schema = spark.read.parquet(path).schema
+        heads = read_heads(spark, chosen.where(F.col("signature") == signature), schema, "_file", "_row")
+        month = month_from_file_name(F.col("_file"), prefix)
+        frames.append(conform(heads.withColumn(key, month), contract))
+    return union_all(frames) if frames else spark.createDataFrame([], contract.schema)
 
 
 def sample_per_month(

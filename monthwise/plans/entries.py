@@ -649,8 +649,8 @@ def _months_of(spark, sf_dir):
     from monthwise.sources.landing import list_files, month_units, scan_months
 
     def back(landing):
-        units = month_units(list_files(spark, landing, recursive=True)).select("paths").collect()
-        return scan_months(spark, [p for r in units for p in r["paths"]], CONTRACT)
+        units = month_units(list_files(spark, landing, recursive=True)).select("scans").collect()
+        return scan_months(spark, [p for r in units for p in r["scans"]], CONTRACT)
 
     return back
 

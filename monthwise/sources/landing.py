@@ -3,10 +3,10 @@ many months whose file schemas differ in one job.
 
 Month files do not share one schema (a column can be int in one month and
 double in another, or be missing).  ``mergeSchema`` rejects such conflicts,
-so files are grouped by footer schema, each group is read with one
-``spark.read.parquet(*paths)`` and conformed, and the conformed groups are
-unioned by name.  The number of groups is the number of schema versions
-(a handful), not the number of files.
+so files are grouped by footer schema (footers are read by the executors, see
+``footers.py``), each group is read with one ``spark.read.parquet(*paths)`` and
+conformed, and the conformed groups are unioned by name.  The number of groups
+is the number of schema versions (a handful), not the number of files.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from monthwise.contract import TRIP_CONTRACT, Contract
 from monthwise.functions.calendar import LANDING_PREFIX, month_from_file_name
 from monthwise.functions.conform import conform
+from monthwise.sources.footers import parquet_reader, schema_groups
 
 LISTING_COLUMNS = ("path", "modificationTime", "length")
 
@@ -72,59 +73,41 @@ class MonthSource:
     month: object  # datetime.date, or None to take it from the file name
 
 
-def _spark_signature(spark: SparkSession, path: str) -> str:
-    return spark.read.parquet(path).schema.json()
-
-
-def _arrow_signature(path: str) -> str | None:
-    """Column names and types of one Parquet file's footer, read with pyarrow
-    (metadata only).  None when pyarrow cannot open the file system of
-    ``path``; the caller falls back to Spark."""
-    try:
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
-
-        if path.startswith("file:"):
-            fsys, p = pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
-        elif "://" in path:
-            fsys, p = pafs.FileSystem.from_uri(path)
-        else:
-            fsys, p = pafs.LocalFileSystem(), path
-        with fsys.open_input_file(p) as f:
-            schema = pq.read_schema(f)
-        return repr([(fld.name, str(fld.type)) for fld in schema])
-    except Exception:  # noqa: BLE001 - any failure: let Spark read the footer
-        return None
-
-
-def parquet_files(spark: SparkSession, path: str) -> list[str]:
-    """The data files of a file or folder (hidden names left out)."""
-    from monthwise.sources import fs
-
-    if not fs.is_folder(spark, path):
-        return [path]
-    return sorted(f for f in fs.walk(spark, path) if f.endswith(".parquet"))
+def scan_path(path, prefix: str = LANDING_PREFIX) -> Column:
+    """What a scan of the delivery of ``path`` names: its folder, its file, or
+    the pattern of its numbered parts; a file that names no month, itself."""
+    p = path if isinstance(path, Column) else F.col(path)
+    unit = month_unit(p, prefix)
+    parts = F.concat(unit, F.lit("-[0-9][0-9][0-9][0-9][0-9].parquet"))
+    return F.when((unit == "") | (p == unit), p).when(p.startswith(F.concat(unit, F.lit("/"))), unit).otherwise(parts)
 
 
-def group_by_schema(spark: SparkSession, paths: list[str], threads: int = 32, expand: bool = True) -> dict[str, list[str]]:
-    """Files grouped by their Parquet schema; a folder among ``paths`` counts
-    as its files.
+def scan_files(
+    spark: SparkSession, files: DataFrame, contract: Contract = TRIP_CONTRACT, prefix: str = LANDING_PREFIX, month=None
+) -> DataFrame:
+    """The files of a listing (``path``; optionally ``scan``, see
+    ``schema_groups``) as one conformed frame: one scan per schema version,
+    found by the executors.  ``date`` is ``month``, or else the month that a
+    file's path names, taken from the hidden ``_metadata.file_path`` with
+    substring arithmetic and never from the data."""
+    key = contract.partition_key
+    if "scan" not in files.columns:
+        files = files.select("path", F.col("path").alias("scan"))
+    date = month_from_file_name(F.col("_metadata.file_path"), prefix) if month is None else F.lit(month)
+    frames = []
+    for paths, schema in schema_groups(files):
+        raw = parquet_reader(spark).schema(schema).parquet(*paths)
+        frames.append(conform(raw.withColumn(key, date), contract))
+    return union_all(frames) if frames else spark.createDataFrame([], contract.schema)
 
-    Every file's own footer is read, as files of one folder may differ and a
-    scan takes one schema for all its files.  Footers are read in parallel
-    threads on the driver: metadata only, a few KB a file.
-    """
-    def sig(p: str) -> str:
-        a = _arrow_signature(p)
-        return ("arrow:" + a) if a is not None else ("spark:" + _spark_signature(spark, p))
 
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths) or 1))) as pool:
-        files = [f for found in pool.map(lambda p: parquet_files(spark, p), paths) for f in found] if expand else paths
-        sigs = list(pool.map(sig, files))
-    groups: dict[str, list[str]] = {}
-    for p, s in zip(files, sigs):
-        groups.setdefault(s, []).append(p)
-    return groups
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """A balanced tree of unions: each union is analysed eagerly, so a chain
+    would re-analyse the growing plan once per frame."""
+    while len(frames) > 1:
+        frames = [frames[k].unionByName(frames[k + 1]) if k + 1 < len(frames) else frames[k]
+                  for k in range(0, len(frames), 2)]
+    return frames[0]
 
 
 def scan_months(
@@ -135,52 +118,36 @@ def scan_months(
 ) -> DataFrame:
     """Read many month files of differing schemas as one conformed frame.
 
-    ``date`` is the month of each unit, a per-file constant never read from
-    the data:
-
-    * named units (``MonthSource.month`` None): one scan per schema group; the
-      month is parsed from the hidden ``_metadata.file_path`` with substring
-      arithmetic (``month_from_file_name``);
-    * given months: one scan per month with the month as a literal, so no
-      per-row work at all.  (A per-row lookup of the file in a literal map
-      would compare against every key -- Spark searches literal maps
-      linearly.)  The scans are built in parallel threads, so their file
-      listings overlap on the driver.
+    A source is a file, a folder or a pattern (``month_units``'s ``scans``).
+    Named units (``MonthSource.month`` None, or a plain path) are one listing
+    and one scan per schema version; the month is in each file's path.  Given
+    months are a listing and a scan each with the month as a literal, so no
+    per-row work at all.  (A per-row lookup of the file in a literal map would
+    compare against every key -- Spark searches literal maps linearly.)  They
+    are built in parallel threads, so their listings overlap.
     """
     units = [s if isinstance(s, MonthSource) else MonthSource(s, None) for s in sources]
     if not units:
         raise ValueError("no month files to scan")
-    key = contract.partition_key
-    with ThreadPoolExecutor(max_workers=min(32, len(units))) as pool:
-        found = list(pool.map(lambda u: parquet_files(spark, u.path), units))
-    month_of = {f: u.month for u, files in zip(units, found) for f in files}
-    if not month_of:
-        return spark.createDataFrame([], contract.schema)
-    frames = []
-    for paths in group_by_schema(spark, list(month_of), expand=False).values():
-        named = [p for p in paths if month_of[p] is None]
-        if named:
-            raw = spark.read.parquet(*named)
-            frames.append(conform(raw.withColumn(key, month_from_file_name(F.col("_metadata.file_path"), prefix)), contract))
-        given: dict = {}
-        for p in paths:
-            if month_of[p] is not None:
-                given.setdefault(month_of[p], []).append(p)
-        if given:
-            schema = spark.read.parquet(paths[0]).schema  # one footer for the group
-
-            def month_scan(item):
-                month, ps = item
-                return conform(spark.read.schema(schema).parquet(*ps).withColumn(key, F.lit(month)), contract)
-
-            with ThreadPoolExecutor(max_workers=min(16, len(given))) as pool:
-                frames += list(pool.map(month_scan, sorted(given.items())))
-    # a balanced tree of unions: each union is analysed eagerly, so a chain
-    # would re-analyse the growing plan once per frame
-    while len(frames) > 1:
-        frames = [frames[k].unionByName(frames[k + 1]) if k + 1 < len(frames) else frames[k]
-                  for k in range(0, len(frames), 2)]
-    return frames[0]
+    named = [u.path for u in units if u.month is None]
+    given: dict = {}
+    for u in units:
+        if u.month is not None:
+            given.setdefault(u.month, []).append(u.path)
+
+    def listed(paths: list[str], scan: Column) -> DataFrame:
+        listing = parquet_reader(spark).format("binaryFile").load(paths)
+        return listing.select("path").withColumn("scan", scan)
+
+    def month_scan(item) -> DataFrame:
+        month, paths = item
+        return scan_files(spark, listed(paths, F.col("path")), contract, prefix, month)
+
+    frames = [scan_files(spark, listed(named, scan_path("path", prefix)), contract, prefix)] if named else []
+    if given:
+        with ThreadPoolExecutor(max_workers=min(16, len(given))) as pool:
+            frames += list(pool.map(month_scan, sorted(given.items())))
+    return union_all(frames)
 
 
 def write_month_files(
@@ -258,25 +225,27 @@ def unnamed_files(listing: DataFrame, path_col: str = "path", prefix: str = LAND
 
 def month_units(listing: DataFrame, path_col: str = "path", prefix: str = LANDING_PREFIX) -> DataFrame:
     """Newest delivery per month from a file listing: ``date, unit,
-    modificationTime, n_files, paths``.
+    modificationTime, n_files, scans``.
 
-    A delivery is all its parts (``paths``), and as new as its newest file; a
-    month delivered again under another name replaces the old one, files
-    added to a delivery belong to it.  One row per month; ``paths`` is as
-    long as the month has files.  Files that name no month are in
+    A delivery is all its parts, and as new as its newest file; a month
+    delivered again under another name replaces the old one, files added to a
+    delivery belong to it.  ``scans`` is what a scan names to read it whole: a
+    folder, a file or a pattern of numbered parts, so a row stays short
+    however many files a month has.  Files that name no month are in
     ``unnamed_files``.
     """
     unit = month_unit(F.col(path_col), prefix)
     deliveries = (
         listing.withColumn("unit", unit)
+        .withColumn("_scan", scan_path(F.col(path_col), prefix))
         .groupBy("unit")
         .agg(
             F.max("modificationTime").alias("modificationTime"),
             F.count(F.lit(1)).alias("n_files"),
-            F.sort_array(F.collect_list(path_col)).alias("paths"),
+            F.sort_array(F.collect_set(F.when(F.col("unit") != "", F.col("_scan")))).alias("scans"),
         )
         .where(F.col("unit") != "")
         .withColumn("date", month_from_file_name(F.col("unit"), prefix))
     )
-    newest = F.max_by(F.struct("unit", "modificationTime", "n_files", "paths"), F.struct("modificationTime", "unit"))
+    newest = F.max_by(F.struct("unit", "modificationTime", "n_files", "scans"), F.struct("modificationTime", "unit"))
     return deliveries.groupBy("date").agg(newest.alias("_d")).select("date", "_d.*")

@@ -96,12 +96,12 @@ class IncrementalLoad:
         seen = last_delivery(spark, self._ledger_root(spark)).withColumnRenamed("delivered_at", "_seen")
         delivered = F.col("modificationTime").cast("timestamp_ntz")
         newest = newest.join(seen, "date", "left").where(F.col("_seen").isNull() | (F.col("_seen") <= delivered))
-        picks = newest.select("date", "unit", "paths", delivered.alias("delivered_at")).collect()  # a row a month
+        picks = newest.select("date", "unit", "scans", delivered.alias("delivered_at")).collect()  # a row a month
         if not picks:
             return
-        if self.clean_source and (parts := [r["unit"] for r in picks if r["paths"] != [r["unit"]]]):
+        if self.clean_source and (parts := [r["unit"] for r in picks if r["scans"] != [r["unit"]]]):
             raise ValueError(f"clean_source needs deliveries of one file; these have parts: {sorted(parts)[:10]}")
-        frame = scan_months(spark, [p for r in picks for p in r["paths"]], self.contract, self.prefix)
+        frame = scan_months(spark, [p for r in picks for p in r["scans"]], self.contract, self.prefix)
         options = {
             "months": [r["date"] for r in picks],
             "contract": self.contract,

@@ -139,7 +139,7 @@ def test_nested_redelivery_folder(spark, scratch):
     write_month_files(spark, rows(spark, (3, JAN), (4, JAN), (5, FEB)), outer, layout="file")
     units = {r.date: r for r in month_units(list_files(spark, land, recursive=True)).collect()}
     assert set(units) == {JAN, FEB} and "2019_12_redelivery/yellow_tripdata_2020_01" in units[JAN].unit
-    frame = scan_months(spark, [p for r in units.values() for p in r.paths], C)
+    frame = scan_months(spark, [p for r in units.values() for p in r.scans], C)
     assert sorted((r.vendor_id, r.date) for r in frame.collect()) == [(3, JAN), (4, JAN), (5, FEB)]
 
 
