@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from monthwise.llm.common import read_table, shuffle_count, staged
 
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 3_000_000
 STEP_BYTES = 1 << 20
 SLOTS = 1 << 25
 TOP_SALTS = 32
