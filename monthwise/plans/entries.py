@@ -743,6 +743,33 @@ def q_archived_load(spark, sf_dir):
     return read_target(spark, job.target_root, CONTRACT)
 
 
+@register("archived_parts_load", _MIXED_SQL)
+def q_archived_parts_load(spark, sf_dir):
+    # deliveries of numbered parts and of folders go to the archive as a whole;
+    # parts that come after their fellows went are loaded with them
+    from monthwise.plans.load import read_target
+    from monthwise.sources import fs
+    from monthwise.sources.landing import write_month_files
+    from monthwise.streaming.deliveries import unit_of
+
+    job = _stream(spark, "parts", clean_source="archive")
+    job.archive_dir = job.landing.replace("/landing", "/archive")
+    old, new = _orders_month_files_raw(spark, sf_dir)
+    # the last part of every old month is held back
+    parts = write_month_files(spark, old, f"{job.landing}-held", layout="file", max_records=PART_ROWS)
+    months: dict[str, list[str]] = {}
+    for p in parts:
+        months.setdefault(unit_of(p), []).append(p)
+    late = {files[-1] for files in months.values() if len(files) > 1}
+    for wave in ([p for p in parts if p not in late], sorted(late)):
+        for p in wave:
+            fs.rename(spark, p, f"{job.landing}/{p.rsplit('/', 1)[-1]}")
+        job.run_available(spark)
+    write_month_files(spark, new, job.landing)
+    job.run_available(spark)
+    return read_target(spark, job.target_root, CONTRACT)
+
+
 @register("persisted_load", f"SELECT date, count(*) AS cnt FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t GROUP BY date")
 def q_persisted_load(spark, sf_dir):
     # the frame kept for the count and the write; the ledger has the counts

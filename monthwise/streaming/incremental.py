@@ -1,17 +1,15 @@
-"""Take in newly arrived month files exactly once.
-
-The stream is over the *file listing* of the landing folder (``binaryFile``
-without ``content``), not over the Parquet rows: month files differ in
-schema, and a Parquet stream needs one fixed schema.  Each micro-batch is a
-set of new paths, which tell the months that have changed.  ``foreachBatch``
-lists those months' deliveries in full (a part may have come in an earlier
-batch), takes the newest of each month and runs ``load_months``.  A delivery
-older than the one that the ledger says was loaded is left out, so an old
-file that comes late does not undo a newer one.  A new file that names no
-month fails the batch (or is reported, see ``unnamed``), so it is never
-marked as seen in silence.  ``load_months`` is safe to
-repeat, so a batch replayed after a crash has the same effect as once: the
-checkpoint gives at-least-once delivery, idempotence makes it exactly-once.
+"""Take in newly arrived deliveries exactly once.
+
+The stream is over *deliveries* (``deliveries.py``), not over the Parquet rows:
+month files differ in schema, and a Parquet stream needs one fixed schema.  A
+micro-batch is a set of whole deliveries with their files.  ``foreachBatch``
+takes the newest of each month and runs ``load_months``.  A delivery older than
+the one that the ledger says was loaded is left out, so an old file that comes
+late does not undo a newer one.  A new file that names no month fails the batch
+(or is reported, see ``unnamed``), so it is never marked as seen in silence.
+``load_months`` is safe to repeat, so a batch replayed after a crash has the
+same effect as once: the checkpoint gives at-least-once delivery, idempotence
+makes it exactly-once.
 
 ``trigger(availableNow=True)`` processes what is there and stops -- a
 scheduled run; ``processingTime`` keeps it running.
@@ -23,25 +21,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from monthwise.contract import TRIP_CONTRACT, Contract
 from monthwise.functions.calendar import LANDING_PREFIX, month_from_file_name
 from monthwise.operators.ledger import last_delivery
 from monthwise.plans.load import load_months
-from monthwise.sources.landing import list_files, month_unit, month_units, scan_months, unnamed_files
-
-LISTING_SCHEMA = T.StructType(
-    [
-        T.StructField("path", T.StringType(), False),
-        T.StructField("modificationTime", T.TimestampType(), False),
-        T.StructField("length", T.LongType(), False),
-        T.StructField("content", T.BinaryType(), True),
-    ]
-)
-
-
-NEVER = "36500d"
+from monthwise.sources.landing import scan_files, scan_path
+from monthwise.streaming.deliveries import Deliveries, batch_state, finish_deliveries
 
 
 @dataclass
@@ -56,10 +42,10 @@ class IncrementalLoad:
     checkpoint: str
     contract: Contract = TRIP_CONTRACT
     prefix: str = LANDING_PREFIX
-    glob: str = "*.parquet"
+    # whole deliveries up to so many files a batch (a larger one comes alone)
     max_files_per_trigger: int | None = None
-    # "archive" | "delete" | None.  Only for deliveries of one file: a part
-    # that is gone could not be loaded again with a part that comes later.
+    # "archive" | "delete" | None: deliveries of any number of files go as a
+    # whole, once the batch that loaded them has finished
     clean_source: str | None = None
     unnamed: str = "fail"  # or "report": to the rows of unnamed_root
     unnamed_root: str | None = None
@@ -68,40 +54,36 @@ class IncrementalLoad:
     table: str | None = None
     ledger_table: str | None = None
 
-    def listing_stream(self, spark: SparkSession) -> DataFrame:
-        r = (
-            spark.readStream.format("binaryFile")
-            .schema(LISTING_SCHEMA)
-            .option("pathGlobFilter", self.glob)
-            .option("recursiveFileLookup", "true")
-            # by default a file 7 days older than the newest one seen is ignored for ever
-            .option("maxFileAge", NEVER)
-        )
-        if self.max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", str(self.max_files_per_trigger))
+    def source_options(self) -> dict[str, str]:
+        options = {"path": self.landing, "log": f"{self.checkpoint.rstrip('/')}/deliveries", "prefix": self.prefix}
         if self.clean_source:
-            r = r.option("cleanSource", self.clean_source)
-            if self.archive_dir:
-                r = r.option("sourceArchiveDir", self.archive_dir)
-        return r.load(self.landing).select("path", "modificationTime", "length")
+            options["clean"] = self.clean_source
+            options["archive"] = self.archive_dir or f"{self.landing.rstrip('/')}-archive"
+        if self.max_files_per_trigger:
+            options["maxFiles"] = str(self.max_files_per_trigger)
+        return options
+
+    def delivery_stream(self, spark: SparkSession) -> DataFrame:
+        spark.dataSource.register(Deliveries)
+        return spark.readStream.format(Deliveries.name()).options(**self.source_options()).load()
 
     def load_batch(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         self._check_names(batch, epoch_id)
-        changed = batch.select(month_unit(F.col("path"), self.prefix).alias("unit")).where("unit <> ''")
-        changed = changed.select(month_from_file_name(F.col("unit"), self.prefix).alias("date")).distinct()
-        # all parts of the months' deliveries, with those of earlier batches
-        listing = list_files(spark, self.landing, self.glob, recursive=True)
-        newest = month_units(listing, "path", self.prefix).join(changed, "date", "left_semi")
+        named = batch.where("unit <> ''").withColumn("date", month_from_file_name(F.col("unit"), self.prefix))
+        sent = named.groupBy("date", "manifest", "unit").agg(F.max("modificationTime").alias("modificationTime"))
+        newest = F.max_by(F.struct("manifest", "unit", "modificationTime"), F.struct("modificationTime", "unit", "manifest"))
+        newest = sent.groupBy("date").agg(newest.alias("d")).select("date", "d.*")
         seen = last_delivery(spark, self._ledger_root(spark)).withColumnRenamed("delivered_at", "_seen")
         delivered = F.col("modificationTime").cast("timestamp_ntz")
         newest = newest.join(seen, "date", "left").where(F.col("_seen").isNull() | (F.col("_seen") <= delivered))
-        picks = newest.select("date", "unit", "scans", delivered.alias("delivered_at")).collect()  # a row a month
+        picks = newest.select("date", "manifest", "unit", delivered.alias("delivered_at")).collect()  # a row a month
         if not picks:
             return
-        if self.clean_source and (parts := [r["unit"] for r in picks if r["scans"] != [r["unit"]]]):
-            raise ValueError(f"clean_source needs deliveries of one file; these have parts: {sorted(parts)[:10]}")
-        frame = scan_months(spark, [p for r in picks for p in r["scans"]], self.contract, self.prefix)
+        chosen = spark.createDataFrame([(r["manifest"], r["unit"]) for r in picks], "manifest long, unit string")
+        files = named.join(chosen, ["manifest", "unit"], "left_semi")
+        files = files.select("path", scan_path("path", self.prefix).alias("scan"))
+        frame = scan_files(spark, files, self.contract, self.prefix)
         options = {
             "months": [r["date"] for r in picks],
             "contract": self.contract,
@@ -123,7 +105,7 @@ class IncrementalLoad:
         return table_location(spark, self.ledger_table)
 
     def _check_names(self, batch: DataFrame, epoch_id: int) -> None:
-        odd = unnamed_files(batch, "path", self.prefix)
+        odd = batch.where("unit = ''").select("path", "modificationTime", "length")
         if self.unnamed == "report":
             if self.unnamed_root is None:
                 raise ValueError("unnamed='report' needs unnamed_root")
@@ -134,23 +116,23 @@ class IncrementalLoad:
             raise ValueError(f"landing files that name no month: {names}")
 
     def run_available(self, spark: SparkSession) -> None:
-        """Process every file not yet seen, then stop."""
-        q = (
-            self.listing_stream(spark)
-            .writeStream.foreachBatch(self.load_batch)
-            .option("checkpointLocation", self.checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+        """Process every delivery not yet seen, then stop."""
+        while True:
+            before, unfinished = batch_state(self.checkpoint)
+            q = self._writer(spark).trigger(availableNow=True).start()
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise q.exception()
+            # Spark commits a batch to the source when the next one begins
+            finish_deliveries(self.source_options(), self.checkpoint)
+            # a run makes one batch; one that had to finish an old batch has not looked for more
+            capped = self.max_files_per_trigger and batch_state(self.checkpoint)[0] > before
+            if not capped and not unfinished:
+                return
 
     def start(self, spark: SparkSession, every: str = "1 minute"):
-        return (
-            self.listing_stream(spark)
-            .writeStream.foreachBatch(self.load_batch)
-            .option("checkpointLocation", self.checkpoint)
-            .trigger(processingTime=every)
-            .start()
-        )
+        return self._writer(spark).trigger(processingTime=every).start()
+
+    def _writer(self, spark: SparkSession):
+        stream = self.delivery_stream(spark).writeStream.foreachBatch(self.load_batch)
+        return stream.option("checkpointLocation", self.checkpoint)

@@ -175,15 +175,6 @@ def test_parts_of_one_delivery_in_two_batches(spark, scratch):
     assert vendors(spark, job.target_root) == [(1, JAN), (2, JAN)]
 
 
-def test_clean_source_refuses_deliveries_in_parts(spark, scratch):
-    root = scratch("clean")
-    job = IncrementalLoad(f"{root}/landing", f"{root}/t", f"{root}/l", f"{root}/ckpt", contract=C, clean_source="delete")
-    write_month_files(spark, rows(spark, (1, JAN)), job.landing)  # a folder
-    with pytest.raises(Exception, match="clean_source"):
-        job.run_available(spark)
-    assert vendors(spark, job.target_root) == []
-
-
 def test_older_delivery_that_comes_late_is_left_out(spark, scratch):
     root = scratch("older")
     job = IncrementalLoad(f"{root}/landing", f"{root}/t", f"{root}/l", f"{root}/ckpt", contract=C)
