@@ -15,6 +15,11 @@ from pyspark.sql import types as T
 from monthwise.contract import TRIP_CONTRACT, ColumnSpec, Contract
 
 
+#: Column of ``conform(lost=True)``: bit i is set where the cast of the
+#: contract's column i made a value null.
+LOST = "_lost"
+
+
 class AmbiguousColumnError(ValueError):
     """Two raw columns differ only in case and the session ignores case."""
 
@@ -58,11 +63,24 @@ def _spec_column(df: DataFrame, spec: ColumnSpec) -> Column:
     return column_or_null(df, spec.source, spec.dtype).alias(spec.target)
 
 
-def conform(df: DataFrame, contract: Contract = TRIP_CONTRACT) -> DataFrame:
+def lost_mask(df: DataFrame, contract: Contract) -> Column:
+    """The bits of the columns whose value is there and fails its cast."""
+    mask = F.lit(0).cast("long")
+    for i, spec in enumerate(contract.columns):
+        if not spec.required and spec.source in df.columns:
+            gone = df[_quoted(spec.source)].isNotNull() & column_or_null(df, spec.source, spec.dtype).isNull()
+            mask = mask.bitwiseOR(F.when(gone, F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
+    return mask.alias(LOST)
+
+
+def conform(df: DataFrame, contract: Contract = TRIP_CONTRACT, lost: bool = False) -> DataFrame:
     """Select, null-fill, cast, rename and order ``df`` to ``contract``.
 
     Unlisted columns are dropped.  Casts are ``try_cast`` so a bad value
     becomes null whatever ``spark.sql.ansi.enabled`` says; double -> int cuts
-    the fraction and out-of-range values become null.
+    the fraction and out-of-range values become null.  ``lost`` adds the
+    column ``LOST``, which tells such nulls from those that were null before;
+    the load counts it and does not write it.
     """
-    return df.select(*[_spec_column(df, s) for s in contract.columns])
+    more = [lost_mask(df, contract)] if lost else []
+    return df.select(*[_spec_column(df, s) for s in contract.columns], *more)

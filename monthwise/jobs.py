@@ -35,7 +35,7 @@ if __package__ in (None, ""):
 from monthwise.contract import TRIP_CONTRACT
 from monthwise.functions.calendar import LANDING_PREFIX, calendar
 from monthwise.operators.checks import month_counts
-from monthwise.operators.ledger import compact_ledger, read_ledger, reconcile
+from monthwise.operators.ledger import compact_ledger, month_digests, read_ledger, read_ledger_digests, reconcile
 from monthwise.plans import catalog
 from monthwise.plans.load import load_months, read_target
 from monthwise.sources.landing import list_files, month_units, scan_months, unnamed_files
@@ -94,7 +94,7 @@ def landing_frame(spark: SparkSession, landing: str, months, contract, prefix: s
     """The conformed rows of the requested months, and the delivery time of
     each month they stand for."""
     picks = landing_units(spark, landing, months, prefix)
-    frame = scan_months(spark, [p for r in picks for p in r["scans"]], contract, prefix)
+    frame = scan_months(spark, [p for r in picks for p in r["scans"]], contract, prefix, lost=True)
     return frame, {r["date"]: r["delivered_at"] for r in picks}
 
 
@@ -110,7 +110,8 @@ def cmd_load(spark, args) -> None:
     contract = _contract(args)
     frame, delivered = landing_frame(spark, args.landing, _months(args), contract, args.prefix)
     months = list(delivered)
-    opts = {"row_limit": args.row_limit, "rebalance": args.rebalance, "delivered": delivered}
+    opts = {"row_limit": args.row_limit, "rebalance": args.rebalance, "delivered": delivered,
+            "max_lost": args.max_lost, "digest": args.digest}
     if args.command == "load-table":
         report = catalog.load_months_to_table(
             spark, frame, args.table, args.ledger_table, months=months, contract=contract, **opts
@@ -118,6 +119,7 @@ def cmd_load(spark, args) -> None:
     else:
         report = load_months(spark, frame, args.target, args.ledger, months=months, contract=contract, **opts)
     _emit(report.decisions)
+    _emit(report.lost)
 
 
 def cmd_stage_jdbc(spark, args) -> None:
@@ -160,13 +162,14 @@ def cmd_stage_jdbc(spark, args) -> None:
         replace_rows(spark, db, args.ledger_table, "date", ["cnt", "date"], [(r["cnt"], r["date"]) for r in done])
 
 
-def _ledger(spark, args):
+def _ledger(spark, args, content: bool = False):
     """The ledger view from ``--ledger`` (a folder) or ``--ledger-table`` (the log table)."""
+    read = read_ledger_digests if content else read_ledger
     if getattr(args, "ledger_table", None):
-        return read_ledger(spark, catalog.table_location(spark, args.ledger_table))
+        return read(spark, catalog.table_location(spark, args.ledger_table))
     if not args.ledger:
         raise SystemExit("give --ledger or --ledger-table")
-    return read_ledger(spark, args.ledger)
+    return read(spark, args.ledger)
 
 
 def cmd_backlog(spark, args) -> None:
@@ -177,12 +180,13 @@ def cmd_backlog(spark, args) -> None:
 
 def cmd_reconcile(spark, args) -> None:
     if args.table:
-        counts = catalog.month_counts_sql(spark, args.table)
+        frame = spark.table(args.table)
     elif args.target:
-        counts = month_counts(read_target(spark, args.target, _contract(args)))
+        frame = read_target(spark, args.target, _contract(args))
     else:
         raise SystemExit("give --target or --table")
-    _emit(reconcile(counts, _ledger(spark, args)).orderBy("date").collect())
+    counts = month_digests(frame) if args.content else month_counts(frame)
+    _emit(reconcile(counts, _ledger(spark, args, args.content)).orderBy("date").collect())
 
 
 def cmd_stream(spark, args) -> None:
@@ -193,6 +197,7 @@ def cmd_stream(spark, args) -> None:
         contract=_contract(args), prefix=args.prefix, rebalance=args.rebalance,
         table=args.table, ledger_table=args.ledger_table, max_files_per_trigger=args.max_files_per_trigger,
         clean_source=args.clean_source, archive_dir=args.archive_dir, unnamed=args.unnamed, unnamed_root=args.unnamed_root,
+        max_lost=args.max_lost,
     )
     if args.every:
         job.start(spark, args.every).awaitTermination()
@@ -244,6 +249,8 @@ def parser() -> argparse.ArgumentParser:
         g.add_argument("--months", help="comma-separated months, e.g. 2020-01,2020-02")
         sp.add_argument("--row-limit", type=int, default=None, help="stage at most N rows per month")
         sp.add_argument("--rebalance", action="store_true", help="shuffle by month before the write")
+        sp.add_argument("--max-lost", type=int, default=None, help="values a month's column may lose in its cast")
+        sp.add_argument("--digest", action="store_true", help="record each month's content, for reconcile --content")
         sp.set_defaults(run=cmd_load)
 
     sp = sub.add_parser("stage-jdbc")
@@ -277,6 +284,7 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--ledger", default=None, help="path form: folder of the ledger log")
     sp.add_argument("--table", default=None, help="catalog form: the target table")
     sp.add_argument("--ledger-table", default=None, help="catalog form: the ledger log table")
+    sp.add_argument("--content", action="store_true", help="compare each month's content, not its count alone")
     sp.set_defaults(run=cmd_reconcile)
 
     sp = sub.add_parser("stream")
@@ -293,6 +301,7 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--archive-dir", default=None)
     sp.add_argument("--unnamed", choices=("fail", "report"), default="fail", help="files that name no month")
     sp.add_argument("--unnamed-root", default=None, help="folder of that report")
+    sp.add_argument("--max-lost", type=int, default=None, help="values a month's column may lose in its cast")
     sp.set_defaults(run=cmd_stream)
 
     sp = sub.add_parser("vacuum")

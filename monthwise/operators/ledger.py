@@ -29,6 +29,8 @@ LOG_SCHEMA = T.StructType(
         T.StructField("run_id", T.StringType(), True),
         # modification time of the delivery that was loaded (null: not known)
         T.StructField("delivered_at", T.TimestampNTZType(), True),
+        # content of the month as loaded (``month_digests``; null: not taken)
+        T.StructField("digest", T.StringType(), True),
     ]
 )
 
@@ -40,12 +42,13 @@ def ledger_rows(counts: DataFrame, key: str = "date") -> DataFrame:
 
 def ledger_replace(counts: DataFrame, ledger_root: str, key: str = "date", run_id: str | None = None) -> str:
     """Record the counts of every month in ``counts`` (``key``, ``cnt`` and, if
-    known, ``delivered_at``); older entries of those months are superseded,
+    known, ``delivered_at`` and ``digest``); older entries of those months are superseded,
     other months keep theirs.  Returns the run id."""
     # run ids sort by creation time, so equal timestamps still order runs
     run_id = run_id or f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     delivered = F.col("delivered_at") if "delivered_at" in counts.columns else F.lit(None)
+    digest = F.col("digest") if "digest" in counts.columns else F.lit(None)
     rows = counts.where(F.col(key).isNotNull())
     entry = rows.select(
         F.col("cnt").cast("long").alias("cnt"),
@@ -53,6 +56,7 @@ def ledger_replace(counts: DataFrame, ledger_root: str, key: str = "date", run_i
         F.lit(now).cast("timestamp_ntz").alias("loaded_at"),
         F.lit(run_id).alias("run_id"),
         delivered.cast("timestamp_ntz").alias("delivered_at"),
+        digest.cast("string").alias("digest"),
     )
     entry.coalesce(1).write.mode("append").parquet(ledger_root)
     return run_id
@@ -75,6 +79,31 @@ def read_ledger(spark: SparkSession, ledger_root: str) -> DataFrame:
     return log.groupBy("date").agg(latest.alias("cnt")).select(F.col("cnt").cast("long"), "date")
 
 
+def read_ledger_digests(spark: SparkSession, ledger_root: str) -> DataFrame:
+    """``cnt, date, digest`` of each month's latest entry."""
+    log = read_ledger_log(spark, ledger_root)
+    latest = F.max_by(F.struct("cnt", "digest"), F.struct("loaded_at", "run_id"))
+    return log.groupBy("date").agg(latest.alias("_e")).select("_e.cnt", "date", "_e.digest")
+
+
+def month_digests(df: DataFrame, key: str = "date") -> DataFrame:
+    """``key, cnt, digest``: the content of each month, whatever the order of
+    its rows and files.
+
+    The digest of a set of rows with repeats is the sum and the xor of the
+    rows' 64-bit hashes, so parts merge, and tasks send one row per month.
+    Nulls are hashed as such: the hash function itself skips them.
+    """
+    cells = [x for c in sorted(df.columns) for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    rows = df.select(F.col(key), F.xxhash64(*cells).alias("_h"))
+    sums = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.sum(F.col("_h").cast("decimal(20, 0)")).cast("decimal(38, 0)").alias("_s"),
+        F.bit_xor("_h").alias("_x"),
+    )
+    return sums.select(key, "cnt", F.concat_ws(":", F.col("_s").cast("string"), F.hex("_x")).alias("digest"))
+
+
 def last_delivery(spark: SparkSession, ledger_root: str) -> DataFrame:
     """``date, delivered_at``: the delivery time of each month's latest entry."""
     log = read_ledger_log(spark, ledger_root)
@@ -105,9 +134,9 @@ def compact_ledger(spark: SparkSession, ledger_root: str) -> int:
         return 0
     root = ledger_root.rstrip("/")
     log = spark.read.schema(LOG_SCHEMA).parquet(*[f"{root}/{f}" for f in files])
-    newest = F.max_by(F.struct("cnt", "loaded_at", "run_id", "delivered_at"), F.struct("loaded_at", "run_id"))
+    newest = F.max_by(F.struct("cnt", "loaded_at", "run_id", "delivered_at", "digest"), F.struct("loaded_at", "run_id"))
     latest = log.groupBy("date").agg(newest.alias("_e"))
-    latest = latest.select("_e.cnt", "date", "_e.loaded_at", "_e.run_id", "_e.delivered_at")
+    latest = latest.select("_e.cnt", "date", "_e.loaded_at", "_e.run_id", "_e.delivered_at", "_e.digest")
     staging = f"{root}/_compact-{uuid.uuid4().hex[:8]}"
     latest.coalesce(1).write.mode("errorifexists").parquet(staging)
     for part in fs.list_dir(spark, staging):
@@ -127,14 +156,26 @@ def reconcile(table_counts: DataFrame, ledger: DataFrame, key: str = "date") ->
     ``match``, ``count_mismatch``, ``missing_in_ledger`` (table has the month,
     ledger not) or ``missing_in_table``.  Both sides are one row per month,
     so the shuffle is tiny whatever the table size.
+
+    With a ``digest`` on both sides a ``match`` needs equal digests too: equal
+    counts of other rows are ``content_mismatch``, and a month that the ledger
+    has no digest of is ``unverified``.
     """
-    t = table_counts.select(F.col(key).alias("date"), F.col("cnt").cast("long").alias("table_cnt"))
-    lg = ledger.groupBy(F.col(key).alias("date")).agg(F.sum("cnt").cast("long").alias("ledger_cnt"))
+    content = "digest" in table_counts.columns and "digest" in ledger.columns
+    digest = F.col("digest") if content else F.lit("")
+    t = table_counts.select(
+        F.col(key).alias("date"), F.col("cnt").cast("long").alias("table_cnt"), digest.alias("_t")
+    )
+    lg = ledger.groupBy(F.col(key).alias("date")).agg(
+        F.sum("cnt").cast("long").alias("ledger_cnt"), F.max(digest).alias("_l")
+    )
     j = t.join(lg, "date", "full_outer")
     status = (
         F.when(F.col("ledger_cnt").isNull(), F.lit("missing_in_ledger"))
         .when(F.col("table_cnt").isNull(), F.lit("missing_in_table"))
-        .when(F.col("table_cnt").eqNullSafe(F.col("ledger_cnt")), F.lit("match"))
-        .otherwise(F.lit("count_mismatch"))
+        .when(~F.col("table_cnt").eqNullSafe(F.col("ledger_cnt")), F.lit("count_mismatch"))
+        .when(F.col("_l").isNull(), F.lit("unverified"))
+        .when(F.col("_t").eqNullSafe(F.col("_l")), F.lit("match"))
+        .otherwise(F.lit("content_mismatch"))
     )
     return j.select("date", "table_cnt", "ledger_cnt", status.alias("status"))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise.contract import TRIP_CONTRACT, Contract
+from monthwise.functions.conform import LOST
 
 
 def _q(name: str) -> str:
@@ -154,6 +155,8 @@ def load_months_to_table(
     sort_within=(),
     row_limit: int | None = None,
     delivered: dict[dt.date, dt.datetime] | None = None,
+    max_lost: int | None = None,
+    digest: bool = False,
 ):
     """Load a conformed frame of many months into a catalog table; each
     month is swapped in by one metadata update.  Safe to repeat.
@@ -163,8 +166,8 @@ def load_months_to_table(
     1. the rows go to a fresh run folder under the table
        (``<location>/_runs/<run>/date=...``; hidden, so neither readers nor
        ``RECOVER PARTITIONS`` see it) -- the only pass over the source;
-    2. the gates run over that folder (``write_run``).  On a failure the run
-       folder is deleted and the table is unchanged;
+    2. the gates are metrics observed in that pass (``write_run``).  On a
+       failure the run folder is deleted and the table is unchanged;
     3. per month the catalog swaps ``ALTER TABLE ... PARTITION ... SET
        LOCATION`` -- readers see the old month or the new one, never none,
        unlike a detach followed by an attach -- or adds the partition, and
@@ -183,11 +186,16 @@ def load_months_to_table(
     key = contract.partition_key
     loc = table_location(spark, table).rstrip("/")
     run_root = run_folder(loc)
-    require_schema(df, contract)
+    require_schema(df.drop(LOST), contract)
     if row_limit is not None and row_limit < 1:
         raise ValueError(f"a row limit must be at least 1, not {row_limit}")
-    decisions = write_run(spark, df, run_root, months, contract, not_null, rebalance, sort_within, row_limit)
-    report = LoadReport(decisions=decisions, published=[r[key] for r in decisions if r["action"] == "attach"])
+    written = write_run(
+        spark, df, run_root, months, contract, not_null, rebalance, sort_within, row_limit, max_lost, digest
+    )
+    decisions = written.decisions
+    report = LoadReport(
+        decisions=decisions, published=[r[key] for r in decisions if r["action"] == "attach"], lost=written.lost
+    )
 
     attached = {r[key] for r in attached_months(spark, table, key).collect()}
     new = {}
@@ -202,7 +210,7 @@ def load_months_to_table(
     attach_months(spark, table, new, key)
     report.retired = [r[key] for r in decisions if r["action"] == "drop" and r[key] in attached]
     detach_months(spark, table, report.retired, key)
-    record_counts(spark, decisions, table_location(spark, ledger_table), key, delivered)
+    record_counts(spark, decisions, table_location(spark, ledger_table), key, delivered, written.digests)
     spark.catalog.refreshTable(table)
     spark.catalog.refreshTable(ledger_table)
     return report

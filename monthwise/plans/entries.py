@@ -105,6 +105,10 @@ FROM orders
 """,
 )
 def q_conform_bad_values(spark, sf_dir):
+    return conform(_bad_orders_raw(spark, sf_dir, cal.run_date(TEST_RUN_DATE)), CONTRACT)
+
+
+def _bad_orders_raw(spark, sf_dir, month):
     # one kind of value per remainder fails its cast (text where a number or
     # a time is due, a long that no int holds) and becomes null
     o = table(spark, sf_dir, "orders")
@@ -112,16 +116,91 @@ def q_conform_bad_values(spark, sf_dir):
     def bad(r, value, good):
         return F.when(F.expr(_BAD) == r, F.lit(value)).otherwise(good.cast("string"))
 
-    raw = o.select(
+    return o.select(
         bad(0, "n/a", F.col("o_custkey")).alias("VendorID"),
         bad(1, "not a time", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("tpep_pickup_datetime"),
         bad(2, "many", F.length("o_orderpriority")).alias("passenger_count"),
         F.when(F.expr(_BAD) != 3, F.col("o_orderstatus")).alias("store_and_fwd_flag"),
         bad(4, "", F.col("o_orderkey")).alias("PULocationID"),
         F.when(F.expr(_BAD) == 5, F.lit(3_000_000_000)).otherwise(F.col("o_orderkey") % 1000).alias("airport_fee"),
-        cal.run_date(TEST_RUN_DATE).alias("date"),
+        month.alias("date"),
     )
-    return conform(raw, CONTRACT)
+
+
+@register(
+    "lost_values",
+    f"""
+WITH lost AS (
+    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
+           CASE {_BAD} WHEN 0 THEN 'vendor_id' WHEN 1 THEN 'tpep_pickup_datetime' WHEN 2 THEN 'passenger_count'
+                       WHEN 4 THEN 'pu_location_id' WHEN 5 THEN 'airport_fee' END AS "column"
+    FROM orders
+)
+SELECT date, "column", count(*) AS lost FROM lost WHERE "column" IS NOT NULL GROUP BY ALL
+""",
+)
+def q_lost_values(spark, sf_dir):
+    # the same bad values, per month and column, as the load's one pass has
+    # counted them; remainder 3 is null at the source and so not lost
+    from monthwise.plans.load import load_months
+
+    raw = _bad_orders_raw(spark, sf_dir, cal.month_start("o_orderdate"))
+    target, ledger_root = _load_root(spark, "lost")
+    frame = conform(raw, CONTRACT, lost=True)
+    return load_months(spark, frame, target, ledger_root, contract=CONTRACT, rebalance=True).lost_frame(spark)
+
+
+@register(
+    "observed_load",
+    f"""
+WITH asked AS (SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS DATE) AS date FROM lineitem
+               UNION SELECT DISTINCT date FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t),
+     found AS (SELECT date, count(*) AS cnt FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t GROUP BY date)
+SELECT asked.date, coalesce(cnt, 0) AS cnt, CASE WHEN cnt > 0 THEN 'attach' ELSE 'drop' END AS action
+FROM asked LEFT JOIN found ON found.date = asked.date
+""",
+)
+def q_observed_load(spark, sf_dir):
+    # the months of the shipments are asked for, so the last ones have no
+    # orders; counts and decisions come from the write's own metrics
+    from monthwise.plans.load import load_months
+
+    shipped = table(spark, sf_dir, "lineitem").select(cal.month_start("l_shipdate").alias("date"))
+    trips = orders_trips(spark, sf_dir)
+    months = checks.present_months(shipped).union(checks.present_months(trips))
+    target, ledger_root = _load_root(spark, "observed")
+    report = load_months(spark, trips, target, ledger_root, months=months, contract=CONTRACT, rebalance=True)
+    return report.frame(spark)
+
+
+SHORT_MONTH = "1998-06-01"
+
+
+@register(
+    "content_reconcile",
+    f"""
+SELECT date, count(*) - CASE WHEN date = DATE '{SHORT_MONTH}' THEN 1 ELSE 0 END AS table_cnt, count(*) AS ledger_cnt,
+       CASE date WHEN DATE '{SLICE_MONTH}' THEN 'content_mismatch' WHEN DATE '{SHORT_MONTH}' THEN 'count_mismatch'
+                 ELSE 'match' END AS status
+FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t GROUP BY date
+""",
+)
+def q_content_reconcile(spark, sf_dir):
+    # after the load one row of the slice month is swapped for another, and
+    # one row of another month is lost: equal counts do not hide the swap
+    from monthwise.plans.load import load_months, publish_months, read_target
+
+    target, ledger_root = _load_root(spark, "content")
+    trips = orders_trips(spark, sf_dir)
+    load_months(spark, trips, target, ledger_root, contract=CONTRACT, rebalance=True, digest=True)
+    hurt = trips.where(F.col("date").isin(SLICE_MONTH, SHORT_MONTH))
+    first = hurt.groupBy("date").agg(F.min("pu_location_id").alias("_first"))
+    hurt = hurt.join(first, "date").withColumn("_is", F.col("_first") == F.col("pu_location_id"))
+    hurt = hurt.where(~F.col("_is") | (F.col("date") == cal.run_date(SLICE_MONTH)))
+    fare = F.when(F.col("_is"), F.col("fare_amount") + 1).otherwise(F.col("fare_amount"))
+    publish_months(hurt.withColumn("fare_amount", fare).select(*CONTRACT.names), target, rebalance=True)
+    digests = ledger.month_digests(read_target(spark, target, CONTRACT))
+    return ledger.reconcile(digests, ledger.read_ledger_digests(spark, ledger_root))
 
 
 # --- counts ---------------------------------------------------------------

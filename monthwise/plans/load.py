@@ -10,10 +10,10 @@ Cost model (what runs over the data):
 
 1. the write -- the only scan of the source, no shuffle and no sort by
    default (``publish_months``), into a hidden run folder;
-2. the gate aggregate over what was written -- reads only the not-null
-   columns (the month comes from folder names), partial aggregation per
-   month, a one-row-per-month shuffle.  It checks exactly the rows that will
-   be published, even if the source changes meanwhile;
+2. the gates are metrics observed in that same pass (``observed.py``): rows
+   per month, nulls, rows of other months, and values lost in casts, of
+   exactly the rows that will be published.  Nothing is read back, unless
+   ``digest`` asks for the content of each month as it lies in storage;
 3. two renames per month: the old folder aside, the new one in (on an object
    store a rename is a copy: use the catalog form there, which swaps
    locations).  Between the two the month is absent for a moment; a failed
@@ -36,12 +36,14 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise.contract import TRIP_CONTRACT, Contract
+from monthwise.functions.conform import LOST
 from monthwise.operators.checks import GateError, gate_summary, month_gates, require_schema
-from monthwise.operators.ledger import ledger_replace
+from monthwise.operators.ledger import ledger_replace, month_digests
+from monthwise.operators.observed import gate_metrics, gates_of, lost_of, lost_values, require_few_lost
 from monthwise.operators.sample import first_per_month
 from monthwise.sources import fs
 
@@ -54,6 +56,10 @@ class LoadReport:
     decisions: list[Row] = field(default_factory=list)  # date, cnt, action
     published: list[dt.date] = field(default_factory=list)
     retired: list[dt.date] = field(default_factory=list)
+    lost: list[Row] = field(default_factory=list)  # date, column, lost: values that a cast made null
+
+    def lost_frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.lost, "date date, column string, lost bigint")
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.decisions, "date date, cnt bigint, action string")
@@ -91,6 +97,7 @@ def publish_months(
     rebalance: bool = False,
     sort_within: Sequence[str] = (),
     fresh: bool = False,
+    seen: tuple[Observation, list[Column]] | None = None,
 ) -> None:
     """Replace every month present in ``df`` under ``target_root``.
 
@@ -105,8 +112,13 @@ def publish_months(
     month and lets AQE split a hot month into many tasks and merge small
     ones, so each month gets a few large files instead of tasks x months
     small ones.
+
+    ``seen``: metrics to observe on the rows as they are written.
     """
     out = df.hint("rebalance", key) if rebalance else df
+    if seen is not None:
+        out = out.observe(seen[0], *seen[1])
+    out = out.drop(LOST)
     if sort_within:
         out = out.sortWithinPartitions(key, *sort_within)
     writer = out.write.partitionBy(key)
@@ -159,6 +171,8 @@ def load_months(
     sort_within: Sequence[str] = (),
     persist: bool = False,
     delivered: dict[dt.date, dt.datetime] | None = None,
+    max_lost: int | None = None,
+    digest: bool = False,
 ) -> LoadReport:
     """Load a conformed frame of many months; safe to repeat.
 
@@ -169,9 +183,12 @@ def load_months(
     ``delivered``: the delivery time of each month, for the ledger.
     ``row_limit``: publish at most that many rows (1 or more) per month; the
     ledger keeps the full count.
+    A frame conformed with ``lost=True`` has its lost values counted per month
+    and column in the report; ``max_lost`` fails the load where a month's
+    column lost more.  ``digest`` records the content of each month.
     """
     key = contract.partition_key
-    require_schema(df, contract)
+    require_schema(df.drop(LOST), contract)
     if row_limit is not None and row_limit < 1:
         raise ValueError(f"a row limit must be at least 1, not {row_limit}")
     if persist:
@@ -180,7 +197,8 @@ def load_months(
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _load(
-            spark, df, target_root, ledger_root, months, contract, not_null, row_limit, rebalance, sort_within, delivered
+            spark, df, target_root, ledger_root, months, contract, not_null, row_limit, rebalance, sort_within, delivered,
+            max_lost, digest,
         )
     finally:
         if persist:
@@ -223,29 +241,66 @@ def decide(spark: SparkSession, gates: DataFrame, months, key: str = "date") ->
 
 
 def record_counts(
-    spark: SparkSession, decisions: list[Row], ledger_root: str, key: str = "date", delivered: dict | None = None
+    spark: SparkSession,
+    decisions: list[Row],
+    ledger_root: str,
+    key: str = "date",
+    delivered: dict | None = None,
+    digests: dict | None = None,
 ) -> None:
     """The ledger always records the full count, also for an empty month."""
-    rows = [(r["cnt"], r[key], (delivered or {}).get(r[key])) for r in decisions]
-    counts = spark.createDataFrame(rows, "cnt bigint, date date, delivered_at timestamp_ntz")
+    rows = [(r["cnt"], r[key], (delivered or {}).get(r[key]), (digests or {}).get(r[key])) for r in decisions]
+    counts = spark.createDataFrame(rows, "cnt bigint, date date, delivered_at timestamp_ntz, digest string")
     ledger_replace(counts, ledger_root, "date")
 
 
-def write_run(spark, df, run_root, months, contract, not_null=("date",), rebalance=False, sort_within=(), row_limit=None) -> list[Row]:
-    """Write ``df`` to the new folder ``run_root`` by month and check it;
-    decisions per month.  On a gate failure the folder is deleted."""
-    key = contract.partition_key
+@dataclass
+class Written:
+    """What ``write_run`` wrote, by month."""
+
+    decisions: list[Row]  # date, cnt, action
+    lost: list[Row]  # date, column, lost
+    digests: dict[dt.date, str]
+
+
+def write_run(
+    spark, df, run_root, months, contract, not_null=("date",), rebalance=False, sort_within=(), row_limit=None,
+    max_lost=None, digest=False,
+) -> Written:
+    """Write ``df`` to the new folder ``run_root`` by month and gate what is
+    written, in one pass.  On a gate failure the folder is deleted."""
+    key, counts_lost = contract.partition_key, LOST in df.columns
+    asked = None if months is None else sorted(r[0] for r in _month_frame(spark, months, key).collect())
     if row_limit is not None:
         # the counts are those of the source, so the gates run over it first
         decisions = decide(spark, month_gates(df, key, not_null), months, key)
-        publish_months(limit_per_month(df, row_limit, key), run_root, key, rebalance, sort_within, fresh=True)
-        return decisions
-    publish_months(df, run_root, key, rebalance, sort_within, fresh=True)
-    try:
-        return decide(spark, month_gates(read_target(spark, run_root, contract), key, not_null), months, key)
-    except GateError:
-        fs.delete(spark, run_root)
-        raise
+        lost = lost_values(df, contract).sort("date", "column").collect() if counts_lost else []  # a row a month and column
+        require_few_lost(lost, max_lost)
+        publish_months(limit_per_month(df.drop(LOST), row_limit, key), run_root, key, rebalance, sort_within, fresh=True)
+    else:
+        seen = Observation()
+        metrics = gate_metrics(key, asked, not_null, counts_lost)
+        publish_months(df, run_root, key, rebalance, sort_within, fresh=True, seen=(seen, metrics))
+        try:
+            counts = gates_of(seen.get, asked)
+            if counts is None:  # more months than an observation can count
+                decisions = decide(spark, month_gates(read_target(spark, run_root, contract), key, not_null), months, key)
+            else:
+                decisions = [
+                    Row(**{key: m, "cnt": n, "action": "attach" if n else "drop"}) for m, n in sorted(counts.items())
+                ]
+            lost = lost_of(seen.get, contract) if counts_lost else []
+            if lost is None:
+                lost = lost_values(df, contract).sort("date", "column").collect()
+            require_few_lost(lost, max_lost)
+        except GateError:
+            fs.delete(spark, run_root)
+            raise
+    digests = {}
+    if digest:
+        rows = month_digests(read_target(spark, run_root, contract), key).collect()  # a row a month
+        digests = {r[key]: r["digest"] for r in rows}
+    return Written(decisions, lost, digests)
 
 
 def run_folder(root: str) -> str:
@@ -254,18 +309,22 @@ def run_folder(root: str) -> str:
 
 
 def _load(
-    spark, df, target_root, ledger_root, months, contract, not_null, row_limit, rebalance, sort_within, delivered
+    spark, df, target_root, ledger_root, months, contract, not_null, row_limit, rebalance, sort_within, delivered,
+    max_lost, digest,
 ) -> LoadReport:
     key, run_root = contract.partition_key, run_folder(target_root)
-    decisions = write_run(spark, df, run_root, months, contract, not_null, rebalance, sort_within, row_limit)
+    written = write_run(
+        spark, df, run_root, months, contract, not_null, rebalance, sort_within, row_limit, max_lost, digest
+    )
+    decisions = written.decisions
     attach = [r[key] for r in decisions if r["action"] == "attach"]
     drop = [r[key] for r in decisions if r["action"] == "drop"]
     for m in attach:
         fs.replace(spark, partition_path(run_root, m, key), partition_path(target_root, m, key))
     fs.delete(spark, run_root)
     retired = retire_months(spark, target_root, drop, key)
-    record_counts(spark, decisions, ledger_root, key, delivered)
-    return LoadReport(decisions=decisions, published=attach, retired=retired)
+    record_counts(spark, decisions, ledger_root, key, delivered, written.digests)
+    return LoadReport(decisions=decisions, published=attach, retired=retired, lost=written.lost)
 
 
 def read_target(spark: SparkSession, target_root: str, contract: Contract = TRIP_CONTRACT) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from monthwise.contract import TRIP_CONTRACT, Contract
 from monthwise.functions.calendar import LANDING_PREFIX, month_from_file_name
-from monthwise.functions.conform import conform
+from monthwise.functions.conform import LOST, conform
 from monthwise.sources.footers import parquet_reader, schema_groups
 
 LISTING_COLUMNS = ("path", "modificationTime", "length")
@@ -83,13 +83,18 @@ def scan_path(path, prefix: str = LANDING_PREFIX) -> Column:
 
 
 def scan_files(
-    spark: SparkSession, files: DataFrame, contract: Contract = TRIP_CONTRACT, prefix: str = LANDING_PREFIX, month=None
+    spark: SparkSession,
+    files: DataFrame,
+    contract: Contract = TRIP_CONTRACT,
+    prefix: str = LANDING_PREFIX,
+    month=None,
+    lost: bool = False,
 ) -> DataFrame:
     """The files of a listing (``path``; optionally ``scan``, see
     ``schema_groups``) as one conformed frame: one scan per schema version,
     found by the executors.  ``date`` is ``month``, or else the month that a
     file's path names, taken from the hidden ``_metadata.file_path`` with
-    substring arithmetic and never from the data."""
+    substring arithmetic and never from the data.  ``lost``: see ``conform``."""
     key = contract.partition_key
     if "scan" not in files.columns:
         files = files.select("path", F.col("path").alias("scan"))
@@ -97,8 +102,11 @@ def scan_files(
     frames = []
     for paths, schema in schema_groups(files):
         raw = parquet_reader(spark).schema(schema).parquet(*paths)
-        frames.append(conform(raw.withColumn(key, date), contract))
-    return union_all(frames) if frames else spark.createDataFrame([], contract.schema)
+        frames.append(conform(raw.withColumn(key, date), contract, lost))
+    if not frames:
+        schema = contract.schema.add(LOST, "long") if lost else contract.schema
+        return spark.createDataFrame([], schema)
+    return union_all(frames)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -115,6 +123,7 @@ def scan_months(
     sources: list[MonthSource] | list[str],
     contract: Contract = TRIP_CONTRACT,
     prefix: str = LANDING_PREFIX,
+    lost: bool = False,
 ) -> DataFrame:
     """Read many month files of differing schemas as one conformed frame.
 
@@ -141,9 +150,9 @@ def scan_months(
 
     def month_scan(item) -> DataFrame:
         month, paths = item
-        return scan_files(spark, listed(paths, F.col("path")), contract, prefix, month)
+        return scan_files(spark, listed(paths, F.col("path")), contract, prefix, month, lost)
 
-    frames = [scan_files(spark, listed(named, scan_path("path", prefix)), contract, prefix)] if named else []
+    frames = [scan_files(spark, listed(named, scan_path("path", prefix)), contract, prefix, lost=lost)] if named else []
     if given:
         with ThreadPoolExecutor(max_workers=min(16, len(given))) as pool:
             frames += list(pool.map(month_scan, sorted(given.items())))

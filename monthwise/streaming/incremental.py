@@ -53,6 +53,7 @@ class IncrementalLoad:
     rebalance: bool = False
     table: str | None = None
     ledger_table: str | None = None
+    max_lost: int | None = None  # see ``load_months``
 
     def source_options(self) -> dict[str, str]:
         options = {"path": self.landing, "log": f"{self.checkpoint.rstrip('/')}/deliveries", "prefix": self.prefix}
@@ -83,11 +84,12 @@ class IncrementalLoad:
         chosen = spark.createDataFrame([(r["manifest"], r["unit"]) for r in picks], "manifest long, unit string")
         files = named.join(chosen, ["manifest", "unit"], "left_semi")
         files = files.select("path", scan_path("path", self.prefix).alias("scan"))
-        frame = scan_files(spark, files, self.contract, self.prefix)
+        frame = scan_files(spark, files, self.contract, self.prefix, lost=True)
         options = {
             "months": [r["date"] for r in picks],
             "contract": self.contract,
             "rebalance": self.rebalance,
+            "max_lost": self.max_lost,
             "delivered": {r["date"]: r["delivered_at"] for r in picks},
         }
         if self.table is not None:
