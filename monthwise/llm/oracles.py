@@ -16,58 +16,90 @@ def _text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _template_words(text: str, values: bool) -> str:
-    """Template words of a column.  Without look-behind, the name and point
-    patterns take the character before along, so each runs twice."""
-    name = f"{dc.NAME}\\2" if values else dc.NAME
+def _form(text: str, names: str | None, values: bool) -> str:
+    """Words of a column in one form.  ``names``: what stands for a name (its
+    word is group 2), or None to leave names as words.  Without look-behind,
+    patterns take the character before along, so the point pattern runs twice."""
     number = f"{dc.NUMBER}\\0" if values else dc.NUMBER
     unit = f"\\1 {dc.UNIT}\\2\\3" if values else f"\\1 {dc.UNIT}\\3"
     point, t = dc._POINT, text
     for _ in range(2):
         t = f"regexp_replace({t}, '([0-9])[.,]([0-9])', '\\1{point}\\2', 'g')"
-    for _ in range(2):
-        t = f"regexp_replace({t}, '([\\p{{L}}\\p{{M}},;] )(\\p{{Lu}}\\p{{Ll}}+)', '\\1 {name}', 'g')"
+    if names is not None:
+        t = f"regexp_replace({t}, '(^|[^\\p{{L}}\\p{{M}}\\p{{N}}])(\\p{{Lu}}\\p{{Ll}}+)', '\\1{names}', 'g')"
     t = f"regexp_replace(lower({t}), '[0-9][0-9{point}]*', ' {number} ', 'g')"
     t = f"regexp_replace({t}, '({dc.NUMBER}[0-9{point}]*) +({dc.UNITS})([^\\p{{L}}\\p{{N}}]|$)', '{unit}', 'g')"
     marks = dc.NAME + dc.NUMBER + dc.UNIT
     return f"list_filter(string_split_regex({t}, '[^\\p{{L}}\\p{{M}}\\p{{N}}{marks}]+'), lambda w: w <> '')"
 
 
+_NAMED, _FOLDED, _VALUED = _form("t", dc.NAME, False), _form("t", None, False), _form("t", None, True)
+_SLOTS = _form("t", f"{dc.NAME}\\2", True)
+_MARKS = f"('{dc.NAME}', '{dc.NUMBER}', '{dc.UNIT}')"
+_BANDS = f"unnest([CAST(floor(shift / {dc.REACH}.0) AS BIGINT) - 1, CAST(floor(shift / {dc.REACH}.0) AS BIGINT)])"
+
 DECONTAMINATE = f"""
-WITH d AS (SELECT doc_id, t, {_template_words('t', False)} AS w, {_template_words('t', True)} AS v FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS t FROM documents)),
+WITH d AS (SELECT doc_id, t, {_NAMED} AS n, CASE WHEN regexp_matches(t, '[0-9]') THEN {_VALUED} END AS v, {_SLOTS} AS s
+           FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS t FROM documents)),
 b AS (
-    SELECT item_id, t, w, v, least(len(w), {dc.WINDOW}) AS width
-    FROM (SELECT item_id, t, {_template_words('t', False)} AS w, {_template_words('t', True)} AS v
+    SELECT *, least(len(f), {dc.WINDOW}) AS width
+    FROM (SELECT item_id, t, {_FOLDED} AS f, {_NAMED} AS n, {_VALUED} AS v, {_SLOTS} AS s
           FROM (SELECT DISTINCT item_id, coalesce(text, '') AS t FROM benchmark WHERE item_id IS NOT NULL))
-    WHERE len(w) >= {dc.MIN_WORDS}
+    WHERE len(f) >= {dc.MIN_WORDS}
+),
+bp AS (SELECT item_id, t, width, i, f[i + 1:i + width] AS f, n[i + 1:i + width] AS n, v[i + 1:i + width] AS v
+       FROM (SELECT *, unnest(range(0, len(f) - width + 1)) AS i FROM b)),
+bw AS (
+    SELECT DISTINCT item_id, t, width, n_windows, j,
+           unnest(CASE WHEN len(list_filter(f, lambda w: left(w, 1) NOT IN {_MARKS})) < {dc.LITERALS} THEN [v]
+                       WHEN len(list_filter(n, lambda w: left(w, 1) NOT IN {_MARKS})) < {dc.LITERALS} THEN [f] ELSE [f, n] END) AS win
+    FROM (SELECT *, min(i) OVER (PARTITION BY item_id, t, v) AS j, count(DISTINCT v) OVER (PARTITION BY item_id, t) AS n_windows FROM bp)
 ),
-bw AS (SELECT item_id, t, width, len(w) - width + 1 AS n_windows, j, w[j + 1:j + width] AS win
-       FROM (SELECT *, unnest(range(0, len(w) - width + 1)) AS j FROM b)),
+df AS (SELECT doc_id, t, n AS w FROM d UNION ALL SELECT doc_id, t, v FROM d WHERE v IS NOT NULL),
 dw AS (SELECT doc_id, t, width, i, w[i + 1:i + width] AS win
-       FROM (SELECT d.*, x.width, unnest(range(0, greatest(0, len(w) - x.width + 1))) AS i FROM d CROSS JOIN (SELECT DISTINCT width FROM b) x)),
-al AS (
-    SELECT dw.doc_id, dw.t, bw.item_id, bw.t AS bt, bw.n_windows, dw.i - bw.j AS shift, count(DISTINCT bw.j) AS hit
+       FROM (SELECT df.*, x.width, unnest(range(0, greatest(0, len(w) - x.width + 1))) AS i FROM df CROSS JOIN (SELECT DISTINCT width FROM b) x)),
+hits AS (
+    SELECT DISTINCT dw.doc_id, dw.t, bw.item_id, bw.t AS bt, n_windows, bw.width, i - j AS shift, j
     FROM dw JOIN bw ON dw.width = bw.width AND dw.win = bw.win
-    GROUP BY ALL HAVING count(DISTINCT bw.j) >= {dc.COVERAGE} * bw.n_windows
 ),
-sl AS (
-    SELECT al.*, a, CASE WHEN p + shift BETWEEN 0 AND len(v) - 1 THEN v[p + shift + 1] END AS x
-    FROM (SELECT al.*, d.v, unnest(b.v) AS a, generate_subscripts(b.v, 1) - 1 AS p
-          FROM al JOIN d ON al.doc_id IS NOT DISTINCT FROM d.doc_id AND al.t = d.t JOIN b ON al.item_id = b.item_id AND al.bt = b.t) al
+bands AS (
+    SELECT doc_id, t, item_id, bt, band FROM (SELECT *, {_BANDS} AS band FROM hits)
+    GROUP BY ALL HAVING count(DISTINCT j) >= least({dc.COVERAGE} * min(n_windows), {dc.ENOUGH})
+),
+aligned AS (
+    SELECT DISTINCT h.doc_id, h.t, h.item_id, h.bt, n_windows, width, shift, j
+    FROM (SELECT *, {_BANDS} AS band FROM hits) h JOIN bands x
+      ON h.doc_id IS NOT DISTINCT FROM x.doc_id AND h.t = x.t AND h.item_id = x.item_id AND h.bt = x.bt AND h.band = x.band
+),
+met AS (
+    SELECT DISTINCT doc_id, t, item_id, bt, shift, a, x
+    FROM (SELECT p.*, b.s[place + 1] AS a, d.s[place + shift + 1] AS x
+          FROM (SELECT DISTINCT doc_id, t, item_id, bt, shift, unnest(range(j, j + width)) AS place FROM aligned) p
+          JOIN d ON p.doc_id IS NOT DISTINCT FROM d.doc_id AND p.t = d.t JOIN b ON p.item_id = b.item_id AND p.bt = b.t)
+    WHERE left(a, 1) IN {_MARKS} AND left(a, 1) = left(x, 1)
+),
+unlike AS (SELECT DISTINCT doc_id, t, item_id, bt, shift FROM (SELECT doc_id, t, item_id, bt, shift, a FROM met GROUP BY ALL HAVING count(*) > 1)),
+held AS (SELECT * FROM aligned h WHERE NOT EXISTS (
+    SELECT 1 FROM unlike u WHERE h.doc_id IS NOT DISTINCT FROM u.doc_id AND h.t = u.t AND h.item_id = u.item_id AND h.bt = u.bt AND h.shift = u.shift)),
+kept AS (SELECT * FROM met h WHERE NOT EXISTS (
+    SELECT 1 FROM unlike u WHERE h.doc_id IS NOT DISTINCT FROM u.doc_id AND h.t = u.t AND h.item_id = u.item_id AND h.bt = u.bt AND h.shift = u.shift)),
+counted AS (
+    SELECT doc_id, t, item_id, bt, n_windows, band, count(DISTINCT j) AS hit, min(shift) AS first
+    FROM (SELECT *, {_BANDS} AS band FROM held)
+    GROUP BY ALL HAVING count(DISTINCT j) >= least({dc.COVERAGE} * min(n_windows), {dc.ENOUGH})
 ),
-co AS (
-    SELECT doc_id, t, item_id, bt, n_windows, shift, hit,
-           count(DISTINCT (a, x)) FILTER (WHERE slot) AS n_slots, count(DISTINCT a) FILTER (WHERE slot) AS n_values,
-           coalesce(bool_or(a <> x) FILTER (WHERE slot), false) AS changed
-    FROM (SELECT *, left(a, 1) IN ('{dc.NAME}', '{dc.NUMBER}', '{dc.UNIT}') AND x IS NOT NULL AND left(a, 1) = left(x, 1) AS slot FROM sl)
-    GROUP BY ALL
+slots AS (
+    SELECT doc_id, t, item_id, bt, band, count(DISTINCT (a, x)) AS n_slots, bool_or(a <> x) AS changed
+    FROM (SELECT *, {_BANDS} AS band FROM kept) GROUP BY ALL
 ),
 be AS (
-    SELECT doc_id, t, item_id,
-           arg_max({{'hit': hit, 'n': n_windows, 'shift': shift, 'n_slots': n_slots, 'changed': changed}}, (hit, -shift)) AS x
-    FROM co WHERE n_slots = n_values GROUP BY doc_id, t, item_id
+    SELECT c.doc_id, c.t, c.item_id,
+           arg_max({{'hit': hit, 'n': n_windows, 'first': first, 'n_slots': coalesce(n_slots, 0), 'changed': coalesce(changed, false)}}, (hit, -c.band)) AS x
+    FROM counted c LEFT JOIN slots s
+      ON c.doc_id IS NOT DISTINCT FROM s.doc_id AND c.t = s.t AND c.item_id = s.item_id AND c.bt = s.bt AND c.band = s.band
+    GROUP BY c.doc_id, c.t, c.item_id
 )
-SELECT doc_id, item_id, x.hit AS n_windows, x.hit / x.n AS coverage, CAST(greatest(x.shift, 0) AS INTEGER) AS start,
+SELECT doc_id, item_id, x.hit AS n_windows, x.hit / x.n AS coverage, CAST(greatest(x.first, 0) AS INTEGER) AS start,
        CAST(x.n_slots AS INTEGER) AS n_slots, x.changed AS reparameterised
 FROM be
 """

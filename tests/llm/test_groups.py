@@ -219,8 +219,77 @@ def test_leaks_over_diagonals_and_excerpts_of_long_items(spark):
 
 
 def test_template_forms_have_equal_places(spark):
-    texts = ["Pay 1,000.50 dollars to Anna Smith, not 3 km2 or 0pt.", "X 5kg 7 hours 12:30 Über Öl geht es", "", "!!", "10p 0 0n 007"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    for r in df.select(decontaminate.template_words(df.t).alias("a"), decontaminate.template_words(df.t, True).alias("b")).collect():
-        assert len(r.a) == len(r.b)
-        assert all(x == y or y.startswith(x) for x, y in zip(r.a, r.b))
+    texts = ["Pay 1,000.50 dollars to Anna Smith, not 3 km2 or 0pt.", "X 5kg 7 hours 12:30 Über Öl geht es", "", "!!", "10p 0 0n 007", "McDonald's AnnaLee"]
+    df = decontaminate.with_forms(spark.createDataFrame([(t,) for t in texts], "t string"), "t")
+    for r in df.withColumn("s", decontaminate.slot_words(df.t)).collect():
+        named, slots = r._n.split(), list(r.s)
+        assert len(named) == len(slots) and (r._v is None or len(r._v.split()) == len(named))
+        marks = (decontaminate.NAME, decontaminate.NUMBER, decontaminate.UNIT)
+        assert all(x == y or (x[0] in marks and x[0] == y[0]) for x, y in zip(named, slots))
+
+
+def found(spark, items, rows):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r.reparameterised for r in decontaminate.find_leaks(documents(spark, rows), bench).collect()}
+
+
+def test_leaks_of_short_questions_and_other_case(spark):
+    items = [
+        "Maria buys 5 apples for 10 dollars",
+        "Which river is the longest in Asia",
+        "The old Bridge of Konitsa crosses a river near the Town of Konitsa and was built by Zisis",
+        "3 4 5 6",
+    ]
+    rows = [
+        (1, "Peter buys 7 apples for 14 dollars"),
+        (2, "They wrote that Maria buys 5 apples for 10 dollars each"),
+        (3, "he asked Which river is the longest in Asia, and left"),
+        (4, items[2].lower()),
+        (5, "x " + items[2].upper() + " y"),
+        (6, "Peter sells 7 pears for 14 dollars; the longest river"),
+        (7, "3 4 5 6"),
+        (8, "1 2 3 4 5 7 and 6 5 4 3"),
+    ]
+    assert found(spark, items, rows) == {(1, 0): True, (2, 0): False, (3, 1): False, (4, 2): False, (5, 2): False, (7, 3): False}
+
+
+def test_tables_of_numbers(spark):
+    rng = random.Random(1)
+    items = [" ".join(str(rng.randint(0, 99)) for _ in range(40)) for _ in range(60)]
+    table = " ".join(str(rng.randint(0, 99)) for _ in range(100_000))
+    rows = [(1, table), (2, "0 " * 50_000), (3, "see " + items[7] + " there"), (4, " ".join(items[9].split()[:20]))]
+    assert found(spark, [*items, "0 " * 40], rows) == {(2, 60): False, (3, 7): False, (4, 9): False}
+
+
+def test_leaks_equal_their_sql(spark, tmp_path):
+    import duckdb
+
+    from monthwise.llm import oracles
+
+    rng = random.Random(6)
+    vocab = ["alpha", "beta", "Gamma", "delta", "5", "12.5", "km", "Berlin", "Anna", "of", "the", "zeta", "eta", "Über"]
+    items = [" ".join(rng.choice(vocab) for _ in range(rng.choice([4, 6, 12, 30, 60]))) for _ in range(30)]
+    docs = []
+    for i in range(60):
+        words = rng.choice(items).split()
+        for _ in range(rng.choice([0, 0, 1, 4])):
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = rng.choice([[], ["new"] * rng.choice([1, 20]), words[:9]])
+        swap = rng.choice([{}, {"5": "7"}, {"Anna": "Maria", "Berlin": "Rom"}])
+        text = " ".join(swap.get(w, w) for w in words)
+        if rng.random() < 0.2:
+            text = text.replace("Berlin", "Paris", 1)
+        docs.append((i, "so " * rng.randrange(40) + rng.choice([text, text.lower(), text.upper(), text + ". " + text])))
+    docs += [(None, items[3]), (3, None), (4, ""), docs[0], docs[0]]
+    bench = [(i % 25, t) for i, t in enumerate(items)] + [(None, items[0]), (40, None)]
+    documents(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    df = decontaminate.op4_decontaminate(spark, str(tmp_path))
+    got = sorted(map(str, (tuple(r) for r in df.collect())))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    cur = con.execute(oracles.DECONTAMINATE)
+    assert [d[0] for d in cur.description] == df.columns
+    assert got == sorted(map(str, cur.fetchall()))
+    assert len(got) > 40 and any("True" in r for r in got)
