@@ -1229,6 +1229,36 @@ def q_table_reload_month(spark, sf_dir):
     return catalog.month_counts_sql(spark, target)
 
 
+@register(
+    "run_switch",
+    f"""
+SELECT date, count(*) AS cnt FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t
+WHERE (date <> DATE '{SLICE_MONTH}' OR store_and_fwd_flag = '{HOT_STATUS}') AND date <> DATE '{SHORT_MONTH}'
+GROUP BY 1
+""",
+)
+def q_run_switch(spark, sf_dir):
+    # all months as one run; then a run that brings one month anew and retires
+    # another, both at once, by one change of the view that readers use
+    import uuid
+
+    from monthwise.plans import catalog, runs
+    from monthwise.session import scratch_path
+
+    root, db = scratch_path(spark, "runs"), f"mw_{uuid.uuid4().hex[:8]}"
+    catalog.create_database(spark, db)
+    view = f"{db}.ny_yellow"
+    runs.create_published(spark, view, f"{root}/t", CONTRACT)
+    trips = orders_trips(spark, sf_dir)
+    runs.load_run(spark, trips, view, f"{root}/l", contract=CONTRACT, rebalance=True)
+    again = checks.month_slice(trips, cal.run_date(SLICE_MONTH), time_col="tpep_pickup_datetime")
+    months = spark.range(1).select(F.explode(F.array(cal.run_date(SLICE_MONTH), cal.run_date(SHORT_MONTH))).alias("date"))
+    runs.load_run(
+        spark, again.where(F.col("store_and_fwd_flag") == HOT_STATUS), view, f"{root}/l", months=months, contract=CONTRACT
+    )
+    return checks.month_counts(spark.table(view))
+
+
 @register(
     "target_month_slice",
     f"SELECT * FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t WHERE date = DATE '{SLICE_MONTH}'",
