@@ -9,6 +9,7 @@ month-sized results reach the driver.
   load            load months from a landing folder into a target folder
   load-table      the same into a catalog table (per-month location swap)
   backlog         months due since a start month that the ledger lacks
+  backfill        load the due months from a landing folder, a few at a time
   reconcile       compare the target's counts per month with the ledger
   stream          load every newly arrived landing file once
   stage-jdbc      each month to a JDBC stage table, counts to a JDBC count table
@@ -37,6 +38,7 @@ from monthwise.functions.calendar import LANDING_PREFIX, calendar
 from monthwise.operators.checks import month_counts
 from monthwise.operators.ledger import compact_ledger, month_digests, read_ledger, read_ledger_digests, reconcile
 from monthwise.plans import catalog
+from monthwise.plans.backfill import AT_ONCE, backfill
 from monthwise.plans.load import load_months, read_target
 from monthwise.sources.landing import list_files, month_units, scan_months, unnamed_files
 from monthwise.streaming.incremental import IncrementalLoad
@@ -178,6 +180,15 @@ def cmd_backlog(spark, args) -> None:
     _emit(due.orderBy("date").collect())
 
 
+def cmd_backfill(spark, args) -> None:
+    end = _month(args.end) if args.end else (dt.date.today().replace(day=1) - dt.timedelta(days=1)).replace(day=1)
+    done = backfill(
+        spark, args.landing, args.target, args.ledger, _month(args.start), end, args.parallel, _contract(args),
+        args.prefix, max_lost=args.max_lost,
+    )
+    _emit(done)
+
+
 def cmd_reconcile(spark, args) -> None:
     if args.table:
         frame = spark.table(args.table)
@@ -278,6 +289,14 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--end", default=None, help="last month due (default: the previous month)")
     sp.set_defaults(run=cmd_backlog)
 
+    sp = sub.add_parser("backfill")
+    common(sp, landing=True, target=True, ledger=True)
+    sp.add_argument("--start", required=True, help="first month, e.g. 2010-01-01")
+    sp.add_argument("--end", default=None, help="last month (default: the one before this)")
+    sp.add_argument("--parallel", type=int, default=AT_ONCE, help="months at a time")
+    sp.add_argument("--max-lost", type=int, default=None, help="values a month's column may lose in its cast")
+    sp.set_defaults(run=cmd_backfill)
+
     sp = sub.add_parser("reconcile")
     common(sp)
     sp.add_argument("--target", default=None, help="path form: root folder of the target")

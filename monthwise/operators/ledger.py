@@ -58,7 +58,16 @@ def ledger_replace(counts: DataFrame, ledger_root: str, key: str = "date", run_i
         delivered.cast("timestamp_ntz").alias("delivered_at"),
         digest.cast("string").alias("digest"),
     )
-    entry.coalesce(1).write.mode("append").parquet(ledger_root)
+    # two runs that append to one folder share Spark's temporary folder in it,
+    # and the first to finish deletes it: so write aside, then rename in
+    root = ledger_root.rstrip("/")
+    staging = f"{root}/_append-{uuid.uuid4().hex}"
+    entry.coalesce(1).write.mode("errorifexists").parquet(staging)
+    spark = counts.sparkSession
+    for part in fs.list_dir(spark, staging):
+        if part.endswith(".parquet"):
+            fs.rename(spark, f"{staging}/{part}", f"{root}/{part}")
+    fs.delete(spark, staging)
     return run_id
 
 
