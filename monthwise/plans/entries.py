@@ -179,19 +179,15 @@ BAD_YEAR = "1995-01-01"
 @register(
     "backfill_resume",
     f"""
-SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS date, run,
-       CASE WHEN run = 1 AND date_trunc('year', o_orderdate) = DATE '{BAD_YEAR}' THEN 'failed' ELSE 'loaded' END AS status,
-       CASE WHEN run = 1 AND date_trunc('year', o_orderdate) = DATE '{BAD_YEAR}' THEN NULL ELSE count(*) END AS cnt
-FROM orders CROSS JOIN (VALUES (1), (2)) r (run)
-WHERE run = 1 OR date_trunc('year', o_orderdate) = DATE '{BAD_YEAR}'
-GROUP BY ALL
+WITH c AS (SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS date, count(*) AS n FROM orders GROUP BY 1)
+SELECT date, run, CASE WHEN run = 1 AND date = DATE '{BAD_YEAR}' THEN 'failed' ELSE 'loaded' END AS status,
+       CASE WHEN run = 1 AND date = DATE '{BAD_YEAR}' THEN NULL ELSE n END AS cnt
+FROM c CROSS JOIN (VALUES (1), (2)) r (run) WHERE run = 1 OR date = DATE '{BAD_YEAR}'
 """,
 )
 def q_backfill_resume(spark, sf_dir):
     # a delivery a year (in its first month); one has a value that its cast
     # loses, so that month fails alone and is what the second run has to do
-    import datetime as dt
-
     from monthwise.plans.backfill import backfill, report_frame
     from monthwise.session import scratch_path
     from monthwise.sources.landing import write_month_files
@@ -203,10 +199,10 @@ def q_backfill_resume(spark, sf_dir):
     spoilt = F.when(F.col("PULocationID") == F.col("_first"), F.lit("n/a")).otherwise(F.col("VendorID").cast("string"))
     write_month_files(spark, raw.where(F.col("date") != F.lit(BAD_YEAR).cast("date")), f"{root}/landing")
     write_month_files(spark, bad.join(F.broadcast(first)).withColumn("VendorID", spoilt).drop("_first"), f"{root}/landing")
-    years = [dt.date(y, m, 1) for y in (1992, 1998) for m in (1, 12)]
+    start, end = raw.agg(F.min("date"), F.max("date")).first()
 
     def run(n):
-        done = backfill(spark, f"{root}/landing", f"{root}/t", f"{root}/l", years[0], years[-1], contract=CONTRACT, max_lost=0)
+        done = backfill(spark, f"{root}/landing", f"{root}/t", f"{root}/l", start, end, contract=CONTRACT, max_lost=0)
         return report_frame(spark, done).where("status <> 'no_file'").select("date", F.lit(n).alias("run"), "status", "cnt")
 
     one = run(1)
@@ -1132,6 +1128,28 @@ def q_jdbc_replace_append(spark, sf_dir):
     )
 
 
+@register(
+    "jdbc_swap_month",
+    f"""
+SELECT date, count(*) AS cnt, sum(pu_location_id) AS keys
+FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t
+WHERE date <> DATE '{SLICE_MONTH}' OR store_and_fwd_flag = '{HOT_STATUS}' GROUP BY date
+""",
+)
+def q_jdbc_swap_month(spark, sf_dir):
+    # all months into a JDBC table; then one month delivered anew takes the
+    # place of its old rows in one transaction
+    from monthwise.sources import jdbc
+
+    db = _derby(spark, "swap")
+    trips = orders_trips(spark, sf_dir).select("date", "pu_location_id", "store_and_fwd_flag")
+    jdbc.swap_table(trips, db, "trips")
+    again = trips.where((F.col("date") == cal.run_date(SLICE_MONTH)) & (F.col("store_and_fwd_flag") == HOT_STATUS))
+    jdbc.swap_table(again, db, "trips", key="date")
+    back = jdbc.read_table(spark, db, "trips")
+    return back.groupBy("date").agg(F.count(F.lit(1)).alias("cnt"), F.sum("pu_location_id").alias("keys"))
+
+
 @register("jdbc_ledger_replace", f"SELECT date, count(*) AS cnt FROM {_sql_conformed(ORDERS_TRIPS_SQL)} t GROUP BY date")
 def q_jdbc_ledger_replace(spark, sf_dir):
     # the count table of a JDBC target, recorded by two runs: one row per month

@@ -5,6 +5,7 @@ import os
 import time
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from monthwise.contract import TRIP_CONTRACT
@@ -27,6 +28,36 @@ def test_jdbc_replace_and_append(spark):
     assert back.count() == 4
 
 
+def test_jdbc_swap_leaves_old_rows_on_failure(spark):
+    db = jdbc.derby_memory(f"t{uuid.uuid4().hex[:6]}")
+    jan, feb = dt.date(2020, 1, 1), dt.date(2020, 2, 1)
+    df = spark.createDataFrame([(3, jan), (4, feb), (5, feb)], "cnt long, date date")
+
+    def rows():
+        return sorted((r.cnt, r.date) for r in jdbc.read_table(spark, db, "trips").collect())
+
+    jdbc.swap_table(df, db, "trips")
+    assert rows() == [(3, jan), (4, feb), (5, feb)]
+    jdbc.swap_table(spark.createDataFrame([(7, feb)], df.schema), db, "trips", key="date")
+    assert rows() == [(3, jan), (7, feb)]
+    broken = df.withColumn("cnt", F.when(F.col("cnt") == 5, F.raise_error(F.lit("broken"))).otherwise(F.col("cnt")))
+    for key in (None, "date"):
+        with pytest.raises(Exception, match="broken"):
+            jdbc.swap_table(broken, db, "trips", key=key, num_partitions=2)
+        assert rows() == [(3, jan), (7, feb)]
+    # a row that the table refuses fails the transaction, and nothing is left beside it
+    with jdbc._transaction(spark, db) as (connection, quote):
+        jdbc._execute(connection, f"ALTER TABLE trips ADD CONSTRAINT small CHECK ({quote}cnt{quote} < 100)")
+    with pytest.raises(Exception, match="SMALL"):
+        jdbc.swap_table(spark.createDataFrame([(1, jan), (200, jan)], df.schema), db, "trips")
+    assert rows() == [(3, jan), (7, feb)]
+    with jdbc._transaction(spark, db) as (connection, _):
+        found = connection.getMetaData().getTables(None, None, "%NEW%", None)
+        assert not found.next()
+    jdbc.swap_table(df.limit(0), db, "trips")
+    assert rows() == []
+
+
 def test_catalog_attach_detach_keeps_files(spark, scratch):
     root = scratch("cat")
     name = f"c{uuid.uuid4().hex[:6]}"
