@@ -33,4 +33,4 @@ def get_create_schema(schema: str) -> str:
 
 def minimize_parquet(spark: SparkSession, input: str, output: str, limit: int = DEFAULT_SAMPLE_ROWS) -> None:
     """Write the first ``limit`` rows of ``input`` (file order) to ``output``."""
-    write_sample(file_head(spark, input, limit), output)
+    write_sample(file_head(spark, input, limit), output, rows=limit)

@@ -126,9 +126,15 @@ def sample_per_month(
     return first_per_month(df, keys, n, month, rank_col)
 
 
-def write_sample(df: DataFrame, out: str, partition_by: str | None = None) -> None:
-    """Write a sample as Parquet (one file per month when partitioned)."""
-    w = df.coalesce(1).write.mode("overwrite") if partition_by is None else df.write.mode("overwrite")
+#: A sample of at most so many rows is written as one file, by one task.
+ONE_FILE_ROWS = 100_000
+
+
+def write_sample(df: DataFrame, out: str, partition_by: str | None = None, rows: int = DEFAULT_SAMPLE_ROWS) -> None:
+    """Write a sample of at most ``rows`` rows as Parquet: one file where it
+    fits one, or files per month when partitioned."""
+    w = df.coalesce(1) if partition_by is None and rows <= ONE_FILE_ROWS else df
+    writer = w.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(out)
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(out)
