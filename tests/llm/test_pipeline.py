@@ -28,7 +28,7 @@ def test_queries_run_and_repeat(spark, name):
     """Each gives a row per document or its own shape, twice the same."""
     once, again = (entries.QUERIES[name](spark, SMALL).collect() for _ in range(2))
     assert sorted(map(str, once)) == sorted(map(str, again))
-    if name not in ("op4_decontaminate", "op8_topk"):
+    if name not in ("op4_decontaminate", "op8_topk", "op11_spelling", "op13_collocations"):
         assert len(once) == read_table(spark, SMALL, "documents").count()
 
 
