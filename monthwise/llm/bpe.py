@@ -7,6 +7,11 @@ independently (lowest merge rank first) and their ids concatenated.  Merges
 never cross a certain cut, hence the result is that of encoding the
 pre-token whole.
 
+Character classes differ between Unicode versions.  The pattern here cuts
+chunks of ``PROVEN`` characters alone, on which it agrees with the public
+library; any other chunk is cut by the library's own pre-tokeniser, and its
+pre-tokens are split and merged like all others.
+
 Fragments and white-space-led chunks repeat a lot, so both are kept in
 bounded tables per Python worker; a full table is emptied, which costs time
 and changes no result.
@@ -40,6 +45,9 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 #: Unions of pre-tokens that are cheap to find: a word with its leading space, or white space.
 CHUNK = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+#: Characters whose classes, case and compositions no Unicode version changes
+#: (scripts long complete); tests/llm/test_bpe_files.py tries them all.
+PROVEN = "\\x00-\u052f\u2010-\u2027\u2030-\u205e\u20a0-\u20bd\u3000-\u30ff\u4e00-\u9fcc\uac00-\ud7a3\uff01-\uff5e\U0001f300-\U0001f64f"
 
 TABLE_LIMIT = 400_000
 NO_MERGE = 1 << 62
@@ -62,9 +70,12 @@ class ForcedBoundaryBpe:
     """Encoder and decoder of one byte-level BPE vocabulary file."""
 
     def __init__(self, path: str, table_limit: int = TABLE_LIMIT):
+        from tokenizers import Tokenizer
+
         spec = json.loads(open(path, encoding="utf-8").read())
+        self._library = Tokenizer.from_file(path).pre_tokenizer
         to_byte = {c: b for b, c in enumerate(byte_alphabet())}
-        raw = lambda token: bytes(to_byte[c] for c in token)
+        self._raw = raw = lambda token: bytes(to_byte[c] for c in token)
         vocab = {raw(t): i for t, i in spec["model"]["vocab"].items()}
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         # (left id, right id) -> rank and merged id in one number, so that the
@@ -79,6 +90,7 @@ class ForcedBoundaryBpe:
         self.special = special
         self._special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self._chunks, self._tokens = re.compile(CHUNK), regex.compile(PRE_TOKEN)
+        self._unproven = re.compile(f"[^{PROVEN}]")
         size = max([*vocab.values(), *special.values()], default=0) + 1
         surface = [b""] * size
         for token, i in vocab.items():
@@ -152,8 +164,13 @@ class ForcedBoundaryBpe:
         return got
 
     def _chunk(self, chunk: str) -> bytes:
-        tokens = [chunk] if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()) else self._tokens.findall(chunk)
-        out = [self._fragment(f) for t in tokens for f in self.fragments(t.encode())]
+        if not chunk.isascii() and self._unproven.search(chunk):
+            tokens = [self._raw(t) for t, _ in self._library.pre_tokenize_str(chunk)]
+        elif chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+            tokens = [chunk.encode()]
+        else:
+            tokens = [t.encode() for t in self._tokens.findall(chunk)]
+        out = [self._fragment(f) for t in tokens for f in self.fragments(t)]
         got = out[0] if len(out) == 1 else b"".join(out)
         if len(chunk) <= 64:
             if len(self._chunk_table) >= self.table_limit:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monthwise.llm import simple8b
-from monthwise.llm.bpe import SPACE, byte_alphabet
+from monthwise.llm.bpe import PROVEN, SPACE, byte_alphabet
 from monthwise.llm.common import read_table, shuffle_count
 from monthwise.session import scratch_path
 
@@ -55,14 +55,17 @@ class WordEncoder:
     No token spans a space, so a text is the concatenation of its
     space-separated words: an unseen word is normalised and cut by the
     file's own pre-token pattern, and each new piece is encoded by the
-    library's model.
+    library's model.  A word with a character outside ``PROVEN`` (whose class
+    or composition may depend on the Unicode version) is given to the library
+    whole.
     """
 
     def __init__(self, path: str, table_limit: int = TABLE_LIMIT):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        self._model = tokenizer.model
+        self._library, self._model = tokenizer, tokenizer.model
+        self._unproven = re.compile(f"[^{PROVEN}]")
         special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
         self._special_ids = special
         self._special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
@@ -73,13 +76,16 @@ class WordEncoder:
         self.table_limit = table_limit
 
     def _piece(self, piece: str) -> bytes:
-        """Ids of a normalised piece.  As a word it would give the same, so
-        one table serves both."""
-        got = self._words.get(piece)
+        """Ids of a normalised piece.  An ASCII piece gives the same as a word,
+        so one table serves both; others may compose anew if they were words
+        (j and a caron, of J and a caron), so their key has a line feed, which
+        no word holds."""
+        key = piece if piece.isascii() else "\n" + piece
+        got = self._words.get(key)
         if got is None:
             mapped = piece if piece.isascii() and piece.isprintable() else "".join([self._alphabet[b] for b in piece.encode()])
             got = array("I", [t.id for t in self._model.tokenize(mapped)]).tobytes()
-            self._keep(piece, got)
+            self._keep(key, got)
         return got
 
     def _keep(self, word: str, ids: bytes) -> None:
@@ -89,6 +95,10 @@ class WordEncoder:
             self._words[word] = ids
 
     def _word(self, word: str) -> bytes:
+        if not word.isascii() and self._unproven.search(word):
+            got = array("I", self._library.encode(word, add_special_tokens=False).ids).tobytes()
+            self._keep(word, got)
+            return got
         plain = word if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ")
         plain = plain.lower()
         if plain.isascii() and plain.isalpha():

@@ -32,6 +32,28 @@ def test_encoders_equal_the_library(path, make):
     assert ours.encode(None) == b""
 
 
+@pytest.mark.parametrize("path,make", [(byte_bpe_path(), ForcedBoundaryBpe), (word_bpe_path(), WordEncoder)])
+def test_every_code_point_equals_the_library(path, make):
+    """Alone, and next to letters, digits, spaces and marks, also where
+    Unicode versions differ."""
+    ours, library = make(path), Tokenizer.from_file(path)
+    scripts = [range(0x3400), range(0xA000, 0xAC00), range(0xF900, 0x13000), range(0x18C00, 0x19000), range(0x1C000, 0x1FC00)]
+    uniform = [range(0x3400, 0xA000, 61), range(0xAC00, 0xD800, 61), range(0x13000, 0x32000, 61), range(0xE0000, 0xE0200, 7)]
+    codes = [c for r in [*scripts, *uniform] for c in r]
+    form = "{0} a{0} {0}a 1{0}1  {0} {0}漢 {0}\u0327\u0301 {0}\n{0}A"
+    texts = [form.format(chr(c)) for c in codes]
+    want = library.encode_batch_fast(texts, add_special_tokens=False)
+    wrong = [c for c, t, w in zip(codes, texts, want) if np.frombuffer(ours.encode(t), "<u4").tolist() != w.ids]
+    assert wrong == []
+
+
+def test_tables_do_not_mix_words_and_pieces():
+    """A lower-cased piece may compose if it is met as a word."""
+    ours, library = WordEncoder(word_bpe_path()), Tokenizer.from_file(word_bpe_path())
+    for text in ["J\u030c", "j\u030c", "\u0130\u0327", "i\u0307\u0327", "H\u0331", "h\u0331", "T\u0308", "t\u0308"]:
+        assert np.frombuffer(ours.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_decode_equals_the_library():
     ours, library = ForcedBoundaryBpe(byte_bpe_path()), Tokenizer.from_file(byte_bpe_path())
     rng = np.random.default_rng(2)
