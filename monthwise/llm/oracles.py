@@ -162,7 +162,12 @@ def _matches(kind: str, pattern: str, group: int = 0) -> str:
 
 def _allowed() -> str:
     # the one pattern with a back-reference, a single character repeated, is said in the statement
-    return " AND ".join(f"NOT regexp_matches(x, {_text(a)})" for a in sc.ALLOWED if "\\1" not in a)
+    path = f"NOT (regexp_matches(x, {_text(sc.PATH)}) AND NOT regexp_matches(x, {_text(sc.DOUBLE_SEPARATOR)}))"
+    return " AND ".join([path, *[f"NOT regexp_matches(x, {_text(a)})" for a in sc.ALLOWED if "\\1" not in a]])
+
+
+#: Leftmost matches begin where the run begins.
+_RUN = _text(f"[A-Za-z0-9]*{sc.ALLOWED_WORDS}[A-Za-z0-9]*")
 
 
 SECRETS = f"""
@@ -171,19 +176,25 @@ m AS ({_matches('assign', sc.ASSIGN, 2)}
     UNION ALL {_matches('access', sc.ACCESS)}
     UNION ALL {_matches('hex', sc.HEX)}),
 b AS (SELECT u, kind, k, start, "end" FROM m WHERE kind <> 'assign' OR length(v) >= {sc.MIN_VALUE}),
-a AS (SELECT * FROM ({_matches('entropy', sc.CANDIDATE)}) WHERE {_allowed()} AND x <> repeat(left(x, 1), length(x))),
+cut AS (SELECT u, start, string_split_regex(x, {_RUN}) AS gaps, regexp_extract_all(x, {_RUN}) AS runs FROM ({_matches('entropy', sc.CANDIDATE)})),
+pc AS (
+    SELECT u, start + coalesce(list_sum(list_transform(gaps[1:i - 1], lambda y: length(y))), 0) + coalesce(list_sum(list_transform(runs[1:i - 1], lambda y: length(y))), 0) AS start, x
+    FROM (SELECT u, start, gaps, runs, unnest(gaps) AS x, generate_subscripts(gaps, 1) AS i FROM cut)
+),
+a AS (SELECT * FROM pc WHERE length(x) >= {sc.WINDOW} AND {_allowed()} AND x <> repeat(left(x, 1), length(x))),
 w AS (  -- every window of every distinct candidate
     SELECT x, p, substr(x, p + 1, {sc.WINDOW}) AS win
     FROM (SELECT x, unnest(range(0, length(x) - {sc.WINDOW - 1})) AS p FROM (SELECT DISTINCT x FROM a))
 ),
 c AS (SELECT x, p, ch, count(*) AS n FROM (SELECT x, p, unnest(string_split(win, '')) AS ch FROM w) GROUP BY ALL),
 h AS (SELECT x, p, log2({sc.WINDOW}) - sum(n * log2(n)) / {sc.WINDOW} AS bits FROM c GROUP BY ALL),
-f AS (
-    SELECT x, min(p) AS lo, max(p) + {sc.WINDOW} AS hi FROM h
+hw AS (
+    SELECT x, p, lag(p) OVER (PARTITION BY x ORDER BY p) AS prev FROM h
     WHERE bits >= CASE WHEN regexp_matches(x, '^([0-9a-f]+|[0-9A-F]+)$') THEN {sc.THRESHOLDS['hex']}
                        WHEN regexp_matches(x, '^[A-Za-z0-9]+$') THEN {sc.THRESHOLDS['alnum']} ELSE {sc.THRESHOLDS['base64']} END - 1e-9
-    GROUP BY x
 ),
+hg AS (SELECT x, p, sum(CASE WHEN p <= prev + {sc.WINDOW} THEN 0 ELSE 1 END) OVER (PARTITION BY x ORDER BY p) AS stretch FROM hw),
+f AS (SELECT x, min(p) AS lo, max(p) + {sc.WINDOW} AS hi FROM hg GROUP BY x, stretch),
 s AS (
     SELECT u, kind, k, start, "end" FROM b
     UNION ALL SELECT a.u, 'entropy', 3, a.start + f.lo, a.start + f.hi FROM a JOIN f ON a.x = f.x

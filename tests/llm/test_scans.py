@@ -82,21 +82,30 @@ def base_spans(text):
     return [f"{n}:{a}:{b}" for a, _, n, b in sorted(out)]
 
 
+ALLOWED = [re.compile(p) for p in [*secrets_scan.ALLOWED, r"^[A-Za-z]+([-_/][A-Za-z]+)*[-_/]?$"]]
+
+
 def entropy_spans(text):
-    out = []
+    """Stretches of high windows, entropies worked out anew for each window."""
+    out, w = [], secrets_scan.WINDOW
     for m in re.finditer(secrets_scan.CANDIDATE, text or ""):
-        x, w = m[0], secrets_scan.WINDOW
-        if any(re.search(p, x) for p in secrets_scan.ALLOWED):
-            continue
-        kind = "hex" if re.fullmatch("[0-9a-f]+|[0-9A-F]+", x) else "alnum" if x.isalnum() else "base64"
-        high = []
-        for i in range(len(x) - w + 1):
-            window = x[i : i + w]
-            h = -sum(window.count(c) / w * math.log2(window.count(c) / w) for c in set(window))
-            if h >= secrets_scan.THRESHOLDS[kind] - 1e-9:
-                high.append(i)
-        if high:
-            out.append(f"entropy:{m.start() + high[0]}:{m.start() + high[-1] + w}")
+        at, pieces = 0, []
+        for run in [r for r in re.finditer("[A-Za-z0-9]+", m[0]) if re.search(secrets_scan.ALLOWED_WORDS, r[0])]:
+            pieces.append((at, m[0][at : run.start()]))
+            at = run.end()
+        for start, x in [*pieces, (at, m[0][at:])]:
+            if len(x) < w or any(p.search(x) for p in ALLOWED):
+                continue
+            kind = "hex" if re.fullmatch("[0-9a-f]+|[0-9A-F]+", x) else "alnum" if x.isalnum() else "base64"
+            covered = set()
+            for i in range(len(x) - w + 1):
+                window = x[i : i + w]
+                h = -sum(window.count(c) / w * math.log2(window.count(c) / w) for c in set(window))
+                if h >= secrets_scan.THRESHOLDS[kind] - 1e-9:
+                    covered.update(range(i, i + w))
+            lows = [i for i in sorted(covered) if i - 1 not in covered]
+            highs = [i + 1 for i in sorted(covered) if i + 1 not in covered]
+            out += [f"entropy:{m.start() + start + a}:{m.start() + start + b}" for a, b in zip(lows, highs)]
     return out
 
 
@@ -108,8 +117,15 @@ def secret_texts():
     return ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 9))) for _ in range(300)]
 
 
-def test_secrets_equal_brute_force(spark):
-    texts = [*secret_texts(), None, "", "x " * 20_000 + 'token = "abcdef1234"', "AKIA" + "A1" * 2000, "".join(random.Random(8).choice("ABCDEFabcdef0123456789+/") for _ in range(3000))]
+def test_secrets_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(secrets_scan, "BLOCK", 64)
+    token = "x7Kp2Qv9Lm4Zt8Rw3Yb6Nc1"
+    long = random.Random(9)
+    texts = [
+        f"https://host.io/sample/{token} and {token}/my_example1_key-{token}", f"{token}{'a1' * 60}{token}", f"{token}{'b' * 20}{token}", f"{token}{'b' * 30}{token}",
+        "".join(long.choice(["a1" * long.randint(1, 60), token, "sample", "/", "".join(long.sample(token, 20))]) for _ in range(200)), "a-" * 3000 + "b", "ab_" * 3000,
+    ]
+    texts += [*secret_texts(), None, "", "x " * 20_000 + 'token = "abcdef1234"', "AKIA" + "A1" * 2000, "".join(random.Random(8).choice("ABCDEFabcdef0123456789+/") for _ in range(3000))]
     rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, texts[1])]
     found = secrets_scan.scan_secrets(documents(spark, rows, "_uid start x found"))
     got = sorted((str(r.doc_id), sorted(f"{s.kind}:{s.start}:{s.end}" for s in r.found)) for r in found.collect())
@@ -118,6 +134,15 @@ def test_secrets_equal_brute_force(spark):
     assert secrets_scan.scan_secrets(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_secrets_in_a_very_long_run(spark):
+    """Time and memory in proportion: the run is one candidate of 400,000 characters."""
+    rng = random.Random(3)
+    text = "data " + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=400_000)) + " end"
+    (row,) = secrets_scan.scan_secrets(documents(spark, [(1, text)])).collect()
+    assert [s.kind for s in row.found if s.kind != "entropy"] == []
+    assert [f"{s.kind}:{s.start}:{s.end}" for s in row.found] == entropy_spans(text)
+
+
 def test_license_scan(spark):
     apache, gpl = "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3."
     rows = [
