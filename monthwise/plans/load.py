@@ -30,7 +30,6 @@ driver.
 from __future__ import annotations
 
 import datetime as dt
-import threading
 import uuid
 from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
@@ -46,6 +45,7 @@ from monthwise.operators.checks import GateError, gate_summary, month_gates, req
 from monthwise.operators.ledger import ledger_replace, month_digests
 from monthwise.operators.observed import gate_metrics, gates_of, lost_of, lost_values, require_few_lost
 from monthwise.operators.sample import first_per_month
+from monthwise.session import held_setting
 from monthwise.sources import fs
 
 #: Month files that a write task may hold open before it sorts instead.
@@ -77,34 +77,16 @@ def limit_per_month(df: DataFrame, n: int, key: str = "date") -> DataFrame:
     return first_per_month(numbered, ["_h"], n, key, "_rn").drop("_rn", "_h")
 
 
-_writers_lock = threading.Lock()
-_writers: dict[str, list] = {}  # session -> [writes under way, the setting before them]
-
-
 @contextmanager
 def _open_writers(spark: SparkSession, n: int):
     """Let a write task keep ``n`` month files open.  Without it Spark sorts
     every row by month before a partitioned write; beyond ``n`` months in one
-    task it still does, for that task.  It is a setting of the session, so of
-    several writes at once the first sets it and the last puts it back."""
-    name, session = "spark.sql.maxConcurrentOutputFileWriters", spark.conf.get("spark.app.id", "") + str(id(spark))
+    task it still does, for that task."""
     if not n:
         yield
         return
-    with _writers_lock:
-        state = _writers.setdefault(session, [0, None])
-        if not state[0]:
-            state[1] = spark.conf.get(name)
-            spark.conf.set(name, str(n))
-        state[0] += 1
-    try:
+    with held_setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(n)):
         yield
-    finally:
-        with _writers_lock:
-            state[0] -= 1
-            if not state[0]:
-                spark.conf.set(name, state[1])
-                del _writers[session]
 
 
 def publish_months(

@@ -14,6 +14,8 @@ reads footers in tasks too (``merge_groups``).
 from __future__ import annotations
 
 import json
+import re
+from collections import defaultdict
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
@@ -24,9 +26,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from monthwise.session import held_setting
+
 #: Footers that a task reads at once.
 READERS = 8
 
+#: What a scan of numbered parts ends with, after the delivery's name.
+PARTS = "-[0-9][0-9][0-9][0-9][0-9].parquet"
+
 FOOTER = "signature string, n_rows long, row_groups array<long>"
 
 
@@ -84,22 +91,24 @@ def schema_groups(files: DataFrame) -> list[tuple[list[str], T.StructType]]:
     spark = files.sparkSession
     read = footers(files.select("path", "scan")).persist()
     try:
-        per_scan = read.groupBy("scan", "signature").agg(F.count(F.lit(1)).alias("n"))
+        per_scan = read.groupBy("scan", "signature").agg(F.min("path").alias("one"))
         kinds = F.count(F.lit(1)).over(Window.partitionBy("scan"))
         per_scan = per_scan.withColumn("kinds", kinds).persist()  # a row per delivery and schema
         mixed = per_scan.where("kinds > 1").select("scan").distinct()
-        named = read.join(mixed, "scan", "left_semi").select("signature", "path")
-        whole = per_scan.where("kinds = 1").select("signature", F.col("scan").alias("path"))
+        named = read.join(mixed, "scan", "left_semi").select("signature", "path", F.col("path").alias("one"))
+        whole = per_scan.where("kinds = 1").select("signature", F.col("scan").alias("path"), "one")
         rows = whole.unionByName(named).collect()
         per_scan.unpersist()
     finally:
         read.unpersist()
     groups: dict[str | None, list[str]] = {}
-    for signature, path in sorted(rows, key=lambda r: (r[0] or "", r[1])):
+    ones: dict[str | None, str] = {}
+    for signature, path, one in sorted(rows, key=lambda r: (r[0] or "", r[1])):
         groups.setdefault(signature, []).append(path)
+        ones.setdefault(signature, one)
     unknown = groups.pop(None, [])
     # one footer stands for a group
-    alike = [(paths, parquet_reader(spark).parquet(paths[0]).schema) for paths in groups.values()]
+    alike = [(paths, parquet_reader(spark).parquet(ones[signature]).schema) for signature, paths in groups.items()]
     return [*alike, *merge_groups(spark, unknown)]
 
 
@@ -109,7 +118,8 @@ def merge_groups(spark: SparkSession, paths: list[str]) -> list[tuple[list[str],
     if not paths:
         return []
     try:
-        return [(paths, parquet_reader(spark).option("mergeSchema", "true").parquet(*paths).schema)]
+        reader = parquet_reader(spark).format("parquet").option("mergeSchema", "true")
+        return [(paths, load_scans(reader, paths).schema)]
     except (PySparkException, Py4JJavaError) as e:
         if "MERGE_SCHEMAS" not in str(e):
             raise
@@ -127,6 +137,35 @@ def parquet_reader(spark: SparkSession):
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
 
 
+def load_scans(reader, paths: list[str]) -> DataFrame:
+    """``reader.load`` of what scans name: folders, files and patterns.
+
+    A pattern lists its whole folder, so those of a folder's numbered parts
+    are made one, and Spark looks at the files found in a few large tasks
+    rather than in one task each.
+    """
+    spark = reader._spark
+    few = str(4 * spark.sparkContext.defaultParallelism)
+    with held_setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", few):
+        return reader.load(join_patterns(paths))
+
+
+def join_patterns(paths: list[str]) -> list[str]:
+    """The patterns of numbered parts in one folder as one pattern.  A name
+    that is not plain keeps its own."""
+    names, out = defaultdict(list), []
+    for path in paths:
+        folder, _, name = path.rpartition("/")
+        if folder and re.fullmatch(r"[A-Za-z0-9_.\-]+" + re.escape(PARTS), name):
+            names[folder].append(name[: -len(PARTS)])
+        else:
+            out.append(path)
+    for folder, found in names.items():
+        found = sorted(set(found))
+        out.append(f"{folder}/{found[0] if len(found) == 1 else '{' + ','.join(found) + '}'}{PARTS}")
+    return out
+
+
 def _arrow_fields(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -2,14 +2,21 @@
 through Hadoop's ``FileSystem`` -- the same API Spark's own writers use.
 
 Only metadata moves through here (exists / delete / list a folder); no data.
+Many files at once are renamed by tasks (``replace_all``).
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
+#: Files that a task renames at once.
+RENAMERS = 8
+
 
 def _fs_and_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -64,6 +71,81 @@ def replace(spark: SparkSession, src: str, dst: str) -> None:
     delete(spark, aside)
 
 
+def replace_all(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
+    """``replace`` for many files (source, target), renamed by tasks; a task
+    tried again finds what it has done.  Files are renamed with pyarrow; where
+    it cannot open the file system, the driver renames them."""
+    if not moves:
+        return
+    whole = {}  # folder -> the same with its scheme, as the tasks' file system may not be the default one
+    for folder in {p.rsplit("/", 1)[0] for move in moves for p in move}:
+        fs, p = _fs_and_path(spark, folder)
+        whole[folder] = fs.makeQualified(p).toString()
+    for folder in {dst.rsplit("/", 1)[0] for _, dst in moves}:
+        fs, p = _fs_and_path(spark, folder)
+        fs.mkdirs(p)
+
+    def full(path: str) -> str:
+        folder, name = path.rsplit("/", 1)
+        return f"{whole[folder]}/{name}"
+
+    sc = spark.sparkContext
+    pairs = sc.parallelize([(full(src), full(dst)) for src, dst in moves], min(len(moves), 4 * sc.defaultParallelism))
+    for src, dst in pairs.mapPartitions(_replace_files).collect():
+        replace(spark, src, dst)
+
+
+def _replace_files(moves: Iterable[tuple[str, str]]) -> Iterator[tuple[str, str]]:
+    """Renames the files; gives those whose file system cannot be opened."""
+    with ThreadPoolExecutor(RENAMERS) as pool:
+        moves = list(moves)
+        for move, done in zip(moves, pool.map(_replace_file, *zip(*moves)) if moves else (), strict=True):
+            if not done:
+                yield move
+
+
+def _replace_file(src: str, dst: str) -> bool:
+    from pyarrow.fs import FileType, LocalFileSystem
+
+    from monthwise.sources.footers import open_file_system
+
+    try:
+        fsys, p = open_file_system(src)
+        _, q = open_file_system(dst)
+    except (OSError, NotImplementedError, pa.ArrowException):
+        return False
+    new, old = fsys.get_file_info([p, q])
+    if new.type == FileType.NotFound and old.type == FileType.File:
+        return True  # an earlier try has renamed it
+    # Hadoop keeps a local file's checksums beside it: they go along, and those
+    # of a replaced file go first, as a file without any is read unchecked
+    sums = [_checksums(p), _checksums(q)] if isinstance(fsys, LocalFileSystem) else []
+    kept = [i.type == FileType.File for i in fsys.get_file_info(sums)] if sums else [False, False]
+    if kept[1]:
+        fsys.delete_file(sums[1])
+    aside = None
+    if old.type != FileType.NotFound:
+        parent, name = q.rsplit("/", 1)
+        aside = f"{parent}/_old-{uuid.uuid4().hex[:8]}-{name}"
+        fsys.move(q, aside)
+    try:
+        fsys.move(p, q)
+    except Exception:
+        if aside:
+            fsys.move(aside, q)
+        raise
+    if kept[0]:
+        fsys.move(sums[0], sums[1])
+    if aside:
+        (fsys.delete_dir if old.type == FileType.Directory else fsys.delete_file)(aside)
+    return True
+
+
+def _checksums(path: str) -> str:
+    parent, name = path.rsplit("/", 1)
+    return f"{parent}/.{name}.crc"
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     fs, p = _fs_and_path(spark, path)
     return bool(fs.getFileStatus(p).isDirectory())

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from monthwise.contract import TRIP_CONTRACT, Contract
 from monthwise.functions.calendar import LANDING_PREFIX, month_from_file_name
 from monthwise.functions.conform import LOST, conform
-from monthwise.sources.footers import parquet_reader, schema_groups
+from monthwise.sources.footers import PARTS, load_scans, parquet_reader, schema_groups
 
 LISTING_COLUMNS = ("path", "modificationTime", "length")
 
@@ -78,7 +78,7 @@ def scan_path(path, prefix: str = LANDING_PREFIX) -> Column:
     the pattern of its numbered parts; a file that names no month, itself."""
     p = path if isinstance(path, Column) else F.col(path)
     unit = month_unit(p, prefix)
-    parts = F.concat(unit, F.lit("-[0-9][0-9][0-9][0-9][0-9].parquet"))
+    parts = F.concat(unit, F.lit(PARTS))
     return F.when((unit == "") | (p == unit), p).when(p.startswith(F.concat(unit, F.lit("/"))), unit).otherwise(parts)
 
 
@@ -101,7 +101,7 @@ def scan_files(
     date = month_from_file_name(F.col("_metadata.file_path"), prefix) if month is None else F.lit(month)
     frames = []
     for paths, schema in schema_groups(files):
-        raw = parquet_reader(spark).schema(schema).parquet(*paths)
+        raw = load_scans(parquet_reader(spark).format("parquet").schema(schema), paths)
         frames.append(conform(raw.withColumn(key, date), contract, lost))
     if not frames:
         schema = contract.schema.add(LOST, "long") if lost else contract.schema
@@ -145,7 +145,7 @@ def scan_months(
             given.setdefault(u.month, []).append(u.path)
 
     def listed(paths: list[str], scan: Column) -> DataFrame:
-        listing = parquet_reader(spark).format("binaryFile").load(paths)
+        listing = load_scans(parquet_reader(spark).format("binaryFile"), paths)
         return listing.select("path").withColumn("scan", scan)
 
     def month_scan(item) -> DataFrame:
@@ -180,7 +180,8 @@ def write_month_files(
     makes a month several parts (``<prefix>YYYY_MM-00000.parquet``, ...).
 
     Spark writes ``_name=<month name>/`` folders into a hidden staging folder;
-    they are then renamed into place (metadata only).
+    they, or their files, are then renamed into place (metadata only; files,
+    as they may be many, by tasks).
     """
     import uuid
 
@@ -197,22 +198,24 @@ def write_month_files(
     if max_records is not None:
         writer = writer.option("maxRecordsPerFile", str(max_records))
     writer.parquet(staging)
-    written = []
-    for d in sorted(fs.list_dir(spark, staging)):
-        if not d.startswith("_name="):
-            continue
-        month_name = d[len("_name="):]
-        if layout == "folder":
-            dst = f"{root}/{month_name}"
-            fs.replace(spark, f"{staging}/{d}", dst)
-            written.append(dst)
-            continue
-        parts = sorted(f for f in fs.list_dir(spark, f"{staging}/{d}") if f.endswith(".parquet"))
-        for i, part in enumerate(parts):
-            suffix = "" if len(parts) == 1 else f"-{i:05d}"
-            dst = f"{root}/{month_name}{suffix}.parquet"
-            fs.replace(spark, f"{staging}/{d}/{part}", dst)
-            written.append(dst)
+    if layout == "folder":
+        written = []
+        for d in sorted(fs.list_dir(spark, staging)):
+            if d.startswith("_name="):
+                written.append(f"{root}/{d[len('_name='):]}")
+                fs.replace(spark, f"{staging}/{d}", written[-1])
+    else:
+        months: dict[str, list[str]] = {}
+        for (part,) in list_files(spark, staging, recursive=True).select("path").collect():  # names only
+            folder, _, name = part.rpartition("/")
+            months.setdefault(folder.rpartition("/_name=")[2], []).append(name)
+        moves = []
+        for month_name, parts in sorted(months.items()):
+            for i, part in enumerate(sorted(parts)):
+                suffix = "" if len(parts) == 1 else f"-{i:05d}"
+                moves.append((f"{staging}/_name={month_name}/{part}", f"{root}/{month_name}{suffix}.parquet"))
+        fs.replace_all(spark, moves)
+        written = [dst for _, dst in moves]
     fs.delete(spark, staging)
     return written
 
