@@ -37,6 +37,7 @@ import json
 import re
 import time
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
@@ -50,6 +51,8 @@ SCHEMA = "manifest long, unit string, path string, modificationTime timestamp, l
 SETTLE_S = 2.0
 #: Files of a manifest that one task reads.
 FILES_A_TASK = 10_000
+#: Files that are taken away at once.
+MOVERS = 16
 
 PART = re.compile(r"-([0-9]{5})\.parquet$")
 
@@ -121,17 +124,21 @@ class Landing:
 
         if not self.clean:
             return
-        for unit, files in self.manifest(number)["deliveries"].items():
-            live = {f["path"]: f for f in files if not f.get("archived")}
-            if unit and self.info(unit).type == FileType.Directory:
-                if {i.path for i in self._below(unit)} == set(live):
-                    self._away(number, unit)
-                continue
-            for path, f in live.items():
-                now = self.info(path)
+        with ThreadPoolExecutor(MOVERS) as pool:
+            for unit, files in self.manifest(number)["deliveries"].items():
+                live = {f["path"]: f for f in files if not f.get("archived")}
+                if unit and self.info(unit).type == FileType.Directory:
+                    if {i.path for i in self._below(unit)} == set(live):
+                        self._away(number, unit)
+                    continue
                 # a file delivered anew under the name is left for its own batch
-                if now.type == FileType.File and [now.mtime_ns, now.size] == [f["mtime"], f["size"]]:
-                    self._away(number, path)
+                same = [
+                    i.path
+                    for i in self.fs.get_file_info(list(live))
+                    if i.type == FileType.File and [i.mtime_ns, i.size] == [live[i.path]["mtime"], live[i.path]["size"]]
+                ]
+                for _ in pool.map(self._away, [number] * len(same), same):
+                    pass
 
     def _away(self, number: int, path: str) -> None:
         from pyarrow.fs import FileType

@@ -25,10 +25,13 @@ from pyspark.sql import functions as F
 from monthwise.contract import TRIP_CONTRACT, Contract
 from monthwise.functions.calendar import LANDING_PREFIX, month_from_file_name
 from monthwise.operators.ledger import last_delivery
-from monthwise.plans.load import load_months
+from monthwise.plans.load import OPEN_MONTHS, load_months
 from monthwise.sources.landing import scan_files, scan_path
 from monthwise.streaming.deliveries import Deliveries, batch_state, finish_deliveries
 
+#: Files of less are packed many to a split, so that it holds rows of many months.
+SMALL_FILE = 4 << 20
+
 
 @dataclass
 class IncrementalLoad:
@@ -50,7 +53,7 @@ class IncrementalLoad:
     unnamed: str = "fail"  # or "report": to the rows of unnamed_root
     unnamed_root: str | None = None
     archive_dir: str | None = None
-    rebalance: bool = False
+    rebalance: bool = False  # always so for batches of many small files
     table: str | None = None
     ledger_table: str | None = None
     max_lost: int | None = None  # see ``load_months``
@@ -72,23 +75,31 @@ class IncrementalLoad:
         spark = batch.sparkSession
         self._check_names(batch, epoch_id)
         named = batch.where("unit <> ''").withColumn("date", month_from_file_name(F.col("unit"), self.prefix))
-        sent = named.groupBy("date", "manifest", "unit").agg(F.max("modificationTime").alias("modificationTime"))
-        newest = F.max_by(F.struct("manifest", "unit", "modificationTime"), F.struct("modificationTime", "unit", "manifest"))
+        sent = named.groupBy("date", "manifest", "unit").agg(
+            F.max("modificationTime").alias("modificationTime"),
+            F.count(F.lit(1)).alias("n_files"),
+            F.sum("length").alias("length"),
+        )
+        delivery = F.struct("manifest", "unit", "modificationTime", "n_files", "length")
+        newest = F.max_by(delivery, F.struct("modificationTime", "unit", "manifest"))
         newest = sent.groupBy("date").agg(newest.alias("d")).select("date", "d.*")
         seen = last_delivery(spark, self._ledger_root(spark)).withColumnRenamed("delivered_at", "_seen")
         delivered = F.col("modificationTime").cast("timestamp_ntz")
         newest = newest.join(seen, "date", "left").where(F.col("_seen").isNull() | (F.col("_seen") <= delivered))
-        picks = newest.select("date", "manifest", "unit", delivered.alias("delivered_at")).collect()  # a row a month
+        picks = newest.select("date", "manifest", "unit", "n_files", "length", delivered.alias("delivered_at"))
+        picks = picks.collect()  # a row a month
         if not picks:
             return
         chosen = spark.createDataFrame([(r["manifest"], r["unit"]) for r in picks], "manifest long, unit string")
         files = named.join(chosen, ["manifest", "unit"], "left_semi")
         files = files.select("path", scan_path("path", self.prefix).alias("scan"))
         frame = scan_files(spark, files, self.contract, self.prefix, lost=True)
+        n_files, length = sum(r["n_files"] for r in picks), sum(r["length"] for r in picks)
+        many = n_files > OPEN_MONTHS * len(picks) and length < SMALL_FILE * n_files
         options = {
             "months": [r["date"] for r in picks],
             "contract": self.contract,
-            "rebalance": self.rebalance,
+            "rebalance": self.rebalance or many,
             "max_lost": self.max_lost,
             "delivered": {r["date"]: r["delivered_at"] for r in picks},
         }

@@ -87,3 +87,31 @@ def test_held_setting(spark):
     with held_setting(spark, name, "5"), held_setting(spark, name, "6"):
         assert spark.conf.get(name) == "5"
     assert spark.conf.get(name) == before
+
+
+def test_many_small_parts_are_shuffled_by_month(spark, scratch, monkeypatch):
+    from monthwise.plans.load import read_target
+    from monthwise.streaming import incremental
+
+    root = scratch("small")
+    job = incremental.IncrementalLoad(
+        landing=f"{root}/landing", target_root=f"{root}/target", ledger_root=f"{root}/ledger",
+        checkpoint=f"{root}/checkpoint", contract=C, clean_source="archive", archive_dir=f"{root}/archive",
+    )
+    asked, load = [], incremental.load_months
+
+    def load_months(*args, **options):
+        asked.append(options["rebalance"])
+        return load(*args, **options)
+
+    monkeypatch.setattr(incremental, "load_months", load_months)
+    write_month_files(spark, trips(spark, (JAN, 12), (FEB, 6)), job.landing, layout="file", max_records=1)
+    job.run_available(spark)
+    assert [len(fs.list_dir(spark, f"{root}/{d}")) for d in ("archive/batch=1",)] == [18]
+    assert not [n for n in fs.list_dir(spark, job.landing) if n.endswith(".parquet")]
+    # a few files a month come as they are: a split holds rows of few months
+    write_month_files(spark, trips(spark, (dt.date(2020, 3, 1), 3)), job.landing, layout="file", max_records=1)
+    job.run_available(spark)
+    assert asked == [True, False]
+    got = sorted((r.vendor_id, r.date.month) for r in read_target(spark, job.target_root, C).collect())
+    assert got == sorted([*((i, 1) for i in range(12)), *((100 + i, 2) for i in range(6)), *((i, 3) for i in range(3))])
