@@ -13,8 +13,9 @@ library; any other chunk is cut by the library's own pre-tokeniser, and its
 pre-tokens are split and merged like all others.
 
 Fragments and white-space-led chunks repeat a lot, so both are kept in
-bounded tables per Python worker; a full table is emptied, which costs time
-and changes no result.
+bounded tables per Python worker.  A full table forgets what was not met of
+late, which costs time and changes no result; so a worker's memory does not
+grow with the words of its texts.
 
 Cases.  A null text counts as empty: no ids, empty decoded text.  Special
 tokens written out in a text become their id, as in the public library with
@@ -30,6 +31,7 @@ import hashlib
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +39,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from monthwise.llm.common import char_batches, read_table, record_batch
+from monthwise.llm.common import kept_in_worker, read_table, record_batch, released, text_batches
 
 #: Unicode White_Space, as the public library's patterns read \s (fixed value).
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -49,9 +51,9 @@ CHUNK = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 #: (scripts long complete); tests/llm/test_bpe_files.py tries them all.
 PROVEN = "\\x00-\u052f\u2010-\u2027\u2030-\u205e\u20a0-\u20bd\u3000-\u30ff\u4e00-\u9fcc\uac00-\ud7a3\uff01-\uff5e\U0001f300-\U0001f64f"
 
-TABLE_LIMIT = 400_000
+TABLE_LIMIT = 300_000
 NO_MERGE = 1 << 62
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 
 
 def byte_alphabet() -> list[str]:
@@ -66,6 +68,28 @@ def byte_alphabet() -> list[str]:
     return [chars[b] for b in range(256)]
 
 
+class RecentTable:
+    """At most ``limit`` results by key, in two generations: a key met again
+    in the old one moves to the young one, and a full young one becomes the
+    old one, whose keys not met meanwhile go."""
+
+    def __init__(self, limit: int):
+        self.half = max(1, limit // 2)
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        got = self.young.get(key)
+        if got is None and (got := self.old.pop(key, None)) is not None:
+            self.put(key, got)
+        return got
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.half:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class ForcedBoundaryBpe:
     """Encoder and decoder of one byte-level BPE vocabulary file."""
 
@@ -100,9 +124,8 @@ class ForcedBoundaryBpe:
         self._length = np.array([len(s) for s in surface], dtype=np.int64)
         self._start = np.concatenate([[0], np.cumsum(self._length)[:-1]])
         self._surface = np.frombuffer(b"".join(surface), np.uint8)
-        self.table_limit = table_limit
-        self._fragment_table: dict[bytes, bytes] = {}
-        self._chunk_table: dict[str, bytes] = {}
+        self._fragment_table = RecentTable(table_limit)
+        self._chunk_table = RecentTable(table_limit)
 
     def fragments(self, token: bytes) -> list[bytes]:
         """``token`` cut at every byte pair that no vocabulary token holds."""
@@ -156,14 +179,15 @@ class ForcedBoundaryBpe:
     def _fragment(self, fragment: bytes) -> bytes:
         got = self._fragment_table.get(fragment)
         if got is None:
-            got = np.array(self.merge(fragment), dtype="<u4").tobytes()
+            got = array("I", self.merge(fragment)).tobytes()
             if len(fragment) <= 64:
-                if len(self._fragment_table) >= self.table_limit:
-                    self._fragment_table.clear()
-                self._fragment_table[fragment] = got
+                self._fragment_table.put(fragment, got)
         return got
 
     def _chunk(self, chunk: str) -> bytes:
+        got = self._chunk_table.get(chunk)
+        if got is not None:
+            return got
         if not chunk.isascii() and self._unproven.search(chunk):
             tokens = [self._raw(t) for t, _ in self._library.pre_tokenize_str(chunk)]
         elif chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
@@ -173,13 +197,11 @@ class ForcedBoundaryBpe:
         out = [self._fragment(f) for t in tokens for f in self.fragments(t)]
         got = out[0] if len(out) == 1 else b"".join(out)
         if len(chunk) <= 64:
-            if len(self._chunk_table) >= self.table_limit:
-                self._chunk_table.clear()
-            self._chunk_table[chunk] = got
+            self._chunk_table.put(chunk, got)
         return got
 
     def _plain(self, text: str) -> bytes:
-        get, miss = self._chunk_table.get, self._chunk
+        get, miss = self._chunk_table.young.get, self._chunk
         return b"".join([get(c) or miss(c) for c in self._chunks.findall(text)])
 
     def encode(self, text: str | None) -> bytes:
@@ -205,14 +227,9 @@ class ForcedBoundaryBpe:
         return self._surface[shift + np.arange(ends[-1])].tobytes()
 
 
-_ENCODERS: dict[str, ForcedBoundaryBpe] = {}
-
-
 def encoder(path: str) -> ForcedBoundaryBpe:
-    """The encoder of a vocabulary file, made once per Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ForcedBoundaryBpe(path)
-    return _ENCODERS[path]
+    """The encoder of a vocabulary file, made once per Python worker and stage."""
+    return kept_in_worker(("bpe", path), lambda: ForcedBoundaryBpe(path))
 
 
 def bpe_encode_decode(
@@ -226,11 +243,10 @@ def bpe_encode_decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            for lo, hi in char_batches(texts, BATCH_CHARS):
+        for batch in released(batches):
+            for lo, hi, texts in text_batches(batch.column(len(keep)), BATCH_CHARS):
                 counts, first, second = [], [], []
-                for t in texts[lo:hi]:
+                for t in texts:
                     raw = enc.encode(t)
                     ids = np.frombuffer(raw, "<u4")
                     decoded = enc.decode(ids)

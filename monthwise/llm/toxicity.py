@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import char_batches, fold, named_back, neutral, read_table, record_batch
+from monthwise.llm.common import fold, forget_kept, named_back, neutral, read_table, record_batch, released, text_batches
 
 POSITIVE = 1500
 NEGATIVE = 3000
@@ -55,7 +55,7 @@ MAX_DISTANCE = 12
 MIN_DISTANCE = -3
 #: Distances (bytes) whose windows are counted.
 STEPS = (2, 3, 4, 6, 8)
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 
 _WORD = re.compile(r"\w+")
 
@@ -252,11 +252,11 @@ def score(docs: DataFrame, model: CompressionDistance, keep: dict[str, Column],
     shared = docs.sparkSession.sparkContext.broadcast(model)  # some 300 KB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         model = shared.value
-        for batch in batches:
-            texts = [t or "" for t in batch.column(n).to_pylist()]
-            for lo, hi in char_batches(texts, BATCH_CHARS):
-                s = model.scores(texts[lo:hi])
+        for batch in released(batches):
+            for lo, hi, texts in text_batches(batch.column(n), BATCH_CHARS):
+                s = model.scores([t or "" for t in texts])
                 schema = pa.schema([batch.schema.field(i) for i in range(n)] + [("score", pa.float64()), ("predicted", pa.int32())])
                 yield record_batch(schema, [*[batch.column(i).slice(lo, hi - lo) for i in range(n)], s, (s >= 0.5).astype(np.int32)])
 

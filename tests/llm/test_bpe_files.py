@@ -2,14 +2,16 @@
 
 import hashlib
 import random
+import weakref
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from monthwise.llm import simple8b
-from monthwise.llm.bpe import ForcedBoundaryBpe, bpe_encode_decode, byte_bpe_path
+from monthwise.llm import common, simple8b
+from monthwise.llm.bpe import ForcedBoundaryBpe, RecentTable, bpe_encode_decode, byte_bpe_path, encoder
 from monthwise.llm.token_files import WordEncoder, read_token_files, word_bpe_path, write_token_files
 
 from .helpers import documents
@@ -54,6 +56,39 @@ def test_tables_do_not_mix_words_and_pieces():
         assert np.frombuffer(ours.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
 
 
+def test_table_keeps_what_is_met_again():
+    table, fixed = RecentTable(10), ForcedBoundaryBpe(byte_bpe_path(), table_limit=50)
+    table.put("often", 1)
+    for i in range(1000):
+        table.put(i, i)
+        assert table.get("often") == 1 and len(table.young) + len(table.old) <= 10
+    assert table.get(0) is None and table.get(999) == 999
+    for i in range(500):
+        fixed.encode(f"word{i} {i}x{i} often")
+        for t in (fixed._chunk_table, fixed._fragment_table):
+            assert len(t.young) + len(t.old) <= 50
+
+
+def test_a_worker_keeps_the_model_of_one_operator():
+    """Spark reuses Python workers: the BPE tables may not stay for the next stage."""
+    held = weakref.ref(encoder(byte_bpe_path()))
+    assert encoder(byte_bpe_path()) is held()
+    assert common.kept_in_worker("other", list) == [] and held() is None
+    held = weakref.ref(encoder(byte_bpe_path()))
+    common.forget_kept()
+    assert held() is None
+
+
+def test_text_batches_are_the_ranges_of_char_batches():
+    for texts in ([], [None], ["ab", None, "é😀" * 3, "", "x" * 50, "c", "d" * 9, None]):
+        column = pa.array(["cut", *texts], pa.string()).slice(1)
+        got = list(common.text_batches(column, 10))
+        assert [(lo, hi) for lo, hi, _ in got] == list(common.char_batches(texts, 10))
+        assert [t for _, _, part in got for t in part] == texts
+        batches = [pa.record_batch([column], ["text"])] * 2
+        assert [b.num_rows for b in common.released(iter(batches))] == [len(texts)] * 2
+
+
 def test_decode_equals_the_library():
     ours, library = ForcedBoundaryBpe(byte_bpe_path()), Tokenizer.from_file(byte_bpe_path())
     rng = np.random.default_rng(2)
