@@ -28,82 +28,91 @@ _ESCAPED_PAIR = np.uint64((1 << 30) - 1)
 
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bit length of each unsigned 64-bit value."""
-    out = np.zeros(len(values), dtype=np.uint8)
-    rest, shift = values, 32
-    if not len(values) or int(values.max()) < 1 << 32:
-        rest, shift = values.astype(np.uint32), 16
-    rest = rest.copy()
+    if int(values.max()) < 1 << 32:  # exact as floats, whose exponent is the bit length
+        exponent = values.astype(np.float64).view(np.int64) >> 52
+        return np.maximum(exponent - 1022, 0).astype(np.uint8)
+    out, rest, shift = np.zeros(len(values), dtype=np.uint8), values.copy(), 32
     while shift:
-        big = rest >= rest.dtype.type(1 << shift)
+        big = rest >= np.uint64(1 << shift)
         out += big.view(np.uint8) * np.uint8(shift)
-        rest >>= big.astype(rest.dtype) * rest.dtype.type(shift)
+        rest >>= big.astype(np.uint64) * np.uint64(shift)
         shift //= 2
     return out + (rest > 0)
 
 
+def _selectors(bits: np.ndarray, block: int) -> np.ndarray:
+    """The selector of the word that would start at each value (16: escape).
+    What fits a selector fits all higher ones too, so the selector is 16 less
+    the number of those that it fits."""
+    n, widest, narrowest = len(bits), int(bits.max()), int(bits.min())
+    rows, whole, wide = -(-n // block), n // block, block + int(COUNTS[0])
+    # a row a block; the zeros behind it fit any width, as no value is there
+    padded = np.zeros((rows, wide), np.uint8)
+    padded[:whole, :block] = bits[: whole * block].reshape(whole, block)
+    padded[whole:, : n - whole * block] = bits[whole * block :]
+    padded = padded.ravel()
+    selector = np.full(rows * wide, 16 - int((WIDTHS >= widest).sum()), dtype=np.uint8)
+    for s in np.flatnonzero((WIDTHS < widest) & (WIDTHS >= narrowest)):
+        fits, have, count = padded <= np.uint8(WIDTHS[s]), 1, int(COUNTS[s])
+        while have < count:  # fits: of the next ``have`` values each
+            more = min(have, count - have)
+            fits = fits[:-more] & fits[more:]
+            have += more
+        selector[: len(fits)] -= fits.view(np.uint8)
+    return selector.reshape(rows, wide)[:, :block].ravel()[:n]
+
+
 def encode(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     """``values`` (unsigned) as words, and the word offset of each block."""
-    values = np.ascontiguousarray(values, dtype=np.uint64)
     n = len(values)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    bits = _bits(values)
-    block_start = np.arange(0, n, block)
-    block_end = np.minimum(block_start + block, n)
-    left = (np.repeat(block_end, block_end - block_start) - np.arange(n)).astype(np.int32)
-    selector = np.full(n, 16, dtype=np.uint8)  # 16: escape
-    widest = int(bits.max())
-    for s in range(15, -1, -1):
-        if WIDTHS[s] >= widest:
-            selector[:] = s
-            continue
-        narrow = np.flatnonzero(bits <= WIDTHS[s])  # only from these can selector s start
-        if not len(narrow):
-            break  # nor any narrower one
-        ends = np.append(np.flatnonzero(narrow[1:] != narrow[:-1] + 1), len(narrow) - 1)
-        run = np.repeat(narrow[ends] + 1, np.diff(ends, prepend=-1)) - narrow
-        selector[narrow[run >= np.minimum(COUNTS[s], left[narrow])]] = s
+    padded = np.zeros(n + int(COUNTS[0]), np.uint64)
+    padded[:n] = values
+    values = padded[:n]
+    selector = _selectors(_bits(values), block)
     # two full 30-bit values would read as the escape word: leave them to selector 15
     full = values == _ESCAPED_PAIR
     if full.any():
         pair = np.zeros(n, bool)
         pair[:-1] = full[:-1] & full[1:]
         selector[(selector == 14) & pair] = 15
-    step = np.append(COUNTS, 1)
-    # all blocks in step: each round packs one word per unfinished block
-    at, lane, starts, lanes = block_start.copy(), np.arange(len(block_start)), [], []
-    while len(at):
-        starts.append(at)
-        lanes.append(lane)
-        at = at + step[selector[at]]
-        live = at < block_end[lane]
-        at, lane = at[live], lane[live]
-    start = np.concatenate(starts)
-    order = np.argsort(start, kind="stable")
-    start, lane = start[order], np.concatenate(lanes)[order]
+    # all blocks in step: each round goes on by one word in every block; a block that is done stays at n
+    block_start = np.arange(0, n, block)
+    block_end = np.minimum(block_start + block, n)
+    kind = np.int32 if n < 1 << 30 else np.int64
+    jump = np.arange(n + 1, dtype=kind)
+    jump[:n] += np.append(COUNTS, 1).astype(kind)[selector]
+    jump[:n][jump[:n] >= np.repeat(block_end.astype(kind), block_end - block_start)] = n
+    at, rounds = block_start, []
+    while (at < n).any():
+        for _ in range(16):
+            rounds.append(at)
+            at = jump[at]
+    starts = np.zeros(n + 1, dtype=bool)
+    starts[np.concatenate(rounds)] = True
+    start = np.flatnonzero(starts[:n])
+    left = block_end[start // block] - start
     sel = selector[start]
     n_words = np.where(sel == 16, 2, 1)
     where = np.cumsum(n_words) - n_words
     words = np.zeros(int(n_words.sum()), dtype=np.uint64)
-    padded = np.concatenate([values, np.zeros(int(COUNTS[0]), np.uint64)])
     for s in range(16):
         rows = np.flatnonzero(sel == s)
         if not len(rows):
             continue
         packed = np.full(len(rows), s << 60, dtype=np.uint64)
         if WIDTHS[s]:
-            first = start[rows]
-            short = np.flatnonzero(left[first] < COUNTS[s])  # a block's last word: no values of the next block
-            for k in range(int(COUNTS[s])):
-                value = padded[first + k]
-                value[short[left[first[short]] <= k]] = 0
-                packed |= value << np.uint64(k * int(WIDTHS[s]))
+            k = np.arange(int(COUNTS[s]))[:, None]
+            value = padded[start[rows] + k]
+            short = np.flatnonzero(left[rows] < COUNTS[s])  # a block's last word: no values of the next block
+            value[:, short] *= k < left[rows[short]]
+            packed |= np.bitwise_or.reduce(value << (k * WIDTHS[s]).astype(np.uint64), axis=0)
         words[where[rows]] = packed
     rows = np.flatnonzero(sel == 16)
     words[where[rows]] = ESCAPE_WORD
     words[where[rows] + 1] = values[start[rows]]
-    first = np.searchsorted(start, block_start)
-    return words, where[first]
+    return words, where[np.searchsorted(start, block_start)]
 
 
 def decode(words: np.ndarray, word_start: np.ndarray, n: int, block: int = BLOCK) -> np.ndarray:

@@ -29,7 +29,8 @@ import re
 import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,18 @@ TABLE_LIMIT = 800_000
 BLOCKS = "part int, first long, doc_ids array<long>, n_tokens array<long>, words binary, word_start array<long>"
 
 
+class Words(dict):
+    """Ids by word; a word not in the table is encoded by ``encode``, which
+    may add it."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self._encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        return self._encode(word)
+
+
 class WordEncoder:
     """``Tokenizer.encode(text, add_special_tokens=False).ids`` of a
     word-end BPE file, with a table of words already encoded.
@@ -72,7 +85,7 @@ class WordEncoder:
         pattern = json.loads(tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._pieces = regex.compile(pattern.replace(r"\s", SPACE))
         self._alphabet = byte_alphabet()
-        self._words: dict[str, bytes] = {}
+        self._words = Words(self._word)
         self.table_limit = table_limit
 
     def _piece(self, piece: str) -> bytes:
@@ -101,22 +114,18 @@ class WordEncoder:
             return got
         plain = word if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ")
         plain = plain.lower()
-        if plain.isascii() and plain.isalpha():
-            got = self._piece(plain)
-        elif plain.isascii() and plain[:-1].isalpha() and plain[-1] in ".,":
-            got = self._piece(plain[:-1]) + self._piece(plain[-1])
+        letters = plain.rstrip(punctuation)
+        if letters.isalpha():  # the pattern's letters, as all are proven
+            got = self._piece(letters)
+            if len(letters) < len(plain):
+                got += self._piece(plain[len(letters) :])
         else:
             got = b"".join([self._piece(p) for p in self._pieces.findall(plain)])
         self._keep(word, got)
         return got
 
     def _plain(self, text: str) -> bytes:
-        get, miss, out = self._words.get, self._word, []
-        for line in text.split("\n"):
-            for word in line.split(" "):
-                got = get(word)
-                out.append(miss(word) if got is None else got)
-        return b"".join(out)
+        return b"".join(map(self._words.__getitem__, text.replace("\n", " ").split(" ")))
 
     def encode(self, text: str | None) -> bytes:
         if not text:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import weakref
 import zlib
 
@@ -56,6 +57,16 @@ def test_tables_do_not_mix_words_and_pieces():
         assert np.frombuffer(ours.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
 
 
+def test_words_of_letters_and_marks_skip_the_pattern():
+    """In any script; the pattern is slow, and these are most of the new words."""
+    ours, library = WordEncoder(word_bpe_path()), Tokenizer.from_file(word_bpe_path())
+    ours._pieces = None
+    text = "naïve Größe, ÄPFEL.\nпривет!! 日本語 cafe\u0301 word### ΑΣ; it"
+    assert np.frombuffer(ours.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    with pytest.raises(AttributeError):
+        ours.encode("it's")
+
+
 def test_table_keeps_what_is_met_again():
     table, fixed = RecentTable(10), ForcedBoundaryBpe(byte_bpe_path(), table_limit=50)
     table.put("often", 1)
@@ -140,6 +151,21 @@ def test_simple8b_round_trip(n, high):
             assert (tail == values[block:]).all()
 
 
+def test_simple8b_encodes_about_as_fast_as_it_decodes():
+    ids = (2.0 ** np.random.default_rng(7).uniform(1, 15.6, 65_536)).astype("<u4")
+    words, starts = simple8b.encode(ids)
+
+    def least(run):
+        took = []
+        for _ in range(15):
+            began = time.process_time()
+            run()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    assert least(lambda: simple8b.encode(ids)) < 3 * least(lambda: simple8b.decode(words, starts, len(ids)))
+
+
 def test_token_files(spark, scratch):
     rows = [(5, "five Five"), (2, None), (None, "null id"), (9, "nine " * 300), (2, "two"), (2, "two"), (-1, "x\ny")]
     docs = documents(spark, rows, "start part")
