@@ -16,8 +16,9 @@ from __future__ import annotations
 import json
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
@@ -63,15 +64,28 @@ def read_footer(path: str) -> tuple[str | None, int | None, list[int] | None]:
     return json.dumps([(f.name, str(f.type)) for f in schema]), meta.num_rows, groups
 
 
+@contextmanager
+def at_once(path: str, n: int) -> Iterator[Callable]:
+    """``map`` for calls on files like ``path``: in ``n`` threads where they
+    wait for a far file system.  A local one answers sooner than threads hand
+    over, and other tasks use the cores."""
+    if path.startswith("file:") or "://" not in path:
+        yield map
+    else:
+        with ThreadPoolExecutor(n) as pool:
+            yield pool.map
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     types = [pa.string(), pa.int64(), pa.list_(pa.int64())]
-    with ThreadPoolExecutor(READERS) as pool:
-        for batch in batches:
-            found = list(pool.map(read_footer, batch.column("path").to_pylist()))
-            new = [pa.array([r[i] for r in found], t) for i, t in enumerate(types)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *new], names=[*batch.schema.names, "signature", "n_rows", "row_groups"]
-            )
+    for batch in batches:
+        paths = batch.column("path").to_pylist()
+        with at_once(paths[0] if paths else "", READERS) as run:
+            found = list(run(read_footer, paths))
+        new = [pa.array([r[i] for r in found], t) for i, t in enumerate(types)]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, *new], names=[*batch.schema.names, "signature", "n_rows", "row_groups"]
+        )
 
 
 def footers(files: DataFrame) -> DataFrame:
@@ -97,7 +111,8 @@ def schema_groups(files: DataFrame) -> list[tuple[list[str], T.StructType]]:
         mixed = per_scan.where("kinds > 1").select("scan").distinct()
         named = read.join(mixed, "scan", "left_semi").select("signature", "path", F.col("path").alias("one"))
         whole = per_scan.where("kinds = 1").select("signature", F.col("scan").alias("path"), "one")
-        rows = whole.unionByName(named).collect()
+        with listing_tasks(spark):
+            rows = whole.unionByName(named).collect()
         per_scan.unpersist()
     finally:
         read.unpersist()
@@ -137,6 +152,13 @@ def parquet_reader(spark: SparkSession):
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
 
 
+def listing_tasks(spark: SparkSession):
+    """While a listing (``binaryFile`` without content) is collected: its tasks
+    take 2,000 small files each.  Spark counts 4 MB for opening a file, which
+    makes a task of every 32, but these are not opened."""
+    return held_setting(spark, "spark.sql.files.openCostInBytes", "64k")
+
+
 def load_scans(reader, paths: list[str]) -> DataFrame:
     """``reader.load`` of what scans name: folders, files and patterns.
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
@@ -25,6 +24,12 @@ def _fs_and_path(spark: SparkSession, path: str):
     return jpath.getFileSystem(conf), jpath
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, as the tasks' file system may not be the default one."""
+    fs, p = _fs_and_path(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs_and_path(spark, path)
     return bool(fs.exists(p))
@@ -77,10 +82,7 @@ def replace_all(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
     it cannot open the file system, the driver renames them."""
     if not moves:
         return
-    whole = {}  # folder -> the same with its scheme, as the tasks' file system may not be the default one
-    for folder in {p.rsplit("/", 1)[0] for move in moves for p in move}:
-        fs, p = _fs_and_path(spark, folder)
-        whole[folder] = fs.makeQualified(p).toString()
+    whole = {folder: qualified(spark, folder) for folder in {p.rsplit("/", 1)[0] for move in moves for p in move}}
     for folder in {dst.rsplit("/", 1)[0] for _, dst in moves}:
         fs, p = _fs_and_path(spark, folder)
         fs.mkdirs(p)
@@ -97,11 +99,13 @@ def replace_all(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
 
 def _replace_files(moves: Iterable[tuple[str, str]]) -> Iterator[tuple[str, str]]:
     """Renames the files; gives those whose file system cannot be opened."""
-    with ThreadPoolExecutor(RENAMERS) as pool:
-        moves = list(moves)
-        for move, done in zip(moves, pool.map(_replace_file, *zip(*moves)) if moves else (), strict=True):
-            if not done:
-                yield move
+    from monthwise.sources.footers import at_once
+
+    moves = list(moves)
+    if moves:
+        with at_once(moves[0][0], RENAMERS) as run:
+            done = list(run(_replace_file, *zip(*moves)))
+        yield from (move for move, was in zip(moves, done, strict=True) if not was)
 
 
 def _replace_file(src: str, dst: str) -> bool:

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from monthwise.contract import TRIP_CONTRACT, Contract
 from monthwise.functions.calendar import LANDING_PREFIX, month_from_file_name
@@ -23,6 +24,8 @@ from monthwise.functions.conform import LOST, conform
 from monthwise.sources.footers import PARTS, load_scans, parquet_reader, schema_groups
 
 LISTING_COLUMNS = ("path", "modificationTime", "length")
+#: Name of rows without a month, as Spark names their folder; no listing shows it.
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.parquet", recursive: bool = False) -> DataFrame:
@@ -181,45 +184,63 @@ def write_month_files(
 
     Spark writes ``_name=<month name>/`` folders into a hidden staging folder;
     they, or their files, are then renamed into place (metadata only; files,
-    as they may be many, by tasks).
+    as they may be many, by tasks).  Small parts are written there by tasks of
+    ``parts.py``, as a file costs Spark's writer more than its rows.
     """
     import uuid
 
     from monthwise.functions.calendar import landing_file_name
     from monthwise.sources import fs
+    from monthwise.sources.parts import write_small_parts, writes_small_parts
 
     if layout not in ("folder", "file"):
         raise ValueError("layout must be 'folder' or 'file'")
     root = landing_dir.rstrip("/")
     staging = f"{root}/_staging-{uuid.uuid4().hex[:8]}"
     named = df.withColumn("_name", landing_file_name(F.col(month_col), prefix, suffix="")).drop(month_col)
-    named = named.hint("rebalance", "_name") if layout == "folder" else named.repartition("_name")
-    writer = named.write.mode("errorifexists").partitionBy("_name")
-    if max_records is not None:
-        writer = writer.option("maxRecordsPerFile", str(max_records))
-    writer.parquet(staging)
-    if layout == "folder":
+    if layout == "file":
+        rows = T.StructType([f for f in named.schema.fields if f.name != "_name"])
+        if max_records is not None and writes_small_parts(spark, rows, staging, max_records):
+            named = named.withColumn("_name", F.coalesce("_name", F.lit(NO_MONTH)))
+            months = write_small_parts(named, "_name", staging, max_records)
+        else:
+            _write_by_month(named.repartition("_name"), staging, max_records)
+            months = _staged_files(spark, staging)
+        moves = []
+        for month_name, parts in months:
+            for i, part in enumerate(parts):
+                suffix = "" if len(parts) == 1 else f"-{i:05d}"
+                moves.append((part, f"{root}/{month_name}{suffix}.parquet"))
+        fs.replace_all(spark, moves)
+        written = [dst for _, dst in moves]
+    else:
+        _write_by_month(named.hint("rebalance", "_name"), staging, max_records)
         written = []
         for d in sorted(fs.list_dir(spark, staging)):
             if d.startswith("_name="):
                 written.append(f"{root}/{d[len('_name='):]}")
                 fs.replace(spark, f"{staging}/{d}", written[-1])
-    else:
-        months: dict[str, list[str]] = {}
-        for (part,) in list_files(spark, staging, recursive=True).select("path").collect():  # names only
-            folder, _, name = part.rpartition("/")
-            months.setdefault(folder.rpartition("/_name=")[2], []).append(name)
-        moves = []
-        for month_name, parts in sorted(months.items()):
-            for i, part in enumerate(sorted(parts)):
-                suffix = "" if len(parts) == 1 else f"-{i:05d}"
-                moves.append((f"{staging}/_name={month_name}/{part}", f"{root}/{month_name}{suffix}.parquet"))
-        fs.replace_all(spark, moves)
-        written = [dst for _, dst in moves]
     fs.delete(spark, staging)
     return written
 
 
+def _write_by_month(named: DataFrame, staging: str, max_records: int | None) -> None:
+    writer = named.write.mode("errorifexists").partitionBy("_name")
+    if max_records is not None:
+        writer = writer.option("maxRecordsPerFile", str(max_records))
+    writer.parquet(staging)
+
+
+def _staged_files(spark: SparkSession, staging: str) -> list[tuple[str, list[str]]]:
+    """Month names and their files, as ``_write_by_month`` wrote them."""
+    months: dict[str, list[str]] = {}
+    for (part,) in list_files(spark, staging, recursive=True).select("path").collect():  # names only
+        folder, _, name = part.rpartition("/")
+        month_name = folder.rpartition("/_name=")[2]
+        months.setdefault(month_name, []).append(f"{staging}/_name={month_name}/{name}")
+    return [(month_name, sorted(files)) for month_name, files in sorted(months.items())]
+
+
 def month_unit(path, prefix: str = LANDING_PREFIX) -> Column:
     """The delivery that ``path`` belongs to: up to the last part of the path
     that names a month.  For ``.../<prefix>2020_01/part-0.parquet`` that is
